@@ -120,3 +120,15 @@ def with_bindings(sql: str, *names: str) -> str:
     if sql.startswith(","):
         return f"WITH {ctes}{sql}"
     return f"WITH {ctes}\n{sql}"
+
+
+def bucket_start_sql(col: str, step_s: int) -> str:
+    """Start of the epoch-aligned ``step_s`` bucket holding ``col`` (DuckDB)."""
+    us = int(step_s) * 1_000_000
+    return f"make_timestamp(CAST(floor(epoch_us({col}) / {us}) * {us} AS BIGINT))"
+
+
+def bucket_end_sql(col: str, step_s: int) -> str:
+    """First epoch-aligned ``step_s`` boundary strictly after ``col`` (DuckDB)."""
+    us = int(step_s) * 1_000_000
+    return f"make_timestamp(CAST((floor(epoch_us({col}) / {us}) + 1) * {us} AS BIGINT))"
