@@ -89,6 +89,24 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey
     "allow": """
 SELECT a.n_nationkey AS src, b.n_nationkey AS dst, 443 AS port
 FROM nation a CROSS JOIN nation b WHERE (a.n_nationkey + b.n_nationkey) % 3 = 0""",
+    "expected_resources": """
+SELECT 'ec2' AS kind, concat('i-', CAST(c_custkey AS VARCHAR)) AS id FROM customer WHERE c_acctbal >= 0
+UNION ALL SELECT 'ebs', concat('vol-', CAST(p_partkey AS VARCHAR)) FROM part WHERE p_size <= 25""",
+    "inventory": """
+SELECT 'ec2' AS kind, concat('i-', CAST(id AS VARCHAR)) AS id, state, 't3.medium' AS type,
+  CAST(NULL AS BIGINT) AS size_gb, concat('zone-', CAST(reservation % 3 AS VARCHAR)) AS az, tag_name AS name,
+  tag_project, tag_environment FROM instances
+UNION ALL SELECT 'ebs', concat('vol-', CAST(id AS VARCHAR)), state, type, CAST(size_gb AS BIGINT),
+  concat('zone-', CAST(id % 3 AS VARCHAR)), NULL, NULL, NULL FROM volumes
+UNION ALL SELECT 'nat', concat('nat-', CAST(id AS VARCHAR)), state, NULL, NULL, NULL, NULL, NULL, NULL FROM nat
+UNION ALL SELECT 'elb', concat('lb-', n_name), CASE WHEN n_nationkey % 5 = 0 THEN 'failed' ELSE 'active' END,
+  CASE WHEN n_regionkey % 2 = 0 THEN 'application' ELSE 'network' END, NULL, NULL, concat('lb-', n_name),
+  NULL, NULL FROM nation
+UNION ALL SELECT 'eks', concat('cluster-', lower(r_name)), 'ACTIVE', NULL, NULL, NULL, concat('cluster-', lower(r_name)),
+  NULL, NULL FROM region
+UNION ALL SELECT 'rds', concat('db-', CAST(s_suppkey AS VARCHAR)), CASE WHEN s_acctbal < 0 THEN 'stopped' ELSE 'available' END,
+  'db.t3.micro', CAST(20 + s_nationkey AS BIGINT), concat('zone-', CAST(s_suppkey % 3 AS VARCHAR)), NULL, NULL, NULL
+FROM supplier""",
     "log_records": """
 SELECT doc_id AS seq, source AS namespace_name, text AS log FROM documents""",
     "namespaces": """

@@ -270,3 +270,75 @@ def namespaces(t: Tables) -> DataFrame:
     name = F.concat(F.when(m == 0, "demo-").when(m == 1, "logging").otherwise("team-"),
                     F.when(m == 1, F.lit("")).otherwise(F.col("p_partkey").cast("string")))
     return p.select(name.alias("namespace"), F.col("p_brand").alias("old_enforce"))
+
+
+def _paged(df: DataFrame, item: Column, field: str, page_key: Column) -> DataFrame:
+    """One API response page per ``page_key`` value: ``field`` = array of items."""
+    return (df.select(page_key.alias("page"), item.alias("item"))
+            .groupBy("page").agg(F.array_sort(F.collect_list("item")).alias(field)))
+
+
+def _id_page(c: str) -> Column:
+    return F.floor(F.col(c) / INSTANCE_PAGE_SIZE)
+
+
+def volumes_api(t: Tables) -> DataFrame:
+    v = volumes(t)
+    item = F.struct(F.concat(F.lit("vol-"), F.col("id").cast("string")).alias("VolumeId"),
+                    F.col("state").alias("State"), F.col("type").alias("VolumeType"),
+                    F.col("size_gb").alias("Size"),
+                    F.concat(F.lit("zone-"), (F.col("id") % 3).cast("string")).alias("AvailabilityZone"),
+                    F.lit(None).cast("array<struct<Key:string,Value:string>>").alias("Tags"))
+    return _paged(v, item, "Volumes", _id_page("id"))
+
+
+def nat_api(t: Tables) -> DataFrame:
+    n = nat(t)
+    item = F.struct(F.concat(F.lit("nat-"), F.col("id").cast("string")).alias("NatGatewayId"),
+                    F.col("state").alias("State"),
+                    F.concat(F.lit("subnet-"), (F.col("id") % 4).cast("string")).alias("SubnetId"),
+                    F.lit("vpc-1").alias("VpcId"),
+                    F.array(F.struct(F.concat(F.lit("203.0.113."), (F.col("id") % 256).cast("string"))
+                                     .alias("PublicIp"))).alias("NatGatewayAddresses"))
+    return _paged(n, item, "NatGateways", _id_page("id"))
+
+
+def load_balancers_api(t: Tables) -> DataFrame:
+    n = t.nation
+    name = F.concat(F.lit("lb-"), F.col("n_name"))
+    item = F.struct(name.alias("LoadBalancerName"),
+                    F.when(F.col("n_regionkey") % 2 == 0, "application").otherwise("network").alias("Type"),
+                    F.struct(F.when(F.col("n_nationkey") % 5 == 0, "failed").otherwise("active").alias("Code"))
+                    .alias("State"),
+                    F.lit("internet-facing").alias("Scheme"), F.concat(name, F.lit(".elb")).alias("DNSName"))
+    return _paged(n, item, "LoadBalancers", _id_page("n_nationkey"))
+
+
+def clusters_api(t: Tables) -> DataFrame:
+    r = t.region
+    return _paged(r, F.concat(F.lit("cluster-"), F.lower("r_name")), "clusters", _id_page("r_regionkey"))
+
+
+def db_instances_api(t: Tables) -> DataFrame:
+    s = t.supplier
+    item = F.struct(F.concat(F.lit("db-"), F.col("s_suppkey").cast("string")).alias("id"),
+                    F.when(F.col("s_acctbal") < 0, "stopped").otherwise("available").alias("state"),
+                    F.lit("db.t3.micro").alias("type"), (F.col("s_nationkey") + 20).alias("size_gb"),
+                    F.concat(F.lit("zone-"), (F.col("s_suppkey") % 3).cast("string")).alias("az"))
+    return _paged(s, item, "DBInstances", _id_page("s_suppkey"))
+
+
+def cloud_sources(t: Tables) -> dict[str, DataFrame]:
+    """The six API responses the audit reads, in their nested shapes."""
+    return {"ec2": instances_api(t), "ebs": volumes_api(t), "nat": nat_api(t),
+            "elb": load_balancers_api(t), "eks": clusters_api(t), "rds": db_instances_api(t)}
+
+
+def expected_resources(t: Tables) -> DataFrame:
+    """What the infrastructure code declares: instances of customers in credit
+    and volumes up to 25 GB."""
+    c = t.customer.where(F.col("c_acctbal") >= 0).select(
+        F.lit("ec2").alias("kind"), F.concat(F.lit("i-"), F.col("c_custkey").cast("string")).alias("id"))
+    p = t.part.where(F.col("p_size") <= 25).select(
+        F.lit("ebs").alias("kind"), F.concat(F.lit("vol-"), F.col("p_partkey").cast("string")).alias("id"))
+    return c.unionByName(p)

@@ -79,10 +79,11 @@ def q_scaling_stability(t):
          count(*) AS polls_above, CASE WHEN count(next_ts) = count(*) THEN max(next_ts) END AS recovered_ts
          FROM isl GROUP BY queue, grp)
 SELECT queue, start_ts, last_above_ts, peak, polls_above, recovered_ts,
-  CAST(floor((epoch_us(recovered_ts) - epoch_us(start_ts)) / 1000000) AS BIGINT) AS recovery_s FROM ep""", "jobs"))
+  CAST(floor((epoch_us(recovered_ts) - epoch_us(start_ts)) / 1000000) AS DOUBLE) AS recovery_s FROM ep""", "jobs"))
 def q_backlog_recovery(t):
     """Episodes with more than 5 messages waiting."""
-    return cap.backlog_recovery(_backlog(t), threshold=RECOVERY_THRESHOLD)
+    out = cap.backlog_recovery(_backlog(t), threshold=RECOVERY_THRESHOLD)
+    return out.withColumn("recovery_s", out["recovery_s"].cast("double"))
 
 
 @register("utilisation", with_bindings(f"""
