@@ -82,13 +82,13 @@ def cidr_prefix(col) -> Column:
 def cidr_low(col) -> Column:
     """First address of a CIDR block (inclusive)."""
     base = ipv4_to_long(F.regexp_extract(_c(col), r"^([0-9.]+)", 1))
-    size = F.shiftleft(F.lit(1).cast("bigint"), 32 - cidr_prefix(col))
+    size = F.pow(F.lit(2), 32 - cidr_prefix(col)).cast("bigint")
     return base - F.pmod(base, size)
 
 
 def cidr_high(col) -> Column:
     """Last address of a CIDR block (inclusive)."""
-    size = F.shiftleft(F.lit(1).cast("bigint"), 32 - cidr_prefix(col))
+    size = F.pow(F.lit(2), 32 - cidr_prefix(col)).cast("bigint")
     return cidr_low(col) + size - 1
 
 
@@ -113,7 +113,11 @@ def tag_value(tags, key: str) -> Column:
 def tags_to_map(tags) -> Column:
     """Key/value list to MAP; a repeated key keeps its last value."""
     t = _c(tags)
-    return F.map_from_entries(F.transform(t, lambda e: F.struct(e["Key"].alias("key"), e["Value"].alias("value"))))
+    # keep an entry only if no later entry repeats its key (map_from_entries rejects duplicates)
+    last = F.filter(t, lambda e, i: ~F.exists(F.slice(t, i + 2, F.greatest(F.size(t), F.lit(1))),
+                                              lambda x: x["Key"] == e["Key"]))
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["Key"].alias("key"),
+                                                                   e["Value"].alias("value"))))
 
 
 def merge_labels(old, new) -> Column:
