@@ -1 +1,163 @@
-"""Catalog entries (filled in below)."""
+"""Sources, sinks and streams: S2-S5, E4, E5, M6, G5.
+
+Each entry writes its input to a scratch folder under the shared checkpoint
+directory, runs the operator (streams: ``availableNow`` to completion) and
+returns what landed in the sink, read back from storage.  The oracle is the
+batch twin's SQL.  Streams with a watermark consume their files in one
+micro-batch here so event-time order cannot depend on file listing order;
+the multi-batch and late-row behaviour is covered by the tests.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from harborlens.operators import inventory as inv
+from harborlens.plans import bindings as b
+from harborlens.plans.binding_sql import bucket_start_sql, with_bindings
+from harborlens.plans.catalog import register
+from harborlens.session import scratch_path
+from harborlens.sources import inventory_json as ij
+from harborlens.sources import logs
+from harborlens.streaming import admission, dedup, queue, sli_stream
+
+CLUSTER = "dev-cluster"
+TAIL_N = 20
+STREAM_FILES = 4
+SLI_WIDTH = "1 hour"
+SLI_DELAY_MIN = 10
+
+
+def _scratch(t, name: str) -> str:
+    return scratch_path(t.spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("queue_ingest", with_bindings("SELECT event_id, attempt FROM deliveries", "deliveries"))
+def q_queue_ingest(t):
+    """Every delivery consumed from the queue directory, one file per micro-batch."""
+    base = _scratch(t, "queue")
+    d = b.deliveries(t)
+    queue.stage_files(d, f"{base}/in", STREAM_FILES, order="delivered_ts")
+    s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=1)
+    queue.run_available(s.select("event_id", "attempt"), f"{base}/out", f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/out")
+
+
+_ROUTED_SQL = f"""
+SELECT seq, namespace_name, '/aws/eks/{CLUSTER}/' || namespace_name AS log_group, 'fb-' || namespace_name AS log_stream,
+  CAST(length(log) AS BIGINT) AS log_chars, md5(log) AS log_md5 FROM log_records"""
+
+
+def _text_digest(df):
+    return df.select("seq", "namespace_name", *[c for c in ("log_group", "log_stream") if c in df.columns],
+                     F.length("log").cast("bigint").alias("log_chars"), F.md5("log").alias("log_md5"))
+
+
+@register("log_route", with_bindings(_ROUTED_SQL, "log_records"))
+def q_log_route(t):
+    """S3: whole log records routed to /aws/eks/<cluster>/<namespace>, written and read back."""
+    path = _scratch(t, "logs")
+    logs.write_routed(b.log_records(t), path, CLUSTER)
+    return _text_digest(logs.read_group(t.spark, path))
+
+
+@register("read_inventory", with_bindings("""
+SELECT 'ec2' AS kind, concat('i-', CAST(id AS VARCHAR)) AS id, state, 't3.medium' AS type,
+  concat('zone-', CAST(reservation % 3 AS VARCHAR)) AS az, tag_name AS name FROM instances""", "instances"))
+def q_read_inventory(t):
+    """Instance API pages stored as JSON, read back with the fixed schema and flattened."""
+    path = _scratch(t, "ec2-json")
+    ij.write_inventory(b.instances_api(t), path)
+    ec2 = inv.flatten_ec2(ij.read_inventory(t.spark, path, "ec2"))
+    return ec2.select("kind", "id", "state", "type", "az", "name")
+
+
+@register("append_and_tail", with_bindings(f"""
+SELECT seq, namespace_name, CAST(length(log) AS BIGINT) AS log_chars, md5(log) AS log_md5
+FROM log_records ORDER BY seq DESC LIMIT {TAIL_N}""", "log_records"))
+def q_append_and_tail(t):
+    """Append the log records durably, then the last 20 by sequence (a top-k report)."""
+    path = _scratch(t, "append")
+    return _text_digest(logs.append_and_tail(b.log_records(t), path, TAIL_N, order="seq"))
+
+
+_DISTINCT_EVENTS = "SELECT DISTINCT event_id, user_id, event_type, CAST(value AS DOUBLE) AS value FROM deliveries"
+
+
+def _event_cols(df):
+    return df.select("event_id", "user_id", "event_type", F.col("value").cast("double").alias("value"))
+
+
+@register("dedup_stream", with_bindings(_DISTINCT_EVENTS, "deliveries"))
+def q_dedup_stream(t):
+    """Redeliveries dropped within a 15-minute watermark."""
+    base = _scratch(t, "dedup")
+    d = b.deliveries(t)
+    queue.stage_files(d, f"{base}/in", STREAM_FILES, order="delivered_ts")
+    s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=STREAM_FILES)
+    out = _event_cols(dedup.dedup_stream(s, "event_id", "delivered_ts", "15 minutes"))
+    queue.run_available(out, f"{base}/out", f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/out")
+
+
+@register("idempotent_write", with_bindings(_DISTINCT_EVENTS, "deliveries"))
+def q_idempotent_write(t):
+    """E5: deliveries consumed one file per batch; the sink holds each event once."""
+    base = _scratch(t, "idem")
+    d = b.deliveries(t)
+    queue.stage_files(d, f"{base}/in", STREAM_FILES)
+    s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=1)
+    queue.run_available(s, f"{base}/sink", f"{base}/ckpt",
+                        foreach_batch=dedup.idempotent_writer(f"{base}/sink", key="event_id", buckets=16))
+    return _event_cols(dedup.read_sink(t.spark, f"{base}/sink"))
+
+
+@register("sli_stream", with_bindings(f"""
+, w AS (SELECT service, {bucket_start_sql('ts', 3600)} AS window_start, count(*) AS requests,
+        count(*) FILTER (WHERE status >= 500) AS errors FROM requests GROUP BY 1, 2)
+SELECT service, window_start, window_start + INTERVAL '1 hour' AS window_end, requests, errors,
+  round(CAST(errors AS DOUBLE) / requests, 6) AS error_ratio FROM w
+WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) FROM requests) - INTERVAL '{SLI_DELAY_MIN} minutes'""",
+                                       "requests"))
+def q_sli_stream(t):
+    """M6: hourly request SLIs per service, windows closed by a 10-minute watermark."""
+    base = _scratch(t, "sli")
+    r = b.requests(t)
+    queue.stage_files(r, f"{base}/in", STREAM_FILES, order="ts")
+    s = queue.queue_ingest(t.spark, f"{base}/in", r.schema, max_files=STREAM_FILES)
+    out = sli_stream.sli_stream(s, width=SLI_WIDTH, delay=f"{SLI_DELAY_MIN} minutes")
+    queue.run_available(out, f"{base}/out", f"{base}/ckpt")
+    res = t.spark.read.parquet(f"{base}/out")
+    return res.select("service", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      "requests", "errors", "error_ratio")
+
+
+@register("admission_split", with_bindings("""
+, tagged AS (SELECT *, CASE WHEN image IS NULL OR image LIKE '%@%' THEN NULL
+    WHEN regexp_extract(regexp_extract(image, '[^/]*$'), ':([^:@]+)$', 1) = '' THEN 'latest'
+    ELSE regexp_extract(regexp_extract(image, '[^/]*$'), ':([^:@]+)$', 1) END AS tag FROM containers)
+, per_pod AS (SELECT namespace, CAST(pod AS VARCHAR) AS pod,
+    CAST(coalesce(bool_or(tag = 'latest'), FALSE) AS INTEGER)
+    + CAST(coalesce(bool_or(image IS NOT NULL AND (coalesce(length(req_cpu), 0) = 0
+                                                   OR coalesce(length(lim_mem), 0) = 0)), FALSE) AS INTEGER)
+    + CAST(coalesce(bool_or(privileged), FALSE) AS INTEGER) AS n
+  FROM tagged GROUP BY namespace, pod)
+SELECT namespace, pod, CASE WHEN namespace IN ('kube-system', 'kyverno') THEN 0 ELSE n END = 0 AS admitted,
+  CAST(CASE WHEN namespace IN ('kube-system', 'kyverno') THEN 0 ELSE n END AS INTEGER) AS n_violations
+FROM per_pod""", "containers"))
+def q_admission_split(t):
+    """Pods admitted or denied per micro-batch, both sinks read back."""
+    base = _scratch(t, "admission")
+    p = b.pods(t)
+    queue.stage_files(p, f"{base}/in", STREAM_FILES)
+    s = queue.queue_ingest(t.spark, f"{base}/in", p.schema, max_files=1)
+    queue.run_available(s, f"{base}/admitted", f"{base}/ckpt",
+                        foreach_batch=admission.admission_writer(f"{base}/admitted", f"{base}/denied"))
+    adm = t.spark.read.parquet(f"{base}/admitted").select(
+        "namespace", "pod", F.lit(True).alias("admitted"), F.lit(0).alias("n_violations"))
+    den = t.spark.read.parquet(f"{base}/denied").select(
+        "namespace", "pod", F.lit(False).alias("admitted"), F.size("violations").alias("n_violations"))
+    return adm.unionByName(den)
