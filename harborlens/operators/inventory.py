@@ -135,16 +135,20 @@ def expected_vs_actual(expected: DataFrame, actual: DataFrame, key: str, rules:
     Every actual row counts, so two endpoints for one service where one is
     wrong fail the item (worst status wins); ``n_actual`` shows how many.
 
-    The actual side (a fetched snapshot, usually small) is broadcast when a row
-    count proves it small; otherwise both sides shuffle on ``key``."""
-    act, _ = bounded_broadcast(actual.withColumn("_seen", F.lit(True)), broadcast_rows)
+    Actual rows are first counted per (item, attribute values) with map-side
+    partial aggregation, so an item with a huge number of actual rows arrives
+    at the join as a few rows; that side is broadcast when a row count proves
+    it small, otherwise both sides shuffle on ``key``."""
+    attrs = list(dict.fromkeys(rules.values()))
+    per_attr = actual.groupBy(key, *attrs).agg(F.count(F.lit(1)).alias("_n"))
+    act, _ = bounded_broadcast(per_attr, broadcast_rows)
     j = expected.join(act, key, "left")
     ok = F.lit(True)
     for want, attr in rules.items():
         ok = ok & (F.col(want).isNull() | F.col(attr).eqNullSafe(F.col(want)))
-    seen = F.col("_seen").isNotNull()
-    g = j.groupBy(key, *rules.keys()).agg(F.count(F.when(seen, 1)).alias("n_actual"),
-                                          F.count(F.when(seen & ~ok, 1)).alias("n_bad"))
+    n = F.coalesce(F.col("_n"), F.lit(0))
+    g = j.groupBy(key, *rules.keys()).agg(F.sum(n).cast("bigint").alias("n_actual"),
+                                          F.sum(F.when(~ok, n).otherwise(0)).cast("bigint").alias("n_bad"))
     reason = F.when(F.col("n_actual") == 0, "missing").when(F.col("n_bad") > 0, "wrong_attr").otherwise("ok")
     return g.select(key, *rules.keys(), "n_actual",
                     F.when(reason == "ok", "PASS").otherwise("FAIL").alias("status"), reason.alias("reason"))

@@ -61,17 +61,22 @@ def restore_select(backups: DataFrame, name: str, namespaces: Sequence[str] | No
 
 def restore_verify(before: DataFrame, after: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Per key ``same``, ``missing`` (only before), ``extra`` (only after) or
-    ``changed``.  Rows are compared through a digest of all non-key columns."""
+    ``changed``.
+
+    Each side is reduced to one row per key first: the row count and the sum of
+    64-bit row hashes of all non-key columns (an order-free multiset digest,
+    partial aggregation map-side).  The full outer join is then 1:1 per key,
+    however many copies of a key either side holds."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = [c for c in before.columns if c not in keys]
 
     def digest(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.xxhash64(*[F.col(c) for c in cols]).alias(name),
-                         F.lit(True).alias(name + "_seen"))
+        h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name + "_n"), F.sum(h).alias(name))
 
     j = digest(before, "b").join(digest(after, "a"), keys, "full_outer")
-    status = (F.when(F.col("a_seen").isNull(), "missing").when(F.col("b_seen").isNull(), "extra")
-              .when(F.col("a") == F.col("b"), "same").otherwise("changed"))
+    status = (F.when(F.col("a_n").isNull(), "missing").when(F.col("b_n").isNull(), "extra")
+              .when((F.col("a_n") == F.col("b_n")) & (F.col("a") == F.col("b")), "same").otherwise("changed"))
     return j.select(*keys, status.alias("status"))
 
 
