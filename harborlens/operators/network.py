@@ -31,13 +31,17 @@ def traffic_matrix(flows: DataFrame, keys: Sequence[str] = ("src", "dst", "port"
 
 def allowlist_check(matrix: DataFrame, allow: DataFrame, keys: Sequence[str] = ("src", "dst", "port")) -> DataFrame:
     """N2 default deny: ``denied_edge`` = observed edges with no allow row;
-    ``unused_allow`` = allow rows no traffic used."""
+    ``unused_allow`` = allow rows no traffic used.
+
+    One full outer join classifies both ways, so the traffic matrix (an
+    aggregation over all flows) is computed once, not once per direction."""
     keys = list(keys)
-    denied = (matrix.join(allow.select(*keys), keys, "left_anti")
-              .select(F.lit("denied_edge").alias("finding"), *keys, F.col("flows").cast("double").alias("flows")))
-    unused = (allow.select(*keys).join(matrix.select(*keys), keys, "left_anti")
-              .select(F.lit("unused_allow").alias("finding"), *keys, F.lit(None).cast("double").alias("flows")))
-    return denied.unionByName(unused)
+    a = allow.select(*keys).distinct().withColumn("_allowed", F.lit(True))
+    m = matrix.select(*keys, "flows").withColumn("_seen", F.lit(True))
+    j = m.join(a, keys, "full_outer")
+    finding = F.when(F.col("_allowed").isNull(), "denied_edge").when(F.col("_seen").isNull(), "unused_allow")
+    return (j.select(finding.alias("finding"), *keys, F.col("flows").cast("double").alias("flows"))
+            .where(F.col("finding").isNotNull()))
 
 
 def _rule_lookup(rules: DataFrame) -> DataFrame:
@@ -48,7 +52,7 @@ def _rule_lookup(rules: DataFrame) -> DataFrame:
                      cidr_prefix(F.col("cidr")).alias("prefix"), cidr_low(F.col("cidr")).alias("network"))
     cand = F.struct((F.col("port").isNull()).alias("any_port"), F.col("rule"), F.col("cidr"), F.col("port"),
                     F.col("protocol"))
-    return r.groupBy("prefix", "network").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
+    return r.groupBy("prefix", "network").agg(F.sort_array(F.collect_list(cand)).alias("cands"))
 
 
 def cidr_match(flows: DataFrame, rules: DataFrame, ip: str = "src_ip", port: str = "port",

@@ -99,10 +99,10 @@ def instances_api(t: Tables) -> DataFrame:
                           .alias("AvailabilityZone")).alias("Placement"),
                  tags.alias("Tags")).alias("inst"))
     res = (inst.groupBy("page", "reservation")
-           .agg(F.array_sort(F.collect_list("inst")).alias("Instances"))
+           .agg(F.sort_array(F.collect_list("inst")).alias("Instances"))
            .select("page", F.struct(F.concat(F.lit("r-"), F.col("reservation").cast("string"))
                                     .alias("ReservationId"), "Instances").alias("r")))
-    return res.groupBy("page").agg(F.array_sort(F.collect_list("r")).alias("Reservations"))
+    return res.groupBy("page").agg(F.sort_array(F.collect_list("r")).alias("Reservations"))
 
 
 def volumes(t: Tables) -> DataFrame:
@@ -158,7 +158,7 @@ def pods(t: Tables) -> DataFrame:
         F.struct(F.col("req_cpu").alias("cpu"), F.col("lim_mem").alias("memory")).alias("requests"),
         F.struct(F.col("req_cpu").alias("cpu"), F.col("lim_mem").alias("memory")).alias("limits"))
     g = (f.groupBy("namespace", "pod")
-         .agg(F.array_sort(F.collect_list(F.when(F.col("image").isNotNull(),
+         .agg(F.sort_array(F.collect_list(F.when(F.col("image").isNotNull(),
                                                  F.struct(F.col("ordinal"), cont.alias("c"))))).alias("cs")))
     return g.select("namespace", F.col("pod").cast("string").alias("pod"),
                     F.transform("cs", lambda x: x["c"]).alias("containers"),
@@ -275,7 +275,7 @@ def namespaces(t: Tables) -> DataFrame:
 def _paged(df: DataFrame, item: Column, field: str, page_key: Column) -> DataFrame:
     """One API response page per ``page_key`` value: ``field`` = array of items."""
     return (df.select(page_key.alias("page"), item.alias("item"))
-            .groupBy("page").agg(F.array_sort(F.collect_list("item")).alias(field)))
+            .groupBy("page").agg(F.sort_array(F.collect_list("item")).alias(field)))
 
 
 def _id_page(c: str) -> Column:
