@@ -73,6 +73,28 @@ def slo_attainment(series: DataFrame, objective: float, target: float, by: str =
                     (F.col("good_windows") >= F.lit(target) * F.col("windows")).alias("met")))
 
 
+def write_by_date(df: DataFrame, path: str, ts: str = "ts", date_col: str = "dt", mode: str = "append") -> None:
+    """Store samples in ``dt=YYYY-MM-DD`` directories so retention prunes files."""
+    df.withColumn(date_col, F.to_date(F.col(ts))).write.mode(mode).partitionBy(date_col).parquet(path)
+
+
+def retain_partitioned(df: DataFrame, ts: str = "ts", keep: str = "7 days",
+                       as_of: dt.datetime | str | None = None, date_col: str = "dt") -> DataFrame:
+    """M5 on date-partitioned storage: the same cutoff also on the partition
+    column, so whole day directories are skipped at planning time."""
+    out = retain(df, ts, keep, as_of)
+    if as_of is None:
+        return out
+    as_of = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
+    n, unit = keep.split()
+    cutoff = as_of - dt.timedelta(seconds=int(n) * _UNIT_SECS[unit])
+    return out.where(F.col(date_col) >= F.lit(cutoff.date()))
+
+
+_UNIT_SECS = {"day": 86400, "days": 86400, "hour": 3600, "hours": 3600, "minutes": 60, "minute": 60,
+              "seconds": 1, "second": 1}
+
+
 def retain(df: DataFrame, ts: str = "ts", keep: str = "7 days", as_of: dt.datetime | str | None = None) -> DataFrame:
     """M5: drop rows older than the retention: keep ``as_of - keep <= ts``.
 
@@ -83,6 +105,5 @@ def retain(df: DataFrame, ts: str = "ts", keep: str = "7 days", as_of: dt.dateti
         return df.where(F.col(ts) >= cutoff)
     as_of = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
     n, unit = keep.split()
-    secs = int(n) * {"day": 86400, "days": 86400, "hour": 3600, "hours": 3600, "minutes": 60, "minute": 60,
-                     "seconds": 1, "second": 1}[unit]
+    secs = int(n) * _UNIT_SECS[unit]
     return df.where(F.col(ts) >= F.lit(as_of - dt.timedelta(seconds=secs)))

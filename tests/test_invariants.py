@@ -118,3 +118,27 @@ def test_upsert_never_deletes(spark):
     out = inv.upsert_only_merge(b.desired(t), b.actual(t))
     actions = {r.action for r in out.select("action").distinct().collect()}
     assert "delete" not in actions and {"create", "retained", "not_owned", "noop", "update"} <= actions
+
+
+def test_assign_replica_spreads_and_moves_on_redelivery(spark):
+    df = spark.range(2000).select(F.col("id").alias("key"), F.lit(1).alias("attempt"))
+    r1 = ev.assign_replica(df, "key", "attempt", n=5)
+    counts = [r["count"] for r in r1.groupBy("replica").count().collect()]
+    assert len(counts) == 5 and min(counts) > 300
+    r2 = ev.assign_replica(df.withColumn("attempt", F.lit(2)), "key", "attempt", n=5)
+    moved = r1.join(r2.withColumnRenamed("replica", "r2"), "key").where("r2 = (replica + 1) % 5").count()
+    assert moved == 2000
+
+
+def test_retain_prunes_date_directories(spark, scratch):
+    import contextlib
+    import io
+    r = b.requests(Tables(spark, SF_SMALL))
+    sli.write_by_date(r, scratch)
+    stored = spark.read.parquet(scratch)
+    kept = sli.retain_partitioned(stored, keep="7 days", as_of=dt.datetime(2024, 1, 30))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        kept.explain()
+    assert "PartitionFilters: [isnotnull(dt" in buf.getvalue()
+    assert kept.count() == sli.retain(r, keep="7 days", as_of=dt.datetime(2024, 1, 30)).count()

@@ -84,3 +84,18 @@ def test_sli_stream_equals_batch_twin_on_closed_windows(spark, scratch):
         .where(F.col("window_end") <= F.lit(watermark))
     batch_rows = sorted((x.service, x.window_start, x.requests, x.errors, x.p95_ms) for x in batch.collect())
     assert stream_rows == batch_rows and len(batch_rows) > 0
+
+
+def test_queue_ingest_clean_source_archives_consumed_files(spark, scratch):
+    src, out, ck, arch = (os.path.join(scratch, x) for x in ("in", "out", "ck", "archive"))
+    os.makedirs(src)
+    drop_file(spark, [(1, 1, T0)], src, "m1")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    s = queue.queue_ingest(spark, src + "/*", schema, max_files=1, clean_source="archive", archive_dir=arch)
+    queue.run_available(s, out, ck)
+    drop_file(spark, [(2, 1, T0)], src, "m2")
+    queue.run_available(queue.queue_ingest(spark, src + "/*", schema, max_files=1, clean_source="archive",
+                                           archive_dir=arch), out, ck)
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [1, 2]
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".parquet")]
+    assert len(archived) >= 1  # acknowledged messages left the queue directory
