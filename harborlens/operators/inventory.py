@@ -128,7 +128,7 @@ def leak_report(inventory: DataFrame, expected: DataFrame, keys: Sequence[str] =
 
 
 def expected_vs_actual(expected: DataFrame, actual: DataFrame, key: str, rules: Mapping[str, str],
-                       broadcast_rows: int = 100_000) -> DataFrame:
+                       broadcast_rows: int = 0) -> DataFrame:
     """A4: per expected item: ``missing`` (no actual row), ``wrong_attr`` (some
     actual row fails a rule) or ``ok``.  ``rules`` maps a wanted column of
     ``expected`` to the actual column it must equal (NULL want = any value).
@@ -137,11 +137,14 @@ def expected_vs_actual(expected: DataFrame, actual: DataFrame, key: str, rules:
 
     Actual rows are first counted per (item, attribute values) with map-side
     partial aggregation, so an item with a huge number of actual rows arrives
-    at the join as a few rows; that side is broadcast when a row count proves
-    it small, otherwise both sides shuffle on ``key``."""
+    at the join as a few rows.  That side is computed, so its size is checked
+    at run time: AQE turns the join into a broadcast when the measured shuffle
+    output is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and keeps
+    the sort-merge join otherwise.  ``broadcast_rows`` > 0 instead forces an
+    up-front row-count check (worth it only for small fetched snapshots)."""
     attrs = list(dict.fromkeys(rules.values()))
     per_attr = actual.groupBy(key, *attrs).agg(F.count(F.lit(1)).alias("_n"))
-    act, _ = bounded_broadcast(per_attr, broadcast_rows)
+    act = bounded_broadcast(per_attr, broadcast_rows)[0] if broadcast_rows > 0 else per_attr
     j = expected.join(act, key, "left")
     ok = F.lit(True)
     for want, attr in rules.items():

@@ -99,3 +99,19 @@ def test_queue_ingest_clean_source_archives_consumed_files(spark, scratch):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [1, 2]
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".parquet")]
     assert len(archived) >= 1  # acknowledged messages left the queue directory
+
+
+def test_log_route_stream_matches_batch(spark, scratch):
+    from harborlens.sources import logs
+    rec = b.log_records(Tables(spark, SF_SMALL))
+    src = os.path.join(scratch, "in")
+    queue.stage_files(rec, src, 3)
+    s = queue.queue_ingest(spark, src, rec.schema, max_files=1)
+    q = logs.route_stream(s, os.path.join(scratch, "out"), os.path.join(scratch, "ck"), "c1")
+    q.awaitTermination(300)
+    got = logs.read_group(spark, os.path.join(scratch, "out"))
+    batch = logs.log_route(rec, "c1")
+    cols = ["seq", "namespace_name", "log_group", "log_stream", "log"]
+    assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(tuple(r) for r in batch.select(cols).collect())
+    one = logs.read_group(spark, os.path.join(scratch, "out"), namespace="src0")
+    assert {r.log_group for r in one.select("log_group").distinct().collect()} <= {"/aws/eks/c1/src0"}
