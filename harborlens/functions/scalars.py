@@ -135,3 +135,32 @@ def sorted_map_json(col) -> Column:
 def ratio(num, den, scale: int = 6) -> Column:
     """num/den rounded to ``scale`` places as DOUBLE; NULL when den is 0."""
     return F.round(_c(num).cast("double") / F.nullif(_c(den), F.lit(0)).cast("double"), scale)
+
+
+def template(text: str, **values) -> Column:
+    """``${NAME}`` substitution: each placeholder replaced by a Column or literal
+    (one ``concat``; unknown placeholders stay as written)."""
+    import re as _re
+    parts, pos = [], 0
+    for m in _re.finditer(r"\$\{(\w+)\}", text):
+        parts.append(F.lit(text[pos:m.start()]))
+        v = values.get(m.group(1))
+        parts.append(F.lit(m.group(0)) if v is None else (v if isinstance(v, Column) else F.lit(str(v))))
+        pos = m.end()
+    parts.append(F.lit(text[pos:]))
+    return F.concat(*parts)
+
+
+def slice0(arr, start: int, end: int) -> Column:
+    """0-based, end-exclusive ``slice(list, start, end)`` on a Spark array."""
+    return F.slice(_c(arr), start + 1, max(end - start, 0))
+
+
+def compact_stamp(ts) -> Column:
+    """``date +%Y%m%d%H%M%S`` of a timestamp."""
+    return F.date_format(_c(ts), "yyyyMMddHHmmss")
+
+
+def epoch_seconds(ts) -> Column:
+    """``date +%s`` of a timestamp (UTC session)."""
+    return F.unix_timestamp(_c(ts).cast("timestamp"))

@@ -64,3 +64,23 @@ def test_image_tag(spark):
     assert one(spark, hf.image_tag(F.lit("reg:5000/app"))) == "latest"
     assert one(spark, hf.image_tag(F.lit("reg:5000/app:v2"))) == "v2"
     assert one(spark, hf.image_tag(F.lit("app@sha256:ab"))) is None
+
+
+def test_shell_and_hcl_expressions(spark):
+    import datetime as dt
+    assert one(spark, hf.template("s3://${BUCKET}/${ENV}/x", BUCKET=F.lit("b1"), ENV="dev")) == "s3://b1/dev/x"
+    assert one(spark, hf.template("${MISSING}-a")) == "${MISSING}-a"
+    azs = F.array(F.lit("a"), F.lit("b"), F.lit("c"))
+    assert one(spark, hf.slice0(azs, 0, 2)) == ["a", "b"]
+    assert one(spark, F.array_sort(F.array_distinct(F.array(F.lit("x"), F.lit("y"), F.lit("x"))))) == ["x", "y"]
+    ts = F.lit(dt.datetime(2024, 1, 2, 3, 4, 5))
+    assert one(spark, hf.compact_stamp(ts)) == "20240102030405"
+    assert one(spark, hf.epoch_seconds(F.lit(dt.datetime(1970, 1, 2)).cast("timestamp_ntz"))) == 86400
+    assert one(spark, F.lower(F.lit("ReplicaSafe"))) == "replicasafe"
+    assert one(spark, F.replace(F.lit("https://oidc.example/id"), F.lit("https://"), F.lit(""))) == "oidc.example/id"
+    assert one(spark, F.get(F.array().cast("array<string>"), 0)) is None
+    assert one(spark, F.lit("Hello").ilike("%ELL%")) is True
+    assert one(spark, F.get_json_object(F.lit('{"status":{"phase":"Completed"}}'), "$.status.phase")) == "Completed"
+    assert one(spark, F.to_json(F.struct(F.lit("q").alias("queue")))) == '{"queue":"q"}'
+    m = F.create_map(F.lit("a"), F.struct(F.lit("id-a").alias("id")))
+    assert one(spark, F.transform_values(m, lambda k, v: v["id"])) == {"a": "id-a"}
