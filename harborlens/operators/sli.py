@@ -22,10 +22,19 @@ def _window(ts: str, width: str) -> Column:
 
 
 def latency_p95(requests: DataFrame, width: str = "1 minute", by: str = "service", ts: str = "ts",
-                latency: str = "latency_ms", q: float = 0.95, exact: bool = True) -> DataFrame:
-    """M1: p95 latency per service and tumbling window (empty windows: no row)."""
-    pct = (F.percentile(latency, F.lit(q)) if exact
-           else F.percentile_approx(latency, F.lit(q), F.lit(10000)))
+                latency: str = "latency_ms", q: float = 0.95, exact: bool = True,
+                resolution: float | None = None) -> DataFrame:
+    """M1: p95 latency per service and tumbling window (empty windows: no row).
+
+    The exact percentile aggregates a value->count map per group, so its
+    memory is the number of distinct values in one group, not its row count.
+    ``resolution`` (e.g. 1.0 for whole milliseconds) rounds values first, which
+    bounds that map by (value range / resolution) however hot a group is."""
+    v = F.col(latency)
+    if resolution:
+        v = F.round(v / F.lit(resolution)) * F.lit(resolution)
+    pct = (F.percentile(v, F.lit(q)) if exact
+           else F.percentile_approx(v, F.lit(q), F.lit(10000)))
     w = _window(ts, width)
     return (requests.groupBy(by, w.alias("w"))
             .agg(F.count(F.lit(1)).alias("requests"), pct.alias("p"))

@@ -142,3 +142,19 @@ def test_retain_prunes_date_directories(spark, scratch):
         kept.explain()
     assert "PartitionFilters: [isnotnull(dt" in buf.getvalue()
     assert kept.count() == sli.retain(r, keep="7 days", as_of=dt.datetime(2024, 1, 30)).count()
+
+
+def test_latency_resolution_and_pivoted_matrix(spark):
+    t = Tables(spark, SF_SMALL)
+    r = b.requests(t)
+    exact = {(x.service, x.window_start): x.p95_ms for x in sli.latency_p95(r, width="1 day").collect()}
+    coarse = {(x.service, x.window_start): x.p95_ms
+              for x in sli.latency_p95(r, width="1 day", resolution=0.01).collect()}
+    assert exact.keys() == coarse.keys()
+    assert all(abs(exact[k] - coarse[k]) <= 0.01 for k in exact)
+    flows = b.flows(t)
+    long = net.traffic_matrix(flows)
+    wide = net.traffic_matrix(flows, pivot_ports=[443, 5432])
+    total_long = long.agg(F.sum("bytes")).first()[0]
+    total_wide = wide.agg(F.sum(F.coalesce(F.col("443"), F.lit(0)) + F.coalesce(F.col("5432"), F.lit(0)))).first()[0]
+    assert total_long == total_wide
