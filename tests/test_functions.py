@@ -76,7 +76,7 @@ def test_shell_and_hcl_expressions(spark):
     ts = F.lit(dt.datetime(2024, 1, 2, 3, 4, 5))
     assert one(spark, hf.compact_stamp(ts)) == "20240102030405"
     assert one(spark, hf.epoch_seconds(F.lit(dt.datetime(1970, 1, 2)).cast("timestamp_ntz"))) == 86400
-    assert one(spark, F.lower(F.lit("ReplicaSafe"))) == "replicasafe"
+    assert one(spark, F.lower(F.lit("VeleroBackups"))) == "velerobackups"
     assert one(spark, F.replace(F.lit("https://oidc.example/id"), F.lit("https://"), F.lit(""))) == "oidc.example/id"
     assert one(spark, F.get(F.array().cast("array<string>"), 0)) is None
     assert one(spark, F.lit("Hello").ilike("%ELL%")) is True

@@ -117,11 +117,11 @@ def test_readiness_worst_status_wins(spark):
 
 
 def test_terraform_tags_under_audit_filter_are_all_missing(spark):
-    tags = [("Project", "ReplicaSafeEKS"), ("Env", "dev"), ("Owner", "admin"), ("ManagedBy", "Terraform")]
+    tags = [("Project", "platform-x"), ("Env", "dev"), ("Owner", "admin"), ("ManagedBy", "Terraform")]
     rows = [("ec2", "i-1", "running", tags), ("ebs", "vol-1", "in-use", tags), ("nat", "nat-1", "available", tags)]
     df = spark.createDataFrame(rows, "kind string, id string, state string, "
                                      "tags array<struct<Key:string,Value:string>>")
-    got = inv.tag_scope(df, {"Project": "ReplicaSafeEKS", "Environment": "dev"}).collect()
+    got = inv.tag_scope(df, {"Project": "platform-x", "Environment": "dev"}).collect()
     assert {r.exclusion_reason for r in got} == {"missing_tag"}
     assert not any(r.in_scope for r in got)
 
