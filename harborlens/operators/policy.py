@@ -36,14 +36,14 @@ def _any(arr: Column, pred) -> Column:
     return F.exists(arr, lambda c: F.coalesce(pred(c), F.lit(False)))
 
 
-def deny_latest(containers: str = "containers") -> Column:
+def latest_tag_violation(containers: str = "containers") -> Column:
     """G1: some container runs an image whose tag is ``latest`` (a missing tag
     counts as latest; a digest reference is pinned; a registry port is no tag).
     Only ``containers`` are inspected, as the policy does."""
     return _any(_arr(containers), lambda c: image_tag(c["image"]) == "latest")
 
 
-def require_resources(containers: str = "containers") -> Column:
+def missing_resources_violation(containers: str = "containers") -> Column:
     """Some container lacks a non-empty cpu or memory in requests or limits
     (``?*`` = at least one character: NULL and '' both violate)."""
     def missing(c):
@@ -55,8 +55,8 @@ def require_resources(containers: str = "containers") -> Column:
     return _any(_arr(containers), missing)
 
 
-def disallow_privileged(containers: str = "containers", init: str = "initContainers",
-                        strict: bool = False) -> Column:
+def privileged_violation(containers: str = "containers", init: str = "initContainers",
+                         strict: bool = False) -> Column:
     """Some container or init container is privileged.  Default: only
     ``privileged = true`` violates (what the policy message says); ``strict``:
     the key may not be set at all, so even ``false`` violates (literal anchor
@@ -66,17 +66,32 @@ def disallow_privileged(containers: str = "containers", init: str = "initContain
 
 
 POLICIES = {
-    "block-latest-tag": deny_latest,
-    "require-requests-limits": require_resources,
-    "disallow-privileged": disallow_privileged,
+    "block-latest-tag": latest_tag_violation,
+    "require-requests-limits": missing_resources_violation,
+    "disallow-privileged": privileged_violation,
 }
 
 
 def check_pods(pods: DataFrame, policy: str, **kw) -> DataFrame:
-    """G1-G3 as a table: every pod with a ``violates`` flag for one policy."""
+    """One policy as a table: every pod with a ``violates`` flag."""
     return pods.select("namespace", "pod", POLICIES[policy](**kw).alias("violates"))
 
 
+def deny_latest(pods: DataFrame) -> DataFrame:
+    """G1 on every pod: ``namespace, pod, violates``."""
+    return check_pods(pods, "block-latest-tag")
+
+
+def require_resources(pods: DataFrame) -> DataFrame:
+    """G2 on every pod: ``namespace, pod, violates``."""
+    return check_pods(pods, "require-requests-limits")
+
+
+def disallow_privileged(pods: DataFrame, strict: bool = False) -> DataFrame:
+    """G3 on every pod: ``namespace, pod, violates`` (``strict``: literal reading)."""
+    return check_pods(pods, "disallow-privileged", strict=strict)
+
+
 def _in_scope(exclude: Sequence[str]) -> Column:
     return ~F.col("namespace").isin(*exclude) if exclude else F.lit(True)
 
@@ -85,7 +100,7 @@ def policy_violations(pods: DataFrame, policies: Sequence[str] = tuple(POLICIES)
                       exclude: Sequence[str] = POLICY_EXCLUDED_NAMESPACES, strict: bool = False) -> DataFrame:
     """G4 long form: one row per (pod, violated policy) outside excluded namespaces."""
     def pred(p):
-        return disallow_privileged(strict=strict) if p == "disallow-privileged" else POLICIES[p]()
+        return privileged_violation(strict=strict) if p == "disallow-privileged" else POLICIES[p]()
     checks = F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(POLICY_MESSAGES[p]).alias("message"),
                                 pred(p).alias("violates")) for p in policies])
     hits = F.filter(checks, lambda x: x["violates"])
@@ -93,6 +108,14 @@ def policy_violations(pods: DataFrame, policies: Sequence[str] = tuple(POLICIES)
             .select("namespace", "pod", F.inline(F.transform(hits, lambda x: F.struct(x["policy"], x["message"])))))
 
 
+def policy_report(pods: DataFrame, policies: Sequence[str] = tuple(POLICIES),
+                  exclude: Sequence[str] = POLICY_EXCLUDED_NAMESPACES, strict: bool = False
+                  ) -> tuple[DataFrame, DataFrame]:
+    """(long rows, counts per policy and namespace) from one pass."""
+    long = policy_violations(pods, policies, exclude, strict)
+    return long, policy_counts(long)
+
+
 def policy_counts(violations: DataFrame) -> DataFrame:
     """G4 summary: violating pods per policy and namespace (the long form has
     one row per pod and violated policy, so a row count is a pod count)."""

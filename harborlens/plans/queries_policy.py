@@ -40,21 +40,21 @@ _LONG = _PER_POD + "\n, long AS (" + "\n  UNION ALL ".join(
                                        "containers"))
 def q_deny_latest(t):
     """G1 on every pod."""
-    return pol.check_pods(b.pods(t), "block-latest-tag")
+    return pol.deny_latest(b.pods(t))
 
 
 @register("require_resources", with_bindings(_PER_POD + "\nSELECT namespace, pod, g2 AS violates FROM per_pod",
                                              "containers"))
 def q_require_resources(t):
     """G2 on every pod."""
-    return pol.check_pods(b.pods(t), "require-requests-limits")
+    return pol.require_resources(b.pods(t))
 
 
 @register("disallow_privileged", with_bindings(_PER_POD + "\nSELECT namespace, pod, g3 AS violates FROM per_pod",
                                                "containers"))
 def q_disallow_privileged(t):
     """G3 (default reading: only privileged=true violates) on every pod."""
-    return pol.check_pods(b.pods(t), "disallow-privileged")
+    return pol.disallow_privileged(b.pods(t))
 
 
 @register("policy_violations", with_bindings(_LONG + "\nSELECT * FROM long", "containers"))
@@ -67,7 +67,7 @@ def q_policy_violations(t):
 SELECT policy, namespace, count(*) AS violations FROM long GROUP BY policy, namespace""", "containers"))
 def q_policy_counts(t):
     """G4 counts per policy and namespace."""
-    return pol.policy_counts(pol.policy_violations(b.pods(t)))
+    return pol.policy_report(b.pods(t))[1]
 
 
 _LABELLED_JSON = json.dumps(dict(sorted(pol.pss_labels().items())), separators=(",", ":"))

@@ -46,3 +46,11 @@ def admission_writer(admitted_sink: str, denied_sink: str):
             b.unpersist()
 
     return write
+
+
+def admission_split(stream: DataFrame, admitted_sink: str, denied_sink: str, checkpoint: str,
+                    trigger: dict | None = None):
+    """Start the enforce-mode split of a pod stream into two sinks."""
+    return (stream.writeStream.option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .foreachBatch(admission_writer(admitted_sink, denied_sink)).start())

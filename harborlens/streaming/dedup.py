@@ -55,5 +55,12 @@ def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 64):
     return write
 
 
+def idempotent_write(batch: DataFrame, sink: str, key: str = "event_id", batch_id: int = 0,
+                     buckets: int = 64) -> None:
+    """E5 for one batch: write the keys ``sink`` has never seen, under
+    ``batch_id`` (a replay of the same id replaces its own output)."""
+    idempotent_writer(sink, key, buckets)(batch, batch_id)
+
+
 def read_sink(spark, sink: str) -> DataFrame:
     return spark.read.parquet(sink)

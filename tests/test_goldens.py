@@ -70,8 +70,7 @@ def test_privileged_readings(spark):
             ("ns", "n", [c("a:1")], None), ("ns", "init", [c("a:1")], [c("b:1", privileged=True)])]
     df = pods_df(spark, rows)
     default = {r.pod: r.violates for r in pol.check_pods(df, "disallow-privileged").collect()}
-    strict = {r.pod: r.violates for r in df.select("pod", pol.disallow_privileged(strict=True)
-                                                   .alias("violates")).collect()}
+    strict = {r.pod: r.violates for r in pol.disallow_privileged(df, strict=True).collect()}
     assert default == {"t": True, "f": False, "n": False, "init": True}
     assert strict == {"t": True, "f": True, "n": False, "init": True}
 
