@@ -157,8 +157,11 @@ def pods(t: Tables) -> DataFrame:
         F.col("privileged"),
         F.struct(F.col("req_cpu").alias("cpu"), F.col("lim_mem").alias("memory")).alias("requests"),
         F.struct(F.col("req_cpu").alias("cpu"), F.col("lim_mem").alias("memory")).alias("limits"))
-    g = (f.groupBy("namespace", "pod")
-         .agg(F.sort_array(F.collect_list(F.when(F.col("image").isNotNull(),
+    # grouped on the join key alone (namespace depends on the pod), so a
+    # sort-merge join's partitioning on the order key is reused: no second shuffle
+    g = (f.groupBy("pod")
+         .agg(F.any_value("namespace").alias("namespace"),
+              F.sort_array(F.collect_list(F.when(F.col("image").isNotNull(),
                                                  F.struct(F.col("ordinal"), cont.alias("c"))))).alias("cs")))
     return g.select("namespace", F.col("pod").cast("string").alias("pod"),
                     F.transform("cs", lambda x: x["c"]).alias("containers"),
@@ -210,7 +213,8 @@ def phases(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_returnflag")
     ended = (o.where(F.col("o_orderkey") % 4 != 0)
              .join(li, F.col("l_orderkey") == F.col("o_orderkey"))
-             .groupBy("o_orderkey", "o_orderdate").agg(F.max("l_returnflag").alias("flag"))
+             .groupBy("o_orderkey").agg(F.any_value("o_orderdate").alias("o_orderdate"),
+                                        F.max("l_returnflag").alias("flag"))
              .select(F.col("o_orderkey").alias("job"),
                      _plus_seconds("o_orderdate", F.col("o_orderkey") % 1200).alias("ts"),
                      F.when(F.col("flag") == "R", "Completed").when(F.col("flag") == "N", "PartiallyFailed")
