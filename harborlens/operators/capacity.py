@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlens.functions.scalars import cpu_millis, ratio
+from harborlens.functions.scalars import cpu_millis
 from harborlens.operators.joins import bounded_broadcast
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-
-
 from harborlens.operators import sli
 from harborlens.plans import bindings as b
 from harborlens.plans.binding_sql import bucket_start_sql, with_bindings
