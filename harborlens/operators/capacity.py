@@ -22,13 +22,17 @@ def poll_after(ts: Column, step_s: int) -> Column:
 
 
 def backlog_series(jobs: DataFrame, step_s: int = 10, by: str = "queue", arrived: str = "arrived_ts",
-                   done: str = "done_ts") -> DataFrame:
+                   done: str = "done_ts", completions: DataFrame | None = None) -> DataFrame:
     """B1: backlog seen at each poll = messages arrived before the poll minus
     those completed before it.  One row per (queue, poll) on a dense grid from
-    the first to the last poll that sees a change."""
+    the first to the last poll that sees a change.
+
+    ``jobs`` holds arrivals (and completions in ``done`` when ``completions``
+    is not given); ``completions`` is a separate ``(queue, done)`` table."""
+    done_rows = jobs if completions is None else completions
     deltas = (jobs.select(by, poll_after(F.col(arrived), step_s).alias("poll_ts"), F.lit(1).alias("arr"),
                           F.lit(0).alias("dn"))
-              .unionByName(jobs.where(F.col(done).isNotNull())
+              .unionByName(done_rows.where(F.col(done).isNotNull())
                            .select(by, poll_after(F.col(done), step_s).alias("poll_ts"),
                                    F.lit(0).alias("arr"), F.lit(1).alias("dn"))))
     per_poll = deltas.groupBy(by, "poll_ts").agg(F.sum("arr").alias("arrived"), F.sum("dn").alias("done"))
