@@ -15,31 +15,33 @@ from pyspark.sql import functions as F
 from harborlens.operators.policy import POLICIES, POLICY_EXCLUDED_NAMESPACES, POLICY_MESSAGES
 
 
-def with_violations(pods: DataFrame, exclude=POLICY_EXCLUDED_NAMESPACES) -> DataFrame:
+def with_violations(pods: DataFrame, exclude=POLICY_EXCLUDED_NAMESPACES, policies=tuple(POLICIES)) -> DataFrame:
     """Adds ``violations``: array of (policy, message) the pod breaks; excluded
     namespaces are never checked."""
     checks = F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(POLICY_MESSAGES[p]).alias("message"),
-                                POLICIES[p]().alias("hit")) for p in POLICIES])
+                                POLICIES[p]().alias("hit")) for p in policies])
     hits = F.transform(F.filter(checks, lambda x: x["hit"]), lambda x: F.struct(x["policy"], x["message"]))
     excluded = F.col("namespace").isin(*exclude)
     empty = F.array().cast("array<struct<policy:string,message:string>>")
     return pods.withColumn("violations", F.when(excluded, empty).otherwise(hits))
 
 
-def split(pods: DataFrame) -> tuple[DataFrame, DataFrame]:
-    v = with_violations(pods)
+def split(pods: DataFrame, policies=tuple(POLICIES)) -> tuple[DataFrame, DataFrame]:
+    """(admitted, denied) of a batch: the enforce split, or the background audit
+    of existing pods when applied to a table."""
+    v = with_violations(pods, policies=policies)
     admitted = v.where(F.size("violations") == 0).drop("violations")
     denied = v.where(F.size("violations") > 0).select("namespace", "pod", "violations")
     return admitted, denied
 
 
-def admission_writer(admitted_sink: str, denied_sink: str):
+def admission_writer(admitted_sink: str, denied_sink: str, policies=tuple(POLICIES)):
     """``foreachBatch`` function for the enforce-mode split."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
-            admitted, denied = split(b)
+            admitted, denied = split(b, policies)
             admitted.write.mode("overwrite").parquet(f"{admitted_sink}/batch_id={batch_id}")
             denied.write.mode("overwrite").parquet(f"{denied_sink}/batch_id={batch_id}")
         finally:
@@ -49,8 +51,8 @@ def admission_writer(admitted_sink: str, denied_sink: str):
 
 
 def admission_split(stream: DataFrame, admitted_sink: str, denied_sink: str, checkpoint: str,
-                    trigger: dict | None = None):
+                    policies=tuple(POLICIES), trigger: dict | None = None):
     """Start the enforce-mode split of a pod stream into two sinks."""
     return (stream.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
-            .foreachBatch(admission_writer(admitted_sink, denied_sink)).start())
+            .foreachBatch(admission_writer(admitted_sink, denied_sink, policies)).start())

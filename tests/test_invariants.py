@@ -158,3 +158,25 @@ def test_latency_resolution_and_pivoted_matrix(spark):
     total_long = long.agg(F.sum("bytes")).first()[0]
     total_wide = wide.agg(F.sum(F.coalesce(F.col("443"), F.lit(0)) + F.coalesce(F.col("5432"), F.lit(0)))).first()[0]
     assert total_long == total_wide
+
+
+def test_restore_leaves_volumes_out_unless_asked(spark):
+    rows = [("k1", "ns1", "config", "nightly"), ("k2", "ns1", "volume", "nightly"), ("k3", "ns2", "config", "nightly"),
+            ("k4", "ns1", "config", "weekly")]
+    df = spark.createDataFrame(rows, "k string, namespace string, kind string, backup_name string")
+    assert sorted(r.k for r in rec.restore_select(df, "nightly", ["ns1"]).collect()) == ["k1"]
+    assert sorted(r.k for r in rec.restore_select(df, "nightly", ["ns1"], include_volumes=True).collect()) == ["k1", "k2"]
+
+
+def test_upsert_domain_filter(spark):
+    d = spark.createDataFrame([("a.example.com", "1"), ("b.other.org", "2")], "k string, v string")
+    a = spark.createDataFrame([("b.other.org", "9", "me")], "k string, v string, owner string")
+    out = inv.upsert_only_merge(d, a, domain=F.col("k").endswith(".example.com")).collect()
+    assert [(r.k, r.action) for r in out] == [("a.example.com", "create")]
+
+
+def test_admission_policy_subset(spark):
+    p = b.pods(Tables(spark, SF_SMALL))
+    _, denied_all = admission.split(p)
+    _, denied_latest = admission.split(p, policies=("block-latest-tag",))
+    assert 0 < denied_latest.count() < denied_all.count()
