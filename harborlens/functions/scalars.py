@@ -164,3 +164,12 @@ def compact_stamp(ts) -> Column:
 def epoch_seconds(ts) -> Column:
     """``date +%s`` of a timestamp (UTC session)."""
     return F.unix_timestamp(_c(ts).cast("timestamp"))
+
+
+def ts_literal(value) -> Column:
+    """A naive ``datetime`` as a TIMESTAMP_NTZ literal, independent of the Python
+    process's and the session's time zones (``F.lit(datetime)`` is not)."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")

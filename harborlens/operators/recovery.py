@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harborlens.functions.scalars import duration_seconds
+from harborlens.functions.scalars import duration_seconds, ts_literal
 
 
 def _secs_between(later: Column, earlier: Column) -> Column:
@@ -35,7 +35,7 @@ def backup_snapshot(objects: DataFrame, namespaces: Sequence[str], name: str, at
     read back from storage."""
     ttl_s = F.lit(None) if ttl is None else duration_seconds(F.lit(ttl))
     snap = (objects.where(F.col(ns_col).isin(*namespaces))
-            .withColumn("created_ts", F.lit(at).cast("timestamp_ntz"))
+            .withColumn("created_ts", ts_literal(at))
             .withColumn("expires_ts", F.timestamp_add("SECOND", ttl_s, F.col("created_ts")))
             .withColumn("backup_name", F.lit(name)))
     (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -83,7 +83,7 @@ def restore_verify(before: DataFrame, after: DataFrame, key: str | Sequence[str]
 def expire_backups(backups: DataFrame, as_of: dt.datetime, ts: str = "ts", ttl: str = "720h0m0s") -> DataFrame:
     """Backups whose ttl has passed at ``as_of`` (expiry at or before it)."""
     exp = F.timestamp_add("SECOND", duration_seconds(F.lit(ttl)), F.col(ts))
-    return backups.withColumn("expires_ts", exp).where(F.col("expires_ts") <= F.lit(as_of).cast("timestamp_ntz"))
+    return backups.withColumn("expires_ts", exp).where(F.col("expires_ts") <= ts_literal(as_of))
 
 
 TERMINAL_OK = ("Completed",)
@@ -105,7 +105,7 @@ def job_outcome(status_rows: DataFrame, as_of: dt.datetime, timeout_s: int = 600
         F.min_by(F.when(terminal, F.col(phase)), F.when(terminal, F.col(ts))).alias("end_phase"),
         # ties on ts: a terminal phase is later than the InProgress beside it
         F.max_by(phase, F.struct(F.col(ts), terminal)).alias("last_phase"))
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = ts_literal(as_of)
     dur = F.when(F.col("end_ts").isNotNull(), _secs_between(F.col("end_ts"), F.col("start_ts"))) \
         .otherwise(_secs_between(now, F.col("start_ts")))
     outcome = (F.when(dur > timeout_s, "timed_out")

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlens.functions.scalars import ratio
+from harborlens.functions.scalars import ratio, ts_literal
 
 
 def _window(ts: str, width: str) -> Column:
@@ -115,4 +115,4 @@ def retain(df: DataFrame, ts: str = "ts", keep: str = "7 days", as_of: dt.dateti
     as_of = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
     n, unit = keep.split()
     secs = int(n) * _UNIT_SECS[unit]
-    return df.where(F.col(ts) >= F.lit(as_of - dt.timedelta(seconds=secs)))
+    return df.where(F.col(ts) >= ts_literal(as_of - dt.timedelta(seconds=secs)))

@@ -73,9 +73,9 @@ def test_shell_and_hcl_expressions(spark):
     azs = F.array(F.lit("a"), F.lit("b"), F.lit("c"))
     assert one(spark, hf.slice0(azs, 0, 2)) == ["a", "b"]
     assert one(spark, F.array_sort(F.array_distinct(F.array(F.lit("x"), F.lit("y"), F.lit("x"))))) == ["x", "y"]
-    ts = F.lit(dt.datetime(2024, 1, 2, 3, 4, 5))
+    ts = hf.ts_literal(dt.datetime(2024, 1, 2, 3, 4, 5))
     assert one(spark, hf.compact_stamp(ts)) == "20240102030405"
-    assert one(spark, hf.epoch_seconds(F.lit(dt.datetime(1970, 1, 2)).cast("timestamp_ntz"))) == 86400
+    assert one(spark, hf.epoch_seconds(hf.ts_literal(dt.datetime(1970, 1, 2)))) == 86400
     assert one(spark, F.lower(F.lit("VeleroBackups"))) == "velerobackups"
     assert one(spark, F.replace(F.lit("https://oidc.example/id"), F.lit("https://"), F.lit(""))) == "oidc.example/id"
     assert one(spark, F.get(F.array().cast("array<string>"), 0)) is None
@@ -84,3 +84,21 @@ def test_shell_and_hcl_expressions(spark):
     assert one(spark, F.to_json(F.struct(F.lit("q").alias("queue")))) == '{"queue":"q"}'
     m = F.create_map(F.lit("a"), F.struct(F.lit("id-a").alias("id")))
     assert one(spark, F.transform_values(m, lambda k, v: v["id"])) == {"a": "id-a"}
+
+
+def test_timestamp_literal_ignores_process_time_zone(spark):
+    import datetime as dt
+    import os
+    import time
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        d = dt.datetime(2024, 1, 30, 0, 0, 0)
+        assert one(spark, hf.ts_literal(d)) == d
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
