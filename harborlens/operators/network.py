@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborlens.functions.scalars import cidr_low, cidr_prefix, ipv4_to_long
-from harborlens.operators.joins import bounded_broadcast
 
 
 def traffic_matrix(flows: DataFrame, keys: Sequence[str] = ("src", "dst", "port"), bytes_col: str = "bytes",
@@ -64,8 +63,11 @@ def cidr_match(flows: DataFrame, rules: DataFrame, ip: str = "src_ip", port: str
     ``rules``: ``rule, cidr, port, protocol``.  The prefix lengths present in
     the rule set (at most 33) are read once to shape the plan."""
     lookup = _rule_lookup(rules)
-    _, small = bounded_broadcast(lookup, max_rows=max_rules)
-    prefixes = sorted({r[0] for r in lookup.select("prefix").distinct().collect()}, reverse=True)
+    # one small job: the size check and the prefix lengths that shape the plan
+    head = lookup.select("prefix").limit(max_rules + 1).collect()
+    small = len(head) <= max_rules
+    found = {r[0] for r in head} if small else {r[0] for r in lookup.select("prefix").distinct().collect()}
+    prefixes = sorted(found, reverse=True)
     proto = F.col(protocol) if protocol else F.lit("tcp")
     out = flows.withColumn("_ip", ipv4_to_long(F.col(ip)))
     picks = []

@@ -102,3 +102,10 @@ def test_timestamp_literal_ignores_process_time_zone(spark):
         else:
             os.environ["TZ"] = old
         time.tzset()
+
+
+def test_ipv4_rejects_malformed(spark):
+    for bad in ["10.0.1", "10.0.1.256", "10..1.2", "a.b.c.d", "1.2.3.4.5", "", "1234.1.1.1"]:
+        assert one(spark, hf.ipv4_to_long(F.lit(bad))) is None, bad
+    assert one(spark, hf.ipv4_to_long(F.lit("255.255.255.255"))) == 2 ** 32 - 1
+    assert one(spark, hf.ipv4_to_long(F.lit("0.0.0.0"))) == 0
