@@ -39,9 +39,10 @@ def strip_hosted_zone(col) -> Column:
 def cpu_millis(col) -> Column:
     """CPU quantity to milli-CPU: ``900m`` -> 900, ``2`` -> 2000, ``0.5`` -> 500."""
     c = F.trim(_c(col))
-    num = F.regexp_extract(c, r"^([0-9.]+)", 1).cast("double")
-    return F.ceil(F.when(c.rlike(r"^[0-9.]+m$"), num)
-                  .when(c.rlike(r"^[0-9.]+$"), num * 1000)).cast("bigint")
+    milli = c.endswith("m")
+    body = F.when(milli, F.left(c, F.length(c) - 1)).otherwise(c)
+    num = body.try_cast("double")
+    return F.ceil(F.when(num >= 0, F.when(milli, num).otherwise(num * 1000))).cast("bigint")
 
 
 def memory_bytes(col) -> Column:
@@ -108,8 +109,8 @@ def image_tag(col) -> Column:
     (a registry port is not a tag); ``reg:5000/app:v1`` -> ``v1``.
     """
     c = _c(col)
-    last = F.element_at(F.split(c, "/"), -1)
-    tag = F.regexp_extract(last, r":([^:@]+)$", 1)
+    last = F.substring_index(c, "/", -1)  # the registry host (and its port) is never in the last segment
+    tag = F.when(last.contains(":"), F.substring_index(last, ":", -1)).otherwise(F.lit(""))
     return F.when(c.isNull(), F.lit(None)).when(c.contains("@"), F.lit(None)) \
         .when(tag == "", F.lit("latest")).otherwise(tag)
 

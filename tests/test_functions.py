@@ -109,3 +109,12 @@ def test_ipv4_rejects_malformed(spark):
         assert one(spark, hf.ipv4_to_long(F.lit(bad))) is None, bad
     assert one(spark, hf.ipv4_to_long(F.lit("255.255.255.255"))) == 2 ** 32 - 1
     assert one(spark, hf.ipv4_to_long(F.lit("0.0.0.0"))) == 0
+
+
+def test_quantity_edges(spark):
+    assert one(spark, hf.cpu_millis(F.lit("5mm"))) is None
+    assert one(spark, hf.cpu_millis(F.lit(" 250m "))) == 250
+    assert one(spark, hf.cpu_millis(F.lit("1.5"))) == 1500
+    assert one(spark, hf.cpu_millis(F.lit("m"))) is None
+    assert one(spark, hf.image_tag(F.lit("reg:5000/team/app:v1:x"))) == "x"
+    assert one(spark, hf.image_tag(F.lit("app:"))) == "latest"
