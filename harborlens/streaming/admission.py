@@ -26,10 +26,12 @@ def with_violations(pods: DataFrame, exclude=POLICY_EXCLUDED_NAMESPACES, policie
     return pods.withColumn("violations", F.when(excluded, empty).otherwise(hits))
 
 
-def split(pods: DataFrame, policies=tuple(POLICIES)) -> tuple[DataFrame, DataFrame]:
+def split(pods: DataFrame, policies=tuple(POLICIES), checked: DataFrame | None = None
+          ) -> tuple[DataFrame, DataFrame]:
     """(admitted, denied) of a batch: the enforce split, or the background audit
-    of existing pods when applied to a table."""
-    v = with_violations(pods, policies=policies)
+    of existing pods when applied to a table.  ``checked`` = pods already
+    carrying ``violations`` (e.g. cached), so the policies run once."""
+    v = checked if checked is not None else with_violations(pods, policies=policies)
     admitted = v.where(F.size("violations") == 0).drop("violations")
     denied = v.where(F.size("violations") > 0).select("namespace", "pod", "violations")
     return admitted, denied
@@ -39,9 +41,9 @@ def admission_writer(admitted_sink: str, denied_sink: str, policies=tuple(POLICI
     """``foreachBatch`` function for the enforce-mode split."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
+        b = with_violations(batch, policies=policies).persist()  # policies evaluated once per batch
         try:
-            admitted, denied = split(b, policies)
+            admitted, denied = split(batch, policies, checked=b)
             admitted.write.mode("overwrite").parquet(f"{admitted_sink}/batch_id={batch_id}")
             denied.write.mode("overwrite").parquet(f"{denied_sink}/batch_id={batch_id}")
         finally:
