@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from harborlens.operators.joins import bounded_broadcast
 from harborlens.streaming.queue import as_event_time
 
 
@@ -32,7 +33,7 @@ def bucket_of(key: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 64):
+def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 64, broadcast_keys: int = 5_000_000):
     """E5: a ``foreachBatch`` function writing only keys the sink has never seen."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -44,7 +45,12 @@ def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 64):
                 history = (spark.read.parquet(sink)
                            .where((F.col("batch_id") != batch_id) & F.col("bucket").isin(touched))
                            .select(key))
-                fresh_new = fresh.join(history, key, "left_anti")
+                # The batch is the small side (bounded by the trigger's batch size):
+                # its keys are broadcast into a semi-join, so history is scanned
+                # (one column, touched buckets) but never shuffled.
+                keys, _ = bounded_broadcast(fresh.select(key), broadcast_keys)
+                seen_before = history.join(keys, key, "left_semi")
+                fresh_new = fresh.join(seen_before, key, "left_anti")
             except AnalysisException:  # empty sink: nothing written yet
                 fresh_new = fresh
             (fresh_new.write.mode("overwrite").partitionBy("bucket")
