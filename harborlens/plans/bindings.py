@@ -151,20 +151,21 @@ def pods(t: Tables) -> DataFrame:
     Fields a container does not set stay NULL, as in a manifest.  The flat
     ``req_cpu``/``lim_mem`` fill the cpu/memory of both requests and limits."""
     f = containers_flat(t)
-    cont = F.struct(
-        F.concat(F.lit("c"), F.col("ordinal").cast("string")).alias("name"),
-        F.col("image"),
-        F.col("privileged"),
-        F.struct(F.col("req_cpu").alias("cpu"), F.col("lim_mem").alias("memory")).alias("requests"),
-        F.struct(F.col("req_cpu").alias("cpu"), F.col("lim_mem").alias("memory")).alias("limits"))
+    flat = F.struct("ordinal", "image", "privileged", "req_cpu", "lim_mem")
     # grouped on the join key alone (namespace depends on the pod), so a
-    # sort-merge join's partitioning on the order key is reused: no second shuffle
+    # sort-merge join's partitioning on the order key is reused: no second
+    # shuffle.  Flat items are collected and nested afterwards (smaller shuffle).
     g = (f.groupBy("pod")
          .agg(F.any_value("namespace").alias("namespace"),
-              F.sort_array(F.collect_list(F.when(F.col("image").isNotNull(),
-                                                 F.struct(F.col("ordinal"), cont.alias("c"))))).alias("cs")))
+              F.sort_array(F.collect_list(F.when(F.col("image").isNotNull(), flat))).alias("cs")))
+
+    def nest(x):
+        res = F.struct(x["req_cpu"].alias("cpu"), x["lim_mem"].alias("memory"))
+        return F.struct(F.concat(F.lit("c"), x["ordinal"].cast("string")).alias("name"), x["image"].alias("image"),
+                        x["privileged"].alias("privileged"), res.alias("requests"), res.alias("limits"))
+
     return g.select("namespace", F.col("pod").cast("string").alias("pod"),
-                    F.transform("cs", lambda x: x["c"]).alias("containers"),
+                    F.transform("cs", nest).alias("containers"),
                     F.lit(None).cast(f"array<{CONTAINER_DDL}>").alias("initContainers"))
 
 
