@@ -63,10 +63,10 @@ def cidr_match(flows: DataFrame, rules: DataFrame, ip: str = "src_ip", port: str
     ``rules``: ``rule, cidr, port, protocol``.  The prefix lengths present in
     the rule set (at most 33) are read once to shape the plan."""
     lookup = _rule_lookup(rules)
-    # one small job: the size check and the prefix lengths that shape the plan
-    head = lookup.select("prefix").limit(max_rules + 1).collect()
-    small = len(head) <= max_rules
-    found = {r[0] for r in head} if small else {r[0] for r in lookup.select("prefix").distinct().collect()}
+    # one small job, one row back: the size check and the prefix lengths (at
+    # most 33 distinct values) that shape the plan
+    n_rules, found = lookup.agg(F.count(F.lit(1)), F.collect_set("prefix")).first()
+    small = n_rules <= max_rules
     prefixes = sorted(found, reverse=True)
     proto = F.col(protocol) if protocol else F.lit("tcp")
     out = flows.withColumn("_ip", ipv4_to_long(F.col(ip)))
