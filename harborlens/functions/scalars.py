@@ -183,3 +183,24 @@ def ts_literal(value) -> Column:
     if isinstance(value, _dt.datetime):
         value = value.replace(tzinfo=None).isoformat(sep=" ")
     return F.lit(str(value)).cast("timestamp_ntz")
+
+
+def epoch_micros(col, dtype=None) -> Column:
+    """Microseconds since 1970-01-01 00:00:00.
+
+    TIMESTAMP_NTZ (the default): wall-clock arithmetic from the date and the
+    time-of-day fields, all zone-free, so no session time zone (and no DST
+    gap) can shift or merge values.  TIMESTAMP: the physical ``unix_micros``."""
+    from pyspark.sql import types as T
+    c = _c(col)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    secs = (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint")
+    frac = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    return days * 86_400_000_000 + secs * 1_000_000 + frac
+
+
+def micros_between(later, earlier, dtype=None) -> Column:
+    """Microseconds from ``earlier`` to ``later`` (see ``epoch_micros``)."""
+    return epoch_micros(later, dtype) - epoch_micros(earlier, dtype)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlens.functions.scalars import cpu_millis
+from harborlens.functions.scalars import cpu_millis, epoch_micros, micros_between
 from harborlens.operators.joins import bounded_broadcast
 
 
@@ -51,8 +51,8 @@ def replica_demand(backlog: DataFrame, per: int = 5, lo: int = 0, hi: int = 5, c
     """B2: workers wanted at each poll: ``clamp(ceil(backlog/per), lo, hi)``;
     it may fall to zero only when no poll in the last ``cooldown_s`` seconds
     (the current one included) saw a backlog, otherwise it stays at least 1."""
-    secs = F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000
-    w = (Window.partitionBy(by).orderBy(secs.cast("bigint"))
+    secs = F.floor(epoch_micros(ts, backlog.schema[ts].dataType) / 1_000_000)
+    w = (Window.partitionBy(by).orderBy(secs)
          .rangeBetween(-(int(cooldown_s) - 1), Window.currentRow))
     recent = F.max(F.col(value)).over(w)
     raw = F.least(F.greatest(F.ceil(F.col(value) / F.lit(per)).cast("int"), F.lit(lo)), F.lit(hi))
@@ -92,7 +92,7 @@ def backlog_recovery(backlog: DataFrame, threshold: int, by: str = "queue", ts:
                F.count(F.lit(1)).alias("polls_above"),
                # next poll after the last one above; NULL when the series ends above
                F.when(F.count("next_ts") == F.count(F.lit(1)), F.max("next_ts")).alias("recovered_ts")))
-    micros = F.unix_micros(F.col("recovered_ts").cast("timestamp")) - F.unix_micros(F.col("start_ts").cast("timestamp"))
+    micros = micros_between("recovered_ts", "start_ts", backlog.schema[ts].dataType)
     return ep.select(by, "start_ts", "last_above_ts", F.col("peak").cast("bigint").alias("peak"), "polls_above",
                      "recovered_ts", F.floor(micros / 1_000_000).cast("bigint").alias("recovery_s"))
 

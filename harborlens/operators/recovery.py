@@ -19,12 +19,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harborlens.functions.scalars import duration_seconds, ts_literal
+from harborlens.functions.scalars import duration_seconds, micros_between, ts_literal
 
 
-def _secs_between(later: Column, earlier: Column) -> Column:
+def _secs_between(later: Column, earlier: Column, dtype=None) -> Column:
     """Exact seconds between two timestamps, as DOUBLE (microsecond precision)."""
-    return (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / 1_000_000
+    return micros_between(later, earlier, dtype) / 1_000_000
 
 
 def backup_snapshot(objects: DataFrame, namespaces: Sequence[str], name: str, at: dt.datetime,
@@ -106,8 +106,9 @@ def job_outcome(status_rows: DataFrame, as_of: dt.datetime, timeout_s: int = 600
         # ties on ts: a terminal phase is later than the InProgress beside it
         F.max_by(phase, F.struct(F.col(ts), terminal)).alias("last_phase"))
     now = ts_literal(as_of)
-    dur = F.when(F.col("end_ts").isNotNull(), _secs_between(F.col("end_ts"), F.col("start_ts"))) \
-        .otherwise(_secs_between(now, F.col("start_ts")))
+    tt = status_rows.schema[ts].dataType
+    dur = F.when(F.col("end_ts").isNotNull(), _secs_between(F.col("end_ts"), F.col("start_ts"), tt)) \
+        .otherwise(_secs_between(now.cast(tt), F.col("start_ts"), tt))
     outcome = (F.when(dur > timeout_s, "timed_out")
                .when(F.col("end_phase").isin(*TERMINAL_OK), "completed")
                .when(F.col("end_phase").isin(*TERMINAL_FAILED), "failed")
@@ -139,10 +140,11 @@ def rpo_rto(incidents: DataFrame, backups: DataFrame, restores: DataFrame, by: s
         by, "bucket",
         F.max("b_max").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("b_carry"),
         F.min("r_min").over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("r_carry"))
+    tt = incidents.schema[ts].dataType
     inc = inner.where(F.col("kind") == 2).join(carry, [by, "bucket"], "left")
     last_b = F.coalesce(F.col("b_in"), F.col("b_carry"))
     next_r = F.coalesce(F.col("r_in"), F.col("r_carry"))
     return inc.select(F.col("iid").alias(incident), by, ts, last_b.alias("last_backup_ts"),
                       next_r.alias("first_restore_ts"),
-                      _secs_between(F.col(ts), last_b).alias("rpo_s"),
-                      _secs_between(next_r, F.col(ts)).alias("rto_s"))
+                      _secs_between(F.col(ts), last_b, tt).alias("rpo_s"),
+                      _secs_between(next_r, F.col(ts), tt).alias("rto_s"))

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlens.functions.scalars import ratio, ts_literal
+from harborlens.functions.scalars import epoch_micros, ratio, ts_literal
 
 
 def _window(ts: str, width: str) -> Column:
@@ -59,7 +59,7 @@ def alert_episodes(series: DataFrame, threshold: float, for_n: int, width_s: int
     """M3: runs of consecutive windows with ``value > threshold`` lasting at least
     ``for_n`` windows.  Consecutive means adjacent in time: a missing window
     breaks the run.  Islands = window index minus row number among breaches."""
-    idx = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(int(width_s) * 1_000_000)).cast("bigint")
+    idx = F.floor(epoch_micros(ts, series.schema[ts].dataType) / F.lit(int(width_s) * 1_000_000)).cast("bigint")
     breach = series.where(F.col(value) > threshold).select(by, ts, value, idx.alias("idx"))
     w = Window.partitionBy(by).orderBy("idx")
     isl = breach.withColumn("grp", F.col("idx") - F.row_number().over(w))

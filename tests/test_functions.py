@@ -118,3 +118,20 @@ def test_quantity_edges(spark):
     assert one(spark, hf.cpu_millis(F.lit("m"))) is None
     assert one(spark, hf.image_tag(F.lit("reg:5000/team/app:v1:x"))) == "x"
     assert one(spark, hf.image_tag(F.lit("app:"))) == "latest"
+
+
+def test_time_arithmetic_ignores_session_time_zone_across_dst(spark):
+    import datetime as dt
+    from harborlens.operators import sli
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        t0 = dt.datetime(2024, 3, 10, 0, 0)  # clocks in New York jump 02:00 -> 03:00 this night
+        rows = [("s", t0 + dt.timedelta(hours=i), 0.9) for i in range(6)]
+        df = spark.createDataFrame(rows, "service string, window_start timestamp_ntz, error_ratio double")
+        eps = [(r.windows, r.start_ts) for r in sli.alert_episodes(df, 0.5, 2, 3600).collect()]
+        assert eps == [(6, t0)]
+        gap = hf.micros_between(hf.ts_literal(t0 + dt.timedelta(hours=4)), hf.ts_literal(t0))
+        assert one(spark, gap) == 4 * 3600 * 10 ** 6
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
