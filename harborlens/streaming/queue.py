@@ -15,17 +15,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def queue_ingest(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                 max_files: int = 1, clean_source: str | None = None, archive_dir: str | None = None
-                 ) -> DataFrame:
+def queue_ingest(spark: SparkSession, path: str | None, schema: T.StructType | None, fmt: str = "parquet",
+                 max_files: int = 1, clean_source: str | None = None, archive_dir: str | None = None,
+                 options: dict | None = None) -> DataFrame:
     """Streaming DataFrame over the files arriving in ``path``; at most
-    ``max_files`` files per micro-batch (the receive batch size)."""
-    r = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files)
+    ``max_files`` files per micro-batch (the receive batch size).
+
+    ``options`` pass straight to the source, so a message broker is the same
+    call, e.g. ``fmt="kafka", path=None, schema=None, options={
+    "kafka.bootstrap.servers": ..., "subscribe": ..., "maxOffsetsPerTrigger": ...}``
+    (needs that connector on the classpath; not installed here)."""
+    r = spark.readStream.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
+    if fmt != "kafka":
+        r = r.option("maxFilesPerTrigger", max_files)
     if clean_source:
         r = r.option("cleanSource", clean_source)
         if archive_dir:
             r = r.option("sourceArchiveDir", archive_dir)
-    return r.load(path)
+    for k, v in (options or {}).items():
+        r = r.option(k, v)
+    return r.load(path) if path is not None else r.load()
 
 
 def stage_files(df: DataFrame, path: str, n_files: int, order: str | None = None, fmt: str = "parquet") -> None:
