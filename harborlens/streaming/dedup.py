@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from harborlens.operators.joins import bounded_broadcast
 from harborlens.streaming.queue import as_event_time
 
 
@@ -40,7 +39,9 @@ def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 64, broad
         spark = batch.sparkSession
         fresh = batch.dropDuplicates([key]).withColumn("bucket", bucket_of(key, buckets)).persist()
         try:
-            touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most `buckets` ints
+            # one job: the batch size (for the broadcast bound) and the touched
+            # buckets (at most ``buckets`` values)
+            n_keys, touched = fresh.agg(F.count(F.lit(1)), F.collect_set("bucket")).first()
             try:
                 history = (spark.read.parquet(sink)
                            .where((F.col("batch_id") != batch_id) & F.col("bucket").isin(touched))
@@ -48,7 +49,8 @@ def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 64, broad
                 # The batch is the small side (bounded by the trigger's batch size):
                 # its keys are broadcast into a semi-join, so history is scanned
                 # (one column, touched buckets) but never shuffled.
-                keys, _ = bounded_broadcast(fresh.select(key), broadcast_keys)
+                keys = fresh.select(key)
+                keys = F.broadcast(keys) if n_keys <= broadcast_keys else keys
                 seen_before = history.join(keys, key, "left_semi")
                 fresh_new = fresh.join(seen_before, key, "left_anti")
             except AnalysisException:  # empty sink: nothing written yet
