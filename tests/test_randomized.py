@@ -115,3 +115,85 @@ def test_replica_demand_matches_formula(spark, backlog, cooldown):
         raw = min(max(math.ceil(v / 5), 0), 5)
         recent = [backlog[j] for j in range(len(backlog)) if 0 <= 10 * (i - j) < cooldown]
         assert got[i] == max(raw, 1 if max(recent) > 0 else 0)
+
+
+@SETTINGS
+@given(jobs=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 1200),
+                               st.sampled_from([None, "Completed", "Failed", "PartiallyFailed"])),
+                     min_size=1, max_size=12), as_of=st.integers(0, 1500))
+def test_job_outcome_matches_brute_force(spark, jobs, as_of):
+    rows = []
+    for j, (start, after, phase) in enumerate(jobs):
+        rows.append((f"j{j}", T0 + dt.timedelta(seconds=start), "InProgress"))
+        if phase:
+            rows.append((f"j{j}", T0 + dt.timedelta(seconds=start + after), phase))
+    df = spark.createDataFrame(rows, "job string, ts timestamp_ntz, phase string")
+    now = T0 + dt.timedelta(seconds=as_of)
+    got = {r.job: r.outcome for r in rec.job_outcome(df, now, timeout_s=600).collect()}
+    for j, (start, after, phase) in enumerate(jobs):
+        dur = after if phase else (now - (T0 + dt.timedelta(seconds=start))).total_seconds()
+        want = ("timed_out" if dur > 600 else "completed" if phase == "Completed"
+                else "failed" if phase else "running")
+        assert got[f"j{j}"] == want
+
+
+@SETTINGS
+@given(series=st.lists(st.integers(0, 12), min_size=1, max_size=30), threshold=st.integers(0, 8))
+def test_backlog_recovery_matches_brute_force(spark, series, threshold):
+    rows = [("q", T0 + dt.timedelta(hours=i), v) for i, v in enumerate(series)]
+    df = spark.createDataFrame(rows, "queue string, poll_ts timestamp_ntz, backlog bigint")
+    got = sorted((r.start_ts, r.polls_above, r.peak, r.recovery_s) for r in cap.backlog_recovery(df, threshold).collect())
+    want, i = [], 0
+    while i < len(series):
+        if series[i] > threshold:
+            j = i
+            while j < len(series) and series[j] > threshold:
+                j += 1
+            rec_s = (j - i) * 3600 if j < len(series) else None
+            want.append((T0 + dt.timedelta(hours=i), j - i, max(series[i:j]), rec_s))
+            i = j
+        else:
+            i += 1
+    assert got == want
+
+
+@SETTINGS
+@given(reps=st.lists(st.integers(0, 5), min_size=1, max_size=40))
+def test_scaling_stability_matches_brute_force(spark, reps):
+    rows = [("q", T0 + dt.timedelta(hours=i), r) for i, r in enumerate(reps)]
+    df = spark.createDataFrame(rows, "queue string, poll_ts timestamp_ntz, replicas int")
+    got = {r.window_start: (r.polls, r.scale_changes, r.reversals)
+           for r in cap.scaling_stability(df, window="1 day").collect()}
+    want, prev_sign = {}, None
+    for i, r in enumerate(reps):
+        day = (T0 + dt.timedelta(hours=i)).replace(hour=0)
+        p, c, v = want.get(day, (0, 0, 0))
+        delta = None if i == 0 else r - reps[i - 1]
+        changed = delta is not None and delta != 0
+        reversed_ = False
+        if changed:
+            sign = 1 if delta > 0 else -1
+            reversed_ = prev_sign is not None and sign != prev_sign
+            prev_sign = sign
+        want[day] = (p + 1, c + changed, v + reversed_)
+    assert got == want
+
+
+@SETTINGS
+@given(samples=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 7200), st.integers(0, 3000)),
+                        min_size=1, max_size=30))
+def test_utilisation_matches_brute_force(spark, samples):
+    rows = [(f"n{n}", T0 + dt.timedelta(seconds=s), v) for n, s, v in samples]
+    df = spark.createDataFrame(rows, "node string, ts timestamp_ntz, cpu_m bigint")
+    got = {(r.window_start, r.node): (r.mean_m, r.utilisation) for r in cap.utilisation(df, 2000, 3600).collect()}
+    groups = {}
+    for node, ts, v in rows:
+        w = ts.replace(minute=0, second=0)
+        groups.setdefault((w, node), []).append(v)
+    per_node = {k: round(sum(v) * 10 ** 6 / len(v)) for k, v in groups.items()}
+    for (w, node), mean_u in per_node.items():
+        assert abs(got[(w, node)][0] - mean_u / 1e6) < 1e-6
+    for w in {k[0] for k in per_node}:
+        tot = sum(u for (ww, _), u in per_node.items() if ww == w)
+        cap_ = 2000 * sum(1 for (ww, _) in per_node if ww == w)
+        assert abs(got[(w, None)][1] - round(tot / cap_) / 1e6) < 1e-9
