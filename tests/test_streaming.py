@@ -115,3 +115,32 @@ def test_log_route_stream_matches_batch(spark, scratch):
     assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(tuple(r) for r in batch.select(cols).collect())
     one = logs.read_group(spark, os.path.join(scratch, "out"), namespace="src0")
     assert {r.log_group for r in one.select("log_group").distinct().collect()} <= {"/aws/eks/c1/src0"}
+
+
+def test_sli_stream_drops_rows_later_than_the_watermark(spark, scratch):
+    schema = "service string, ts timestamp_ntz, latency_ms double, status int"
+    src, out, ck = (os.path.join(scratch, x) for x in ("in", "out", "ck"))
+    os.makedirs(src)
+    h = dt.timedelta(hours=1)
+
+    def drop(rows, name):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, name))
+
+    def run():
+        s = queue.queue_ingest(spark, src + "/*", spark.createDataFrame([], schema).schema, max_files=1)
+        queue.run_available(sli_stream.sli_stream(s, width="1 hour", delay="10 minutes"), out, ck)
+
+    drop([("a", T0 + 5 * M, 10.0, 200), ("a", T0 + h + 5 * M, 10.0, 200), ("a", T0 + 2 * h + 30 * M, 10.0, 200)],
+         "b1")
+    run()  # watermark: 12:30 + 2 h - 10 min; windows 12:00 and 13:00 are closed
+    drop([("a", T0 + 20 * M, 10.0, 500),               # window 12:00 already emitted: dropped as late
+          ("a", T0 + 2 * h + 25 * M, 10.0, 500),       # inside the open 14:00 window: counted
+          ("a", T0 + 3 * h + 30 * M, 10.0, 200)], "b2")  # moves the watermark past 14:00
+    run()
+    got = {r.window_start.replace(tzinfo=None): (r.requests, r.errors)
+           for r in spark.read.parquet(out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+           .collect()}
+    assert got[T0] == (1, 0)
+    assert got[T0 + h] == (1, 0)
+    assert got[T0 + 2 * h] == (2, 1)
+    assert T0 + 3 * h not in got  # still open
