@@ -151,9 +151,13 @@ def label_targets(namespaces: DataFrame, explicit: Sequence[str] = PSS_DEFAULT_E
     by_prefix = F.lit(False)
     for p in prefixes:
         by_prefix = by_prefix | n.startswith(p)
-    action = (F.when(n.isin(*exclude), "excluded") if exclude else F.when(F.lit(False), ""))
-    action = (action.when(n.isin(*explicit), "labelled_explicit") if explicit else action) \
-        .when(by_prefix, "labelled_prefix").otherwise("no_match")
+    # first matching rule wins: exclusion, then explicit names, then prefixes
+    rules = ([(n.isin(*exclude), "excluded")] if exclude else []) \
+        + ([(n.isin(*explicit), "labelled_explicit")] if explicit else []) + [(by_prefix, "labelled_prefix")]
+    action = F.when(*rules[0])
+    for cond, value in rules[1:]:
+        action = action.when(cond, value)
+    action = action.otherwise("no_match")
     old_map = F.coalesce(F.col(old), F.create_map().cast("map<string,string>"))
     merged = F.when(action.startswith("labelled"), merge_labels(old_map, new)).otherwise(old_map)
     carries = F.exists(F.map_keys(merged),
