@@ -59,3 +59,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name) if "://" not in base else f"{base.rstrip('/')}/tables/{name}"
+
+
+def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int = 4,
+                     target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a cluster run sized to the data, to pass to the session builder.
+
+    Shuffle partitions: enough that each holds about ``target_partition_mb``
+    of the input (the upper bound of what a shuffle moves here, since every
+    operator aggregates or prunes before it shuffles), at least two waves of
+    the cluster's cores, at most 100,000; AQE then coalesces small ones and
+    splits skewed ones.  Scan splits stay at 256 MB so one task's input fits
+    comfortably in an executor core's share of memory."""
+    cores = max(1, executors * cores_per_executor)
+    by_size = int(input_bytes // (target_partition_mb * 2 ** 20)) + 1
+    partitions = min(100_000, max(2 * cores, by_size))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 2 ** 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * 2 ** 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 2 ** 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -135,3 +135,12 @@ def test_time_arithmetic_ignores_session_time_zone_across_dst(spark):
         assert one(spark, gap) == 4 * 3600 * 10 ** 6
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_cluster_settings_scale_with_input():
+    from harborlens.session import cluster_settings
+    small = cluster_settings(10 * 2 ** 30, executors=10)
+    big = cluster_settings(100 * 2 ** 40, executors=1000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # two waves of 40 cores beat 41 size-based
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped; AQE coalesces
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
