@@ -3,9 +3,10 @@
 Each entry writes its input to a scratch folder under the shared checkpoint
 directory, runs the operator (streams: ``availableNow`` to completion) and
 returns what landed in the sink, read back from storage.  The oracle is the
-batch twin's SQL.  Streams with a watermark consume their files in one
-micro-batch here so event-time order cannot depend on file listing order;
-the multi-batch and late-row behaviour is covered by the tests.
+batch twin's SQL.  Streams with a watermark are fed their input in
+event-time slices, one ``availableNow`` drain per slice on the same
+checkpoint, so state and watermark carry across micro-batches while the
+result stays exact (no slice holds rows older than the previous watermark).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from harborlens.streaming import admission, dedup, queue, sli_stream
 CLUSTER = "dev-cluster"
 TAIL_N = 20
 STREAM_FILES = 4
+STREAM_SLICES = 2  # event-time slices fed to the watermark streams, one drain each
 SLI_WIDTH = "1 hour"
 SLI_DELAY_MIN = 10
 
@@ -95,10 +97,13 @@ def q_dedup_stream(t):
     """Redeliveries dropped within a 15-minute watermark."""
     base = _scratch(t, "dedup")
     d = b.deliveries(t)
-    queue.stage_files(d, f"{base}/in", STREAM_FILES, order="delivered_ts")
-    s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=STREAM_FILES)
-    out = _event_cols(dedup.dedup_stream(s, "event_id", "delivered_ts", "15 minutes"))
-    queue.run_available(out, f"{base}/out", f"{base}/ckpt")
+
+    def drain():
+        s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=10_000)
+        out = _event_cols(dedup.dedup_stream(s, "event_id", "delivered_ts", "15 minutes"))
+        queue.run_available(out, f"{base}/out", f"{base}/ckpt")
+
+    queue.feed_in_time_order(d, f"{base}/in", "delivered_ts", STREAM_SLICES, drain)
     return t.spark.read.parquet(f"{base}/out")
 
 
@@ -125,10 +130,13 @@ def q_sli_stream(t):
     """M6: hourly request SLIs per service, windows closed by a 10-minute watermark."""
     base = _scratch(t, "sli")
     r = b.requests(t)
-    queue.stage_files(r, f"{base}/in", STREAM_FILES, order="ts")
-    s = queue.queue_ingest(t.spark, f"{base}/in", r.schema, max_files=STREAM_FILES)
-    out = sli_stream.sli_stream(s, width=SLI_WIDTH, delay=f"{SLI_DELAY_MIN} minutes")
-    queue.run_available(out, f"{base}/out", f"{base}/ckpt")
+
+    def drain():
+        s = queue.queue_ingest(t.spark, f"{base}/in", r.schema, max_files=10_000)
+        out = sli_stream.sli_stream(s, width=SLI_WIDTH, delay=f"{SLI_DELAY_MIN} minutes")
+        queue.run_available(out, f"{base}/out", f"{base}/ckpt")
+
+    queue.feed_in_time_order(r, f"{base}/in", "ts", STREAM_SLICES, drain)
     res = t.spark.read.parquet(f"{base}/out")
     return res.select("service", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
