@@ -2,7 +2,7 @@
 
 Each policy is a Column predicate over a pod row (``containers`` and
 ``initContainers`` arrays of structs), evaluated with higher-order functions
-(``exists``) inside whole-stage codegen.  Every container predicate is wrapped
+(``exists``) in the JVM, next to the compiled expressions of the same stage.  Every container predicate is wrapped
 in ``coalesce(..., false)`` so an unset field cannot turn into "no violation"
 through NULL logic.  G4 evaluates all policies in one pass into an array of
 violations and explodes it: one scan, no union of per-policy scans.
