@@ -1,5 +1,6 @@
-"""Scalar Column expressions.  All built-in Spark functions: they stay inside
-whole-stage codegen and need no Python at run time."""
+"""Scalar Column expressions.  All built-in Spark functions run in the JVM with
+no Python at run time; most compile in whole-stage codegen, the few built on
+higher-order functions (tag lookup, label merge) run interpreted in the stage."""
 
 from __future__ import annotations
 
