@@ -38,7 +38,9 @@ def backup_snapshot(objects: DataFrame, namespaces: Sequence[str], name: str, at
             .withColumn("created_ts", ts_literal(at))
             .withColumn("expires_ts", F.timestamp_add("SECOND", ttl_s, F.col("created_ts")))
             .withColumn("backup_name", F.lit(name)))
-    (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rebalance: AQE sizes the files (one backup is one partition value, so a
+    # plain repartition on it would funnel everything through one task)
+    (snap.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("backup_name").parquet(path))
     return read_backups(objects.sparkSession, path).where(F.col("backup_name") == name)
 

@@ -84,7 +84,8 @@ def slo_attainment(series: DataFrame, objective: float, target: float, by: str =
 
 def write_by_date(df: DataFrame, path: str, ts: str = "ts", date_col: str = "dt", mode: str = "append") -> None:
     """Store samples in ``dt=YYYY-MM-DD`` directories so retention prunes files."""
-    df.withColumn(date_col, F.to_date(F.col(ts))).write.mode(mode).partitionBy(date_col).parquet(path)
+    (df.withColumn(date_col, F.to_date(F.col(ts))).hint("rebalance", date_col)  # AQE-sized files per day
+     .write.mode(mode).partitionBy(date_col).parquet(path))
 
 
 def retain_partitioned(df: DataFrame, ts: str = "ts", keep: str = "7 days",

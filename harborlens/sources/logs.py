@@ -33,8 +33,12 @@ def log_route(df: DataFrame, cluster: str, namespace: str = "namespace_name") ->
 
 def write_routed(df: DataFrame, path: str, cluster: str, namespace: str = "namespace_name",
                  mode: str = "append") -> None:
-    """Batch sink of routed records, one directory per namespace."""
-    log_route(df, cluster, namespace).write.mode(mode).partitionBy(namespace).parquet(path)
+    """Batch sink of routed records, one directory per namespace.  The
+    ``rebalance`` hint lets AQE size the output files: small namespaces are
+    coalesced, a namespace holding a third of all records is split over many
+    tasks instead of one."""
+    (log_route(df, cluster, namespace).hint("rebalance", namespace)
+     .write.mode(mode).partitionBy(namespace).parquet(path))
 
 
 def read_group(spark: SparkSession, path: str, namespace: str | None = None,
