@@ -100,3 +100,20 @@ def test_rpo_rto_with_a_hot_system_spreads_over_buckets(spark):
         next_r = min((j for j in range(0, 3000, 2) if 17 * j + 7 > 17 * i), default=None)
         assert got[i][0] == (17 * (i - last_b) + 5) * 60.0
         assert got[i][1] == (None if next_r is None else (17 * (next_r - i) + 7) * 60.0)
+
+
+def test_bounded_broadcast_respects_its_bound(spark):
+    from harborlens.operators.joins import bounded_broadcast
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(100000).withColumnRenamed("id", "k")
+        rules = spark.range(50).withColumnRenamed("id", "k")
+        small_side, ok = bounded_broadcast(rules, max_rows=50)
+        assert ok and "BroadcastExchange" in explained(big.join(small_side, "k"))
+        not_small, ok2 = bounded_broadcast(rules, max_rows=49)
+        assert not ok2 and "BroadcastExchange" not in explained(big.join(not_small, "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
