@@ -38,13 +38,21 @@ def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 64, broad
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.dropDuplicates([key]).withColumn("bucket", bucket_of(key, buckets)).persist()
+        if fresh.isEmpty():
+            fresh.unpersist()
+            return
         try:
             # one job: the batch size (for the broadcast bound) and the touched
             # buckets (at most ``buckets`` values)
-            n_keys, touched = fresh.agg(F.count(F.lit(1)), F.collect_set("bucket")).first()
+            n_keys, touched, lo, hi = fresh.agg(F.count(F.lit(1)), F.collect_set("bucket"),
+                                                F.min(key), F.max(key)).first()
             try:
+                # bucket pruning on the directories, and the batch's key range on
+                # the key-sorted files' row-group statistics (keys that grow with
+                # time make most old row groups skippable)
                 history = (spark.read.parquet(sink)
-                           .where((F.col("batch_id") != batch_id) & F.col("bucket").isin(touched))
+                           .where((F.col("batch_id") != batch_id) & F.col("bucket").isin(touched)
+                                  & F.col(key).between(F.lit(lo), F.lit(hi)))
                            .select(key))
                 # The batch is the small side (bounded by the trigger's batch size):
                 # its keys are broadcast into a semi-join, so history is scanned
@@ -57,8 +65,8 @@ def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 64, broad
                 fresh_new = fresh
             # rebalance on the bucket: few files per touched bucket per batch (no
             # small-file build-up for later history lookups), skewed buckets split
-            (fresh_new.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-             .parquet(f"{sink}/batch_id={batch_id}"))
+            (fresh_new.hint("rebalance", "bucket").sortWithinPartitions("bucket", key)
+             .write.mode("overwrite").partitionBy("bucket").parquet(f"{sink}/batch_id={batch_id}"))
         finally:
             fresh.unpersist()
 
