@@ -190,10 +190,13 @@ def test_utilisation_matches_brute_force(spark, samples):
     for node, ts, v in rows:
         w = ts.replace(minute=0, second=0)
         groups.setdefault((w, node), []).append(v)
-    per_node = {k: round(sum(v) * 10 ** 6 / len(v)) for k, v in groups.items()}
+    def half_up(num, den):  # the operator's documented rounding (Python's round() is half-to-even)
+        return (2 * num + den) // (2 * den)
+
+    per_node = {k: half_up(sum(v) * 10 ** 6, len(v)) for k, v in groups.items()}
     for (w, node), mean_u in per_node.items():
         assert abs(got[(w, node)][0] - mean_u / 1e6) < 1e-6
     for w in {k[0] for k in per_node}:
         tot = sum(u for (ww, _), u in per_node.items() if ww == w)
         cap_ = 2000 * sum(1 for (ww, _) in per_node if ww == w)
-        assert abs(got[(w, None)][1] - round(tot / cap_) / 1e6) < 1e-9
+        assert abs(got[(w, None)][1] - half_up(tot, cap_) / 1e6) < 1e-9
