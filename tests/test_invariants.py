@@ -180,3 +180,14 @@ def test_admission_policy_subset(spark):
     _, denied_all = admission.split(p)
     _, denied_latest = admission.split(p, policies=("block-latest-tag",))
     assert 0 < denied_latest.count() < denied_all.count()
+
+
+def test_append_and_tail_five_after_two_appends(spark, scratch):
+    from harborlens.sources import logs
+    recs = b.log_records(Tables(spark, SF_SMALL))
+    first = recs.where("seq < 100")
+    logs.append_lines(first, scratch)
+    last5 = logs.append_and_tail(recs.where("seq >= 100"), scratch, 5)  # a second writer appends
+    want = sorted(r.seq for r in recs.orderBy(F.col("seq").desc()).limit(5).collect())
+    assert sorted(r.seq for r in last5.collect()) == want
+    assert spark.read.parquet(scratch).count() == recs.count()
