@@ -47,14 +47,18 @@ def stage_files(df: DataFrame, path: str, n_files: int, order: str | None = None
 
 
 def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append",
-                  fmt: str = "parquet", foreach_batch=None, timeout_s: int = 600) -> None:
-    """Process everything available now, then stop (the graceful drain)."""
+                  fmt: str = "parquet", foreach_batch=None, timeout_s: int | None = None) -> None:
+    """Process everything available now, then stop (the graceful drain).
+    Waits for the drain to finish unless ``timeout_s`` is given."""
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True)
     if foreach_batch is not None:
         q = w.foreachBatch(foreach_batch).start()
     else:
         q = w.format(fmt).option("path", sink).start()
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream into {sink} did not finish in {timeout_s}s")
