@@ -117,3 +117,13 @@ def test_bounded_broadcast_respects_its_bound(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_no_row_caps_except_the_tail(plans):
+    # a limit is allowed only where it is the feature: S5's `tail -n`
+    for name, text in plans.items():
+        capped = re.search(r"GlobalLimit|CollectLimit|LocalLimit|TakeOrderedAndProject|Sample", text)
+        assert (capped is not None) == (name == "append_and_tail"), name
+    for name, sql in entry.oracle_sql().items():
+        capped = re.search(r"\bLIMIT\b|\bUSING SAMPLE\b|\bTABLESAMPLE\b", sql, re.I)
+        assert (capped is not None) == (name == "append_and_tail"), name
