@@ -45,3 +45,12 @@ def test_queue_drill(spark):
     assert out["deduplicated"].count() == t.events.count()
     assert out["demand"].count() == out["backlog"].count()
     assert out["stability"].agg(F.sum("polls")).first()[0] == out["demand"].count()
+
+
+def test_command_line_lists_every_query(capsys):
+    import __spark_entry__ as entry
+    from harborlens.__main__ import main
+    assert main(["list"]) == 0
+    listed = {line.split()[0] for line in capsys.readouterr().out.splitlines() if line.strip()}
+    assert listed == set(entry.queries())
+    assert main(["run", "no_such_query"]) == 2
