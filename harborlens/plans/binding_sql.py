@@ -117,7 +117,7 @@ SELECT concat(CASE WHEN p_partkey % 3 = 0 THEN 'demo-' WHEN p_partkey % 3 = 1 TH
 
 def _deps(name: str) -> list[str]:
     body = BINDING_SQL[name]
-    return [d for d in BINDING_SQL if d != name and re.search(rf"\bFROM\s+{d}\b", body)]
+    return [d for d in BINDING_SQL if d != name and re.search(rf"\b(?:FROM|JOIN)\s+{d}\b", body, re.I)]
 
 
 def with_bindings(sql: str, *names: str) -> str:
