@@ -1,3 +1,5 @@
+"""Scalar Column expressions shared by the operators (see ``scalars``)."""
+
 from harborlens.functions.scalars import (
     cidr_high, cidr_low, cidr_prefix, compact_stamp, cpu_millis, default_if_empty, duration_seconds, epoch_seconds,
     epoch_micros, micros_between, slice0, template, ts_literal,
