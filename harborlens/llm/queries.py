@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlens.llm import order_minhash, token_planes
+from harborlens.llm import ngram_join, order_minhash, suffix_buckets, token_planes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,18 @@ def op2(spark, sf_dir):
     return token_planes.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+@query("op4_ngram_join")
+def op4(spark, sf_dir):
+    """Near-duplicate classes of all documents by 5-word shingles, Jaccard 0.75 or more."""
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op5_suffix_buckets")
+def op5(spark, sf_dir):
+    """Bytes of all documents covered by a 100-byte string that starts earlier, removed."""
+    return suffix_buckets.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op10_order_minhash")
 def op10(spark, sf_dir):
     """Order-MinHash fingerprints of all documents and of their edited texts."""

@@ -86,15 +86,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words(data: np.ndarray, off: np.ndarray):
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each row, A-Z lower-cased, as 64-bit hashes.
-
-    Returns (hash per word, first word of each row [n+1], start byte per word,
-    end byte per word).  A word's hash depends on its bytes only."""
-    n = len(off) - 1
+def word_spans(data: np.ndarray, off: np.ndarray):
+    """Start and end byte of each word ``[^\\x20\\x09-\\x0D]+``, and each row's first word [n+1]."""
     if not len(data):
         z = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), z, z
+        return z, z, np.zeros(len(off), np.int64)
     solid = ~SPACE[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
@@ -107,17 +103,29 @@ def words(data: np.ndarray, off: np.ndarray):
     tail = tail[tail >= 0]
     last[tail] = solid[tail]
     start = np.flatnonzero(first)
-    end = np.flatnonzero(last) + 1
-    row = np.searchsorted(start, off)
+    return start, np.flatnonzero(last) + 1, np.searchsorted(start, off)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, *keys: np.ndarray) -> list[np.ndarray]:
+    """64-bit hashes of the byte spans, one for each table of byte keys; they depend on the bytes only."""
     if not len(start):
-        return np.zeros(0, np.uint64), row, start, end
+        return [np.zeros(0, np.uint64) for _ in keys]
     size = end - start
     power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(size.max()) - 1, POWER_BASE)]))
-    at = np.flatnonzero(solid)
-    local = at - np.repeat(start, size)
-    first_at = np.concatenate([[0], np.cumsum(size)[:-1]])
-    h = np.add.reduceat(WORD_KEYS[data[at]] * power[local], first_at)
-    return mix64(h + size.astype(np.uint64) * SLOT_KEYS[15]), row, start, end
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    local = np.arange(int(size.sum())) - np.repeat(first, size)
+    text = data[local + np.repeat(start, size)]
+    power = power[local]
+    return [mix64(np.add.reduceat(k[text] * power, first) + size.astype(np.uint64) * SLOT_KEYS[15]) for k in keys]
+
+
+def words(data: np.ndarray, off: np.ndarray):
+    """Words of each row, A-Z lower-cased, as 64-bit hashes.
+
+    Returns (hash per word, first word of each row [n+1], start byte per word,
+    end byte per word)."""
+    start, end, row = word_spans(data, off)
+    return span_hashes(data, start, end, WORD_KEYS)[0], row, start, end
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:
