@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlens.llm import ngram_join, order_minhash, suffix_buckets, token_planes
+from harborlens.llm import (chat_snapshots, decontaminate, line_runs, ngram_join, order_minhash, shard_table, source_mix, suffix_buckets,
+                            token_planes, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,12 +36,54 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_CHAT_SQL = f"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM t),
+p AS (SELECT *, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS h,
+      count(*) OVER (PARTITION BY conv_id) AS n_turns FROM n),
+whole AS (SELECT CASE WHEN bool_or(conv_id IS NULL) THEN NULL ELSE min(conv_id) END AS conv_id, h FROM p WHERE n = n_turns GROUP BY h),
+kept AS (SELECT conv_id FROM whole WHERE h NOT IN (SELECT h FROM p WHERE n < n_turns))
+SELECT p.conv_id, n_turns, (n - 1) // {chat_snapshots.SEGMENT} AS segment, min(n) AS first_turn, count(*) AS segment_turns,
+  string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY n) AS rendered
+FROM p JOIN kept ON p.conv_id IS NOT DISTINCT FROM kept.conv_id GROUP BY ALL"""
+
+
+@query("op1_chat_snapshots", _CHAT_SQL)
+def op1(spark, sf_dir):
+    """Maximal conversations as chat markup."""
+    return chat_snapshots.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query("op2_token_planes")
 def op2(spark, sf_dir):
     """Token ids of all documents, written as plane-shuffled chunks and read back."""
     return token_planes.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+_AFTER = ", ".join(f"lead(line, {k}) OVER w AS l{k}" for k in range(1, line_runs.MIN_LINES))
+_KEY = ", ".join(["line", *(f"l{k}" for k in range(1, line_runs.MIN_LINES))])
+_LINES_SQL = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos FROM documents),
+g AS (SELECT doc_id, pos, {_AFTER}, line, lead(pos, {line_runs.MIN_LINES - 1}) OVER w AS last FROM l
+      WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+later AS (SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY {_KEY} ORDER BY doc_id, pos) AS r
+                                   FROM g WHERE last IS NOT NULL) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest(range({line_runs.MIN_LINES})) AS k)),
+m AS (SELECT l.*, gone.pos IS NOT NULL AS gone FROM l LEFT JOIN gone USING (doc_id, pos)),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), FALSE) AS begins FROM m)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_runs,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM e GROUP BY doc_id"""
+
+
+@query("op3_line_runs", _LINES_SQL)
+def op3(spark, sf_dir):
+    """Later copies of runs of four lines or more removed from all documents."""
+    out = line_runs.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op4_ngram_join")
 def op4(spark, sf_dir):
     """Near-duplicate classes of all documents by 5-word shingles, Jaccard 0.75 or more."""
@@ -53,6 +96,59 @@ def op5(spark, sf_dir):
     return suffix_buckets.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+_MIX_SQL = f"""
+WITH s AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r FROM s GROUP BY source),
+w AS (SELECT *, r % 3 + 1 AS weight FROM per),
+o AS (SELECT *, sum(source_size) OVER () - {source_mix.MAX_RATE} * coalesce(sum(source_size) OVER before, 0) AS words_left,
+        sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left, row_number() OVER (ORDER BY source_size / weight, r) AS k
+      FROM w WINDOW before AS (ORDER BY source_size / weight, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, CAST(words_left AS DOUBLE) / CAST(weight_left AS DOUBLE) AS level FROM o),
+v AS (SELECT arg_min(level, k) AS level FROM f WHERE {source_mix.MAX_RATE} * source_size >= level * weight),
+t AS (SELECT source, source_size, CASE WHEN {source_mix.MAX_RATE} * source_size < v.level * weight
+        THEN CAST({source_mix.MAX_RATE} * source_size AS DOUBLE) ELSE v.level * weight END AS target FROM f, v),
+c AS (SELECT s.doc_id, s.source, s.size, t.source_size, t.target,
+        CASE WHEN source_size > 0 THEN target / CAST(source_size AS DOUBLE) ELSE 0.0 END AS rate,
+        CAST(CAST('0x' || substr(md5('{source_mix.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS UBIGINT) AS DOUBLE)
+          / 281474976710656.0 AS u
+      FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, size, source_size, target, rate, CAST(floor(rate) AS BIGINT) + CAST(u < rate - floor(rate) AS BIGINT) AS copies,
+  size * (CAST(floor(rate) AS BIGINT) + CAST(u < rate - floor(rate) AS BIGINT)) AS taken FROM c"""
+
+
+@query("op6_source_mix", _MIX_SQL)
+def op6(spark, sf_dir):
+    """All documents mixed to the weights of their sources."""
+    return source_mix.mix_sources(table(spark, sf_dir, "documents"))
+
+
+_OWNERS = ",".join(str(x) for x in shard_table.lookup_table(shard_table.shard_names(shard_table.SHARDS)))
+_SHARD_SQL = f"""
+WITH p AS (SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes,
+  CAST(CAST('0x' || substr(md5(coalesce('k:' || CAST(doc_id AS VARCHAR), 't:' || coalesce(text, ''))), 1, 15) AS UBIGINT) % {shard_table.SLOTS} AS BIGINT) AS slot
+  FROM documents)
+SELECT doc_id, n_bytes, slot, CAST(string_split('{_OWNERS}', ',')[slot + 1] AS INTEGER) AS shard FROM p"""
+
+
+@query("op7_shard_table", _SHARD_SQL)
+def op7(spark, sf_dir):
+    """Slot and shard of all documents, by id."""
+    out = shard_table.assign_shards(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "slot", "shard")
+
+
+@query("op8_decontaminate")
+def op8(spark, sf_dir):
+    """Pairs of documents and benchmark items that align."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_toxicity")
+def op9(spark, sf_dir):
+    """Toxicity of all documents by a network trained on the labels that are not held out."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op10_order_minhash")
 def op10(spark, sf_dir):
     """Order-MinHash fingerprints of all documents and of their edited texts."""

@@ -90,29 +90,35 @@ def unit_draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
+def _with_copies(df: DataFrame, targets: DataFrame, source: Column, doc_id: Column, seed: str) -> DataFrame:
+    """``df`` with _size, _target, _rate and _copies of each row's source.
+
+    Targets are a row per source, read from a stored table: Spark knows its size
+    and broadcasts it where it is small, or else joins by shuffle and splits a
+    source that holds many rows."""
+    rate = F.when(F.col("_size") > 0, F.col("_target") / F.col("_size")).otherwise(F.lit(0.0))
+    extra = (unit_draw(doc_id, seed) < F.col("_rate") - F.floor("_rate")).cast("long")
+    per = targets.select(F.col("source").alias("_source"), F.col("source_size").alias("_size"), F.col("target").alias("_target"))
+    return df.join(per, source.eqNullSafe(F.col("_source"))).withColumn("_rate", rate).withColumn("_copies", F.floor("_rate") + extra)
+
+
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights=WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, rate, copies, taken), one row per row of ``df``.
+    """(doc_id, source, size, source_size, target, rate, copies, taken), one row per row of ``df``.
 
     Texts are read once and never shuffled: sizes are stored, sums per source are
-    combined map-side, and the join back is by source, split by Spark where one
-    source is large (or broadcast where Spark measures the source table as small)."""
+    combined map-side."""
     docs = stored(word_counts(df, id_col, text_col, source_col), "mix-sizes")
-    targets = source_targets(docs, weights, max_rate).select(F.col("source").alias("_source"), "source_size", "target")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor("rate")
-    extra = (unit_draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
-    return (docs.join(targets, F.col("source").eqNullSafe(F.col("_source")))
-            .withColumn("rate", rate).withColumn("copies", whole + extra)
-            .select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken")))
-
-
-def repeat_documents(df: DataFrame, copies: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Each row of ``df`` as often as ``copies`` (doc_id, copies) says, with df's columns alone.
-
-    Doc_ids that several rows share have the same draw and rate in one source; the
-    join is null-safe and takes one line per doc_id and source."""
-    per = copies.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(F.max("copies").cast("int").alias("_copies"))
-    joined = df.join(per, df[id_col].cast("long").eqNullSafe(F.col("_id")) & df["source"].eqNullSafe(F.col("_source")))
-    return (joined.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*[df[c] for c in df.columns]))
+    targets = source_targets(docs, weights, max_rate)
+    return (_with_copies(docs, targets, F.col("source"), F.col("doc_id"), seed)
+            .select("doc_id", "source", "size", F.col("_size").alias("source_size"), F.col("_target").alias("target"),
+                    F.col("_rate").alias("rate"), F.col("_copies").alias("copies"), (F.col("size") * F.col("_copies")).alias("taken")))
+
+
+def repeat_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                     weights=WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED) -> DataFrame:
+    """The mix itself: each row of ``df`` as often as it is taken, with df's columns alone."""
+    targets = source_targets(word_counts(df, id_col, text_col, source_col), weights, max_rate)
+    taken = _with_copies(df, targets, F.col(source_col).cast("string"), F.col(id_col).cast("long"), seed)
+    return (taken.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+            .select(*[F.col(f"`{c}`") for c in df.columns]))
