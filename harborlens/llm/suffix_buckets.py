@@ -19,9 +19,12 @@ equal identifiers in every document and task, and refining needs no global sort.
    same windows.  In a refined bucket all but the first are later copies; a q-gram
    bucket with one pointer is done, and so is one whose pointers all fall into one
    refined bucket.
-3. Only where a q-gram bucket falls apart, each refined bucket's first run is
-   refined once more into its single windows.  Equal windows with an earlier start
-   are later copies.
+3. Only where a q-gram bucket falls apart, each refined bucket's first run is cut
+   into blocks of ``BLOCK`` windows at fixed distances from the pointer.  Blocks are
+   put into buckets by the string that all their windows share and refined in the
+   same way; where such a bucket falls apart the windows differ within ``BLOCK``
+   bytes of an edge, and only these blocks are refined into single windows.  Equal
+   windows with an earlier start are later copies.
 
 Every window is thus compared, through identifiers of 128 bits, with all earlier
 windows.  Refined buckets are combined where the text lies before they are
@@ -49,6 +52,7 @@ LENGTH = 100
 GRAM = 32
 COMBINE_ROWS = 400_000
 PIECE = 1 << 18
+BLOCK = 8
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
@@ -76,13 +80,13 @@ def identifiers(data: np.ndarray, depth: int, lane: int) -> np.ndarray:
 
 
 def pointer_runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Runs of windows that share a pointer: (row, first window, windows - 1, q-gram id, refined id).
+    """Runs of windows that share a pointer: (row, first window, windows - 1, pointer - first window, q-gram id, refined id).
 
     Windows lie within one row.  Window numbers count from the row's start."""
     n = len(data)
     none = np.zeros(0, np.int64)
     if n < length:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
     grams = identifiers(data, gram, 0)
     whole = identifiers(data, length, 1)
     size = np.diff(off)
@@ -99,12 +103,12 @@ def pointer_runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram:
         least = np.minimum(least[:len(least) - (span - have)], least[span - have:])
     w = at[inside]
     if not len(w):
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
     pointer = (least[w] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     head = np.flatnonzero(np.concatenate([[True], pointer[1:] != pointer[:-1]]))
     lo, hi = w[head], w[np.append(head[1:], len(w)) - 1]
     refined = mix64(whole[lo] * np.uint64(_BASES[0]) + mix64(whole[hi] + (hi - lo).astype(np.uint64) * np.uint64(_BASES[1])))
-    return np.searchsorted(off, lo, "right") - 1, lo - start[lo], hi - lo, grams[pointer[head]], refined
+    return np.searchsorted(off, lo, "right") - 1, lo - start[lo], hi - lo, pointer[head] - lo, grams[pointer[head]], refined
 
 
 def _pieces(batch, length: int):
@@ -118,9 +122,14 @@ def _pieces(batch, length: int):
         yield np.arange(len(off) - 1), np.zeros(len(off) - 1, np.int64), data, off
 
 
-def _pack(first, more, done):
-    """First window, number of further windows (under 2**20) and whether the run is already a known copy, in one number."""
-    return (first.astype(np.int64) << 21) | (more.astype(np.int64) << 1) | done
+def _pack(first, more, off, done):
+    """One number for a run: first window, distance of the pointer from it and number of further windows
+    (each under 1024), and whether the run is already a known copy."""
+    return (first.astype(np.int64) << 21) | (off.astype(np.int64) << 11) | (more.astype(np.int64) << 1) | done
+
+
+def _unpack(w: np.ndarray):
+    return w >> 21, (w >> 1) & 1023, (w >> 11) & 1023
 
 
 def sampled_pointers(docs: DataFrame, length: int, gram: int, combine_rows: int) -> DataFrame:
@@ -132,23 +141,23 @@ def sampled_pointers(docs: DataFrame, length: int, gram: int, combine_rows: int)
             nonlocal held, n
             if not held:
                 return
-            q, c, d, s, m = (np.concatenate(x) for x in zip(*held))
+            q, c, d, s, m, o = (np.concatenate(x) for x in zip(*held))
             held, n = [], 0
             order = np.lexsort((s, d, c, q))
-            q, c, d, s, m = q[order], c[order], d[order], s[order], m[order]
+            q, c, d, s, m, o = q[order], c[order], d[order], s[order], m[order], o[order]
             done = np.zeros(len(q), bool)
             done[1:] = (q[1:] == q[:-1]) & (c[1:] == c[:-1])
             # A known copy needs no bucket any more: it travels under a scattered key.
             q = np.where(done, mix64(d.view(np.uint64) + s.astype(np.uint64) * np.uint64(_BASES[0])), q)
             yield pa.RecordBatch.from_arrays([pa.array(q.view(np.int64)), pa.array(np.where(done, np.int64(0), c.view(np.int64))), pa.array(d),
-                                              pa.array(_pack(s, m, done))], names=["q", "c", "d", "w"])
+                                              pa.array(_pack(s, m, o, done))], names=["q", "c", "d", "w"])
 
         for batch in text_chunks(batches, max_bytes=PIECE):
             ids = batch.column("d").to_numpy()
             for rows, begin, data, off in _pieces(batch, length):
-                r, s, m, q, c = pointer_runs(data, off, length, gram)
+                r, s, m, o, q, c = pointer_runs(data, off, length, gram)
                 if len(r):
-                    held.append((q, c, ids[rows[r]], s + begin[r], m))
+                    held.append((q, c, ids[rows[r]], s + begin[r], m, o))
                     n += len(r)
             if n >= combine_rows:
                 yield from combined()
@@ -158,7 +167,7 @@ def sampled_pointers(docs: DataFrame, length: int, gram: int, combine_rows: int)
 
 
 def refine(pointers: DataFrame) -> DataFrame:
-    """kind 1: (d, w) runs that are later copies; kind 2: (d, w) runs to be refined into windows."""
+    """kind 1: (d, w) runs that are later copies; kind 2: (d, w) first runs of a q bucket that falls apart, to be refined."""
     def run(batches):
         held, apart = None, False    # the last first-of-its-refined-bucket row; whether its q-gram bucket is known to fall apart
         last = None                  # key of the last row
@@ -207,24 +216,61 @@ def _by_document(runs: DataFrame) -> DataFrame:
     return runs.groupBy("d").agg(F.collect_list("w").alias("runs"))
 
 
+def _asked_windows(w: np.ndarray):
+    """(window, pointer) of every window of the packed runs."""
+    first, more, off = _unpack(w)
+    n = more + 1
+    at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return at, np.repeat(first + off, n)
+
+
+def _at(text: np.ndarray, depth: int, lane: int, at: np.ndarray) -> np.ndarray:
+    """Identifiers at sorted offsets ``at``, piece by piece."""
+    out = np.empty(len(at), np.uint64)
+    for a in range(0, len(text), PIECE):
+        lo, hi = np.searchsorted(at, [a, a + PIECE])
+        if hi > lo:
+            out[lo:hi] = identifiers(text[a:a + PIECE + depth - 1], depth, lane)[at[lo:hi] - a]
+    return out
+
+
+def window_blocks(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
+    """(q, c, d, w): blocks of the asked runs, by the string their windows share and by their first and last window."""
+    core = length - BLOCK + 1
+
+    def run(batches):
+        for batch in text_chunks(batches, max_bytes=PIECE):
+            data, off = utf8(batch.column("text"))
+            ids, runs = batch.column("d").to_numpy(), batch.column("runs")
+            for i in range(batch.num_rows):
+                at, pointer = _asked_windows(np.sort(runs[i].values.to_numpy()))
+                block = (pointer - at) // BLOCK
+                head = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (pointer[1:] != pointer[:-1])]))
+                lo, hi = at[head], at[np.append(head[1:], len(at)) - 1]
+                text = data[off[i]:off[i + 1]]
+                shared = pointer[head] - block[head] * BLOCK     # where the string that the block's windows share begins
+                order = np.argsort(shared, kind="stable")
+                q = np.empty(len(shared), np.uint64)
+                q[order] = _at(text, core, 0, shared[order])
+                c = mix64(_at(text, length, 1, lo) * np.uint64(_BASES[0]) + mix64(
+                    _at(text, length, 1, hi) + ((pointer[head] - lo) << 10 | (hi - lo)).astype(np.uint64) * np.uint64(_BASES[1])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(q.view(np.int64)), pa.array(c.view(np.int64)), pa.array(np.full(len(q), ids[i])),
+                     pa.array(_pack(lo, hi - lo, pointer[head] - lo, 0))], names=["q", "c", "d", "w"])
+
+    return docs.join(_by_document(asked), "d").select("d", "text", "runs").mapInArrow(run, "q long, c long, d long, w long")
+
+
 def single_windows(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """(x, y, d, s): identifiers of every window of the asked runs."""
+    """(x, y, d, s): identifiers of every window of the asked blocks."""
     def run(batches):
         for batch in text_chunks(batches, max_bytes=PIECE):
             data, off = utf8(batch.column("text"))
             ids, runs = batch.column("d").to_numpy(), batch.column("runs")
             for i in range(batch.num_rows):
-                w = runs[i].values.to_numpy()
-                first, more = w >> 21, (w >> 1) & 0xFFFFF
-                at = np.repeat(first, more + 1) + np.arange((more + 1).sum()) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
-                at = np.unique(at)
+                at = np.unique(_asked_windows(runs[i].values.to_numpy())[0])
                 text = data[off[i]:off[i + 1]]
-                x, y = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
-                for a in range(0, len(text), PIECE):
-                    lo, hi = np.searchsorted(at, [a, a + PIECE])
-                    if hi > lo:
-                        part = text[a:a + PIECE + length - 1]
-                        x[lo:hi], y[lo:hi] = identifiers(part, length, 0)[at[lo:hi] - a], identifiers(part, length, 1)[at[lo:hi] - a]
+                x, y = _at(text, length, 0, at), _at(text, length, 1, at)
                 yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64)),
                                                   pa.array(np.full(len(at), ids[i])), pa.array(at)], names=["x", "y", "d", "s"])
 
@@ -243,14 +289,15 @@ def later_windows(windows: DataFrame) -> DataFrame:
             copy[1:] = (x[1:] == x[:-1]) & (y[1:] == y[:-1])
             copy[0] = (x[0], y[0]) == last
             last = (x[-1], y[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(d[copy]), pa.array(_pack(s[copy], np.zeros(int(copy.sum()), np.int64), 0))], names=["d", "w"])
+            yield pa.RecordBatch.from_arrays([pa.array(d[copy]), pa.array(s[copy] << 21)], names=["d", "w"])
 
     return windows.repartition("x").sortWithinPartitions("x", "y", "d", "s").mapInArrow(run, "d long, w long")
 
 
 def removed_spans(w: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Maximal removed spans [begin, end) from packed runs of covered windows."""
-    first, end = w >> 21, (w >> 21) + ((w >> 1) & 0xFFFFF) + length
+    first, more, _ = _unpack(w)
+    end = first + more + length
     order = np.argsort(first, kind="stable")
     first, end = first[order], np.maximum.accumulate(end[order])
     head = np.flatnonzero(np.concatenate([[True], first[1:] > end[:-1]]))
@@ -265,8 +312,9 @@ def keyed_documents(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFram
     docs = text_view(df, id_col, text_col)
     d = F.coalesce("doc_id", F.lit(-(1 << 63)))
     if not docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        rows = docs.select("doc_id", d.alias("d"), "text")
-        return rows, rows.select("d", "text")
+        once = docs.select(d.alias("d"), "text")
+        # doc_id is read off d, so that every join below shuffles the same (d, text) and Spark reuses one shuffle.
+        return once.select(F.when(F.col("d") != -(1 << 63), F.col("d")).alias("doc_id"), "d", "text"), once
     t = F.xxhash64("text")
     names = ranked(docs.select(d.alias("k"), t.alias("t")).distinct(), F.col("k"), F.col("t"))
     rows = docs.withColumns({"k": d, "t": t}).join(names, ["k", "t"]).select("doc_id", F.col("rank").cast("long").alias("d"), "text")
@@ -299,9 +347,10 @@ def _joined(df, id_col, text_col, length, gram, combine_rows) -> DataFrame:
     """(doc_id, text, runs): every document beside its later-copy runs (null: none)."""
     docs, once = keyed_documents(df, id_col, text_col)
     refined = stored(refine(sampled_pointers(once, length, gram, combine_rows)), "suffix-runs")
-    copies = refined.where("kind = 1").select("d", "w")
-    windows = later_windows(single_windows(once, refined.where("kind = 2").select("d", "w"), length))
-    return docs.join(_by_document(copies.unionAll(windows)), "d", "left").select("doc_id", "text", "runs")
+    blocks = refine(window_blocks(once, refined.where("kind = 2").select("d", "w"), length))
+    windows = later_windows(single_windows(once, blocks.where("kind = 2").select("d", "w"), length))
+    copies = refined.where("kind = 1").select("d", "w").unionAll(blocks.where("kind = 1").select("d", "w")).unionAll(windows)
+    return docs.join(_by_document(copies), "d", "left").select("doc_id", "text", "runs")
 
 
 def kept_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
