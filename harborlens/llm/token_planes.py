@@ -17,7 +17,9 @@ come first; equal doc_ids are ordered by text; an empty table gives no chunk.
 
 from __future__ import annotations
 
-import re
+import os
+import sys
+import types
 import zlib
 from collections import deque
 
@@ -28,45 +30,138 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from harborlens.llm.textkit import new_path, text_chunks, text_view
+from harborlens.llm.textkit import BYTE_KEYS, POWER_BASE, SLOT_KEYS, WORD_KEYS, mix64, new_path, span_hashes, stored, text_chunks, text_view, utf8, word_spans
 
 CHUNK_IDS = 1 << 16
 END_ID = 0
-CACHE_PIECES = 400_000
-ENCODE_BYTES = 1 << 19
+MAX_UNITS = 2_500_000
+ENCODE_BYTES = 1 << 20
 CHUNK_SCHEMA = ("block int, chunk long, n_ids int, planes array<int>, payload binary, "
                 "ordinals array<long>, doc_ids array<long>, lengths array<int>")
-# Two white-space characters in a row with a space among them: pieces cut at spaces would not be independent there.
-_SPACES = re.compile(r" \s|\s ")
 
 
 class Encoder:
-    """Whole texts to little-endian uint32 ids with a byte-level BPE tokenizer file.
+    """Whole texts to ids with a byte-level BPE tokenizer file.
 
-    Such a tokenizer splits a text into pre-tokens before it merges, and a space
-    between two non-space characters always begins one.  So the pieces between
-    spaces are encoded once each and kept; a text where spaces meet other white
-    space is encoded whole."""
+    Such a tokenizer splits a text into pre-tokens before it merges.  Where single
+    spaces or line ends stand between words, a pre-token begins at each of them, so
+    a word with its space, a word after a line end, and the line end are encoded
+    alone.  Each such unit is encoded once and its ids are kept under 128 bits of
+    its hash; rows are then put together by array lookups.  A row with any other
+    white space is encoded whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_units: int = MAX_UNITS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.pieces: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _SPACES.search(t) or t.startswith(" ") or t.endswith(" ") else t.replace(" ", "\0 ").split("\0")
-               if "\0" not in t else None for t in texts]
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        new = list({p for c in cut if c for p in c}.difference(self.pieces))
-        self.pieces.update(zip(new, self._encode(new)))
-        whole = iter(self._encode([t for t, c in zip(texts, cut) if c is None]))
-        get = self.pieces.__getitem__
-        return [next(whole) if c is None else b"".join(map(get, c)) for c in cut]
+        self.line_end = self._encode(["\n"])[0]
+        self.max_units = max_units
+        self._forget()
+
+    @staticmethod
+    def for_worker(path: str) -> Encoder:
+        """One encoder, with the units it knows, for all tasks that a Python worker process runs."""
+        kept = sys.modules.setdefault("_harborlens_worker", types.ModuleType("_harborlens_worker")).__dict__
+        if path not in kept:
+            kept[path] = Encoder(path)
+        return kept[path]
+
+    def _forget(self):
+        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]   # (sorted keys, unit numbers): all, recent
+        self.check, self.whole = np.zeros(0, np.uint64), np.zeros(0, bool)                  # second hash; cannot stand alone
+        self.begin, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_units(self, units: list[str]) -> list[np.ndarray]:
+        """Many units in one call, divided by line ends, each of which is a token of its own there."""
+        out = []
+        for lo in range(0, len(units), 2000):
+            some = units[lo:lo + 2000]
+            ids = self._encode(["\n".join(some)])[0]
+            cut = np.flatnonzero(ids == self.line_end[0])
+            if len(self.line_end) == 1 and len(cut) == len(some) - 1:
+                ends = [0, *(cut + 1).tolist(), len(ids) + 1]
+                out += [ids[a:b - 1] for a, b in zip(ends, ends[1:])]
+            else:
+                out += self._encode(some)
+        return out
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        unit = np.full(len(keys), -1, np.int64)
+        for known, number in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                unit = np.where(known[at] == keys, number[at], unit)
+        return unit
+
+    def _learn(self, keys, check, units: list[str]) -> np.ndarray:
+        # A unit with white space of another kind at an edge might join a neighbour's: its rows are encoded whole.
+        odd = np.array([u[0 if u[0] != " " else 1].isspace() or u[-1].isspace() for u in units], bool)
+        got = self._encode_units(units)
+        size = np.array([len(g) for g in got], np.int64)
+        number = len(self.size) + np.arange(len(units))
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, *got])
+        self.check, self.whole = np.concatenate([self.check, check]), np.concatenate([self.whole, odd])
+        to = 0 if len(self.tables[1][0]) > self.max_units // 16 else 1
+        merged = [np.concatenate(x) for x in zip(*self.tables[to:], (keys, number))]
+        order = np.argsort(merged[0])
+        self.tables[to] = (merged[0][order], merged[1][order])
+        if to == 0:
+            self.tables[1] = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return number
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+        """Ids of each row of UTF-8 text (``data`` between the offsets)."""
+        n = len(off) - 1
+        start, end, row = word_spans(data, off)
+        key, check = span_hashes(data, start, end, BYTE_KEYS, WORD_KEYS * POWER_BASE + BYTE_KEYS[::-1])
+        head = np.zeros(len(start) + 1, bool)
+        head[row[:-1]] = True
+        head = head[:-1]
+        of = np.repeat(np.arange(n), np.diff(row))
+        before = np.where(head, off[of], np.append(-1, end[:-1])) if len(start) else start
+        prior = data[np.maximum(start - 1, 0)] if len(start) else data[:0]
+        plain = np.where(head, start == before, (start - before == 1) & ((prior == 32) | (prior == 10)))
+        ends = np.ones(n, bool)
+        full = row[1:] > row[:-1]
+        ends[full] = end[row[1:][full] - 1] == off[1:][full]
+        ends[~full] = off[1:][~full] == off[:-1][~full]
+        whole = ~ends
+        np.logical_or.at(whole, of[~plain], True)
+        spaced, lined = ~head & (prior == 32), ~head & (prior == 10)
+        key = np.where(spaced, mix64(key + SLOT_KEYS[7]), key)
+        if len(self.size) > self.max_units:
+            self._forget()
+        u, at, inv = np.unique(key, return_index=True, return_inverse=True)
+        unit = self._find(u)
+        new = np.flatnonzero(unit < 0)
+        if len(new):
+            raw = data.tobytes()
+            unit[new] = self._learn(u[new], check[at[new]], [(" " if spaced[i] else "") + raw[start[i]:end[i]].decode() for i in at[new].tolist()])
+        unit = unit[inv]
+        np.logical_or.at(whole, of[self.whole[unit] | (self.check[unit] != check)], True)
+        # Each word gives its unit's ids, after the line end's where one stands before it.
+        size = self.size[unit]
+        lead = np.where(lined, len(self.line_end), 0)
+        total = np.cumsum(size + lead)
+        ids = np.empty(int(total[-1]) if len(total) else 0, np.uint32)
+        to = total - size
+        for j, x in enumerate(self.line_end):
+            ids[(to - lead)[lined] + j] = x
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        ids[np.repeat(to, size) + within] = self.ids[np.repeat(self.begin[unit], size) + within]
+        cut = np.append(0, total)[row]
+        out = [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        again = np.flatnonzero(whole)
+        texts = [data[off[i]:off[i + 1]].tobytes().decode() for i in again]
+        for i, x in zip(again, self._encode(texts)):
+            out[i] = x
+        return out
 
 
 def to_planes(ids: np.ndarray, unit: str = "byte") -> list[bytes]:
@@ -96,12 +191,12 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "d
     """Encode every text and write the chunks to ``path``, one ordered block per range of doc_ids.
 
     One shuffle (range by doc_id); each task streams over its sorted documents and
-    holds the ids of half a megabyte of text (or one document) and one open chunk."""
+    holds the ids of one megabyte of text (or one document) and one open chunk."""
     docs = text_view(df, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        enc = Encoder(tokenizer)
+        enc = Encoder.for_worker(tokenizer)
         zip_ = zstandard.ZstdCompressor(level=level)
         held, waiting, chunk, block, ordinal = [], 0, 0, 0, 0
         parts: deque[tuple[int, int | None, int]] = deque()  # ordinal, doc_id, ids waiting
@@ -130,10 +225,10 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "d
 
         for batch in text_chunks(batches, max_bytes=ENCODE_BYTES):
             block = batch.column("part")[0].as_py()
-            for d, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
-                held += [ids, end]
-                parts.append((ordinal, d, len(ids) // 4 + 1))
-                waiting += len(ids) // 4 + 1
+            for d, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(*utf8(batch.column("text")))):
+                held += [ids.astype("<u4").tobytes(), end]
+                parts.append((ordinal, d, len(ids) + 1))
+                waiting += len(ids) + 1
                 ordinal += 1
             if waiting >= chunk_ids:
                 yield from cut(False)
@@ -210,7 +305,7 @@ def read_token_files(spark: SparkSession, path: str, unit: str = "byte") -> Data
     sizes = chunks.groupBy("block").agg(F.sum("n_ids").alias("n"), F.max("n_ids").alias("chunk_ids"))
     begins = sizes.select(F.col("block").alias("b"), "chunk_ids",
                           (F.sum("n").over(W.orderBy("block")) - F.col("n")).alias("begin"))
-    docs = parts.groupBy("block", "ordinal").agg(
+    docs = stored(parts, "token-parts").groupBy("block", "ordinal").agg(
         F.first("doc_id").alias("doc_id"), F.sum("length").alias("n_tokens"), F.min("chunk").alias("chunk"),
         F.min_by("at", "chunk").alias("at"), F.count("*").alias("n_parts"), F.first("crc").alias("crc"),
         F.collect_list(F.struct("chunk", "length", "crc")).alias("parts"))
