@@ -184,10 +184,10 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
 
 def _frequencies(docs: DataFrame, block: Block) -> np.ndarray:
     """Documents that hold each n-gram of the block, counted over the whole corpus (one number a gram)."""
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(block))
 
     def run(batches):
-        b = shared.value
+        b = Block(**shared.value)
         total = np.zeros(len(b.grams), np.int64)
         for batch in text_chunks(batches):
             h, row, _, _ = words(*utf8(batch.column("text")))
@@ -217,10 +217,10 @@ def _rare(block: Block, freq: np.ndarray, slack: int) -> np.ndarray:
 
 
 def _aligned(docs: DataFrame, block: Block, threshold: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(block))
 
     def run(batches):
-        b = shared.value
+        b = Block(**shared.value)
         for batch in text_chunks(batches):
             h, row, _, _ = words(*utf8(batch.column("text")))
             got = align_rows(b, h, row, threshold)
