@@ -49,7 +49,7 @@ def cpu_millis(col) -> Column:
 def memory_bytes(col) -> Column:
     """Memory quantity to bytes: ``128Mi``, ``1Gi``, ``500M``, ``1024``."""
     c = F.trim(_c(col))
-    num = F.regexp_extract(c, r"^([0-9.]+)", 1).cast("double")
+    num = F.regexp_extract(c, r"^([0-9.]+)", 1).try_cast("double")
     unit = F.regexp_extract(c, r"^[0-9.]+([A-Za-z]*)$", 1)
     mult = F.when(unit == "", F.lit(1))
     for suffix, m in {**BINARY_SUFFIXES, **DECIMAL_SUFFIXES}.items():
@@ -87,7 +87,7 @@ def ipv4_to_long(col) -> Column:
 
 
 def cidr_prefix(col) -> Column:
-    return F.coalesce(F.regexp_extract(_c(col), r"/(\d+)$", 1).cast("int"), F.lit(32))
+    return F.coalesce(F.regexp_extract(_c(col), r"/(\d+)$", 1).try_cast("int"), F.lit(32))
 
 
 def cidr_low(col) -> Column:

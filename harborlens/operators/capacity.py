@@ -4,7 +4,8 @@ utilisation and node-group capacity.
 Scale notes.  Raw rows are only ever aggregated (partial aggregation, shuffle on
 the group keys); every window function runs over the per-poll series, which
 has one row per (queue, poll) whatever the message volume, partitioned by
-queue.  Dense poll grids come from ``sequence`` + ``explode`` per queue.
+(queue, day), with what one day hands to the next carried by a series of one row
+a day.  Dense poll grids are made day by day.
 """
 
 from __future__ import annotations
@@ -36,41 +37,85 @@ def backlog_series(jobs: DataFrame, step_s: int = 10, by: str = "queue", arrived
                            .select(by, poll_after(F.col(done), step_s).alias("poll_ts"),
                                    F.lit(0).alias("arr"), F.lit(1).alias("dn"))))
     per_poll = deltas.groupBy(by, "poll_ts").agg(F.sum("arr").alias("arrived"), F.sum("dn").alias("done"))
-    grid = (per_poll.groupBy(by).agg(F.min("poll_ts").alias("lo"), F.max("poll_ts").alias("hi"))
-            .select(by, F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {int(step_s)} SECONDS")))
-                    .alias("poll_ts")))
-    dense = grid.join(per_poll, [by, "poll_ts"], "left").fillna(0, ["arrived", "done"])
-    w = Window.partitionBy(by).orderBy("poll_ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return dense.select(by, "poll_ts", F.col("arrived").cast("bigint").alias("arrived"),
-                        F.col("done").cast("bigint").alias("done"),
-                        F.sum(F.col("arrived") - F.col("done")).over(w).cast("bigint").alias("backlog"))
+    # The grid is made day by day and then poll by poll, so no array is longer than
+    # the days between a queue's first and last poll or the polls of one day.
+    tt = per_poll.schema["poll_ts"].dataType
+    step = F.expr(f"INTERVAL {int(step_s)} SECONDS")
+    spans = per_poll.groupBy(by).agg(F.min("poll_ts").alias("lo"), F.max("poll_ts").alias("hi"))
+    days = spans.select(by, "lo", "hi", F.explode(F.sequence(_day("lo"), _day("hi"), F.expr("INTERVAL 1 DAY"))).alias("begin"))
+    days = days.withColumn("begin", F.col("begin").cast(tt))
+    skipped = F.ceil(micros_between("begin", "lo", tt) / (int(step_s) * 1_000_000)).cast("bigint")
+    first = F.when(F.col("begin") > F.col("lo"), F.timestamp_add("SECOND", skipped * int(step_s), F.col("lo"))).otherwise(F.col("lo"))
+    last = F.least(F.col("hi"), F.timestamp_add("MICROSECOND", F.lit(-1), F.timestamp_add("DAY", F.lit(1), F.col("begin"))))
+    grid = (days.select(by, first.alias("first"), last.alias("last")).where(F.col("first") <= F.col("last"))
+            .select(by, F.explode(F.sequence("first", "last", step)).alias("poll_ts")))
+    other = per_poll.select(F.col(by).alias("_by"), F.col("poll_ts").alias("_poll"), "arrived", "done")
+    dense = grid.join(other, grid[by].eqNullSafe(F.col("_by")) & (grid["poll_ts"] == F.col("_poll")), "left").select(
+        by, "poll_ts", F.coalesce("arrived", F.lit(0)).cast("bigint").alias("arrived"), F.coalesce("done", F.lit(0)).cast("bigint").alias("done"))
+    change = F.col("arrived") - F.col("done")
+    carried = _carry(dense.withColumn("day", _day("poll_ts")), by, "poll_ts", "before",
+                     F.sum(change), lambda w: F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    inside = F.sum(change).over(_in_day(by, "poll_ts").rowsBetween(Window.unboundedPreceding, 0))
+    return carried.select(by, "poll_ts", "arrived", "done", (inside + F.coalesce("before", F.lit(0))).cast("bigint").alias("backlog"))
+
+
+def _day(c: str) -> Column:
+    """The calendar day a row is in: only a way to cut a queue's series into bounded stretches."""
+    return F.to_date(F.col(c))
+
+
+def _in_day(by: str, ts: str):
+    """Rows of one (queue, day), in time order."""
+    return Window.partitionBy(by, "day").orderBy(ts)
+
+
+def _carry(df: DataFrame, by: str, ts: str, out: str, per_day: Column, over_days) -> DataFrame:
+    """``df`` (with its ``day``) and in ``out`` what a queue's other days hand to this one.
+
+    ``per_day`` aggregates a day's rows to column ``_c``; ``over_days`` combines it
+    over a queue's days (a window over one row a day).  So no window spans more
+    than a day of rows, however long or busy a queue is."""
+    days = df.groupBy(by, "day").agg(per_day.alias("_c"))
+    w = Window.partitionBy(by).orderBy("day")
+    handed = days.select(F.col(by).alias("_by"), F.col("day").alias("_day"), over_days(w).alias(out))
+    return df.join(handed, df[by].eqNullSafe(F.col("_by")) & (df["day"] == F.col("_day"))).drop("_by", "_day")
+
+
+def _last_before(w):
+    return F.last("_c", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
 
 
 def replica_demand(backlog: DataFrame, per: int = 5, lo: int = 0, hi: int = 5, cooldown_s: int = 60,
                    by: str = "queue", ts: str = "poll_ts", value: str = "backlog") -> DataFrame:
     """B2: workers wanted at each poll: ``clamp(ceil(backlog/per), lo, hi)``;
     it may fall to zero only when no poll in the last ``cooldown_s`` seconds
-    (the current one included) saw a backlog, otherwise it stays at least 1."""
-    secs = F.floor(epoch_micros(ts, backlog.schema[ts].dataType) / 1_000_000)
-    w = (Window.partitionBy(by).orderBy(secs)
-         .rangeBetween(-(int(cooldown_s) - 1), Window.currentRow))
-    recent = F.max(F.col(value)).over(w)
+    (the current one included) saw a backlog, otherwise it stays at least 1.
+
+    The cooldown asks for the last poll with a backlog, which is carried from day
+    to day, and not for a window over the queue."""
+    rows = backlog.select(by, ts, value).withColumn("day", _day(ts))
+    busy = F.when(F.col(value) > 0, F.col(ts))
+    rows = _carry(rows, by, ts, "earlier", F.max(busy), _last_before)
+    last_busy = F.coalesce(F.max(busy).over(_in_day(by, ts).rowsBetween(Window.unboundedPreceding, 0)), F.col("earlier"))
+    secs = lambda c: F.floor(epoch_micros(c, backlog.schema[ts].dataType) / 1_000_000)
+    rows = rows.withColumn("last_busy", last_busy)
+    recent = F.coalesce(secs(ts) - secs("last_busy") < int(cooldown_s), F.lit(False))
     raw = F.least(F.greatest(F.ceil(F.col(value) / F.lit(per)).cast("int"), F.lit(lo)), F.lit(hi))
-    floor_ = F.when(recent > 0, F.greatest(F.lit(lo), F.lit(min(1, hi)))).otherwise(F.lit(lo))
-    return backlog.select(by, ts, value, F.greatest(raw, floor_).cast("int").alias("replicas"))
+    floor_ = F.when(recent, F.greatest(F.lit(lo), F.lit(min(1, hi)))).otherwise(F.lit(lo))
+    return rows.select(by, ts, value, F.greatest(raw, floor_).cast("int").alias("replicas"))
 
 
 def scaling_stability(demand: DataFrame, window: str = "1 day", by: str = "queue", ts: str = "poll_ts",
                       value: str = "replicas") -> DataFrame:
     """Per queue and tumbling window: polls, scale changes and direction
     reversals (a change whose sign differs from the previous change's)."""
-    w = Window.partitionBy(by).orderBy(ts)
-    delta = F.col(value) - F.lag(value).over(w)
-    s1 = demand.select(by, ts, value, delta.alias("delta"))
-    sign = F.when(F.col("delta") != 0, F.signum("delta"))
-    prev_sign = F.last(sign, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    s2 = s1.select(by, ts, "delta", sign.alias("sign"), prev_sign.alias("prev_sign"))
-    return (s2.groupBy(by, F.window(ts, window)["start"].alias("window_start"))
+    rows = _carry(demand.select(by, ts, value).withColumn("day", _day(ts)), by, ts, "earlier", F.max_by(value, ts), _last_before)
+    delta = F.col(value) - F.coalesce(F.lag(value).over(_in_day(by, ts)), F.col("earlier"))
+    s1 = rows.select(by, ts, "day", delta.alias("delta"))
+    s1 = s1.withColumn("sign", F.when(F.col("delta") != 0, F.signum("delta")))
+    s2 = _carry(s1, by, ts, "earlier_sign", F.max_by("sign", F.when(F.col("sign").isNotNull(), F.col(ts))), _last_before)
+    prev = F.coalesce(F.last("sign", ignorenulls=True).over(_in_day(by, ts).rowsBetween(Window.unboundedPreceding, -1)), F.col("earlier_sign"))
+    return (s2.withColumn("prev_sign", prev).groupBy(by, F.window(ts, window)["start"].alias("window_start"))
             .agg(F.count(F.lit(1)).alias("polls"),
                  F.count(F.when(F.col("delta") != 0, 1)).alias("scale_changes"),
                  F.count(F.when(F.col("sign") != F.col("prev_sign"), 1)).alias("reversals")))
@@ -81,13 +126,16 @@ def backlog_recovery(backlog: DataFrame, threshold: int, by: str = "queue", ts:
     """Episodes of consecutive polls above ``threshold``: start, last poll
     above, peak, the poll at which the backlog was back to normal (NULL if it
     never was) and the seconds that took from the start."""
-    w = Window.partitionBy(by).orderBy(ts)
-    s = backlog.select(by, ts, value, F.lead(ts).over(w).alias("next_ts"),
-                       (F.col(value) > threshold).alias("above"), F.row_number().over(w).alias("rn"))
-    above = s.where("above")
-    wa = Window.partitionBy(by).orderBy(ts)
-    isl = above.withColumn("grp", F.col("rn") - F.row_number().over(wa))
-    ep = (isl.groupBy(by, "grp")
+    s = backlog.select(by, ts, value, (F.col(value) > threshold).alias("above")).withColumn("day", _day(ts))
+    s = _carry(s, by, ts, "later", F.min(ts), lambda w: F.lead("_c").over(w))
+    s = _carry(s, by, ts, "earlier", F.max_by("above", ts), _last_before)
+    w = _in_day(by, ts)
+    s = s.withColumn("next_ts", F.coalesce(F.lead(ts).over(w), F.col("later")))
+    begins = F.col("above") & ~F.coalesce(F.lag("above").over(w), F.col("earlier"), F.lit(False))
+    s = s.withColumn("begins", begins.cast("int")).where("above")
+    s = _carry(s, by, ts, "before", F.sum("begins"), lambda w: F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    grp = F.coalesce("before", F.lit(0)) + F.sum("begins").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ep = (s.withColumn("grp", grp).groupBy(by, "grp")
           .agg(F.min(ts).alias("start_ts"), F.max(ts).alias("last_above_ts"), F.max(value).alias("peak"),
                F.count(F.lit(1)).alias("polls_above"),
                # next poll after the last one above; NULL when the series ends above
@@ -129,14 +177,22 @@ def _div_round(num: str, den: str) -> Column:
 
 
 def capacity_gap(pods: DataFrame, groups: DataFrame | None = None, group: str = "namespace",
-                 min_nodes: int = 1, max_nodes: int = 2, node_cpu_m: int = 2000) -> DataFrame:
+                 min_nodes: int = 1, max_nodes: int = 2, node_cpu_m: int = 2000,
+                 containers: DataFrame | None = None) -> DataFrame:
     """Requested CPU per node group, nodes needed within [min, max] and the
     CPU left unmet at the maximum.  Aggregate demand only; placement is not
-    modelled.  ``groups`` may give ``(group, min_nodes, max_nodes, node_cpu_m)``
+    modelled.  ``pods`` are nested pods, or (pod, group) rows beside
+    ``containers`` (pod, init, requests; one row a container), which are then summed per
+    pod map-side before they meet the pods; init containers run before the
+    others and add nothing.  ``groups`` may give ``(group, min_nodes, max_nodes, node_cpu_m)``
     per group (broadcast behind a row-count check)."""
-    cont = pods.select(group, F.explode_outer("containers").alias("c"))
-    req = cont.groupBy(group).agg(F.coalesce(F.sum(cpu_millis(F.col("c.requests.cpu"))), F.lit(0))
-                                  .cast("bigint").alias("requested_m"))
+    if containers is None:
+        per = pods.select(group, F.explode_outer("containers").alias("c")).select(group, cpu_millis(F.col("c.requests.cpu")).alias("m"))
+    else:
+        main = containers.where(~F.coalesce(F.col("init"), F.lit(False)))
+        sums = main.groupBy("pod").agg(F.sum(cpu_millis(F.col("requests.cpu"))).alias("m"))
+        per = pods.select("pod", group).join(sums, "pod", "left")
+    req = per.groupBy(group).agg(F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("requested_m"))
     if groups is not None:
         g, _ = bounded_broadcast(groups)
         req = req.join(g, group, "left")

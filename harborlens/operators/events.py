@@ -59,47 +59,54 @@ def dedup(deliveries: DataFrame, key: str | Sequence[str] = "event_id",
     """Keep the first delivery per event (earliest by ``order``).
 
     ``min_by`` over a struct of the row is an aggregate, so it combines map-side.
-    Idempotent: ``dedup(dedup(x)) == dedup(x)``."""
+    Idempotent: ``dedup(dedup(x)) == dedup(x)``.  Rows without a key cannot be told
+    to be the same event, so all of them are kept."""
     keys = _cols(key)
     rest = [c for c in deliveries.columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("_first")
-    return deliveries.groupBy(*keys).agg(first).select(*keys, "_first.*")
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    kept = deliveries.where(known).groupBy(*keys).agg(first).select(*keys, "_first.*")
+    return kept.unionByName(deliveries.where(~known).select(*keys, *rest))
 
 
 def replica_consistency(deliveries: DataFrame, truth: DataFrame, key: str = "user_id",
                         value: str = "value", event: str = "event_id",
                         attempt: str = "attempt", replicas: Sequence[int] = (1, 2, 5),
-                        method: str = "plain") -> DataFrame:
+                        method: str = "plain", order: Sequence[str] = ("delivered_ts", "attempt")) -> DataFrame:
     """Final per-key totals at several replica counts, naive vs idempotent,
     compared with the truth.
 
-    naive: each replica only remembers the events it saw itself, so an event
-    redelivered to another replica is counted again.  idempotent: totals over
-    the deduplicated deliveries.  Output: one row per (replicas, mode) with the
-    number of keys and the number whose total differs from the truth.
-    Replica counts fan out through ``explode`` (a generator), not a join."""
-    counts = F.array(*[F.lit(int(n)) for n in replicas])
-    fan = deliveries.select(key, event, attempt, value, F.explode(counts).alias("replicas"))
-    fan = fan.withColumn("replica", replica_expr(F.col(key), F.col(attempt), F.col("replicas"), method))
-    # Per replica, an event is applied once however often that replica saw it.
-    seen = (fan.groupBy("replicas", "replica", event, key).agg(F.max(value).alias(value)))
-    naive = (seen.groupBy("replicas", key).agg(F.sum(value).alias("total"))
-             .withColumn("mode", F.lit("naive")))
-    # Idempotent: once per event across all replicas (what E3/E5 guarantee).
-    # Built from the same aggregate, so the deliveries are read and shuffled once.
-    once = seen.groupBy("replicas", event, key).agg(F.max(value).alias(value))
-    idem = (once.groupBy("replicas", key).agg(F.sum(value).alias("total"))
-            .withColumn("mode", F.lit("idempotent")))
-    computed = naive.unionByName(idem)
-    modes = F.array(*[F.struct(F.lit(int(n)).alias("replicas"), F.lit(m).alias("mode"))
-                      for n in replicas for m in ("naive", "idempotent")])
-    true_totals = (truth.groupBy(key).agg(F.sum(value).alias("truth"))
-                   .select(key, "truth", F.inline(modes)))
-    joined = computed.join(true_totals, ["replicas", "mode", key], "full_outer")
-    differs = ~F.col("total").eqNullSafe(F.col("truth"))
-    return (joined.groupBy("replicas", "mode")
-            .agg(F.count(F.lit(1)).alias("keys"),
-                 F.count(F.when(differs, 1)).alias("keys_differ")))
+    An event's value is that of its first delivery.  idempotent: every event once
+    (what E3/E5 guarantee).  naive: each replica only remembers the events it saw
+    itself, so an event counts once for every replica that saw it.  Output: one row
+    per (replicas, mode) with the number of keys and the number whose total differs
+    from the truth.
+
+    One shuffle on the event (first value, and the set of replicas that saw it at
+    each replica count, at most n values) and one on the key, for computed and true
+    rows together; the results at all replica counts lie side by side in one row
+    until the end."""
+    counts = [int(n) for n in replicas]
+
+    def seen_by(n: int) -> Column:
+        r = replica_expr(F.col(key), F.col(attempt), n, method)
+        if n <= 63:
+            return F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), r)))
+        return F.size(F.collect_set(r))
+
+    per_event = deliveries.groupBy(event, key).agg(
+        F.min_by(value, F.struct(*[F.col(c) for c in order])).alias("_v"), *[seen_by(n).alias(f"_r{n}") for n in counts])
+    # Computed and true rows meet in one aggregation by key, NULL keys included, and not in a join.
+    each = per_event.select(key, F.col("_v").alias("_idem"), *[(F.col("_v") * F.col(f"_r{n}")).alias(f"_n{n}") for n in counts])
+    both = each.unionByName(truth.select(key, F.col(value).alias("_truth")), allowMissingColumns=True)
+    joined = both.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_idem", *(f"_n{n}" for n in counts), "_truth")])
+    rows = F.array(*[F.struct(F.lit(n).alias("replicas"), F.lit(m).alias("mode"),
+                              (~F.col(c).cast("decimal(38,6)").eqNullSafe(F.col("_truth").cast("decimal(38,6)"))).alias("differs"))
+                     for n in counts for m, c in (("naive", f"_n{n}"), ("idempotent", "_idem"))])
+    return (joined.select(F.inline(rows)).groupBy("replicas", "mode")
+            .agg(F.count(F.lit(1)).alias("keys"), F.count(F.when(F.col("differs"), 1)).alias("keys_differ")))
 
 
 def retry_schedule(attempts: DataFrame, key: str = "event_id", attempt: str = "attempt",

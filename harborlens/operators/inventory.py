@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from harborlens.functions.scalars import tag_value
 from harborlens.operators.joins import bounded_broadcast
 
-INVENTORY_COLUMNS = ("kind", "id", "state", "type", "size_gb", "az", "name", "tags")
+INVENTORY_COLUMNS = ("kind", "id", "state", "type", "size_gb", "az", "name", "tags", "subnet", "vpc", "public_ip", "scheme", "dns_name")
 TAGS_TYPE = "array<struct<Key:string,Value:string>>"
 
 # States in which a resource of a kind still exists and costs.
@@ -59,15 +59,15 @@ def flatten_ebs(pages: DataFrame) -> DataFrame:
 
 def flatten_nat(pages: DataFrame) -> DataFrame:
     n = pages.select(F.inline("NatGateways"))
-    tags = F.col("Tags") if "Tags" in n.columns else None
-    return _shape(n, "nat", id=F.col("NatGatewayId"), state=F.col("State"),
-                  name=tag_value("Tags", "Name") if tags is not None else None, tags=tags)
+    return _shape(n, "nat", id=F.col("NatGatewayId"), state=F.col("State"), name=tag_value("Tags", "Name"), tags=F.col("Tags"),
+                  subnet=F.col("SubnetId"), vpc=F.col("VpcId"), public_ip=F.get(F.col("NatGatewayAddresses.PublicIp"), 0))
 
 
 def flatten_elb(pages: DataFrame) -> DataFrame:
     lb = pages.select(F.inline("LoadBalancers"))
     return _shape(lb, "elb", id=F.col("LoadBalancerName"), state=F.col("State.Code"), type=F.col("Type"),
-                  name=F.col("LoadBalancerName"))
+                  name=F.col("LoadBalancerName"), tags=F.col("Tags"), vpc=F.col("VpcId"), scheme=F.col("Scheme"),
+                  dns_name=F.col("DNSName"))
 
 
 def flatten_eks(pages: DataFrame) -> DataFrame:
@@ -77,8 +77,9 @@ def flatten_eks(pages: DataFrame) -> DataFrame:
 
 def flatten_rds(pages: DataFrame) -> DataFrame:
     d = pages.select(F.inline("DBInstances"))
-    return _shape(d, "rds", id=F.col("id"), state=F.col("state"), type=F.col("type"), size_gb=F.col("size_gb"),
-                  az=F.col("az"))
+    return _shape(d, "rds", id=F.col("DBInstanceIdentifier"), state=F.col("DBInstanceStatus"), type=F.col("DBInstanceClass"),
+                  size_gb=F.col("AllocatedStorage"), az=F.col("AvailabilityZone"), name=F.col("DBInstanceIdentifier"),
+                  tags=F.col("TagList"))
 
 
 FLATTENERS = {"ec2": flatten_ec2, "ebs": flatten_ebs, "nat": flatten_nat, "elb": flatten_elb,
@@ -87,7 +88,7 @@ FLATTENERS = {"ec2": flatten_ec2, "ebs": flatten_ebs, "nat": flatten_nat, "elb":
 
 def resource_inventory(sources: Mapping[str, DataFrame]) -> DataFrame:
     """A1: API responses of up to six kinds -> one table
-    ``(kind, id, state, type, size_gb, az, name, tags)``.  ``sources`` maps a
+    of ``INVENTORY_COLUMNS``; what a kind does not have is NULL.  ``sources`` maps a
     kind (ec2, ebs, nat, elb, eks, rds) to its pages in the API's nested shape."""
     parts = [FLATTENERS[k](df) for k, df in sources.items()]
     out = parts[0]
@@ -109,12 +110,11 @@ def tag_scope(inventory: DataFrame, tags: Mapping[str, str], live_states: Mappin
     for k, want in tags.items():
         missing = missing | vals[k].isNull()
         mismatch = mismatch | (vals[k] != F.lit(want))
-    live = F.lit(None).cast("boolean")
+    live = F.lit(True)   # kinds without a list of states
     for kind, states in live_states.items():
-        live = F.when(F.col("kind") == kind, F.col("state").isin(*states)).otherwise(live)
-    live = F.coalesce(live, F.lit(True))
+        live = F.when(F.col("kind") == kind, F.coalesce(F.col("state").isin(*states), F.lit(False))).otherwise(live)
     reason = (F.when(missing, "missing_tag").when(mismatch, "tag_mismatch")
-              .when(~F.coalesce(live, F.lit(False)), "state"))
+              .when(~live, "state"))
     return inventory.select("*", reason.alias("exclusion_reason")).withColumn(
         "in_scope", F.col("exclusion_reason").isNull())
 
@@ -176,15 +176,17 @@ def upsert_only_merge(desired: DataFrame, actual: DataFrame, key: str = "k", val
     """What an upsert-only sync does: ``create`` (wanted, absent), ``update``
     (ours, value differs), ``noop`` (ours, equal), ``not_owned`` (exists under
     another owner: untouched), ``retained`` (exists, not wanted: never deleted).
-    ``domain`` restricts both sides to the managed domain first."""
-    d = desired.select(key, F.col(value).alias("desired_v"))
-    a = actual.select(key, F.col(value).alias("actual_v"), F.col(owner_col).alias("owner"))
+    A record without an owner is not ours.  ``domain`` (a condition on the key)
+    restricts both sides to the managed domain first."""
+    d = desired.select(key, F.col(value).alias("desired_v"), F.lit(True).alias("_wanted"))
+    a = actual.select(key, F.col(value).alias("actual_v"), F.col(owner_col).alias("owner"), F.lit(True).alias("_exists"))
     if domain is not None:
         d, a = d.where(domain), a.where(domain)
     j = d.join(a, key, "full_outer")
-    action = (F.when(F.col("owner").isNull() & F.col("actual_v").isNull(), "create")
-              .when(F.col("desired_v").isNull(), "retained")
-              .when(F.col("owner") != owner, "not_owned")
+    # presence is a flag of its own: values and owners may be NULL on either side
+    action = (F.when(F.col("_exists").isNull(), "create")
+              .when(F.col("_wanted").isNull(), "retained")
+              .when(~F.col("owner").eqNullSafe(F.lit(owner)), "not_owned")
               .when(F.col("desired_v").eqNullSafe(F.col("actual_v")), "noop")
               .otherwise("update"))
     return j.select(key, "desired_v", "actual_v", "owner", action.alias("action"))

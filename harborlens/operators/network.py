@@ -1,21 +1,22 @@
 """Network: traffic matrix, allowlist check and CIDR rule matching.
 
-Scale notes.  N1 is one aggregation (partial, shuffle on the edge).  N2 is two
-``left_anti`` joins (hash/sort-merge, NULL-safe, never ``NOT IN``).  N3 matches
+Scale notes.  N1 is one aggregation (partial, shuffle on the edge).  N2 is one full outer join (never ``NOT IN``).  N3 matches
 flows to CIDR rules without a range or nested-loop join: rules are grouped by
-(prefix length, network address) into a lookup that is broadcast behind a size
-check, and each flow probes it once per distinct prefix length, longest first.
-Flows stay in place: a chain of broadcast hash joins, no shuffle of flows.
+(prefix length, network address) into a small stored lookup, and each flow
+probes it once per distinct prefix length, longest first.  While a length's rules
+are below Spark's broadcast threshold in bytes, flows stay in place.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborlens.functions.scalars import cidr_low, cidr_prefix, ipv4_to_long
+from harborlens.session import scratch_path
 
 
 def traffic_matrix(flows: DataFrame, keys: Sequence[str] = ("src", "dst", "port"), bytes_col: str = "bytes",
@@ -39,7 +40,7 @@ def allowlist_check(matrix: DataFrame, allow: DataFrame, keys: Sequence[str] = (
     m = matrix.select(*keys, "flows").withColumn("_seen", F.lit(True))
     j = m.join(a, keys, "full_outer")
     finding = F.when(F.col("_allowed").isNull(), "denied_edge").when(F.col("_seen").isNull(), "unused_allow")
-    return (j.select(finding.alias("finding"), *keys, F.col("flows").cast("double").alias("flows"))
+    return (j.select(finding.alias("finding"), *keys, "flows")
             .where(F.col("finding").isNotNull()))
 
 
@@ -54,32 +55,39 @@ def _rule_lookup(rules: DataFrame) -> DataFrame:
     return r.groupBy("prefix", "network").agg(F.sort_array(F.collect_list(cand)).alias("cands"))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"rules-{uuid.uuid4().hex}")
+    df.write.partitionBy("prefix").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cidr_match(flows: DataFrame, rules: DataFrame, ip: str = "src_ip", port: str = "port",
-               protocol: str | None = None, max_rules: int = 100_000) -> DataFrame:
+               protocol: str | None = None) -> DataFrame:
     """Attach to each flow the rule whose CIDR (both bounds inclusive),
     port (NULL = any) and protocol (``-1`` = any) cover it; the longest prefix
-    wins.  Adds ``rule``, ``cidr``; NULL when nothing matches.
+    wins.  Adds ``rule``, ``cidr``; NULL when nothing matches.  ``protocol`` names
+    the flows' protocol column; without one, only rules for any protocol match.
+    A CIDR without ``/nn`` is one address; one that is no address matches nothing.
 
     ``rules``: ``rule, cidr, port, protocol``.  The prefix lengths present in
     the rule set (at most 33) are read once to shape the plan."""
-    lookup = _rule_lookup(rules)
-    # one small job, one row back: the size check and the prefix lengths (at
-    # most 33 distinct values) that shape the plan
-    n_rules, found = lookup.agg(F.count(F.lit(1)), F.collect_set("prefix")).first()
-    small = n_rules <= max_rules
+    # Grouped once and written: each prefix length below reads its part of the
+    # table, whose size Spark then knows (it broadcasts a part below its byte
+    # threshold and joins by shuffle above it).
+    lookup = _stored(_rule_lookup(rules).where(F.col("network").isNotNull()))
+    found = lookup.agg(F.collect_set("prefix")).first()[0]
     prefixes = sorted(found, reverse=True)
-    proto = F.col(protocol) if protocol else F.lit("tcp")
+    proto = F.col(protocol) if protocol else F.lit(None).cast("string")
     out = flows.withColumn("_ip", ipv4_to_long(F.col(ip)))
     picks = []
     for i, p in enumerate(prefixes):
         size = 1 << (32 - p)
         lk = lookup.where(F.col("prefix") == p).select(F.col("network").alias(f"_n{i}"),
                                                        F.col("cands").alias(f"_c{i}"))
-        lk = F.broadcast(lk) if small else lk
         net = F.col("_ip") - F.pmod(F.col("_ip"), F.lit(size))
         out = out.join(lk, net == F.col(f"_n{i}"), "left")
         hit = F.filter(F.col(f"_c{i}"), lambda c: (c["port"].isNull() | (c["port"] == F.col(port)))
-                       & ((c["protocol"] == "-1") | (c["protocol"] == proto)))
+                       & ((c["protocol"] == "-1") | F.coalesce(c["protocol"] == proto, F.lit(False))))
         picks.append(F.get(hit, 0))
     best = F.coalesce(*picks) if picks else F.lit(None).cast("struct<rule:string,cidr:string>")
     return out.withColumn("_best", best).select(*flows.columns, F.col("_best.rule").alias("rule"),

@@ -32,27 +32,35 @@ def _arr(col: str) -> Column:
     return F.coalesce(F.col(col), F.array())
 
 
-def _any(arr: Column, pred) -> Column:
-    return F.exists(arr, lambda c: F.coalesce(pred(c), F.lit(False)))
+def latest_tag(c: Column) -> Column:
+    """A container's image tag is ``latest``."""
+    return F.coalesce(image_tag(c["image"]) == "latest", F.lit(False))
+
+
+def missing_resources(c: Column) -> Column:
+    """A container lacks a non-empty cpu or memory in requests or limits
+    (``?*`` = at least one character: NULL and '' both count)."""
+    out = F.lit(False)
+    for f in (c["requests"]["cpu"], c["requests"]["memory"], c["limits"]["cpu"], c["limits"]["memory"]):
+        out = out | (F.coalesce(F.length(f), F.lit(0)) == 0)
+    return out
+
+
+def privileged(c: Column, strict: bool = False) -> Column:
+    """A container is privileged; ``strict``: it sets the key at all."""
+    return c["privileged"].isNotNull() if strict else F.coalesce(c["privileged"], F.lit(False))
 
 
 def latest_tag_violation(containers: str = "containers") -> Column:
     """G1: some container runs an image whose tag is ``latest`` (a missing tag
     counts as latest; a digest reference is pinned; a registry port is no tag).
     Only ``containers`` are inspected, as the policy does."""
-    return _any(_arr(containers), lambda c: image_tag(c["image"]) == "latest")
+    return F.exists(_arr(containers), latest_tag)
 
 
 def missing_resources_violation(containers: str = "containers") -> Column:
-    """Some container lacks a non-empty cpu or memory in requests or limits
-    (``?*`` = at least one character: NULL and '' both violate)."""
-    def missing(c):
-        fields = [c["requests"]["cpu"], c["requests"]["memory"], c["limits"]["cpu"], c["limits"]["memory"]]
-        out = F.lit(False)
-        for f in fields:
-            out = out | (F.coalesce(F.length(f), F.lit(0)) == 0)
-        return out
-    return _any(_arr(containers), missing)
+    """Some container lacks a cpu or memory request or limit."""
+    return F.exists(_arr(containers), missing_resources)
 
 
 def privileged_violation(containers: str = "containers", init: str = "initContainers",
@@ -61,8 +69,7 @@ def privileged_violation(containers: str = "containers", init: str = "initContai
     ``privileged = true`` violates (what the policy message says); ``strict``:
     the key may not be set at all, so even ``false`` violates (literal anchor
     reading)."""
-    pred = (lambda c: c["privileged"].isNotNull()) if strict else (lambda c: c["privileged"])
-    return _any(_arr(containers), pred) | _any(_arr(init), pred)
+    return F.exists(_arr(containers), lambda c: privileged(c, strict)) | F.exists(_arr(init), lambda c: privileged(c, strict))
 
 
 POLICIES = {
@@ -72,24 +79,46 @@ POLICIES = {
 }
 
 
-def check_pods(pods: DataFrame, policy: str, **kw) -> DataFrame:
+def with_verdicts(pods: DataFrame, containers: DataFrame | None = None, policies: Sequence[str] = tuple(POLICIES),
+                  strict: bool = False) -> DataFrame:
+    """(namespace, pod, one flag a policy) in either form of input.
+
+    ``pods`` alone: nested pods with their container arrays.  With ``containers``
+    (pod, init, image, privileged, requests, limits; one row a container) pods are
+    (pod, namespace) rows; containers are reduced to one row of flags a pod
+    map-side, however many a pod has, before they meet the pods."""
+    def nested(p):
+        return privileged_violation(strict=strict) if p == "disallow-privileged" else POLICIES[p]()
+
+    if containers is None:
+        return pods.select("namespace", "pod", *[nested(p).alias(p) for p in policies])
+    c = F.struct("image", "privileged", "requests", "limits")
+    main = ~F.coalesce(F.col("init"), F.lit(False))
+    rules = {"block-latest-tag": main & latest_tag(c), "require-requests-limits": main & missing_resources(c),
+             "disallow-privileged": privileged(c, strict)}
+    flags = containers.groupBy("pod").agg(*[F.bool_or(rules[p]).alias(p) for p in policies])
+    return (pods.select("namespace", "pod").join(flags, "pod", "left")
+            .select("namespace", F.col("pod").cast("string").alias("pod"), *[F.coalesce(F.col(f"`{p}`"), F.lit(False)).alias(p) for p in policies]))
+
+
+def check_pods(pods: DataFrame, policy: str, containers: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """One policy as a table: every pod with a ``violates`` flag."""
-    return pods.select("namespace", "pod", POLICIES[policy](**kw).alias("violates"))
+    return with_verdicts(pods, containers, [policy], strict).withColumnRenamed(policy, "violates")
 
 
-def deny_latest(pods: DataFrame) -> DataFrame:
+def deny_latest(pods: DataFrame, containers: DataFrame | None = None) -> DataFrame:
     """G1 on every pod: ``namespace, pod, violates``."""
-    return check_pods(pods, "block-latest-tag")
+    return check_pods(pods, "block-latest-tag", containers)
 
 
-def require_resources(pods: DataFrame) -> DataFrame:
+def require_resources(pods: DataFrame, containers: DataFrame | None = None) -> DataFrame:
     """G2 on every pod: ``namespace, pod, violates``."""
-    return check_pods(pods, "require-requests-limits")
+    return check_pods(pods, "require-requests-limits", containers)
 
 
-def disallow_privileged(pods: DataFrame, strict: bool = False) -> DataFrame:
+def disallow_privileged(pods: DataFrame, containers: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """G3 on every pod: ``namespace, pod, violates`` (``strict``: literal reading)."""
-    return check_pods(pods, "disallow-privileged", strict=strict)
+    return check_pods(pods, "disallow-privileged", containers, strict)
 
 
 def _in_scope(exclude: Sequence[str]) -> Column:
@@ -97,22 +126,21 @@ def _in_scope(exclude: Sequence[str]) -> Column:
 
 
 def policy_violations(pods: DataFrame, policies: Sequence[str] = tuple(POLICIES),
-                      exclude: Sequence[str] = POLICY_EXCLUDED_NAMESPACES, strict: bool = False) -> DataFrame:
+                      exclude: Sequence[str] = POLICY_EXCLUDED_NAMESPACES, strict: bool = False,
+                      containers: DataFrame | None = None) -> DataFrame:
     """G4 long form: one row per (pod, violated policy) outside excluded namespaces."""
-    def pred(p):
-        return privileged_violation(strict=strict) if p == "disallow-privileged" else POLICIES[p]()
+    verdicts = with_verdicts(pods.where(_in_scope(exclude)), containers, policies, strict)
     checks = F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(POLICY_MESSAGES[p]).alias("message"),
-                                pred(p).alias("violates")) for p in policies])
+                                F.col(f"`{p}`").alias("violates")) for p in policies])
     hits = F.filter(checks, lambda x: x["violates"])
-    return (pods.where(_in_scope(exclude))
-            .select("namespace", "pod", F.inline(F.transform(hits, lambda x: F.struct(x["policy"], x["message"])))))
+    return verdicts.select("namespace", "pod", F.inline(F.transform(hits, lambda x: F.struct(x["policy"], x["message"]))))
 
 
 def policy_report(pods: DataFrame, policies: Sequence[str] = tuple(POLICIES),
-                  exclude: Sequence[str] = POLICY_EXCLUDED_NAMESPACES, strict: bool = False
-                  ) -> tuple[DataFrame, DataFrame]:
+                  exclude: Sequence[str] = POLICY_EXCLUDED_NAMESPACES, strict: bool = False,
+                  containers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(long rows, counts per policy and namespace) from one pass."""
-    long = policy_violations(pods, policies, exclude, strict)
+    long = policy_violations(pods, policies, exclude, strict, containers)
     return long, policy_counts(long)
 
 

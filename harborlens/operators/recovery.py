@@ -14,10 +14,12 @@ bucket) joined back on (system, bucket).
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harborlens.functions.scalars import duration_seconds, micros_between, ts_literal
 
@@ -61,31 +63,78 @@ def restore_select(backups: DataFrame, name: str, namespaces: Sequence[str] | No
     return out
 
 
+def comparable(c: str, dtype: T.DataType) -> Column:
+    """A column as an array of hashable values: whether it is NULL, then the value.
+
+    A row hash skips NULLs, so without the flag ('x', NULL) and (NULL, 'x') would
+    hash alike.  MAP values, which have no hash, become their sorted entries, at
+    any depth; the flags go down into structs, arrays and maps as well."""
+    return _with_flags(F.col(f"`{c}`"), dtype)
+
+
+def _with_flags(v: Column, dtype: T.DataType) -> Column:
+    null = v.isNull()
+    if isinstance(dtype, T.MapType):
+        v = F.array_sort(F.transform(F.map_entries(v), lambda e: F.struct(
+            _with_flags(e["key"], dtype.keyType).alias("k"), _with_flags(e["value"], dtype.valueType).alias("v"))))
+    elif isinstance(dtype, T.ArrayType):
+        v = F.transform(v, lambda e: _with_flags(e, dtype.elementType))
+    elif isinstance(dtype, T.StructType):
+        v = F.struct(*[_with_flags(v[f.name], f.dataType).alias(f"f{i}") for i, f in enumerate(dtype.fields)])
+    return F.struct(null.alias("null"), v.alias("value"))
+
+
 def restore_verify(before: DataFrame, after: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Per key ``same``, ``missing`` (only before), ``extra`` (only after) or
     ``changed``.
 
-    Each side is reduced to one row per key first: the row count and the sum of
-    64-bit row hashes of all non-key columns (an order-free multiset digest,
-    partial aggregation map-side).  The full outer join is then 1:1 per key,
-    however many copies of a key either side holds."""
+    Each side is reduced to one row per key first: the row count and the sums of
+    two 64-bit hashes of all non-key columns, NULLs told apart from values (an
+    order-free multiset digest, partial aggregation map-side).  The full outer
+    join is then 1:1 per key, however many copies of a key either side holds, and
+    null-safe: a NULL key is one key.  The sides must have the same columns with
+    the same types; a key cannot be ``same`` when a column was added, dropped or
+    retyped, so every key on both sides is then ``changed``."""
     keys = [key] if isinstance(key, str) else list(key)
-    cols = [c for c in before.columns if c not in keys]
+    types = [{f.name: f.dataType for f in df.schema if f.name not in keys} for df in (before, after)]
+
+    def digest(df: DataFrame, name: str, of: dict) -> DataFrame:
+        values = [comparable(c, of[c]) for c in sorted(of)]
+        h = [F.xxhash64(F.lit(seed), *values).cast("decimal(38,0)") for seed in (1, 2)]
+        return df.groupBy(*[F.col(k).alias(f"{name}_k{i}") for i, k in enumerate(keys)]).agg(
+            F.count(F.lit(1)).alias(name + "_n"), F.sum(h[0]).alias(name + "_1"), F.sum(h[1]).alias(name + "_2"))
+
+    on = F.lit(True)
+    for i in range(len(keys)):
+        on = on & F.col(f"b_k{i}").eqNullSafe(F.col(f"a_k{i}"))
+    j = digest(before, "b", types[0]).join(digest(after, "a", types[1]), on, "full_outer")
+    equal = (F.col("a_n") == F.col("b_n")) & (F.col("a_1") == F.col("b_1")) & (F.col("a_2") == F.col("b_2"))
+    status = (F.when(F.col("a_n").isNull(), "missing").when(F.col("b_n").isNull(), "extra")
+              .when(equal & F.lit(types[0] == types[1]), "same").otherwise("changed"))
+    return j.select(*[F.coalesce(f"b_k{i}", f"a_k{i}").alias(k) for i, k in enumerate(keys)], status.alias("status"))
 
-    def digest(df: DataFrame, name: str) -> DataFrame:
-        h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name + "_n"), F.sum(h).alias(name))
 
-    j = digest(before, "b").join(digest(after, "a"), keys, "full_outer")
-    status = (F.when(F.col("a_n").isNull(), "missing").when(F.col("b_n").isNull(), "extra")
-              .when((F.col("a_n") == F.col("b_n")) & (F.col("a") == F.col("b")), "same").otherwise("changed"))
-    return j.select(*keys, status.alias("status"))
+def expire_backups(backups: DataFrame, as_of: dt.datetime, ts: str = "ts", ttl: str = "720h0m0s",
+                   expires: str = "expires_ts") -> DataFrame:
+    """Backups whose expiry is at or before ``as_of``.
+
+    A backup's own expiry (column ``expires``, as R1 writes it) counts; NULL there
+    means that it never expires.  Only a table without that column is given one
+    ``ttl`` for all, from column ``ts``.  Either way the filter compares a stored
+    column with a literal, so it reaches the scan."""
+    if expires in backups.columns:
+        return backups.where(F.col(expires) <= ts_literal(as_of))
+    secs = ttl_seconds(ttl)
+    out = backups.where(F.col(ts) <= ts_literal(as_of - dt.timedelta(seconds=secs)))
+    return out.withColumn(expires, F.timestamp_add("SECOND", F.lit(secs), F.col(ts)))
 
 
-def expire_backups(backups: DataFrame, as_of: dt.datetime, ts: str = "ts", ttl: str = "720h0m0s") -> DataFrame:
-    """Backups whose ttl has passed at ``as_of`` (expiry at or before it)."""
-    exp = F.timestamp_add("SECOND", duration_seconds(F.lit(ttl)), F.col(ts))
-    return backups.withColumn("expires_ts", exp).where(F.col("expires_ts") <= ts_literal(as_of))
+def ttl_seconds(ttl: str) -> int:
+    """Seconds of a fixed duration such as ``720h0m0s`` (a parameter, not a column)."""
+    parts = re.findall(r"(\d+)([dhms])", ttl)
+    if not parts or "".join(n + u for n, u in parts) != ttl:
+        raise ValueError(f"not a duration: {ttl!r}")
+    return sum(int(n) * {"d": 86400, "h": 3600, "m": 60, "s": 1}[u] for n, u in parts)
 
 
 TERMINAL_OK = ("Completed",)
@@ -93,15 +142,17 @@ TERMINAL_FAILED = ("Failed", "PartiallyFailed")
 
 
 def job_outcome(status_rows: DataFrame, as_of: dt.datetime, timeout_s: int = 600, job: str = "job",
-                ts: str = "ts", phase: str = "phase") -> DataFrame:
+                ts: str = "ts", phase: str = "phase", carry: Sequence[str] = ()) -> DataFrame:
     """Per job: start, first terminal phase, exact duration and outcome.
 
     ``completed``/``failed`` when a terminal phase arrives within ``timeout_s``
     (strictly greater is a timeout); ``timed_out`` when it arrives later or,
     with none yet, when more than ``timeout_s`` have passed at ``as_of``;
-    otherwise ``running``."""
+    otherwise ``running``.  ``carry`` names columns that are a job's own, such as
+    its kind, and come along."""
     terminal = F.col(phase).isin(*TERMINAL_OK, *TERMINAL_FAILED)
     g = status_rows.groupBy(job).agg(
+        *[F.max(c).alias(c) for c in carry],
         F.min(ts).alias("start_ts"),
         F.min(F.when(terminal, F.col(ts))).alias("end_ts"),
         F.min_by(F.when(terminal, F.col(phase)), F.when(terminal, F.col(ts))).alias("end_phase"),
@@ -115,7 +166,7 @@ def job_outcome(status_rows: DataFrame, as_of: dt.datetime, timeout_s: int = 600
                .when(F.col("end_phase").isin(*TERMINAL_OK), "completed")
                .when(F.col("end_phase").isin(*TERMINAL_FAILED), "failed")
                .otherwise("running"))
-    return g.select(job, "start_ts", "end_ts", "end_phase", "last_phase", dur.alias("duration_s"),
+    return g.select(job, *carry, "start_ts", "end_ts", "end_phase", "last_phase", dur.alias("duration_s"),
                     outcome.alias("outcome"))
 
 

@@ -1,9 +1,8 @@
 """SLIs, alerts and retention.
 
 Scale notes.  M1/M2 are one aggregation keyed by (service, window) with map-side
-partial aggregation.  The exact percentile keeps a value->count map per group
-(memory grows with the distinct values of one group); ``exact=False`` switches
-to ``percentile_approx``, a bounded sketch, for unbounded groups and streams.
+partial aggregation.  The exact percentile orders only the values that a bounded
+sketch leaves in question; ``exact=False`` is the sketch alone, for streams.
 M3/M4 run windows over the per-window series only, never over raw requests.
 """
 
@@ -21,25 +20,52 @@ def _window(ts: str, width: str) -> Column:
     return F.window(ts, width)
 
 
+SKETCH = 10_000
+
+
 def latency_p95(requests: DataFrame, width: str = "1 minute", by: str = "service", ts: str = "ts",
                 latency: str = "latency_ms", q: float = 0.95, exact: bool = True,
                 resolution: float | None = None) -> DataFrame:
     """M1: p95 latency per service and tumbling window (empty windows: no row).
 
-    The exact percentile aggregates a value->count map per group, so its
-    memory is the number of distinct values in one group, not its row count.
-    ``resolution`` (e.g. 1.0 for whole milliseconds) rounds values first, which
-    bounds that map by (value range / resolution) however hot a group is."""
+    The exact percentile (interpolated between neighbours) is found in two steps.
+    A bounded sketch per group, whose rank error is at most 1 / SKETCH, gives two
+    values that certainly enclose it; then only the values between them, well under
+    a thousandth of the rows, are counted and ordered, and everything below is one
+    number.  ``resolution`` (e.g. 1.0 for whole milliseconds) rounds values first.
+    ``exact=False`` is the sketch alone."""
     v = F.col(latency)
     if resolution:
         v = F.round(v / F.lit(resolution)) * F.lit(resolution)
-    pct = (F.percentile(v, F.lit(q)) if exact
-           else F.percentile_approx(v, F.lit(q), F.lit(10000)))
-    w = _window(ts, width)
-    return (requests.groupBy(by, w.alias("w"))
-            .agg(F.count(F.lit(1)).alias("requests"), pct.alias("p"))
-            .select(by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "requests", F.round("p", 6).alias("p95_ms")))
+    rows = requests.select(by, _window(ts, width).alias("w"), v.cast("double").alias("v"))
+    key = [by, "window_start", "window_end"]
+    rows = rows.select(by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "v")
+    if not exact:
+        return (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("requests"), F.percentile_approx("v", F.lit(q), F.lit(SKETCH)).alias("p"))
+                .select(*key, "requests", F.round("p", 6).alias("p95_ms")))
+    around = [max(0.0, q - 2 / SKETCH), min(1.0, q + 2 / SKETCH)]
+    bounds = rows.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("requests"), F.count("v").alias("n"),
+        F.percentile_approx("v", F.array(*[F.lit(x) for x in around]), F.lit(SKETCH)).alias("b"),
+        F.array(F.min("v"), F.max("v")).alias("all"))
+    # The margins are rows of a group only where it is large; a small group is ordered whole.
+    bounds = bounds.withColumn("b", F.when(F.col("n") > SKETCH, F.col("b")).otherwise(F.col("all"))).drop("all")
+    # Null-safe on the service; windows are never NULL where there is a timestamp.
+    other = bounds.select(F.col(by).alias("_by"), F.col("window_start").alias("_start"), "n", "b")
+    near = rows.join(other, rows[by].eqNullSafe(F.col("_by")) & (rows["window_start"] == F.col("_start")))
+    # All values below the bounds share the key NULL, which sorts first.
+    value = F.when(F.col("v") >= F.col("b")[0], F.col("v"))
+    counted = (near.where(F.col("v") <= F.col("b")[1]).groupBy(*key, "n", value.alias("value")).agg(F.count(F.lit(1)).alias("c")))
+    reached = F.sum("c").over(Window.partitionBy(*key).orderBy("value"))
+    rank = F.lit(q) * (F.col("n") - 1)
+    ranked = counted.withColumn("reached", reached).withColumn("rank", rank)
+    at = lambda r: F.min(F.when(F.col("reached") > r, F.col("value")))
+    found = ranked.groupBy(*key).agg(at(F.floor("rank")).alias("lo"), at(F.ceil("rank")).alias("hi"),
+                                     F.any_value(F.col("rank") - F.floor("rank")).alias("part"))
+    p = F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))
+    found = found.select(F.col(by).alias("_by"), F.col("window_start").alias("_start"), p.alias("p"))
+    return (bounds.join(found, bounds[by].eqNullSafe(F.col("_by")) & (bounds["window_start"] == F.col("_start")), "left")
+            .select(*key, "requests", F.round("p", 6).alias("p95_ms")))
 
 
 def error_ratio(requests: DataFrame, width: str = "1 minute", by: str = "service", ts: str = "ts",

@@ -4,8 +4,8 @@ They stand in for platform data (deliveries, queue jobs, requests, pods, ...);
 the values mean nothing.  Each binding has an SQL twin in
 ``harborlens.plans.binding_sql`` that the DuckDB oracle uses.
 
-No binding uses a cross join: fixed fan-outs go through ``explode`` (a
-generator, narrow) and the allowlist pairs through an equi-join on a residue.
+No binding uses a cross join or a rule table that grows with the square of its
+source: fixed fan-outs go through ``explode`` (a generator, narrow).
 """
 
 from __future__ import annotations
@@ -120,25 +120,33 @@ def nat(t: Tables) -> DataFrame:
                     .otherwise("deleted").alias("state"))
 
 
-def containers_flat(t: Tables) -> DataFrame:
-    o = t.orders.select("o_orderkey", "o_custkey")
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
-    j = o.join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+def pod_heads(t: Tables) -> DataFrame:
+    """(pod, namespace), one row a pod (an order)."""
     m = F.col("o_custkey") % 10
-    ln = F.col("l_linenumber")
     ns = (F.when(m == 0, "kube-system").when(m == 1, "kyverno").when(m == 2, "default")
           .otherwise(F.concat(F.lit("demo-"), m.cast("string"))))
-    image = (F.when(F.col("l_orderkey").isNull(), F.lit(None).cast("string"))
-             .when((ln == 1) & (F.col("l_returnflag") == "R"), "reg:5000/app:latest")
+    return t.orders.select(F.col("o_orderkey").alias("pod"), ns.alias("namespace"))
+
+
+def container_rows(t: Tables) -> DataFrame:
+    """(pod, init, name, image, privileged, requests, limits), one row a container (a line item).
+
+    Fields a container does not set stay NULL, as in a manifest.  The flat
+    ``req_cpu``/``lim_mem`` fill the cpu/memory of both requests and limits; line
+    number 7 is an init container."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
+    ln = F.col("l_linenumber")
+    image = (F.when((ln == 1) & (F.col("l_returnflag") == "R"), "reg:5000/app:latest")
              .when((ln == 2) & (F.col("l_returnflag") == "A"), "reg:5000/app")
              .when(ln == 3, "reg:5000/app@sha256:ab")
              .otherwise(F.concat(F.lit("reg:5000/app:v"), ln.cast("string"))))
-    priv = F.when((ln == 2) & (F.col("l_linestatus") == "F"), F.lit(True)).when(ln == 3, F.lit(False))
+    priv = F.when((ln == 2) & (F.col("l_linestatus") == "F"), F.lit(True)).when(ln == 3, F.lit(False)) \
+        .when((ln == 7) & (F.col("l_returnflag") == "A"), F.lit(True))
     req_cpu = F.when(ln != 4, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("m")))
     lim_mem = F.when(ln == 5, F.lit("")).otherwise(F.lit("128Mi"))
-    return j.select(F.col("o_orderkey").alias("pod"), ns.alias("namespace"), image.alias("image"),
-                    priv.alias("privileged"), req_cpu.alias("req_cpu"), lim_mem.alias("lim_mem"),
-                    ln.alias("ordinal"))
+    res = F.struct(req_cpu.alias("cpu"), lim_mem.alias("memory"))
+    return li.select(F.col("l_orderkey").alias("pod"), (ln == 7).alias("init"), F.concat(F.lit("c"), ln.cast("string")).alias("name"),
+                     image.alias("image"), priv.alias("privileged"), res.alias("requests"), res.alias("limits"))
 
 
 CONTAINER_DDL = ("struct<name:string,image:string,privileged:boolean,"
@@ -146,27 +154,19 @@ CONTAINER_DDL = ("struct<name:string,image:string,privileged:boolean,"
 
 
 def pods(t: Tables) -> DataFrame:
-    """Pods in their native nested shape.  The container array of a pod is bounded
-    by the lines of one order; a NULL image means a pod without containers.
-    Fields a container does not set stay NULL, as in a manifest.  The flat
-    ``req_cpu``/``lim_mem`` fill the cpu/memory of both requests and limits."""
-    f = containers_flat(t)
-    flat = F.struct("ordinal", "image", "privileged", "req_cpu", "lim_mem")
-    # grouped on the join key alone (namespace depends on the pod), so a
-    # sort-merge join's partitioning on the order key is reused: no second
-    # shuffle.  Flat items are collected and nested afterwards (smaller shuffle).
-    g = (f.groupBy("pod")
-         .agg(F.any_value("namespace").alias("namespace"),
-              F.sort_array(F.collect_list(F.when(F.col("image").isNotNull(), flat))).alias("cs")))
-
-    def nest(x):
-        res = F.struct(x["req_cpu"].alias("cpu"), x["lim_mem"].alias("memory"))
-        return F.struct(F.concat(F.lit("c"), x["ordinal"].cast("string")).alias("name"), x["image"].alias("image"),
-                        x["privileged"].alias("privileged"), res.alias("requests"), res.alias("limits"))
-
-    return g.select("namespace", F.col("pod").cast("string").alias("pod"),
-                    F.transform("cs", nest).alias("containers"),
-                    F.lit(None).cast(f"array<{CONTAINER_DDL}>").alias("initContainers"))
+    """Pods in their native nested shape, with each distinct container of a pod once.
+
+    Containers are made of 7 line numbers, 3 return flags, 2 line statuses and 50
+    quantities, so a pod has at most 2,100 distinct ones however many line items
+    its order has; the sets are combined map-side before the join.  Equal
+    containers do not change what a policy says about a pod."""
+    one = F.struct("name", "image", "privileged", "requests", "limits")
+    sets = container_rows(t).groupBy("pod").agg(
+        F.sort_array(F.collect_set(F.when(~F.col("init"), one))).alias("containers"),
+        F.sort_array(F.collect_set(F.when(F.col("init"), one))).alias("initContainers"))
+    none = F.array().cast(f"array<{CONTAINER_DDL}>")
+    return (pod_heads(t).join(sets, "pod", "left")
+            .select("namespace", F.col("pod").cast("string").alias("pod"), F.coalesce("containers", none).alias("containers"), "initContainers"))
 
 
 def endpoints_expected(t: Tables) -> DataFrame:
@@ -184,11 +184,17 @@ def desired(t: Tables) -> DataFrame:
 
 
 def actual(t: Tables) -> DataFrame:
+    """The records that exist: a third of all is absent (to be created)."""
+    return records(t).where(F.col("k") % 3 != 0)
+
+
+def records(t: Tables) -> DataFrame:
+    """Every record with its value and owner; some belong to another owner, some to nobody."""
     o = t.orders
     k = F.col("o_orderkey")
-    return o.where(k % 3 != 0).select(
+    return o.select(
         k.alias("k"), F.when(k % 5 == 0, "X").otherwise(F.col("o_orderstatus")).alias("v"),
-        F.when(k % 11 == 0, "other").otherwise("me").alias("owner"))
+        F.when(k % 11 == 0, "other").when(k % 23 != 0, "me").alias("owner"))
 
 
 def objects_before(t: Tables) -> DataFrame:
@@ -208,15 +214,15 @@ def objects_after(t: Tables) -> DataFrame:
 
 
 def phases(t: Tables) -> DataFrame:
+    """Job status rows.  An order's line items are reduced to one flag (map-side)
+    before they meet the order; every third job is a restore, the others backups."""
     o = t.orders.select("o_orderkey", "o_orderdate")
-    started = o.select(F.col("o_orderkey").alias("job"), F.col("o_orderdate").alias("ts"),
+    kind = F.when(F.col("o_orderkey") % 3 == 0, "restore").otherwise("backup")
+    started = o.select(F.col("o_orderkey").alias("job"), kind.alias("kind"), F.col("o_orderdate").alias("ts"),
                        F.lit("InProgress").alias("phase"))
-    li = t.lineitem.select("l_orderkey", "l_returnflag")
-    ended = (o.where(F.col("o_orderkey") % 4 != 0)
-             .join(li, F.col("l_orderkey") == F.col("o_orderkey"))
-             .groupBy("o_orderkey").agg(F.any_value("o_orderdate").alias("o_orderdate"),
-                                        F.max("l_returnflag").alias("flag"))
-             .select(F.col("o_orderkey").alias("job"),
+    flag = t.lineitem.groupBy("l_orderkey").agg(F.max("l_returnflag").alias("flag"))
+    ended = (o.where(F.col("o_orderkey") % 4 != 0).join(flag, F.col("l_orderkey") == F.col("o_orderkey"))
+             .select(F.col("o_orderkey").alias("job"), kind.alias("kind"),
                      _plus_seconds("o_orderdate", F.col("o_orderkey") % 1200).alias("ts"),
                      F.when(F.col("flag") == "R", "Completed").when(F.col("flag") == "N", "PartiallyFailed")
                      .otherwise("Failed").alias("phase")))
@@ -236,6 +242,12 @@ def backups(t: Tables) -> DataFrame:
     return _events_of(t, "purchase", "backup")
 
 
+def backups_with_expiry(t: Tables) -> DataFrame:
+    """Backups with their own time to live, 300 to 1,199 hours; every eleventh never expires."""
+    ttl = F.when(F.col("backup") % 11 != 0, 300 + F.col("backup") % 900)
+    return backups(t).withColumn("expires_ts", F.timestamp_add("HOUR", ttl, F.col("ts")))
+
+
 def restores(t: Tables) -> DataFrame:
     return _events_of(t, "signup", "restore")
 
@@ -250,17 +262,21 @@ def flows(t: Tables) -> DataFrame:
          .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
     return j.select(F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst"),
                     F.when(F.col("l_partkey") % 2 == 0, 443).otherwise(5432).alias("port"),
+                    F.when(F.col("l_suppkey") % 5 == 0, "udp").otherwise("tcp").alias("protocol"),
                     F.col("l_quantity").cast("bigint").alias("bytes"),
                     F.concat(F.lit("10.0."), (F.col("l_partkey") % 104).cast("string"), F.lit("."),
                              (F.col("l_suppkey") % 256).cast("string")).alias("src_ip"))
 
 
 def allow(t: Tables) -> DataFrame:
-    """Allowed edges: node pairs whose keys sum to a multiple of 3, as an
-    equi-join on the residue (a + b) % 3 == 0  <=>  a % 3 == (3 - b % 3) % 3."""
-    a = t.nation.select(F.col("n_nationkey").alias("src"), (F.col("n_nationkey") % 3).alias("ra"))
-    b = t.nation.select(F.col("n_nationkey").alias("dst"), ((3 - F.col("n_nationkey") % 3) % 3).alias("rb"))
-    return a.join(b, F.col("ra") == F.col("rb")).select("src", "dst", F.lit(443).alias("port"))
+    """Allowed edges, linear in the nodes: within a region every node may talk to
+    the region's hub (its node of least key), and the hub to it, on 443."""
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    hub = n.groupBy("n_regionkey").agg(F.min("n_nationkey").alias("hub"))
+    edges = n.join(hub, "n_regionkey").select(F.inline(F.array(
+        F.struct(F.col("n_nationkey").alias("src"), F.col("hub").alias("dst")),
+        F.struct(F.col("hub").alias("src"), F.col("n_nationkey").alias("dst")))))
+    return edges.distinct().select("src", "dst", F.lit(443).alias("port"))
 
 
 def log_records(t: Tables) -> DataFrame:
@@ -287,13 +303,23 @@ def _id_page(c: str) -> Column:
     return F.floor(F.col(c) / INSTANCE_PAGE_SIZE)
 
 
+def _api_tags(id_: Column, name: Column | None = None) -> Column:
+    """A ``Tags`` list like the instances': a third without Project, a fifth without Environment."""
+    pairs = [("Project", F.when(id_ % 3 != 0, F.lit("p1"))),
+             ("Environment", F.when(id_ % 5 == 0, F.lit(None).cast("string")).when(id_ % 7 == 0, "main").otherwise("dev"))]
+    if name is not None:
+        pairs.append(("Name", F.when(id_ % 2 == 0, name)))
+    return F.filter(F.array(*[F.struct(F.lit(k).alias("Key"), v.alias("Value")) for k, v in pairs]), lambda x: x["Value"].isNotNull())
+
+
 def volumes_api(t: Tables) -> DataFrame:
     v = volumes(t)
-    item = F.struct(F.concat(F.lit("vol-"), F.col("id").cast("string")).alias("VolumeId"),
+    vol = F.concat(F.lit("vol-"), F.col("id").cast("string"))
+    item = F.struct(vol.alias("VolumeId"),
                     F.col("state").alias("State"), F.col("type").alias("VolumeType"),
                     F.col("size_gb").alias("Size"),
                     F.concat(F.lit("zone-"), (F.col("id") % 3).cast("string")).alias("AvailabilityZone"),
-                    F.lit(None).cast("array<struct<Key:string,Value:string>>").alias("Tags"))
+                    _api_tags(F.col("id"), F.concat(F.lit("data-"), F.col("id").cast("string"))).alias("Tags"))
     return _paged(v, item, "Volumes", _id_page("id"))
 
 
@@ -304,7 +330,8 @@ def nat_api(t: Tables) -> DataFrame:
                     F.concat(F.lit("subnet-"), (F.col("id") % 4).cast("string")).alias("SubnetId"),
                     F.lit("vpc-1").alias("VpcId"),
                     F.array(F.struct(F.concat(F.lit("203.0.113."), (F.col("id") % 256).cast("string"))
-                                     .alias("PublicIp"))).alias("NatGatewayAddresses"))
+                                     .alias("PublicIp"))).alias("NatGatewayAddresses"),
+                    _api_tags(F.col("id"), F.concat(F.lit("gw-"), F.col("id").cast("string"))).alias("Tags"))
     return _paged(n, item, "NatGateways", _id_page("id"))
 
 
@@ -315,7 +342,9 @@ def load_balancers_api(t: Tables) -> DataFrame:
                     F.when(F.col("n_regionkey") % 2 == 0, "application").otherwise("network").alias("Type"),
                     F.struct(F.when(F.col("n_nationkey") % 5 == 0, "failed").otherwise("active").alias("Code"))
                     .alias("State"),
-                    F.lit("internet-facing").alias("Scheme"), F.concat(name, F.lit(".elb")).alias("DNSName"))
+                    F.when(F.col("n_nationkey") % 2 == 0, "internal").otherwise("internet-facing").alias("Scheme"),
+                    F.concat(name, F.lit(".elb")).alias("DNSName"), F.lit("vpc-1").alias("VpcId"),
+                    _api_tags(F.col("n_nationkey")).alias("Tags"))
     return _paged(n, item, "LoadBalancers", _id_page("n_nationkey"))
 
 
@@ -326,10 +355,11 @@ def clusters_api(t: Tables) -> DataFrame:
 
 def db_instances_api(t: Tables) -> DataFrame:
     s = t.supplier
-    item = F.struct(F.concat(F.lit("db-"), F.col("s_suppkey").cast("string")).alias("id"),
-                    F.when(F.col("s_acctbal") < 0, "stopped").otherwise("available").alias("state"),
-                    F.lit("db.t3.micro").alias("type"), (F.col("s_nationkey") + 20).alias("size_gb"),
-                    F.concat(F.lit("zone-"), (F.col("s_suppkey") % 3).cast("string")).alias("az"))
+    item = F.struct(F.concat(F.lit("db-"), F.col("s_suppkey").cast("string")).alias("DBInstanceIdentifier"),
+                    F.when(F.col("s_acctbal") < 0, "stopped").otherwise("available").alias("DBInstanceStatus"),
+                    F.lit("db.t3.micro").alias("DBInstanceClass"), (F.col("s_nationkey") + 20).alias("AllocatedStorage"),
+                    F.concat(F.lit("zone-"), (F.col("s_suppkey") % 3).cast("string")).alias("AvailabilityZone"),
+                    _api_tags(F.col("s_suppkey")).alias("TagList"))
     return _paged(s, item, "DBInstances", _id_page("s_suppkey"))
 
 

@@ -103,10 +103,10 @@ def q_utilisation(t):
 @register("capacity_gap", with_bindings(f"""
 , req AS (SELECT namespace, CAST(coalesce(sum(CASE WHEN req_cpu LIKE '%m' THEN ceil(CAST(rtrim(req_cpu, 'm') AS DOUBLE))
                                                   ELSE ceil(CAST(req_cpu AS DOUBLE) * 1000) END), 0) AS BIGINT) AS requested_m
-          FROM containers GROUP BY namespace)
+          FROM (SELECT namespace, CASE WHEN NOT init THEN req_cpu END AS req_cpu FROM containers) GROUP BY namespace)
 , n AS (SELECT *, CAST(least(greatest(ceil(requested_m / {NODE_CPU_M}), 1), 2) AS INTEGER) AS nodes FROM req)
 SELECT namespace, requested_m, nodes, CAST(greatest(requested_m - nodes * {NODE_CPU_M}, 0) AS BIGINT) AS unmet_m
 FROM n""", "containers"))
 def q_capacity_gap(t):
     """Namespace as node group, 1..2 nodes of 2000 m."""
-    return cap.capacity_gap(b.pods(t), min_nodes=1, max_nodes=2, node_cpu_m=NODE_CPU_M)
+    return cap.capacity_gap(b.pod_heads(t), min_nodes=1, max_nodes=2, node_cpu_m=NODE_CPU_M, containers=b.container_rows(t))

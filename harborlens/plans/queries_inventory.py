@@ -10,13 +10,13 @@ from harborlens.plans.binding_sql import with_bindings
 from harborlens.plans.catalog import register
 
 SCOPE_TAGS = {"Project": "p1", "Environment": "dev"}
-_INV_OUT = "kind, id, state, type, size_gb, az, name"
+_INV_OUT = "kind, id, state, type, size_gb, az, name, subnet, vpc, public_ip, scheme, dns_name"
 # size_gb is NULL for kinds without a size: DOUBLE keeps NULL and value alike in every client.
-_INV_SQL = "kind, id, state, type, CAST(size_gb AS DOUBLE) AS size_gb, az, name"
+_INV_SQL = "kind, id, state, type, CAST(size_gb AS DOUBLE) AS size_gb, az, name, subnet, vpc, public_ip, scheme, dns_name"
 
 
 def _live_sql() -> str:
-    arms = " ".join(f"WHEN '{k}' THEN state IN ({', '.join(repr(s) for s in v)})"
+    arms = " ".join(f"WHEN '{k}' THEN coalesce(state IN ({', '.join(repr(s) for s in v)}), FALSE)"
                     for k, v in inv.LIVE_STATES.items())
     return f"coalesce(CASE kind {arms} END, TRUE)"
 
@@ -99,17 +99,18 @@ def q_readiness_rollup(t):
 
 @register("upsert_only_merge", with_bindings("""
 SELECT coalesce(d.k, a.k) AS k, d.v AS desired_v, a.v AS actual_v, a.owner,
-  CASE WHEN a.owner IS NULL AND a.v IS NULL THEN 'create' WHEN d.v IS NULL THEN 'retained'
-    WHEN a.owner <> 'me' THEN 'not_owned' WHEN d.v IS NOT DISTINCT FROM a.v THEN 'noop' ELSE 'update' END AS action
-FROM desired d FULL OUTER JOIN actual a ON d.k = a.k""", "desired", "actual"))
+  CASE WHEN a.k IS NULL THEN 'create' WHEN d.k IS NULL THEN 'retained'
+    WHEN a.owner IS DISTINCT FROM 'me' THEN 'not_owned' WHEN d.v IS NOT DISTINCT FROM a.v THEN 'noop' ELSE 'update' END AS action
+FROM (SELECT * FROM desired WHERE k % 29 <> 0) d FULL OUTER JOIN (SELECT * FROM actual WHERE k % 29 <> 0) a ON d.k = a.k""",
+                                           "desired", "actual"))
 def q_upsert_only_merge(t):
-    """Upsert-only sync of desired records against owned actual ones."""
-    return inv.upsert_only_merge(b.desired(t), b.actual(t), key="k", value="v", owner="me")
+    """Upsert-only sync of the managed domain's records against actual ones, some owned by others or nobody."""
+    return inv.upsert_only_merge(b.desired(t), b.actual(t), key="k", value="v", owner="me", domain=F.col("k") % 29 != 0)
 
 
 @register("first_match", with_bindings("""
-SELECT owner, k, v FROM (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY k) AS rn FROM actual) WHERE rn = 1""",
-                                       "actual"))
+SELECT owner, k, v FROM (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY k) AS rn FROM records) WHERE rn = 1""",
+                                       "records"))
 def q_first_match(t):
     """First record per owner in key order."""
-    return inv.first_match(b.actual(t), key="owner", order="k").select("owner", "k", "v")
+    return inv.first_match(b.records(t), key="owner", order="k").select("owner", "k", "v")

@@ -11,11 +11,14 @@ result stays exact (no slice holds rows older than the previous watermark).
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
 
+from harborlens.operators import events as ev
 from harborlens.operators import inventory as inv
+from harborlens.operators.policy import POLICY_MESSAGES
 from harborlens.plans import bindings as b
 from harborlens.plans.binding_sql import bucket_start_sql, with_bindings
 from harborlens.plans.catalog import register
@@ -26,8 +29,8 @@ from harborlens.streaming import admission, dedup, queue, sli_stream
 
 CLUSTER = "dev-cluster"
 TAIL_N = 20
-STREAM_FILES = 4
-STREAM_SLICES = 2  # event-time slices fed to the watermark streams, one drain each
+BATCH_FILES = 4                        # receive batch of the queue entries, in files
+SLICE = dt.timedelta(days=10)          # event time fed to the watermark streams at once, one drain each
 SLI_WIDTH = "1 hour"
 SLI_DELAY_MIN = 10
 
@@ -41,8 +44,8 @@ def q_queue_ingest(t):
     """Every delivery consumed from the queue directory, one file per micro-batch."""
     base = _scratch(t, "queue")
     d = b.deliveries(t)
-    queue.stage_files(d, f"{base}/in", STREAM_FILES, order="delivered_ts")
-    s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=1)
+    queue.stage_files(d, f"{base}/in", order="delivered_ts")
+    s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=BATCH_FILES)
     queue.run_available(s.select("event_id", "attempt"), f"{base}/out", f"{base}/ckpt")
     return t.spark.read.parquet(f"{base}/out")
 
@@ -72,7 +75,7 @@ def q_read_inventory(t):
     """Instance API pages stored as JSON, read back with the fixed schema and flattened."""
     path = _scratch(t, "ec2-json")
     ij.write_inventory(b.instances_api(t), path)
-    ec2 = inv.flatten_ec2(ij.read_inventory(t.spark, path, "ec2"))
+    ec2 = inv.flatten_ec2(ij.read_inventory(t.spark, path, "ec2", multiline=False))
     return ec2.select("kind", "id", "state", "type", "az", "name")
 
 
@@ -85,45 +88,51 @@ def q_append_and_tail(t):
     return _text_digest(logs.append_and_tail(b.log_records(t), path, TAIL_N, order="seq"))
 
 
-_DISTINCT_EVENTS = "SELECT DISTINCT event_id, user_id, event_type, CAST(value AS DOUBLE) AS value FROM deliveries"
+_FIRST_DELIVERY = """
+SELECT event_id, user_id, event_type, CAST(value AS DOUBLE) AS value, attempt FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY delivered_ts, attempt) AS rn FROM deliveries) WHERE rn = 1"""
 
 
 def _event_cols(df):
-    return df.select("event_id", "user_id", "event_type", F.col("value").cast("double").alias("value"))
+    return df.select("event_id", "user_id", "event_type", F.col("value").cast("double").alias("value"), "attempt")
 
 
-@register("dedup_stream", with_bindings(_DISTINCT_EVENTS, "deliveries"))
+@register("dedup_stream", with_bindings(_FIRST_DELIVERY, "deliveries"))
 def q_dedup_stream(t):
-    """Redeliveries dropped within a 15-minute watermark."""
+    """Redeliveries dropped within a 15-minute watermark; producers reduce each
+    slice to first deliveries (E3), the stream drops what crosses slices."""
     base = _scratch(t, "dedup")
     d = b.deliveries(t)
 
     def drain():
-        s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=10_000)
+        s = queue.queue_ingest(t.spark, f"{base}/in", d.schema)
         out = _event_cols(dedup.dedup_stream(s, "event_id", "delivered_ts", "15 minutes"))
         queue.run_available(out, f"{base}/out", f"{base}/ckpt")
 
-    queue.feed_in_time_order(d, f"{base}/in", "delivered_ts", STREAM_SLICES, drain)
+    queue.feed_in_time_order(d, f"{base}/in", "delivered_ts", SLICE, drain, reduce=lambda part: ev.dedup(part).select(*d.columns))
     return t.spark.read.parquet(f"{base}/out")
 
 
-@register("idempotent_write", with_bindings(_DISTINCT_EVENTS, "deliveries"))
+@register("idempotent_write", with_bindings(_FIRST_DELIVERY, "deliveries"))
 def q_idempotent_write(t):
-    """E5: deliveries consumed one file per batch; the sink holds each event once."""
+    """E5: deliveries consumed slice by slice in delivery order; the sink holds each event's first delivery."""
     base = _scratch(t, "idem")
     d = b.deliveries(t)
-    queue.stage_files(d, f"{base}/in", STREAM_FILES)
-    s = queue.queue_ingest(t.spark, f"{base}/in", d.schema, max_files=1)
-    queue.run_available(s, f"{base}/sink", f"{base}/ckpt",
-                        foreach_batch=dedup.idempotent_writer(f"{base}/sink", key="event_id", buckets=16))
+
+    def drain():
+        s = queue.queue_ingest(t.spark, f"{base}/in", d.schema)
+        queue.run_available(s, f"{base}/sink", f"{base}/ckpt",
+                            foreach_batch=dedup.idempotent_writer(f"{base}/sink", key="event_id", buckets=16))
+
+    queue.feed_in_time_order(d, f"{base}/in", "delivered_ts", SLICE, drain)
     return _event_cols(dedup.read_sink(t.spark, f"{base}/sink"))
 
 
 @register("sli_stream", with_bindings(f"""
 , w AS (SELECT service, {bucket_start_sql('ts', 3600)} AS window_start, count(*) AS requests,
-        count(*) FILTER (WHERE status >= 500) AS errors FROM requests GROUP BY 1, 2)
+        count(*) FILTER (WHERE status >= 500) AS errors, quantile_disc(latency_ms, 0.95) AS p95 FROM requests GROUP BY 1, 2)
 SELECT service, window_start, window_start + INTERVAL '1 hour' AS window_end, requests, errors,
-  round(CAST(errors AS DOUBLE) / requests, 6) AS error_ratio FROM w
+  round(CAST(errors AS DOUBLE) / requests, 6) AS error_ratio, round(p95, 6) AS p95_ms FROM w
 WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) FROM requests) - INTERVAL '{SLI_DELAY_MIN} minutes'""",
                                        "requests"))
 def q_sli_stream(t):
@@ -132,15 +141,19 @@ def q_sli_stream(t):
     r = b.requests(t)
 
     def drain():
-        s = queue.queue_ingest(t.spark, f"{base}/in", r.schema, max_files=10_000)
+        s = queue.queue_ingest(t.spark, f"{base}/in", r.schema)
         out = sli_stream.sli_stream(s, width=SLI_WIDTH, delay=f"{SLI_DELAY_MIN} minutes")
         queue.run_available(out, f"{base}/out", f"{base}/ckpt")
 
-    queue.feed_in_time_order(r, f"{base}/in", "ts", STREAM_SLICES, drain)
+    queue.feed_in_time_order(r, f"{base}/in", "ts", SLICE, drain)
     res = t.spark.read.parquet(f"{base}/out")
     return res.select("service", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                      "requests", "errors", "error_ratio")
+                      "requests", "errors", "error_ratio", "p95_ms")
+
+
+def _said(policy: str) -> str:
+    return f"{policy}: {POLICY_MESSAGES[policy]}".replace("'", "''")
 
 
 @register("admission_split", with_bindings("""
@@ -148,24 +161,24 @@ def q_sli_stream(t):
     WHEN regexp_extract(regexp_extract(image, '[^/]*$'), ':([^:@]+)$', 1) = '' THEN 'latest'
     ELSE regexp_extract(regexp_extract(image, '[^/]*$'), ':([^:@]+)$', 1) END AS tag FROM containers)
 , per_pod AS (SELECT namespace, CAST(pod AS VARCHAR) AS pod,
-    CAST(coalesce(bool_or(tag = 'latest'), FALSE) AS INTEGER)
-    + CAST(coalesce(bool_or(image IS NOT NULL AND (coalesce(length(req_cpu), 0) = 0
-                                                   OR coalesce(length(lim_mem), 0) = 0)), FALSE) AS INTEGER)
-    + CAST(coalesce(bool_or(privileged), FALSE) AS INTEGER) AS n
+    concat_ws('; ', CASE WHEN bool_or(tag = 'latest' AND NOT init) THEN '""" + _said("block-latest-tag") + """' END,
+      CASE WHEN bool_or(image IS NOT NULL AND NOT init AND (coalesce(length(req_cpu), 0) = 0 OR coalesce(length(lim_mem), 0) = 0))
+        THEN '""" + _said("require-requests-limits") + """' END,
+      CASE WHEN bool_or(privileged) THEN '""" + _said("disallow-privileged") + """' END) AS said
   FROM tagged GROUP BY namespace, pod)
-SELECT namespace, pod, CASE WHEN namespace IN ('kube-system', 'kyverno') THEN 0 ELSE n END = 0 AS admitted,
-  CAST(CASE WHEN namespace IN ('kube-system', 'kyverno') THEN 0 ELSE n END AS INTEGER) AS n_violations
+SELECT namespace, pod, namespace IN ('kube-system', 'kyverno') OR said = '' AS admitted,
+  CASE WHEN namespace IN ('kube-system', 'kyverno') THEN '' ELSE said END AS violations
 FROM per_pod""", "containers"))
 def q_admission_split(t):
     """Pods admitted or denied per micro-batch, both sinks read back."""
     base = _scratch(t, "admission")
     p = b.pods(t)
-    queue.stage_files(p, f"{base}/in", STREAM_FILES)
-    s = queue.queue_ingest(t.spark, f"{base}/in", p.schema, max_files=1)
+    queue.stage_files(p, f"{base}/in")
+    s = queue.queue_ingest(t.spark, f"{base}/in", p.schema, max_files=BATCH_FILES)
     queue.run_available(s, f"{base}/admitted", f"{base}/ckpt",
                         foreach_batch=admission.admission_writer(f"{base}/admitted", f"{base}/denied"))
     adm = t.spark.read.parquet(f"{base}/admitted").select(
-        "namespace", "pod", F.lit(True).alias("admitted"), F.lit(0).alias("n_violations"))
-    den = t.spark.read.parquet(f"{base}/denied").select(
-        "namespace", "pod", F.lit(False).alias("admitted"), F.size("violations").alias("n_violations"))
+        "namespace", "pod", F.lit(True).alias("admitted"), F.lit("").alias("violations"))
+    said = F.array_join(F.transform("violations", lambda v: F.concat(v["policy"], F.lit(": "), v["message"])), "; ")
+    den = t.spark.read.parquet(f"{base}/denied").select("namespace", "pod", F.lit(False).alias("admitted"), said.alias("violations"))
     return adm.unionByName(den)

@@ -1,8 +1,9 @@
 """N1-N3 bound to flows (line items between supplier and customer nations) and
-the allowlist (nation pairs)."""
+the allowlist (edges between nations and their region's hub)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborlens.operators import network as net
@@ -56,7 +57,8 @@ WHERE NOT EXISTS (SELECT 1 FROM matrix m WHERE a.src = m.src AND a.dst = m.dst A
                                            "flows", "allow"))
 def q_allowlist_check(t):
     """Default-deny findings both ways."""
-    return net.allowlist_check(net.traffic_matrix(b.flows(t)), b.allow(t))
+    out = net.allowlist_check(net.traffic_matrix(b.flows(t)), b.allow(t))
+    return out.withColumn("flows", F.col("flows").cast("double"))  # NULL and values alike in every client
 
 
 @register("cidr_match", with_bindings(f"""
@@ -68,9 +70,9 @@ def q_allowlist_check(t):
 , m AS (SELECT f.fid, r.rule, r.cidr, row_number() OVER (PARTITION BY f.fid
           ORDER BY r.prefix DESC, r.port IS NULL, r.rule) AS rn
         FROM f JOIN r2 r ON f.ipn BETWEEN r.lo AND r.hi AND (r.port IS NULL OR r.port = f.port)
-          AND r.protocol IN ('-1', 'tcp'))
-SELECT f.src, f.dst, f.port, f.bytes, f.src_ip, m.rule, m.cidr
+          AND r.protocol IN ('-1', f.protocol))
+SELECT f.src, f.dst, f.port, f.protocol, f.bytes, f.src_ip, m.rule, m.cidr
 FROM f LEFT JOIN m ON m.fid = f.fid AND m.rn = 1""", "flows"))
 def q_cidr_match(t):
     """The VPC range and its four subnets, longest prefix wins."""
-    return net.cidr_match(b.flows(t), rules_df(t.spark))
+    return net.cidr_match(b.flows(t), rules_df(t.spark), protocol="protocol")

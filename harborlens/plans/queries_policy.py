@@ -24,8 +24,8 @@ _PER_POD = """
     WHEN regexp_extract(regexp_extract(image, '[^/]*$'), ':([^:@]+)$', 1) = '' THEN 'latest'
     ELSE regexp_extract(regexp_extract(image, '[^/]*$'), ':([^:@]+)$', 1) END AS tag FROM containers)
 , per_pod AS (SELECT namespace, CAST(pod AS VARCHAR) AS pod,
-    coalesce(bool_or(tag = 'latest'), FALSE) AS g1,
-    coalesce(bool_or(image IS NOT NULL AND (coalesce(length(req_cpu), 0) = 0 OR coalesce(length(lim_mem), 0) = 0)),
+    coalesce(bool_or(tag = 'latest' AND NOT init), FALSE) AS g1,
+    coalesce(bool_or(image IS NOT NULL AND NOT init AND (coalesce(length(req_cpu), 0) = 0 OR coalesce(length(lim_mem), 0) = 0)),
              FALSE) AS g2,
     coalesce(bool_or(privileged), FALSE) AS g3
   FROM tagged GROUP BY namespace, pod)"""
@@ -40,34 +40,34 @@ _LONG = _PER_POD + "\n, long AS (" + "\n  UNION ALL ".join(
                                        "containers"))
 def q_deny_latest(t):
     """G1 on every pod."""
-    return pol.deny_latest(b.pods(t))
+    return pol.deny_latest(b.pod_heads(t), b.container_rows(t))
 
 
 @register("require_resources", with_bindings(_PER_POD + "\nSELECT namespace, pod, g2 AS violates FROM per_pod",
                                              "containers"))
 def q_require_resources(t):
     """G2 on every pod."""
-    return pol.require_resources(b.pods(t))
+    return pol.require_resources(b.pod_heads(t), b.container_rows(t))
 
 
 @register("disallow_privileged", with_bindings(_PER_POD + "\nSELECT namespace, pod, g3 AS violates FROM per_pod",
                                                "containers"))
 def q_disallow_privileged(t):
     """G3 (default reading: only privileged=true violates) on every pod."""
-    return pol.disallow_privileged(b.pods(t))
+    return pol.disallow_privileged(b.pod_heads(t), b.container_rows(t))
 
 
 @register("policy_violations", with_bindings(_LONG + "\nSELECT * FROM long", "containers"))
 def q_policy_violations(t):
     """G4 long rows outside kube-system and kyverno."""
-    return pol.policy_violations(b.pods(t))
+    return pol.policy_violations(b.pod_heads(t), containers=b.container_rows(t))
 
 
 @register("policy_counts", with_bindings(_LONG + """
 SELECT policy, namespace, count(*) AS violations FROM long GROUP BY policy, namespace""", "containers"))
 def q_policy_counts(t):
     """G4 counts per policy and namespace."""
-    return pol.policy_report(b.pods(t))[1]
+    return pol.policy_report(b.pod_heads(t), containers=b.container_rows(t))[1]
 
 
 _LABELLED_JSON = json.dumps(dict(sorted(pol.pss_labels().items())), separators=(",", ":"))

@@ -66,27 +66,28 @@ def q_restore_verify(t):
 
 
 @register("expire_backups", with_bindings(f"""
-SELECT backup, system, ts, ts + INTERVAL '720 hours' AS expires_ts FROM backups
-WHERE ts + INTERVAL '720 hours' <= {_ts(EXPIRE_AS_OF)}""", "backups"))
+SELECT backup, system, ts, expires_ts FROM backups_with_expiry WHERE expires_ts <= {_ts(EXPIRE_AS_OF)}""",
+                                          "backups_with_expiry"))
 def q_expire_backups(t):
-    """720 h ttl, as of 2024-02-10."""
-    return rec.expire_backups(b.backups(t), EXPIRE_AS_OF).select("backup", "system", "ts", "expires_ts")
+    """Every backup's own expiry, as of 2024-02-10."""
+    return rec.expire_backups(b.backups_with_expiry(t), EXPIRE_AS_OF).select("backup", "system", "ts", "expires_ts")
 
 
 @register("job_outcome", with_bindings(f"""
-, g AS (SELECT job, min(ts) AS start_ts,
+, g AS (SELECT job, max(kind) AS kind, min(ts) AS start_ts,
+    arg_max(phase, (ts, phase <> 'InProgress')) AS last_phase,
     min(ts) FILTER (WHERE phase IN ('Completed', 'Failed', 'PartiallyFailed')) AS end_ts,
     arg_min(phase, ts) FILTER (WHERE phase IN ('Completed', 'Failed', 'PartiallyFailed')) AS end_phase
   FROM phases GROUP BY job)
 , d AS (SELECT *, (epoch_us(coalesce(end_ts, {_ts(JOBS_AS_OF)})) - epoch_us(start_ts)) / 1000000 AS duration_s FROM g)
-SELECT job, start_ts, end_ts, end_phase, duration_s,
+SELECT job, kind, start_ts, end_ts, end_phase, last_phase, duration_s,
   CASE WHEN duration_s > {JOB_TIMEOUT_S} THEN 'timed_out' WHEN end_phase = 'Completed' THEN 'completed'
     WHEN end_phase IN ('Failed', 'PartiallyFailed') THEN 'failed' ELSE 'running' END AS outcome
 FROM d""", "phases"))
 def q_job_outcome(t):
-    """600 s timeout, as of 2001-09-01."""
-    return rec.job_outcome(b.phases(t), JOBS_AS_OF, timeout_s=JOB_TIMEOUT_S).select(
-        "job", "start_ts", "end_ts", "end_phase", "duration_s", "outcome")
+    """600 s timeout, as of 2001-09-01, for backup and restore jobs."""
+    return rec.job_outcome(b.phases(t), JOBS_AS_OF, timeout_s=JOB_TIMEOUT_S, carry=("kind",)).select(
+        "job", "kind", "start_ts", "end_ts", "end_phase", "last_phase", "duration_s", "outcome")
 
 
 @register("rpo_rto", with_bindings("""

@@ -10,16 +10,22 @@ Kafka is the same operator with ``format("kafka")`` and its options.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def queue_ingest(spark: SparkSession, path: str | None, schema: T.StructType | None, fmt: str = "parquet",
-                 max_files: int = 1, clean_source: str | None = None, archive_dir: str | None = None,
+                 max_files: int | None = None, clean_source: str | None = None, archive_dir: str | None = None,
                  options: dict | None = None) -> DataFrame:
-    """Streaming DataFrame over the files arriving in ``path``; at most
-    ``max_files`` files per micro-batch (the receive batch size).
+    """Streaming DataFrame over the files arriving in ``path``.
+
+    ``max_files`` is the receive batch: at most so many files per micro-batch; the
+    default is no limit, so that one drain is one micro-batch.  A watermark stream
+    must be read without a limit unless files arrive in event-time order: the
+    watermark moves between micro-batches, and rows behind it are late.
 
     ``options`` pass straight to the source, so a message broker is the same
     call, e.g. ``fmt="kafka", path=None, schema=None, options={
@@ -28,7 +34,7 @@ def queue_ingest(spark: SparkSession, path: str | None, schema: T.StructType | N
     r = spark.readStream.format(fmt)
     if schema is not None:
         r = r.schema(schema)
-    if fmt != "kafka":
+    if max_files is not None and fmt != "kafka":
         r = r.option("maxFilesPerTrigger", max_files)
     if clean_source:
         r = r.option("cleanSource", clean_source)
@@ -39,11 +45,15 @@ def queue_ingest(spark: SparkSession, path: str | None, schema: T.StructType | N
     return r.load(path) if path is not None else r.load()
 
 
-def stage_files(df: DataFrame, path: str, n_files: int, order: str | None = None, fmt: str = "parquet") -> None:
-    """Write ``df`` as ``n_files`` files (range-split on ``order`` when given),
-    the way producers drop message batches into a queue directory."""
-    out = df.repartitionByRange(n_files, order).sortWithinPartitions(order) if order else df.repartition(n_files)
-    out.write.mode("overwrite").format(fmt).save(path)
+def stage_files(df: DataFrame, path: str, n_files: int | None = None, order: str | None = None, fmt: str = "parquet") -> None:
+    """Drop ``df`` into a queue directory the way producers do: every task writes
+    its own message batch.  ``order`` range-splits the rows first, so that files
+    follow each other in that order; ``n_files`` is for tests that need a number."""
+    if order:
+        df = (df.repartitionByRange(n_files, order) if n_files else df.repartitionByRange(order)).sortWithinPartitions(order)
+    elif n_files:
+        df = df.repartition(n_files)
+    df.write.mode("overwrite").format(fmt).save(path)
 
 
 def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append",
@@ -71,22 +81,27 @@ def as_event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def feed_in_time_order(df: DataFrame, path: str, order: str, n_slices: int, run) -> None:
-    """Drop ``df`` into the queue directory ``path`` in ``n_slices`` consecutive
-    event-time slices, calling ``run()`` (one ``availableNow`` drain on the same
-    checkpoint) after each: the stream sees the data arrive over time, in
-    order, across several micro-batches, with its state and watermark carried
-    in the checkpoint between them.  Slices are written by all tasks in
-    parallel (filters on ``order``); only the slice bounds reach the driver."""
+def feed_in_time_order(df: DataFrame, path: str, order: str, length: dt.timedelta, run, reduce=None) -> int:
+    """Drop ``df`` into the queue directory ``path`` in consecutive slices of
+    ``length`` of event time, calling ``run()`` (one ``availableNow`` drain on the
+    same checkpoint) after each: the stream sees the data arrive over time, in
+    order, with its state and watermark carried in the checkpoint.
+
+    A drain must read all files of its slice in one micro-batch (no file limit):
+    then no slice holds rows older than the watermark that an earlier one set.
+    State spans about one slice and the watermark's delay.  ``reduce`` is applied
+    to a slice before it is written.  Slices are written by all tasks in parallel;
+    only the first and last event time reach the driver.  Returns the number of
+    slices."""
     from harborlens.functions.scalars import ts_literal
 
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     if lo is None:
-        return
-    step = (hi - lo) / n_slices
-    for k in range(n_slices):
-        start, end = lo + step * k, lo + step * (k + 1)
-        cond = F.col(order) >= ts_literal(start)
-        cond = cond & ((F.col(order) < ts_literal(end)) if k < n_slices - 1 else F.lit(True))
-        df.where(cond).write.mode("append").parquet(path)
+        return 0
+    n = 0
+    while lo + length * n <= hi:
+        part = df.where((F.col(order) >= ts_literal(lo + length * n)) & (F.col(order) < ts_literal(lo + length * (n + 1))))
+        (reduce(part) if reduce else part).write.mode("append").parquet(path)
         run()
+        n += 1
+    return n

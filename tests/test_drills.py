@@ -48,9 +48,9 @@ def test_queue_drill(spark):
 
 
 def test_command_line_lists_every_query(capsys):
-    import __spark_entry__ as entry
     from harborlens.__main__ import main
+    from harborlens.plans.catalog import all_queries
     assert main(["list"]) == 0
     listed = {line.split()[0] for line in capsys.readouterr().out.splitlines() if line.strip()}
-    assert listed == set(entry.queries())
+    assert listed == set(all_queries())
     assert main(["run", "no_such_query"]) == 2

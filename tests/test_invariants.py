@@ -32,8 +32,8 @@ def test_dedup_first_delivery_wins_ties_by_attempt(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [(1, 2, t), (1, 1, t), (1, 3, t - dt.timedelta(seconds=1)), (2, 1, t), (None, 1, t), (None, 2, t)]
     df = spark.createDataFrame(rows, "event_id bigint, attempt int, delivered_ts timestamp_ntz")
-    got = {r.event_id: r.attempt for r in ev.dedup(df).collect()}
-    assert got == {1: 3, 2: 1, None: 1}
+    got = sorted((r.event_id or 0, r.attempt) for r in ev.dedup(df).collect())
+    assert got == [(0, 1), (0, 2), (1, 3), (2, 1)]   # rows without a key are all kept
 
 
 def test_restore_verify_self_is_same(spark):
@@ -106,11 +106,14 @@ def test_cidr_longest_prefix_and_port(spark):
     rules = spark.createDataFrame([("wide", "10.0.0.0/8", None, "-1"), ("narrow", "10.1.2.0/24", 443, "tcp"),
                                    ("edge", "10.1.2.255/32", None, "-1")],
                                   "rule string, cidr string, port int, protocol string")
-    flows = spark.createDataFrame([("10.1.2.3", 443), ("10.1.2.3", 80), ("10.1.2.255", 443), ("11.0.0.1", 443),
-                                   ("10.1.2.0", 443)], "src_ip string, port int")
-    got = {(r.src_ip, r.port): r.rule for r in net.cidr_match(flows, rules).collect()}
+    flows = spark.createDataFrame([("10.1.2.3", 443, "tcp"), ("10.1.2.3", 80, "tcp"), ("10.1.2.255", 443, "tcp"), ("11.0.0.1", 443, "tcp"),
+                                   ("10.1.2.0", 443, "tcp"), ("10.1.2.9", 443, "udp")], "src_ip string, port int, proto string")
+    got = {(r.src_ip, r.port): r.rule for r in net.cidr_match(flows, rules, protocol="proto").collect()}
     assert got == {("10.1.2.3", 443): "narrow", ("10.1.2.3", 80): "wide", ("10.1.2.255", 443): "edge",
-                   ("11.0.0.1", 443): None, ("10.1.2.0", 443): "narrow"}
+                   ("11.0.0.1", 443): None, ("10.1.2.0", 443): "narrow", ("10.1.2.9", 443): "wide"}
+    odd = rules.union(spark.createDataFrame([("bare", "10.1.2.7", None, "-1"), ("bad", "nowhere", None, "-1")], rules.schema))
+    got = {r.src_ip: r.rule for r in net.cidr_match(flows.union(spark.createDataFrame([("10.1.2.7", 443, "tcp")], flows.schema)), odd).collect()}
+    assert got["10.1.2.7"] == "bare" and got["10.1.2.3"] == "wide"   # without a protocol column, only any-protocol rules match
 
 
 def test_upsert_never_deletes(spark):

@@ -9,11 +9,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from harborlens.operators import capacity as cap
 from harborlens.operators import events as ev
 from harborlens.operators import recovery as rec
 from harborlens.plans import bindings as b
+from harborlens.plans.catalog import all_oracles, all_queries
 from harborlens.sources.tables import Tables
 from tests.conftest import SF_SMALL
 from tools.plan_audit import BAD, plan_text
@@ -21,7 +21,7 @@ from tools.plan_audit import BAD, plan_text
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    qs = entry.queries()
+    qs = all_queries()
     return {name: plan_text(fn(spark, SF_SMALL)) for name, fn in qs.items()}
 
 
@@ -48,7 +48,7 @@ def explained(df) -> str:
 
 
 def test_retention_filter_reaches_the_scan(spark):
-    text = explained(entry.queries()["retain"](spark, SF_SMALL))
+    text = explained(all_queries()["retain"](spark, SF_SMALL))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", text)
 
 
@@ -124,6 +124,6 @@ def test_no_row_caps_except_the_tail(plans):
     for name, text in plans.items():
         capped = re.search(r"GlobalLimit|CollectLimit|LocalLimit|TakeOrderedAndProject|Sample", text)
         assert (capped is not None) == (name == "append_and_tail"), name
-    for name, sql in entry.oracle_sql().items():
+    for name, sql in all_oracles().items():
         capped = re.search(r"\bLIMIT\b|\bUSING SAMPLE\b|\bTABLESAMPLE\b", sql, re.I)
         assert (capped is not None) == (name == "append_and_tail"), name
