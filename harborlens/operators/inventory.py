@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborlens.functions.scalars import tag_value
+from harborlens.functions.scalars import missing_to_null, tag_value
 from harborlens.operators.joins import bounded_broadcast
 
 INVENTORY_COLUMNS = ("kind", "id", "state", "type", "size_gb", "az", "name", "tags", "subnet", "vpc", "public_ip", "scheme", "dns_name")
@@ -40,6 +40,8 @@ def _shape(df: DataFrame, kind: str, **cols: Column) -> DataFrame:
             v = F.lit(None).cast(TAGS_TYPE if c == "tags" else ("bigint" if c == "size_gb" else "string"))
         elif c == "size_gb":
             v = v.cast("bigint")
+        elif c != "tags":
+            v = missing_to_null(v)   # empty, None and null texts are no value
         out.append(v.alias(c))
     return df.select(*out)
 
@@ -82,6 +84,13 @@ def flatten_rds(pages: DataFrame) -> DataFrame:
                   tags=F.col("TagList"))
 
 
+def flatten_endpoints(pages: DataFrame) -> DataFrame:
+    """Network endpoints as A4 compares them: (service, id, type, state, private_dns)."""
+    e = pages.select(F.inline("VpcEndpoints"))
+    return e.select(F.col("ServiceName").alias("service"), F.col("VpcEndpointId").alias("id"), F.col("VpcEndpointType").alias("type"),
+                    F.lower("State").alias("state"), F.col("PrivateDnsEnabled").alias("private_dns"))
+
+
 FLATTENERS = {"ec2": flatten_ec2, "ebs": flatten_ebs, "nat": flatten_nat, "elb": flatten_elb,
               "eks": flatten_eks, "rds": flatten_rds}
 

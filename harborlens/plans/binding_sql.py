@@ -55,9 +55,11 @@ SELECT o_orderkey AS pod,
   CASE WHEN l_linenumber = 5 THEN '' ELSE '128Mi' END AS lim_mem
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
     "endpoints_expected": """
-SELECT o_orderkey AS item, o_orderstatus AS want FROM orders""",
+SELECT o_orderkey AS item, o_orderstatus AS want, CASE WHEN o_orderkey % 2 = 0 THEN 'Interface' END AS want_type,
+  CASE WHEN o_orderkey % 5 = 0 THEN TRUE END AS want_dns FROM orders""",
     "endpoints_actual": """
-SELECT DISTINCT l_orderkey AS item, l_linestatus AS attr FROM lineitem""",
+SELECT l_orderkey AS item, l_linestatus AS attr, CASE WHEN l_linenumber < 7 THEN 'Interface' ELSE 'Gateway' END AS type,
+  CASE WHEN l_linenumber <> 6 THEN l_returnflag <> 'R' END AS private_dns FROM lineitem""",
     "desired": """
 SELECT o_orderkey AS k, o_orderstatus AS v FROM orders WHERE o_orderkey % 13 <> 0""",
     "actual": """

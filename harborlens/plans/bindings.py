@@ -170,11 +170,18 @@ def pods(t: Tables) -> DataFrame:
 
 
 def endpoints_expected(t: Tables) -> DataFrame:
-    return t.orders.select(F.col("o_orderkey").alias("item"), F.col("o_orderstatus").alias("want"))
+    """What each endpoint should be; NULL = any."""
+    k = F.col("o_orderkey")
+    return t.orders.select(k.alias("item"), F.col("o_orderstatus").alias("want"),
+                           F.when(k % 2 == 0, "Interface").alias("want_type"), F.when(k % 5 == 0, F.lit(True)).alias("want_dns"))
 
 
 def endpoints_actual(t: Tables) -> DataFrame:
-    return t.lineitem.select(F.col("l_orderkey").alias("item"), F.col("l_linestatus").alias("attr")).distinct()
+    """Endpoints as they are, one row each."""
+    ln = F.col("l_linenumber")
+    return t.lineitem.select(F.col("l_orderkey").alias("item"), F.col("l_linestatus").alias("attr"),
+                             F.when(ln < 7, "Interface").otherwise("Gateway").alias("type"),
+                             F.when(ln != 6, F.col("l_returnflag") != "R").alias("private_dns"))
 
 
 def desired(t: Tables) -> DataFrame:

@@ -59,19 +59,21 @@ def q_leak_report(t):
 
 
 _A4 = """
-, j AS (SELECT e.item, e.want, a.attr, a.item IS NOT NULL AS seen
+, j AS (SELECT e.*, a.attr, a.type, a.private_dns, a.item IS NOT NULL AS seen
         FROM endpoints_expected e LEFT JOIN endpoints_actual a ON a.item = e.item)
-, g AS (SELECT item, want, count(*) FILTER (WHERE seen) AS n_actual,
-        count(*) FILTER (WHERE seen AND NOT (want IS NULL OR attr IS NOT DISTINCT FROM want)) AS n_bad
-        FROM j GROUP BY item, want)
-, a4 AS (SELECT item, want, n_actual,
+, g AS (SELECT item, want, want_type, want_dns, count(*) FILTER (WHERE seen) AS n_actual,
+        count(*) FILTER (WHERE seen AND NOT ((want IS NULL OR attr IS NOT DISTINCT FROM want)
+          AND (want_type IS NULL OR type IS NOT DISTINCT FROM want_type)
+          AND (want_dns IS NULL OR private_dns IS NOT DISTINCT FROM want_dns))) AS n_bad
+        FROM j GROUP BY item, want, want_type, want_dns)
+, a4 AS (SELECT item, want, want_type, want_dns, n_actual,
   CASE WHEN n_actual = 0 OR n_bad > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
   CASE WHEN n_actual = 0 THEN 'missing' WHEN n_bad > 0 THEN 'wrong_attr' ELSE 'ok' END AS reason FROM g)"""
 
 
 def _a4(t):
     return inv.expected_vs_actual(b.endpoints_expected(t), b.endpoints_actual(t), key="item",
-                                  rules={"want": "attr"})
+                                  rules={"want": "attr", "want_type": "type", "want_dns": "private_dns"})
 
 
 @register("expected_vs_actual", with_bindings(_A4 + "\nSELECT * FROM a4", "endpoints_expected", "endpoints_actual"))

@@ -31,7 +31,8 @@ SCHEMAS: dict[str, T.StructType] = {
     "eks": _struct(clusters=T.ArrayType(_S)),
     "rds": _struct(DBInstances=T.ArrayType(_struct(DBInstanceIdentifier=_S, DBInstanceStatus=_S, DBInstanceClass=_S,
                                                    AllocatedStorage=T.LongType(), AvailabilityZone=_S, TagList=TAGS))),
-    "endpoints": _struct(Service=_S, Type=_S, State=_S, PrivateDns=T.BooleanType(), Id=_S),
+    "endpoints": _struct(VpcEndpoints=T.ArrayType(_struct(VpcEndpointId=_S, ServiceName=_S, VpcEndpointType=_S, State=_S,
+                                                          PrivateDnsEnabled=T.BooleanType()))),
 }
 
 

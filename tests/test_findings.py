@@ -116,6 +116,21 @@ def test_truncated_page_is_not_lost(spark, tmp_path):
     assert [r.file.endswith("b.json") for r in ij.rejected_pages(spark, str(tmp_path), "ec2").collect()] == [True]
 
 
+def test_endpoint_check_end_to_end(spark, tmp_path):
+    (tmp_path / "e.json").write_text(json.dumps({"VpcEndpoints": [
+        {"VpcEndpointId": "vpce-1", "ServiceName": "s3", "VpcEndpointType": "Gateway", "State": "Available"},
+        {"VpcEndpointId": "vpce-2", "ServiceName": "sts", "VpcEndpointType": "Interface", "State": "available", "PrivateDnsEnabled": True},
+        {"VpcEndpointId": "vpce-3", "ServiceName": "ecr", "VpcEndpointType": "Interface", "State": "available", "PrivateDnsEnabled": False},
+        {"VpcEndpointId": "vpce-4", "ServiceName": "sts", "VpcEndpointType": "Interface", "State": "pending", "PrivateDnsEnabled": True}]}, indent=2))
+    seen = inv.flatten_endpoints(ij.read_inventory(spark, str(tmp_path), "endpoints"))
+    want = spark.createDataFrame([("s3", "Gateway", "available", None), ("sts", "Interface", "available", True),
+                                  ("ecr", "Interface", "available", True), ("logs", "Interface", "available", True)],
+                                 "service string, want_type string, want_state string, want_dns boolean")
+    rules = {"want_type": "type", "want_state": "state", "want_dns": "private_dns"}
+    got = {r.service: (r.status, r.reason) for r in inv.expected_vs_actual(want, seen, "service", rules).collect()}
+    assert got == {"s3": ("PASS", "ok"), "sts": ("FAIL", "wrong_attr"), "ecr": ("FAIL", "wrong_attr"), "logs": ("FAIL", "missing")}
+
+
 # ------------------------------------------------------------------ E4, E5, E6
 
 def late(spark, n=600):

@@ -1,25 +1,28 @@
-"""Explain every catalog query and flag plan shapes that do not scale.
+"""Run every catalog query and flag executed plan shapes that do not scale.
 
     python tools/plan_audit.py [sf_dir] > PLANS.md
 
 Flags: nested-loop or cartesian joins, Python evaluation in the plan, any
-exchange to a single partition, sort-based aggregation fallbacks.  Counts
-shuffles, broadcasts and scans, and whether scans are pruned.
+exchange to a single partition.  Counts shuffles, broadcasts, scans and windows
+over every plan that a query executes, not only its last one.
 """
 
 from __future__ import annotations
 
 import contextlib
 import io
+import json
 import os
 import re
 import sys
+import tempfile
+import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 BAD = {
     "nested loop": r"BroadcastNestedLoopJoin|CartesianProduct",
-    "python": r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas",
+    "python": r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|MapInArrow",
     "single partition": r"Exchange SinglePartition|SinglePartition,",
 }
 
@@ -31,39 +34,64 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-def audit(name: str, text: str) -> dict:
-    head = text.split("\n\n")[0]
-    row = {
-        "query": name,
-        "shuffles": len(re.findall(r"^\s*[:+\- ]*Exchange \(", head, re.M))
-        + len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning", text)) * 0,
-        "broadcasts": len(re.findall(r"BroadcastExchange \(", head)),
-        "scans": len(re.findall(r"Scan parquet", head)) + len(re.findall(r"Scan json", head)),
-        "windows": len(re.findall(r"\bWindow \(", head)),
-        "joins": ", ".join(sorted(set(re.findall(r"(\w+HashJoin|SortMergeJoin)", head)))),
-        "flags": [k for k, p in BAD.items() if re.search(p, text)],
-    }
-    schemas = re.findall(r"ReadSchema: (struct<.*>)", text)
-    row["max_read_cols"] = max((s.count(":") for s in schemas), default=0)
-    return row
+def walk(node: dict):
+    yield node
+    for child in node["children"]:
+        yield from walk(child)
+
+
+def executed_plans(folder: str) -> list[tuple[float, dict]]:
+    """(start in ms, last plan) of every SQL execution in Spark's event log: with
+    adaptive execution the last plan is the one that ran."""
+    plans: dict[int, list] = {}
+    for d, _, names in os.walk(folder):
+        for name in names:
+            with open(os.path.join(d, name), errors="replace") as fh:
+                for line in fh:
+                    if "sparkPlanInfo" in line:
+                        e = json.loads(line)
+                        if "time" in e:
+                            plans[e["executionId"]] = [e["time"], e["sparkPlanInfo"]]
+                        elif e["executionId"] in plans:
+                            plans[e["executionId"]][1] = e["sparkPlanInfo"]
+    return [tuple(p) for p in plans.values()]
+
+
+def audit(name: str, plans: list[dict]) -> dict:
+    """Counts over all plans that a query ran: staging, micro-batches, sinks and the read-back."""
+    nodes = [n for p in plans for n in walk(p)]
+    names = [n["nodeName"].split(" (")[0].strip() for n in nodes]
+    text = "\n".join(n["nodeName"] + " " + n["simpleString"] for n in nodes)
+    return {"query": name, "plans": len(plans), "shuffles": names.count("Exchange"), "reused": names.count("ReusedExchange"),
+            "broadcasts": names.count("BroadcastExchange"), "scans": sum(n.startswith("Scan") for n in names),
+            "windows": names.count("Window"),
+            "joins": ", ".join(sorted({n for n in names if re.search("Join", n)})),
+            "flags": [k for k, p in BAD.items() if re.search(p, text)]}
 
 
 def main() -> None:
+    from harborlens.plans.catalog import all_queries
     from harborlens.session import build_session
-    import __spark_entry__ as entry
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session()
-    rows = []
-    for name, fn in entry.queries().items():
-        rows.append(audit(name, plan_text(fn(spark, sf))))
+    logs = tempfile.mkdtemp(prefix="harborlens-plans-")
+    spark = build_session(extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": logs, "spark.eventLog.compress": "false",
+                                 "spark.eventLog.rolling.enabled": "false"})
+    spans = []
+    for name, fn in all_queries().items():
+        begin = time.time()
+        fn(spark, sf).write.format("noop").mode("overwrite").save()
+        spans.append((name, begin * 1000 - 1, time.time() * 1000))
+    spark.stop()
+    plans = executed_plans(logs)
+    rows = [audit(name, [p for t, p in plans if a <= t <= b]) for name, a, b in spans]
     print("# Plan audit\n")
-    print(f"Generated by `tools/plan_audit.py` on `{sf}` (initial adaptive plans; AQE may still "
-          "coalesce partitions and switch join strategies at run time).\n")
-    print("| query | shuffles | broadcasts | scans | windows | joins | widest scan (cols) | flags |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
+    print(f"Generated by `tools/plan_audit.py` on `{sf}` from Spark's event log: every plan that a query executed, as adaptive "
+          "execution finally ran it, with staging, micro-batches and sink writes included.\n")
+    print("| query | plans run | shuffles | reused | broadcasts | scans | windows | joins | flags |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for r in rows:
-        print(f"| {r['query']} | {r['shuffles']} | {r['broadcasts']} | {r['scans']} | {r['windows']} | "
-              f"{r['joins']} | {r['max_read_cols']} | {', '.join(r['flags']) or '-'} |")
+        print(f"| {r['query']} | {r['plans']} | {r['shuffles']} | {r['reused']} | {r['broadcasts']} | {r['scans']} | {r['windows']} | "
+              f"{r['joins']} | {', '.join(r['flags']) or '-'} |")
     flagged = [r["query"] for r in rows if r["flags"]]
     print(f"\nFlagged: {', '.join(flagged) if flagged else 'none'}.")
 
