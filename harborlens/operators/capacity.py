@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from harborlens.functions.scalars import cpu_millis, epoch_micros, micros_between
 from harborlens.operators.joins import bounded_broadcast
+from harborlens.session import materialised
 
 
 def poll_after(ts: Column, step_s: int) -> Column:
@@ -42,7 +43,7 @@ def backlog_series(jobs: DataFrame, step_s: int = 10, by: str = "queue", arrived
     tt = per_poll.schema["poll_ts"].dataType
     step = F.expr(f"INTERVAL {int(step_s)} SECONDS")
     spans = per_poll.groupBy(by).agg(F.min("poll_ts").alias("lo"), F.max("poll_ts").alias("hi"))
-    days = spans.select(by, "lo", "hi", F.explode(F.sequence(_day("lo"), _day("hi"), F.expr("INTERVAL 1 DAY"))).alias("begin"))
+    days = spans.select(by, "lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"), F.expr("INTERVAL 1 DAY"))).alias("begin"))
     days = days.withColumn("begin", F.col("begin").cast(tt))
     skipped = F.ceil(micros_between("begin", "lo", tt) / (int(step_s) * 1_000_000)).cast("bigint")
     first = F.when(F.col("begin") > F.col("lo"), F.timestamp_add("SECOND", skipped * int(step_s), F.col("lo"))).otherwise(F.col("lo"))
@@ -53,15 +54,12 @@ def backlog_series(jobs: DataFrame, step_s: int = 10, by: str = "queue", arrived
     dense = grid.join(other, grid[by].eqNullSafe(F.col("_by")) & (grid["poll_ts"] == F.col("_poll")), "left").select(
         by, "poll_ts", F.coalesce("arrived", F.lit(0)).cast("bigint").alias("arrived"), F.coalesce("done", F.lit(0)).cast("bigint").alias("done"))
     change = F.col("arrived") - F.col("done")
-    carried = _carry(dense.withColumn("day", _day("poll_ts")), by, "poll_ts", "before",
-                     F.sum(change), lambda w: F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    rows, days = _by_day(dense, by, "poll_ts", _c=F.sum(change))
+    w = Window.partitionBy(by).orderBy("day")
+    before = F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = _hand(rows, by, days.select(by, "day", before.alias("before")))
     inside = F.sum(change).over(_in_day(by, "poll_ts").rowsBetween(Window.unboundedPreceding, 0))
-    return carried.select(by, "poll_ts", "arrived", "done", (inside + F.coalesce("before", F.lit(0))).cast("bigint").alias("backlog"))
-
-
-def _day(c: str) -> Column:
-    """The calendar day a row is in: only a way to cut a queue's series into bounded stretches."""
-    return F.to_date(F.col(c))
+    return rows.select(by, "poll_ts", "arrived", "done", (inside + F.col("before")).cast("bigint").alias("backlog"))
 
 
 def _in_day(by: str, ts: str):
@@ -69,20 +67,27 @@ def _in_day(by: str, ts: str):
     return Window.partitionBy(by, "day").orderBy(ts)
 
 
-def _carry(df: DataFrame, by: str, ts: str, out: str, per_day: Column, over_days) -> DataFrame:
-    """``df`` (with its ``day``) and in ``out`` what a queue's other days hand to this one.
+def _by_day(df: DataFrame, by: str, ts: str, inside: dict[str, Column] | None = None, **per_day: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows, days): the series with its day and ``inside`` columns (windows within
+    the day), and one row a day with ``per_day`` aggregates.
 
-    ``per_day`` aggregates a day's rows to column ``_c``; ``over_days`` combines it
-    over a queue's days (a window over one row a day).  So no window spans more
-    than a day of rows, however long or busy a queue is."""
-    days = df.groupBy(by, "day").agg(per_day.alias("_c"))
-    w = Window.partitionBy(by).orderBy("day")
-    handed = days.select(F.col(by).alias("_by"), F.col("day").alias("_day"), over_days(w).alias(out))
-    return df.join(handed, df[by].eqNullSafe(F.col("_by")) & (df["day"] == F.col("_day"))).drop("_by", "_day")
+    The series is written to the shared folder once, since both sides read it: no
+    window spans more than a day of rows, however long or busy a queue is, and a
+    chain of these operators does not compute its input again and again."""
+    rows = df.withColumn("day", F.to_date(F.col(ts)))
+    rows = materialised(rows.withColumns(inside or {}), "series")
+    return rows, rows.groupBy(by, "day").agg(*[c.alias(k) for k, c in per_day.items()])
 
 
-def _last_before(w):
-    return F.last("_c", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+def _hand(rows: DataFrame, by: str, days: DataFrame) -> DataFrame:
+    """``rows`` with what a queue's other days hand to their day (one row a day)."""
+    other = days.withColumnsRenamed({by: "_by", "day": "_day"})
+    return rows.join(other, rows[by].eqNullSafe(F.col("_by")) & (rows["day"] == F.col("_day"))).drop("_by", "_day")
+
+
+def _earlier(w, c: str) -> Column:
+    """The last value of ``c`` that is not NULL on an earlier day."""
+    return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
 
 
 def replica_demand(backlog: DataFrame, per: int = 5, lo: int = 0, hi: int = 5, cooldown_s: int = 60,
@@ -93,9 +98,10 @@ def replica_demand(backlog: DataFrame, per: int = 5, lo: int = 0, hi: int = 5, c
 
     The cooldown asks for the last poll with a backlog, which is carried from day
     to day, and not for a window over the queue."""
-    rows = backlog.select(by, ts, value).withColumn("day", _day(ts))
     busy = F.when(F.col(value) > 0, F.col(ts))
-    rows = _carry(rows, by, ts, "earlier", F.max(busy), _last_before)
+    rows, days = _by_day(backlog.select(by, ts, value), by, ts, _c=F.max(busy))
+    w = Window.partitionBy(by).orderBy("day")
+    rows = _hand(rows, by, days.select(by, "day", _earlier(w, "_c").alias("earlier")))
     last_busy = F.coalesce(F.max(busy).over(_in_day(by, ts).rowsBetween(Window.unboundedPreceding, 0)), F.col("earlier"))
     secs = lambda c: F.floor(epoch_micros(c, backlog.schema[ts].dataType) / 1_000_000)
     rows = rows.withColumn("last_busy", last_busy)
@@ -109,13 +115,17 @@ def scaling_stability(demand: DataFrame, window: str = "1 day", by: str = "queue
                       value: str = "replicas") -> DataFrame:
     """Per queue and tumbling window: polls, scale changes and direction
     reversals (a change whose sign differs from the previous change's)."""
-    rows = _carry(demand.select(by, ts, value).withColumn("day", _day(ts)), by, ts, "earlier", F.max_by(value, ts), _last_before)
-    delta = F.col(value) - F.coalesce(F.lag(value).over(_in_day(by, ts)), F.col("earlier"))
-    s1 = rows.select(by, ts, "day", delta.alias("delta"))
-    s1 = s1.withColumn("sign", F.when(F.col("delta") != 0, F.signum("delta")))
-    s2 = _carry(s1, by, ts, "earlier_sign", F.max_by("sign", F.when(F.col("sign").isNotNull(), F.col(ts))), _last_before)
+    sign = lambda c: F.when(c != 0, F.signum(c))
+    step = F.col(value) - F.lag(value).over(_in_day(by, ts))   # NULL at the first poll of a day
+    rows, days = _by_day(demand.select(by, ts, value), by, ts, {"step": step}, first=F.min_by(value, ts), last=F.max_by(value, ts),
+                         sign=F.max_by(sign(F.col("step")), F.when(F.col("step") != 0, F.col(ts))))
+    w = Window.partitionBy(by).orderBy("day")
+    days = days.withColumn("earlier", F.lag("last").over(w))
+    days = days.withColumn("sign", F.coalesce("sign", sign(F.col("first") - F.col("earlier"))))
+    rows = _hand(rows, by, days.select(by, "day", "earlier", _earlier(w, "sign").alias("earlier_sign")))
+    rows = rows.withColumn("delta", F.coalesce("step", F.col(value) - F.col("earlier"))).withColumn("sign", sign(F.col("delta")))
     prev = F.coalesce(F.last("sign", ignorenulls=True).over(_in_day(by, ts).rowsBetween(Window.unboundedPreceding, -1)), F.col("earlier_sign"))
-    return (s2.withColumn("prev_sign", prev).groupBy(by, F.window(ts, window)["start"].alias("window_start"))
+    return (rows.withColumn("prev_sign", prev).groupBy(by, F.window(ts, window)["start"].alias("window_start"))
             .agg(F.count(F.lit(1)).alias("polls"),
                  F.count(F.when(F.col("delta") != 0, 1)).alias("scale_changes"),
                  F.count(F.when(F.col("sign") != F.col("prev_sign"), 1)).alias("reversals")))
@@ -126,16 +136,19 @@ def backlog_recovery(backlog: DataFrame, threshold: int, by: str = "queue", ts:
     """Episodes of consecutive polls above ``threshold``: start, last poll
     above, peak, the poll at which the backlog was back to normal (NULL if it
     never was) and the seconds that took from the start."""
-    s = backlog.select(by, ts, value, (F.col(value) > threshold).alias("above")).withColumn("day", _day(ts))
-    s = _carry(s, by, ts, "later", F.min(ts), lambda w: F.lead("_c").over(w))
-    s = _carry(s, by, ts, "earlier", F.max_by("above", ts), _last_before)
+    series = backlog.select(by, ts, value, F.coalesce(F.col(value) > threshold, F.lit(False)).alias("above"))
     w = _in_day(by, ts)
-    s = s.withColumn("next_ts", F.coalesce(F.lead(ts).over(w), F.col("later")))
-    begins = F.col("above") & ~F.coalesce(F.lag("above").over(w), F.col("earlier"), F.lit(False))
-    s = s.withColumn("begins", begins.cast("int")).where("above")
-    s = _carry(s, by, ts, "before", F.sum("begins"), lambda w: F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    grp = F.coalesce("before", F.lit(0)) + F.sum("begins").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ep = (s.withColumn("grp", grp).groupBy(by, "grp")
+    rows, days = _by_day(series, by, ts, {"next_in": F.lead(ts).over(w), "above_before": F.lag("above").over(w)},
+                         first_ts=F.min(ts), first=F.min_by("above", ts), last=F.max_by("above", ts),
+                         begins=F.count_if(F.col("above") & ~F.col("above_before")))
+    d = Window.partitionBy(by).orderBy("day")
+    days = days.withColumn("earlier", F.coalesce(F.lag("last").over(d), F.lit(False))).withColumn("later", F.lead("first_ts").over(d))
+    days = days.withColumn("begins", F.col("begins") + (F.col("first") & ~F.col("earlier")).cast("int"))
+    before = F.coalesce(F.sum("begins").over(d.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = _hand(rows, by, days.select(by, "day", "earlier", "later", before.alias("before")))
+    begins = (F.col("above") & ~F.coalesce("above_before", "earlier")).cast("int")
+    grp = F.col("before") + F.sum(begins).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ep = (rows.withColumn("grp", grp).withColumn("next_ts", F.coalesce("next_in", "later")).where("above").groupBy(by, "grp")
           .agg(F.min(ts).alias("start_ts"), F.max(ts).alias("last_above_ts"), F.max(value).alias("peak"),
                F.count(F.lit(1)).alias("polls_above"),
                # next poll after the last one above; NULL when the series ends above

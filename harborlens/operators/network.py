@@ -9,14 +9,13 @@ are below Spark's broadcast threshold in bytes, flows stay in place.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborlens.functions.scalars import cidr_low, cidr_prefix, ipv4_to_long
-from harborlens.session import scratch_path
+from harborlens.session import materialised
 
 
 def traffic_matrix(flows: DataFrame, keys: Sequence[str] = ("src", "dst", "port"), bytes_col: str = "bytes",
@@ -55,12 +54,6 @@ def _rule_lookup(rules: DataFrame) -> DataFrame:
     return r.groupBy("prefix", "network").agg(F.sort_array(F.collect_list(cand)).alias("cands"))
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, f"rules-{uuid.uuid4().hex}")
-    df.write.partitionBy("prefix").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def cidr_match(flows: DataFrame, rules: DataFrame, ip: str = "src_ip", port: str = "port",
                protocol: str | None = None) -> DataFrame:
     """Attach to each flow the rule whose CIDR (both bounds inclusive),
@@ -74,7 +67,7 @@ def cidr_match(flows: DataFrame, rules: DataFrame, ip: str = "src_ip", port: str
     # Grouped once and written: each prefix length below reads its part of the
     # table, whose size Spark then knows (it broadcasts a part below its byte
     # threshold and joins by shuffle above it).
-    lookup = _stored(_rule_lookup(rules).where(F.col("network").isNotNull()))
+    lookup = materialised(_rule_lookup(rules).where(F.col("network").isNotNull()), "rules")
     found = lookup.agg(F.collect_set("prefix")).first()[0]
     prefixes = sorted(found, reverse=True)
     proto = F.col(protocol) if protocol else F.lit(None).cast("string")

@@ -7,8 +7,9 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every harborlens session wants, whatever the cluster size.
 BASE_CONF = {
@@ -68,6 +69,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name) if "://" not in base else f"{base.rstrip('/')}/tables/{name}"
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: a cut in its lineage that
+    survives lost executors, for data that a plan reads more than once."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables this session has written to the shared folder.
 
