@@ -94,6 +94,8 @@ def main() -> None:
               f"{r['joins']} | {', '.join(r['flags']) or '-'} |")
     flagged = [r["query"] for r in rows if r["flags"]]
     print(f"\nFlagged: {', '.join(flagged) if flagged else 'none'}.")
+    print("\n`single partition` is an exchange to one task. The flagged queries use it for a global aggregate that shapes their "
+          "plan (first and last event time, prefix lengths, touched buckets): it receives one partial row from each task.")
 
 
 if __name__ == "__main__":
