@@ -460,3 +460,24 @@ def test_single_document_is_its_own_neighbour(spark):
 
 def test_duckdb_reads_the_oracles():
     assert duckdb.sql("select 1").fetchall() == [(1,)] and set(ORACLES) <= set(QUERIES)
+
+
+CLASHING = ["d", "t", "w", "q", "c", "n", "s", "k", "key", "part", "edge", "pos", "rank", "runs", "size", "rate", "copies", "target", "logit", "score",
+            "block", "chunk", "ordinal", "item_id", "_part", "_rate", "_copies", "_id", "text_a", "begin", "end", "first", "kept_text"]
+
+
+@pytest.mark.parametrize("run", [
+    lambda df: token_planes.token_files(df, tokenizer_file()), line_runs.dedup_lines, suffix_buckets.remove_repeats, source_mix.mix_sources,
+    order_minhash.compare_with_edit], ids=["op2", "op3", "op5", "op6", "op10"])
+def test_extra_columns_change_nothing(edge, run):
+    few = edge.where("doc_id < 40 or doc_id is null")
+    more = few.withColumns({c: F.lit("x") for c in CLASHING})
+    assert sorted(map(str, run(more).collect())) == sorted(map(str, run(few).collect()))
+
+
+def test_extra_columns_are_kept_where_rows_are(spark, edge):
+    more = edge.withColumns({c: F.lit(1) for c in CLASHING})
+    bench = spark.createDataFrame([(1, "nothing of the kind")], "item_id long, text string").withColumn("doc_id", F.lit(5)).withColumn("b", F.lit(1))
+    for out in (ngram_join.drop_near_duplicates(more), source_mix.repeat_documents(more),
+                decontaminate.clean_documents(more, decontaminate.decontaminate(more, bench))):
+        assert out.columns == more.columns and out.count() > 0
