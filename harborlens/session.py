@@ -112,4 +112,7 @@ def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 2 ** 20),
         "spark.sql.session.timeZone": "UTC",
+        # stream state (E4, M6) on local disk with changelogs, not in executor memory
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }

@@ -2,9 +2,9 @@
 
 S3 writes each record under its namespace directory (``partitionBy``), with
 the log group and stream names a log shipper would use, so a reader of one
-group prunes every other directory.  No shuffle: each task writes the
-namespaces it holds, so a namespace with a third of all records is still
-spread over all tasks.
+group prunes every other directory.  One rebalancing shuffle sizes the files: a
+namespace with a third of all records is split over many tasks, small ones are
+not scattered into many small files.
 
 S5 appends to durable storage and reads back the last ``n`` records by an
 ordinal column: ``orderBy(desc).limit(n)`` plans as TakeOrderedAndProject, a
