@@ -146,7 +146,7 @@ def classes(rows):
     return {i: (len(s), top(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("share", [(0.0005, 0.02, 128), (0.05, 0.05, 128), (0.05, 0.05, 40), (0.02, 0.5, 0)])
+@pytest.mark.parametrize("share", [(0.00005, 0.02, 64), (0.05, 0.05, 128), (0.05, 0.05, 40), (0.02, 0.5, 0)])
 def test_ngram_classes(edge, share):
     got = ngram_join.similarity_classes(edge, frequent_share=share[0], combine_share=share[1], combine_up_to=share[2])
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == classes(edge_rows())
@@ -164,7 +164,7 @@ def test_ngram_classes_of_borderline_copies(spark):
         rows.append((i, " ".join(w), "en", "s", None))
     df = spark.createDataFrame(rows, DOCS).repartition(5)
     want = classes(rows)
-    for share in ((0.0005, 0.02, 128), (0.1, 0.1, 128)):
+    for share in ((0.00005, 0.02, 64), (0.1, 0.1, 128)):
         got = ngram_join.similarity_classes(df, frequent_share=share[0], combine_share=share[1], combine_up_to=share[2])
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
     assert 1 < len({c for _, c in want.values()}) < 90
