@@ -13,6 +13,11 @@ of at least ``min_lines`` lines.  In each interval all but the first suffix (by
 document, then line) start a later copy; later copies are deleted, and adjoining
 ones make a maximal repeated run.
 
+With ``min_words`` a run of fewer lines, down to one, counts too if it has that many
+words (``[^\\x20\\x09-\\x0D]+``).  Ranks are then taken one line deeper at a time, as
+the shared ranks of every depth up to ``min_lines`` are needed; suffixes of equal
+rank have the same lines and so the same number of words.
+
 DataFrame operations only; no Python runs on the executors.
 
 Defined results: a line ends at ``\\n``; a null text is empty and has one empty
@@ -30,14 +35,16 @@ from pyspark.sql import functions as F
 from harborlens.llm.textkit import new_path, stored, text_view
 
 MIN_LINES = 4
+MIN_WORDS = 50
 _AT = ("d", "t", "pos")
 
 
-def line_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(d, t, pos, rank): document key, text hash, line number and line id, once a document."""
+def line_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_words: bool = False) -> DataFrame:
+    """(d, t, pos, rank): document key, text hash, line number and line id, once a document; or words of the line too."""
     docs = text_view(df, id_col, text_col)
     keyed = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.xxhash64("text").alias("t"), "text")
-    return keyed.select("d", "t", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select(*_AT, F.xxhash64("line").alias("rank"))
+    words = [F.regexp_count("line", F.lit(r"[^\x20\x09-\x0D]+")).alias("words")] if with_words else []
+    return keyed.select("d", "t", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select(*_AT, F.xxhash64("line").alias("rank"), *words)
 
 
 def _shared(suffixes: DataFrame, *key: str) -> DataFrame:
@@ -52,10 +59,10 @@ def _shared(suffixes: DataFrame, *key: str) -> DataFrame:
             .select(*key, "first", (F.col("_before") + F.col("_inside")).alias("next_rank")))
 
 
-def _ranked(suffixes: DataFrame, *key: str) -> DataFrame:
-    """(d, t, pos, rank, first) of the suffixes whose key is shared."""
+def _ranked(suffixes: DataFrame, *key: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(d, t, pos, rank, first) and ``keep`` of the suffixes whose key is shared."""
     named = suffixes.join(_shared(suffixes, *key), list(key))
-    return stored(named.select(*_AT, F.col("next_rank").alias("rank"), "first"), "line-suffixes")
+    return stored(named.select(*_AT, F.col("next_rank").alias("rank"), "first", *keep), "line-suffixes")
 
 
 def repeated_starts(lines: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
@@ -71,6 +78,24 @@ def repeated_starts(lines: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return ranks
 
 
+def wordy_starts(lines: DataFrame, min_lines: int, min_words: int) -> DataFrame:
+    """(d, t, pos, first, size): every suffix that shares its first ``min_lines`` lines with another, or fewer
+    that have ``min_words`` words; size is the number of lines."""
+    one = lines.dropDuplicates([*_AT]).withColumn("line_words", F.col("words"))
+    carried = ("words", "line_words")
+    ranks = _ranked(one, "rank", keep=carried)
+    found = []
+    for depth in range(1, min_lines):
+        found.append(ranks.where(F.col("words") >= min_words).select(*_AT, "first", F.lit(depth).alias("size")))
+        later = ranks.select("d", "t", (F.col("pos") - 1).alias("pos"), F.col("rank").alias("rank2"), F.col("words").alias("words2"))
+        longer = ranks.drop("first").join(later, list(_AT)).withColumn("words", F.col("line_words") + F.col("words2"))
+        ranks = _ranked(longer, "rank", "rank2", keep=carried)
+    out = ranks.select(*_AT, "first", F.lit(min_lines).alias("size"))
+    for more in found:
+        out = out.unionByName(more)
+    return out
+
+
 def deleted_runs(starts: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """(d, t, begin, end): maximal runs of lines covered by later copies, end exclusive."""
     later = starts.where(F.struct(*_AT) != F.col("first")).select(*_AT)
@@ -80,13 +105,29 @@ def deleted_runs(starts: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return runs.groupBy("d", "t", "run").agg(F.min("pos").alias("begin"), (F.max("pos") + min_lines).alias("end"))
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+def deleted_passages(starts: DataFrame) -> DataFrame:
+    """(d, t, begin, end) as :func:`deleted_runs`, of starts that cover ``size`` lines each."""
+    later = starts.where(F.struct(*_AT) != F.col("first")).select(*_AT, (F.col("pos") + F.col("size")).alias("end"))
+    w = W.partitionBy("d", "t").orderBy("pos", "end")
+    before = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("pos") > before, F.lit(True))
+    runs = later.withColumn("fresh", fresh.cast("int")).withColumn("run", F.sum("fresh").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    return runs.groupBy("d", "t", "run").agg(F.min("pos").alias("begin"), F.max("end").alias("end"))
+
+
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES,
+                min_words: int | None = None) -> DataFrame:
     """(doc_id, kept_text, n_lines, n_removed, n_runs), one row per row of ``df``.
 
+    A run has ``min_lines`` lines, or with ``min_words`` fewer lines of that many words.
     The texts are shuffled once, to meet their runs (one array per document, no
     longer than the document)."""
-    starts = repeated_starts(stored(line_ids(df, id_col, text_col), "line-ids"), min_lines)
-    runs = (deleted_runs(starts, min_lines).groupBy("d", "t")
+    lines = stored(line_ids(df, id_col, text_col, min_words is not None), "line-ids")
+    if min_words is None:
+        gone = deleted_runs(repeated_starts(lines, min_lines), min_lines)
+    else:
+        gone = deleted_passages(wordy_starts(lines, min_lines, min_words))
+    runs = (gone.groupBy("d", "t")
             .agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("runs")))
     docs = text_view(df, id_col, text_col).withColumns(
         {"d": F.coalesce("doc_id", F.lit(-(1 << 63))), "t": F.xxhash64("text")})

@@ -84,6 +84,33 @@ def op3(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+_DEPTHS = ", ".join(f"({k})" for k in range(1, line_runs.MIN_LINES + 1))
+_NEXT = ", ".join(f"CASE WHEN k > {j} THEN lead(line, {j}) OVER w END AS l{j}" for j in range(1, line_runs.MIN_LINES))
+_PASSAGES_SQL = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos FROM documents),
+c AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l),
+u AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+        count(*) OVER (PARTITION BY doc_id) AS n_lines, sum(n) OVER (PARTITION BY doc_id) AS n_words FROM c),
+g AS (SELECT doc_id, pos, k, line, {_NEXT}, n_lines, coalesce(lead(before, k) OVER w, n_words) - before AS run_words
+      FROM u, (VALUES {_DEPTHS}) AS d(k) WINDOW w AS (PARTITION BY doc_id, k ORDER BY pos)),
+later AS (SELECT doc_id, pos, k FROM (SELECT doc_id, pos, k, row_number() OVER (PARTITION BY k, {_KEY} ORDER BY doc_id, pos) AS r
+            FROM g WHERE pos + k <= n_lines AND (k = {line_runs.MIN_LINES} OR run_words >= {line_runs.MIN_WORDS})) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, pos + j AS pos FROM later, (SELECT unnest(range({line_runs.MIN_LINES})) AS j) WHERE j < k),
+m AS (SELECT l.*, gone.pos IS NOT NULL AS gone FROM l LEFT JOIN gone USING (doc_id, pos)),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), FALSE) AS begins FROM m)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_runs,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM e GROUP BY doc_id"""
+
+
+@query("op3_line_passages", _PASSAGES_SQL)
+def op3_passages(spark, sf_dir):
+    """Later copies of runs of four lines or more, or of fewer lines with 50 words or more, removed from all documents."""
+    out = line_runs.dedup_lines(table(spark, sf_dir, "documents"), min_words=line_runs.MIN_WORDS)
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op4_ngram_join")
 def op4(spark, sf_dir):
     """Near-duplicate classes of all documents by 5-word shingles, Jaccard 0.75 or more."""

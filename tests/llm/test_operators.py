@@ -122,6 +122,35 @@ def test_line_runs(edge, empty):
     assert line_runs.dedup_lines(empty).count() == 0
 
 
+def test_line_runs_of_few_long_lines(spark, edge, empty):
+    """A run of fewer lines counts if it has min_words words: also whole copies of one to three lines."""
+    g = random.Random(8)
+    long = [" ".join(f"v{g.randrange(10 ** 6)}" for _ in range(k)) for k in (49, 50, 80, 30)]
+    more = [(500, long[1]), (501, long[1]), (502, long[0]), (503, long[0]), (504, "\n".join([long[3], "", long[3]])),
+            (505, "\n".join(["x", long[3], "", long[3], long[2]])), (506, long[2]), (507, "\n".join([long[2]] * 3)), (508, long[0] + "\ny\nz")]
+    rows = [*edge_rows(), *[(i, t, "en", "s", None) for i, t in more]]
+    df = edge.unionByName(spark.createDataFrame(rows[-len(more):], DOCS))
+    for k, least in ((4, 50), (4, 5), (2, 20), (1, 50), (3, 0)):
+        seen, want = set(), {}
+        for _, i, t in ordered(rows):
+            lines = t.split("\n")
+            gone = [False] * len(lines)
+            for s in range(len(lines)):
+                for n in range(1, min(k, len(lines) - s) + 1):
+                    run = tuple(lines[s:s + n])
+                    if n < k and len(re.findall(r"[^\x20\x09-\x0D]+", "\n".join(run))) < least:
+                        continue
+                    if run in seen:
+                        gone[s:s + n] = [True] * n
+                    seen.add(run)
+            runs = len(re.findall("1+", "".join("01"[x] for x in gone)))
+            want[i] = ("\n".join(x for x, d in zip(lines, gone) if not d), len(lines), sum(gone), runs)
+        got = line_runs.dedup_lines(df, min_lines=k, min_words=least)
+        assert {r.doc_id: (r.kept_text, r.n_lines, r.n_removed, r.n_runs) for r in got.collect()} == want
+        assert want[501][2] == 1 or k == 1
+    assert line_runs.dedup_lines(empty, min_words=50).count() == 0
+
+
 # ----------------------------------------------------------------------- op4
 
 def shingles(text):
