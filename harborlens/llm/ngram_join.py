@@ -26,7 +26,9 @@ Equal sets are collapsed first.  An index key's documents are sorted by size and
 chained: neighbours that share enough keys are verified on the texts, and give
 components; long lists are chained again in other orders (at most ``turns`` times)
 while that joins components.  Then only documents that share a key but lie in
-different components are paired, counted and verified, all of them.  A pair that could link is therefore
+different components are paired, counted and verified, all of them: lists that lie in
+one component are dropped, and lists of more than ``split`` rows are cut into blocks
+that meet in pairs, so no list is one task's.  A pair that could link is therefore
 either verified or already in one component: components are exact, and a group of
 copies costs a chain and not a clique.
 
@@ -63,6 +65,7 @@ SURVEY_BYTES = 24 << 20
 LIST_UP_TO = 12
 TURNS = 4
 EARLY = 8
+SPLIT = 512
 _LONG = pa.int64()
 
 
@@ -297,11 +300,64 @@ def with_lengths(lists: DataFrame, list_up_to: int) -> DataFrame:
     return lists.withColumn("long", F.count(F.lit(1)).over(W.partitionBy("key")) > list_up_to)
 
 
-def crossing_pairs(lists: DataFrame, combine_up_to: int = COMBINE_UP_TO) -> DataFrame:
+def mixed_keys(lists: DataFrame) -> DataFrame:
+    """(key): keys whose rows lie in more than one component; lists has key and c, combined where they lie."""
+    return lists.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
+
+
+def blocked(lists: DataFrame, split: int = SPLIT) -> DataFrame:
+    """The rows of ``lists``, with ``g`` and ``role``: those of equal (key, g) meet in one task.
+
+    A list of up to ``split`` rows stays whole (g 0, role 2).  A longer one is cut into
+    blocks of about ``split`` rows by size class, by component where one has ``split``
+    rows of a class, and by a hash of the set's name.  Any row of the left blocks (role
+    0, rows that may be the smaller set of a pair) meets any row of the right blocks
+    (role 1, all rows) once, under the g of the two blocks; blocks of one component or of
+    sizes too far apart do not meet."""
+    size, place = F.shiftright("n", 32), F.col("n").bitwiseAND(F.lit(0xFFFFFFFF))
+    # Sizes of linking sets differ by 4/3 at most: by one class.
+    rows = lists.withColumns({"q": F.floor(F.log(size.cast("double")) / F.log(F.lit(1.34))).cast("int"),
+                              "early": (F.col("long") == 0) | (place <= size - F.expr(
+                                  f"({2 * PERCENT} * shiftright(n, 32) + {99 + PERCENT}) div {100 + PERCENT}"))})
+    cells = rows.groupBy("key", "q", "c").agg(F.count(F.lit(1)).alias("rights"), F.sum(F.col("early").cast("long")).alias("lefts"))
+    wide = stored(cells.groupBy("key").agg(F.sum("rights").alias("rows")).where(F.col("rows") > split).select("key"), "ngram-wide-keys")
+    whole = lists.join(wide, "key", "left_anti").withColumns({"g": F.lit(0).cast("long"), "role": F.lit(2)})
+    if wide.limit(1).count() == 0:
+        return whole
+    cells = stored(cells.join(wide, "key", "left_semi"), "ngram-cells")
+    own = cells.where(F.col("rights") >= split).select("key", "q", "c", F.lit(1).alias("own"))
+
+    def named(df):   # own 1: a block of component o; own 0: the rest of the size class
+        return (df.join(own, ["key", "q", "c"], "left").withColumn("own", F.coalesce("own", F.lit(0)))
+                .withColumn("o", F.when(F.col("own") == 1, F.col("c")).otherwise(F.lit(0).cast("long"))))
+
+    at = ["key", "q", "own", "o"]
+    totals = stored(named(cells).groupBy(*at).agg(F.sum("lefts").alias("lefts"), F.sum("rights").alias("rights"))
+                    .select(*at, *[F.ceil(F.col(x) / split).cast("long").alias(x) for x in ("lefts", "rights")]), "ngram-blocks")
+
+    def blocks(x):
+        return (totals.where(F.col(x) > 0).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col(x) - 1)))
+                .select("key", *[F.col(c).alias(f"{x}_{c}") for c in (*at[1:], "salt")]))
+
+    meet = blocks("lefts").join(blocks("rights"), "key").where(
+        "rights_q - lefts_q in (0, 1) and not (lefts_own = 1 and rights_own = 1 and lefts_o = rights_o)")
+    meet = stored(meet.withColumn("g", F.monotonically_increasing_id() + 1), "ngram-block-pairs")
+    cut = named(rows.join(wide, "key", "left_semi")).join(totals, at)
+    out = whole
+    for role, x, some in ((0, "lefts", cut.where("early")), (1, "rights", cut)):
+        here = [*at, "salt"]
+        to = meet.select("key", *[F.col(f"{x}_{c}").alias(c) for c in here[1:]], "g")
+        some = some.withColumn("salt", F.pmod(F.xxhash64("s"), F.col(x)))
+        out = out.unionByName(some.join(to, here).select(*lists.columns, "g", F.lit(role).alias("role")))
+    return out
+
+
+def crossing_pairs(lists: DataFrame, combine_up_to: int = COMBINE_UP_TO, split: int = SPLIT) -> DataFrame:
     """(a, b): sets in different components that share enough keys, and may link under one of them.
 
-    Rows arrive sorted by key and size; for a row only earlier ones of at least
-    0.75 times its size are looked at, and only those rows are held.  Under a short
+    Rows arrive in the blocks of :func:`blocked`, sorted by size; for a row only
+    earlier ones of at least 0.75 times its size are looked at, and only those rows are
+    held, not more than a block.  Under a short
     list's key every pair is counted.  Under a long list's key a pair is taken only if
     the key may be its first common token: the smaller set must then have it among
     its first seventh, which few sets have unless they are mostly such tokens, and the
@@ -314,21 +370,22 @@ def crossing_pairs(lists: DataFrame, combine_up_to: int = COMBINE_UP_TO) -> Data
     count."""
     def run(batches):
         window = None
-        for key, n, s, c, many, more, *early in _streamed(batches, ("key", "n", "s", "c", "long", "m", *names)):
+        for key, n, s, c, many, more, g, role, *early in _streamed(batches, ("key", "n", "s", "c", "long", "m", "g", "role", *names)):
             new, head = 0, np.stack(early, axis=1)
             if window is not None:
                 new = len(window[0])
-                key, n, s, c, many, more, head = (np.concatenate(x) for x in zip(window, (key, n, s, c, many, more, head)))
+                key, n, s, c, many, more, g, role, head = (np.concatenate(x) for x in zip(window, (key, n, s, c, many, more, g, role, head)))
             n, place = _unpack(n)
-            # first row of the same key that is large enough, for each new row
-            start = np.searchsorted(key, key, "left")
+            # first row of the same block pair that is large enough, for each new row
+            block = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (g[1:] != g[:-1])]))
+            start = np.searchsorted(block, block, "left")
             lo = start.copy()
-            for x, y in _key_runs(key, new):
+            for x, y in _key_runs(block, new):
                 first = int(start[x])
                 lo[x:y] = first + np.searchsorted(n[first:y], -(-PERCENT * n[x:y] // 100), "left")
-            early = ~many.astype(bool) | (place <= n - -(-2 * PERCENT * n // (100 + PERCENT)))
+            early = (role != 1) & (~many.astype(bool) | (place <= n - -(-2 * PERCENT * n // (100 + PERCENT))))
             lefts = np.flatnonzero(early)
-            rows = np.arange(new, len(key))
+            rows = new + np.flatnonzero(role[new:] != 0)
             begin, end = np.searchsorted(lefts, lo[rows]), np.searchsorted(lefts, rows)
             span = end - begin
             total = np.cumsum(span)
@@ -349,11 +406,12 @@ def crossing_pairs(lists: DataFrame, combine_up_to: int = COMBINE_UP_TO) -> Data
                 if len(a):
                     yield _batch(a=pa.array(a, _LONG), b=pa.array(b, _LONG), x=pa.array(size, _LONG), k=pa.array(times, _LONG), flag=pa.array(flag, _LONG))
                 at = to
-            keep = (key == key[-1]) & (100 * n >= PERCENT * n[-1]) & early
-            window = key[keep], _pack(n[keep], place[keep]), s[keep], c[keep], many[keep], more[keep], head[keep]
+            keep = (block == block[-1]) & (100 * n >= PERCENT * n[-1]) & early
+            window = key[keep], _pack(n[keep], place[keep]), s[keep], c[keep], many[keep], more[keep], g[keep], role[keep], head[keep]
 
     names = [f"e{j}" for j in range(EARLY)]
-    seen = lists.repartition("key").sortWithinPartitions("key", "n", "s").mapInArrow(run, "a long, b long, x long, k long, flag long")
+    placed = blocked(lists, split).repartition("key", "g").sortWithinPartitions("key", "g", "n", "s")
+    seen = placed.mapInArrow(run, "a long, b long, x long, k long, flag long")
     seen = seen.groupBy("a", "b").agg(F.max("x").alias("x"), F.sum("k").alias("k"), F.bit_or("flag").alias("flag"))
     small = F.least(F.shiftright("x", 32), F.col("x").bitwiseAND(F.lit(0xFFFFFFFF))) <= combine_up_to
     seen = seen.withColumns({"k": F.col("k") + small.cast("long") + F.shiftright("flag", 2), "flag": F.col("flag").bitwiseAND(F.lit(3))})
@@ -468,7 +526,7 @@ def components(edges: DataFrame) -> DataFrame:
 def similarity_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent_share: float = FREQUENT_SHARE,
                        combine_share: float = COMBINE_SHARE, combine_up_to: int = COMBINE_UP_TO,
                        survey_bytes: int = SURVEY_BYTES, list_up_to: int = LIST_UP_TO,
-                       turns: int = TURNS) -> DataFrame:
+                       turns: int = TURNS, split: int = SPLIT) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``df``."""
     docs = text_view(df, id_col, text_col)
     seed = 0
@@ -507,11 +565,13 @@ def similarity_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             break
         tried = tried.unionAll(pairs)
         classes = components(found.unionAll(classes.select("s", "c")))
+    # Lists that lie in one component have no pair to give.
+    mixed = stored(mixed_keys(lists.join(classes, "s", "left").select("key", F.coalesce("c", "s").alias("c"))), "ngram-mixed-keys")
     # Keys with long lists of each set: a pair's count leaves them out.
-    labelled = (sized.join(classes, "s", "left").join(first_keys(hard), "s", "left")
+    labelled = (sized.join(mixed, "key", "left_semi").join(classes, "s", "left").join(first_keys(hard), "s", "left")
                 .select("key", "n", "s", F.coalesce("c", "s").alias("c"), F.col("long").cast("int").alias("long"), F.coalesce("m", F.lit(0)).alias("m"),
                         *[F.when(F.col("long"), F.col(f"e{j}")).otherwise(F.lit(0)).alias(f"e{j}") for j in range(EARLY)]))
-    rest = crossing_pairs(labelled, combine_up_to).join(tried, ["a", "b"], "left_anti")
+    rest = crossing_pairs(stored(labelled, "ngram-mixed-lists"), combine_up_to, split).join(tried, ["a", "b"], "left_anti")
     found = stored(links(rest, texts), "ngram-links")
     return _by_document(sets, components(found.unionAll(classes.select("s", "c"))))
 

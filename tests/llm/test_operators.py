@@ -201,6 +201,30 @@ def test_ngram_classes_of_borderline_copies(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in want.values()})
 
 
+def test_ngram_long_lists_are_dealt_out(spark):
+    """Lists of one component are dropped; a long mixed list is cut into blocks, and the pairs stay the same."""
+    g = random.Random(12)
+    sets = [(s, g.choice([40, 50, 55, 70, 200]), 7 if s < 900 else 8 if s < 1200 else s) for s in range(1500)]
+    rows = [(key, n << 32 | g.randrange(9), s, c, long, 50, *[key if j == 0 and long else 0 for j in range(ngram_join.EARLY)])
+            for key, long, part in ((2, 1, sets), (4, 0, sets[:30] + sets[1190:1230]), (6, 1, sets[:900])) for s, n, c in part]
+    df = spark.createDataFrame(rows, "key long, n long, s long, c long, long int, m long, " + ", ".join(f"e{j} long" for j in range(ngram_join.EARLY)))
+    assert {r.key for r in ngram_join.mixed_keys(df).collect()} == {2, 4}
+    df = df.where("key < 6").repartition(4)
+    parts = ngram_join.blocked(df, split=64)
+    sizes = parts.groupBy("key", "g", "role").count().collect()
+    assert max(r["count"] for r in sizes) < 150 and sum(r["count"] for r in sizes if r.key == 4) >= 70
+    assert parts.groupBy("key", "g").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x = y").count() == 0
+    whole = {tuple(r) for r in ngram_join.crossing_pairs(df, split=10 ** 6).collect()}
+    assert len(whole) > 10_000 and {tuple(r) for r in ngram_join.crossing_pairs(df, split=64).collect()} == whole
+    cls = {s: c for s, _, c in sets}
+    assert all(cls[a] != cls[b] for a, b in whole)
+
+
+def test_ngram_classes_with_small_blocks(spark, edge):
+    got = ngram_join.similarity_classes(edge, frequent_share=0.02, combine_share=0.5, combine_up_to=0, split=2, turns=0)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == classes(edge_rows())
+
+
 def test_ngram_empty(empty):
     assert ngram_join.similarity_classes(empty).count() == 0
     assert ngram_join.drop_near_duplicates(empty).count() == 0
