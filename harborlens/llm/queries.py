@@ -1,4 +1,4 @@
-"""The ten operators bound to the driver tables, with SQL where SQL can say the same.
+"""The operators bound to the driver tables, with SQL where SQL can say the same.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame``; ``ORACLES[name]`` is DuckDB SQL.
 Every query runs its operator, with production parameters, over the whole table.
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlens.llm import (chat_snapshots, decontaminate, line_runs, ngram_join, order_minhash, shard_table, source_mix, suffix_buckets,
-                            token_planes, toxicity)
+                            token_counts, token_planes, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,3 +180,9 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Order-MinHash fingerprints of all documents and of their edited texts."""
     return order_minhash.compare_with_edit(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_counts")
+def op11(spark, sf_dir):
+    """Tokens of all documents, by way of the digest cache (a new one for each call)."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
