@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlens.llm import (chat_snapshots, decontaminate, line_runs, ngram_join, order_minhash, shard_table, source_mix, suffix_buckets,
-                            token_counts, token_planes, toxicity)
+from harborlens.llm import (chat_snapshots, decontaminate, line_runs, ngram_join, order_minhash, phrase_graph, shard_table, source_mix, suffix_buckets,
+                            token_counts, token_planes, toxicity, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -186,3 +186,39 @@ def op10(spark, sf_dir):
 def op11(spark, sf_dir):
     """Tokens of all documents, by way of the digest cache (a new one for each call)."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op12_whitening")
+def op12(spark, sf_dir):
+    """All embeddings whitened, up to four components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+_PHRASES_SQL = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+q AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+w AS (SELECT pid, lang, unnest(ws) AS w1, generate_subscripts(ws, 1) AS i FROM q),
+g AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4, lead(w1, 4) OVER o AS w5
+      FROM w WINDOW o AS (PARTITION BY pid ORDER BY i)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM (SELECT lang, unnest([1, 2, 3, 4, 5]) AS k, unnest([w1, w1 || ' ' || w2,
+        w1 || ' ' || w2 || ' ' || w3, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4,
+        w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5]) AS phrase FROM g) WHERE phrase IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= {phrase_graph.MIN_COUNT}),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c AS d WHERE d.lang = c.lang AND d.k > c.k
+           AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.a >= 100 * c.a)),
+cut AS (SELECT *, unnest(range(1, k)) AS j, string_split(phrase, ' ') AS ws FROM kept),
+s AS (SELECT cut.lang, cut.phrase, cut.a, j, l.a AS l, r.a AS r, n.n,
+        (1000::HUGEINT * cut.a::HUGEINT * n.n::HUGEINT) // (l.a::HUGEINT * r.a::HUGEINT) AS score
+      FROM cut JOIN f AS l ON l.lang = cut.lang AND l.phrase = array_to_string(ws[1:j], ' ')
+        JOIN f AS r ON r.lang = cut.lang AND r.phrase = array_to_string(ws[j + 1:], ' ') JOIN n ON n.lang = cut.lang),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM best QUALIFY rank <= {phrase_graph.TOP}"""
+
+
+@query("op13_phrase_graph", _PHRASES_SQL)
+def op13(spark, sf_dir):
+    """Collocations of up to five words in each language of all documents."""
+    return phrase_graph.mine_phrases(table(spark, sf_dir, "documents")).drop("path_words")
