@@ -16,9 +16,11 @@ tokenizer takes the text as it is.
 *Encoding.*  No token of such a tokenizer spans white space, so a text's count is
 the sum over its words, and each worker counts a word once.
 
-*Movement.*  Documents move as digests.  Texts move once, the distinct ones of each
-task only, and none that the cache knows (those are left out before the shuffle if
-the list of misses is short enough to send to every task, else after it).
+*Movement.*  Documents move as digests; those of a content that more than one document
+in ``HOT`` has do not move at all: there are fewer than ``HOT`` such contents, so their
+counts go to every task.  Texts move once, the distinct ones of each task only, and
+none that the cache knows (those are left out before the shuffle if the list of misses
+is short enough to send to every task, else after it).
 
 Defined results: null text is empty and has no tokens; one row for each row of
 the input, also for repeated and null doc_ids; other columns are not read, so they
@@ -48,6 +50,7 @@ LIMIT = 2048
 MISSES_SENT = 500_000        # digests of 32 bytes: at most 16 MB go to every task
 KNOWN_WORDS = 600_000        # words a worker remembers at most
 PART_CHARS = 1 << 20
+HOT = 1000
 CACHE_SCHEMA = "digest binary, tokenizer binary, n_tokens long"
 #: The normaliser and the splitter for which the folding of contents and the counting by words are exact.
 FOLDING = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -213,10 +216,12 @@ def docs_digests(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) ->
     return text_view(docs, id_col, text_col).mapInArrow(digests(folding_rules(tokenizer), False), "doc_id long, n_bytes long, digest binary")
 
 
-def fill_cache(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc_id", text_col: str = "text", ship: bool = False) -> int:
+def fill_cache(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc_id", text_col: str = "text", ship: bool = False,
+               names: DataFrame | None = None) -> int:
     """Append the counts of all contents of ``docs`` that ``cache`` lacks; returns how many were encoded.
 
-    ``ship`` sends the tokenizer file to the workers, for clusters whose machines do not have it at ``tokenizer``."""
+    ``names`` are the documents' digests if they are at hand.  ``ship`` sends the tokenizer
+    file to the workers, for clusters whose machines do not have it at ``tokenizer``."""
     spark = docs.sparkSession
     special, version = folding_rules(tokenizer), tokenizer_digest(tokenizer)
     shipped = None
@@ -227,8 +232,8 @@ def fill_cache(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc_i
     texts = text_view(docs, id_col, text_col).mapInArrow(digests(special, True), "digest binary, content string")
     known = known_counts(spark, cache, version)
     if known is not None:
-        names = docs_digests(docs, tokenizer, id_col, text_col).select("digest").distinct()
-        misses = stored(names.join(known, "digest", "left_anti"), "token-misses")
+        names = docs_digests(docs, tokenizer, id_col, text_col) if names is None else names
+        misses = stored(names.select("digest").distinct().join(known, "digest", "left_anti"), "token-misses")
         n = misses.count()
         if not n:
             return 0
@@ -252,7 +257,13 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, id_c
     cluster shares; without one, a new folder beside the checkpoints holds them."""
     spark = docs.sparkSession
     cache = cache or new_path(spark, "token-counts")
-    fill_cache(docs, tokenizer, cache, id_col, text_col, ship)
+    rows = stored(docs_digests(docs, tokenizer, id_col, text_col), "token-digests")
+    fill_cache(docs, tokenizer, cache, id_col, text_col, ship, rows)
     counts = known_counts(spark, cache, tokenizer_digest(tokenizer))
-    return docs_digests(docs, tokenizer, id_col, text_col).join(counts, "digest").select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    per = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("docs"))
+    hot = per.where(F.col("docs") * HOT > rows.count()).select("digest")      # fewer than HOT rows
+    hot = F.broadcast(stored(hot.join(counts, "digest"), "token-hot"))
+    out = (F.col("n_tokens") > limit).alias("over_limit")
+    there = rows.join(hot, "digest").select("doc_id", "n_bytes", "n_tokens", out)
+    rest = rows.join(hot.select("digest"), "digest", "left_anti").join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", out)
+    return there.unionAll(rest)
