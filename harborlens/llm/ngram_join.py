@@ -46,8 +46,6 @@ doc_ids never name a component unless it has no other.
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -55,6 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from harborlens.llm.linked import components, joined
 from harborlens.llm.textkit import CHUNK_BYTES, SLOT_KEYS, mix64, shingle_sets, stored, text_chunks, text_view, utf8
 
 PERCENT = 75
@@ -492,37 +491,6 @@ def compressed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text binary")
 
 
-def release(df: DataFrame) -> None:
-    """Let Spark delete the shuffle files of steps whose results are stored: its cleaner waits for the driver's
-    garbage collection, which an iteration over small tables may not bring about for a long time."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(s, c): connected components of (a, b) edges, c the component's least node.
-
-    Alternating large-star and small-star steps: each links a node's neighbours to
-    the least of them, until every component is a star.  Neighbour sets are never
-    collected; each step is a map-side combined min and a join."""
-    stars = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    mark = None
-    while True:
-        both = stars.unionAll(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
-        stars = stored(small.distinct(), "links")
-        now = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        release(stars)
-        if now == mark:
-            return stars.select(F.col("u").alias("s"), F.col("v").alias("c")).unionAll(
-                stars.select(F.col("v").alias("s"), F.col("v").alias("c")).distinct())
-        mark = now
-
-
 def similarity_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent_share: float = FREQUENT_SHARE,
                        combine_share: float = COMBINE_SHARE, combine_up_to: int = COMBINE_UP_TO,
                        survey_bytes: int = SURVEY_BYTES, list_up_to: int = LIST_UP_TO,
@@ -564,7 +532,7 @@ def similarity_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if found.limit(1).count() == 0:
             break
         tried = tried.unionAll(pairs)
-        classes = components(found.unionAll(classes.select("s", "c")))
+        classes = joined(classes, found)
     # Lists that lie in one component have no pair to give.
     mixed = stored(mixed_keys(lists.join(classes, "s", "left").select("key", F.coalesce("c", "s").alias("c"))), "ngram-mixed-keys")
     # Keys with long lists of each set: a pair's count leaves them out.
@@ -573,7 +541,7 @@ def similarity_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                         *[F.when(F.col("long"), F.col(f"e{j}")).otherwise(F.lit(0)).alias(f"e{j}") for j in range(EARLY)]))
     rest = crossing_pairs(stored(labelled, "ngram-mixed-lists"), combine_up_to, split).join(tried, ["a", "b"], "left_anti")
     found = stored(links(rest, texts), "ngram-links")
-    return _by_document(sets, components(found.unionAll(classes.select("s", "c"))))
+    return _by_document(sets, joined(classes, found))
 
 
 def _own_text(texts: DataFrame, seed: int) -> DataFrame:
