@@ -9,8 +9,11 @@ windows of a bounded sample of labelled documents; every document is scored on
 all its overlapping windows and takes the largest window's score.
 
 Bounds (parameters): ``train_docs`` labelled rows of each class, ``train_windows``
-windows of each, ``max_vocab`` words.  The model is a few hundred kB however large
-the corpus, which is its broadcast bound.  Scoring is one pass without a shuffle.
+windows of all of them together, ``max_vocab`` words.  A sample with fewer windows is
+learnt from whole; else all its documents may give the same number at most, the
+largest that stays within the bound.  Training runs in one task, on that sample.  The
+model is a few hundred kB however large the corpus, which is its broadcast bound.
+Scoring is one pass without a shuffle.
 
 Defined results: null text is empty; an empty text is scored as a window without
 words; null or missing labels are not learned from; repeated rows score alike;
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborlens.llm.textkit import LOWER, mix64, text_chunks, text_view, utf8, words
+from harborlens.llm.textkit import LOWER, mix64, stored, text_chunks, text_view, utf8, words
 
 WINDOW = 64
 STRIDE = 48
@@ -312,13 +315,54 @@ def document_logits(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, logit double")
 
 
+def window_share(windows: list[int], bound: int) -> int:
+    """Most windows a document may give so that all together stay within ``bound`` (one at least)."""
+    each, left = 0, sorted(windows)
+    while left and len(left) * (left[0] - each) <= bound:
+        bound -= len(left) * (left[0] - each)
+        each = left.pop(0)
+    return max(1, each + (bound // len(left) if left else 0))
+
+
+def cut_windows(share: int):
+    """mapInArrow function: up to ``share`` windows of each document, drawn by its id."""
+    def run(batches):
+        for b in text_chunks(batches):
+            out = []
+            for i, t, y in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("y").to_pylist()):
+                w = t.encode().split()                       # bytes: at the white space that scoring knows
+                _, begin = window_grid(np.array([len(w)]))
+                g = np.random.default_rng(i & 0xFFFFFFFF)
+                for k in np.sort(g.permutation(len(begin))[:share]):
+                    out.append((i, int(k), b" ".join(w[begin[k]:begin[k] + WINDOW]).decode(), y))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["doc_id", "k", "text", "y"])
+
+    return run
+
+
+def train_in_task(windows: DataFrame, **options) -> Model | None:
+    """A model of (doc_id, k, text, y) windows, a bounded number, trained in one task; None without both classes."""
+    def run(batches):
+        rows = sorted(tuple(r.values()) for b in batches for r in b.to_pylist())
+        if len({r[3] for r in rows}) == 2:
+            m = train([r[2] for r in rows], [r[3] for r in rows], [r[0] for r in rows], **options)
+            parts = {"vocab": m.vocab, **m.p}
+            yield pa.RecordBatch.from_arrays([pa.array(list(parts)), pa.array([a.dtype.str for a in parts.values()]),
+                                              pa.array([list(a.shape) for a in parts.values()], pa.list_(pa.int64())),
+                                              pa.array([a.tobytes() for a in parts.values()], pa.binary())], names=["name", "kind", "shape", "data"])
+
+    got = windows.repartition(1).mapInArrow(run, "name string, kind string, shape array<long>, data binary").collect()
+    parts = {r.name: np.frombuffer(bytes(r.data), np.dtype(r.kind)).reshape(r.shape).copy() for r in got}
+    return Model(parts.pop("vocab"), parts) if parts else None
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic",
-        train_docs: int = 2500, train_windows: int = 4, **options) -> Model | None:
+        train_docs: int = 2500, train_windows: int = 20_000, **options) -> Model | None:
     """Train on a bounded sample: ``train_docs`` labelled rows of each class, those least by md5 of the id.
 
     docs has (doc_id, text).  The sample's ids (a bounded set) are broadcast to the
-    documents; windows are cut where the documents lie, so the driver receives at
-    most 2 * train_docs * train_windows windows of WINDOW words."""
+    documents, and the sample is stored.  The driver receives ids, numbers of windows,
+    logits and the model."""
     rows = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
             .where("doc_id is not null and y in (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y")))
     pick = [rows.where(F.col("y") == c).orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(train_docs) for c in (0, 1)]
@@ -326,25 +370,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     ids = [tuple(r) for c in pick for r in c.collect()]
     if len({y for _, y in ids}) < 2:
         return None
-    sample = docs.join(F.broadcast(spark.createDataFrame(ids, "doc_id long, y int")), "doc_id").select("doc_id", "text", "y")
-
-    def cut(batches):
-        for b in text_chunks(batches):
-            out = []
-            for i, t, y in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("y").to_pylist()):
-                w = t.split()
-                _, begin = window_grid(np.array([len(w)]))
-                g = np.random.default_rng(i & 0xFFFFFFFF)
-                for k in np.sort(g.permutation(len(begin))[:train_windows]):
-                    out.append((i, int(k), " ".join(w[begin[k]:begin[k] + WINDOW]), y))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["doc_id", "k", "text", "y"])
-
+    sample = stored(docs.join(F.broadcast(spark.createDataFrame(ids, "doc_id long, y int")), "doc_id").select("doc_id", "text", "y"), "toxicity-sample")
     # A fifth of the sample is kept from training and sets the threshold.
     apart = F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 4) % 5 == 0
-    got = sorted(tuple(r) for r in sample.where(~apart).mapInArrow(cut, "doc_id long, k long, text string, y long").collect())
-    if len({r[3] for r in got}) < 2:
+    learnt = sample.where(~apart)
+    n_words = F.length(F.regexp_replace(F.regexp_replace("text", "[^\\x20\\x09-\\x0D]+", "x"), "[\\x20\\x09-\\x0D]+", ""))
+    sizes = np.array([r.n for r in learnt.select(n_words.alias("n")).collect()], np.int64)
+    share = window_share(np.bincount(window_grid(sizes)[0], minlength=len(sizes)).tolist(), train_windows)
+    model = train_in_task(learnt.mapInArrow(cut_windows(share), "doc_id long, k long, text string, y long"), **options)
+    if model is None:
         return None
-    model = train([r[2] for r in got], [r[3] for r in got], [r[0] for r in got], **options)
     scored = document_logits(sample, model).join(F.broadcast(spark.createDataFrame(ids, "doc_id long, y int")), "doc_id")
     whole = sorted(tuple(r) for r in scored.where(apart).select("doc_id", "logit", "y").collect())
     if len({r[2] for r in whole}) < 2:
