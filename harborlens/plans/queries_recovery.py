@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from harborlens.operators import damage
 from harborlens.operators import recovery as rec
 from harborlens.plans import bindings as b
 from harborlens.plans.binding_sql import with_bindings
@@ -65,6 +66,19 @@ def q_restore_verify(t):
     return rec.restore_verify(b.objects_before(t), b.objects_after(t), key="k")
 
 
+@register("restore_damage", with_bindings("""
+, j AS (SELECT coalesce(b.k, a.k) AS k, CASE WHEN a.k IS NULL THEN 'missing' WHEN b.k IS NULL THEN 'extra'
+    WHEN b.namespace IS NOT DISTINCT FROM a.namespace AND b.v IS NOT DISTINCT FROM a.v THEN 'same' ELSE 'changed' END AS status
+  FROM objects_before b FULL OUTER JOIN objects_after a ON a.k = b.k)
+SELECT k, status FROM j WHERE status <> 'same'""", "objects_before", "objects_after"))
+def q_restore_damage(t):
+    """R3 by digest trees: the damaged objects, the tree of the objects before stored beforehand, as a backup would."""
+    before, after = b.objects_before(t), b.objects_after(t)
+    path = scratch_path(t.spark, f"tree-{uuid.uuid4().hex}")
+    damage.write_tree(damage.digest_tree(before, "k", within="namespace"), path)
+    return damage.restore_damage(before, after, "k", within="namespace", tree_before=damage.read_tree(t.spark, path))
+
+
 @register("expire_backups", with_bindings(f"""
 SELECT backup, system, ts, expires_ts FROM backups_with_expiry WHERE expires_ts <= {_ts(EXPIRE_AS_OF)}""",
                                           "backups_with_expiry"))
