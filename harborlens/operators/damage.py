@@ -25,8 +25,8 @@ from harborlens.operators.joins import bounded_broadcast
 from harborlens.operators.recovery import comparable, restore_verify
 from harborlens.session import materialised
 
-FAN = 16
-DEPTH = 4
+FAN = 256
+DEPTH = 2
 
 
 def _names(x: str | Sequence[str] | None) -> list[str]:

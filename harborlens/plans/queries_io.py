@@ -3,10 +3,9 @@
 Each entry writes its input to a scratch folder under the shared checkpoint
 directory, runs the operator (streams: ``availableNow`` to completion) and
 returns what landed in the sink, read back from storage.  The oracle is the
-batch twin's SQL.  Streams with a watermark are fed their input in
-event-time slices, one ``availableNow`` drain per slice on the same
-checkpoint, so state and watermark carry across micro-batches while the
-result stays exact (no slice holds rows older than the previous watermark).
+batch twin's SQL.  Streams with state are fed their input in slices, one micro-batch
+each, so state and watermark carry across micro-batches while the result stays
+exact (no slice holds rows older than the previous watermark).
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from harborlens.operators import events as ev
 from harborlens.operators import inventory as inv
 from harborlens.operators.policy import POLICY_MESSAGES
 from harborlens.plans import bindings as b
@@ -25,12 +23,12 @@ from harborlens.plans.catalog import register
 from harborlens.session import scratch_path
 from harborlens.sources import inventory_json as ij
 from harborlens.sources import logs
-from harborlens.streaming import admission, dedup, queue, sli_stream
+from harborlens.streaming import admission, first_delivery, history, queue, sli_stream
 
 CLUSTER = "dev-cluster"
 TAIL_N = 20
 BATCH_FILES = 4                        # receive batch of the queue entries, in files
-SLICE = dt.timedelta(days=10)          # event time fed to the watermark streams at once, one drain each
+SLICE = dt.timedelta(days=10)          # event time fed to the SLI stream at once
 SLI_WIDTH = "1 hour"
 SLI_DELAY_MIN = 10
 
@@ -97,35 +95,47 @@ def _event_cols(df):
     return df.select("event_id", "user_id", "event_type", F.col("value").cast("double").alias("value"), "attempt")
 
 
+ARRIVAL = dt.timedelta(days=3)         # event time of one micro-batch of the redelivery streams
+
+
 @register("dedup_stream", with_bindings(_FIRST_DELIVERY, "deliveries"))
 def q_dedup_stream(t):
-    """Redeliveries dropped within a 15-minute watermark; producers reduce each
-    slice to first deliveries (E3), the stream drops what crosses slices."""
+    """The first delivery of each event, found by the stream although every redelivery overtakes it.
+
+    An attempt arrives a slice of ``ARRIVAL`` before the attempt ahead of it, so no two
+    deliveries of an event share a micro-batch and the first one comes last.  A
+    heartbeat row without a key closes the stream."""
     base = _scratch(t, "dedup")
     d = b.deliveries(t)
-
-    def drain():
-        s = queue.queue_ingest(t.spark, f"{base}/in", d.schema)
-        out = _event_cols(dedup.dedup_stream(s, "event_id", "delivered_ts", "15 minutes"))
-        queue.run_available(out, f"{base}/out", f"{base}/ckpt")
-
-    queue.feed_in_time_order(d, f"{base}/in", "delivered_ts", SLICE, drain, reduce=lambda part: ev.dedup(part).select(*d.columns))
+    late = ARRIVAL * 2
+    arrives = F.timestamp_add("SECOND", (3 - F.col("attempt")) * int(ARRIVAL.total_seconds()), F.col("delivered_ts"))
+    beat = d.agg(F.max("delivered_ts").alias("last")).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in d.schema if f.name != "delivered_ts"],
+        F.timestamp_add("SECOND", F.lit(int(late.total_seconds()) + 3600), F.col("last")).alias("delivered_ts"))
+    beat = beat.withColumn("arrival_ts", F.timestamp_add("SECOND", F.lit(int((ARRIVAL * 3).total_seconds())), F.col("delivered_ts")))
+    fed = d.withColumn("arrival_ts", arrives).unionByName(beat)
+
+    def start(s):
+        firsts = first_delivery.first_deliveries(s, "event_id", "delivered_ts", ("attempt",), within="15m", delay=f"{late.days} days")
+        out = _event_cols(firsts.where("event_id IS NOT NULL"))
+        return out.writeStream.option("checkpointLocation", f"{base}/ckpt").format("parquet").option("path", f"{base}/out").start()
+
+    queue.run_slices(fed, base, "arrival_ts", ARRIVAL, start)
     return t.spark.read.parquet(f"{base}/out")
 
 
 @register("idempotent_write", with_bindings(_FIRST_DELIVERY, "deliveries"))
 def q_idempotent_write(t):
-    """E5: deliveries consumed slice by slice in delivery order; the sink holds each event's first delivery."""
+    """E5: deliveries consumed slice by slice in delivery order into a sink with a manifest, merged every four batches."""
     base = _scratch(t, "idem")
-    d = b.deliveries(t)
+    sink = f"{base}/sink"
 
-    def drain():
-        s = queue.queue_ingest(t.spark, f"{base}/in", d.schema)
-        queue.run_available(s, f"{base}/sink", f"{base}/ckpt",
-                            foreach_batch=dedup.idempotent_writer(f"{base}/sink", key="event_id", buckets=16))
+    def start(s):
+        return (s.writeStream.option("checkpointLocation", f"{base}/ckpt")
+                .foreachBatch(history.history_writer(sink, key="event_id", buckets=4, every=4)).start())
 
-    queue.feed_in_time_order(d, f"{base}/in", "delivered_ts", SLICE, drain)
-    return _event_cols(dedup.read_sink(t.spark, f"{base}/sink"))
+    queue.run_slices(b.deliveries(t), base, "delivered_ts", ARRIVAL, start)
+    return _event_cols(history.History(t.spark, sink, buckets=4, every=4).read())
 
 
 @register("sli_stream", with_bindings(f"""
@@ -140,12 +150,11 @@ def q_sli_stream(t):
     base = _scratch(t, "sli")
     r = b.requests(t)
 
-    def drain():
-        s = queue.queue_ingest(t.spark, f"{base}/in", r.schema)
+    def start(s):
         out = sli_stream.sli_stream(s, width=SLI_WIDTH, delay=f"{SLI_DELAY_MIN} minutes")
-        queue.run_available(out, f"{base}/out", f"{base}/ckpt")
+        return out.writeStream.option("checkpointLocation", f"{base}/ckpt").format("parquet").option("path", f"{base}/out").start()
 
-    queue.feed_in_time_order(r, f"{base}/in", "ts", SLICE, drain)
+    queue.run_slices(r, base, "ts", SLICE, start)
     res = t.spark.read.parquet(f"{base}/out")
     return res.select("service", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),

@@ -1,4 +1,5 @@
-"""E4 dedup within a watermark and E5 an idempotent sink across history.
+"""E4 dedup within a watermark and E5 an idempotent sink across a short history
+(``history`` is the sink for a long one, ``first_delivery`` the dedup by event time).
 
 E4 keeps state per key only until the watermark passes it: memory is bounded
 by the keys seen within ``delay``, whatever the stream's length.
@@ -42,14 +43,17 @@ def bucket_of(key: str, buckets: int):
     return F.when(F.col(key).isNull(), F.lit(NULL_BUCKET)).otherwise(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _written(spark: SparkSession, sink: str, buckets: Sequence[int]) -> list[str]:
+    """Folders of those buckets that the sink has: one listing of its top folder."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    have = {f.getPath().getName() for f in fs.listStatus(top)} if fs.exists(top) else set()
+    return [f"{sink}/bucket={b}" for b in buckets if f"bucket={b}" in have]
 
 
 def read_buckets(spark: SparkSession, sink: str, buckets: Sequence[int], schema) -> DataFrame | None:
-    """Rows of the given buckets, None if none of them has been written yet.  Other buckets are not even listed."""
-    paths = [p for p in (f"{sink}/bucket={b}" for b in buckets) if _exists(spark, p)]
+    """Rows of the given buckets, None if none of them has been written yet.  Files of other buckets are not listed."""
+    paths = _written(spark, sink, buckets)
     if not paths:
         return None
     return spark.read.option("basePath", sink).schema(schema).parquet(*paths)
@@ -94,7 +98,7 @@ def idempotent_writer(sink: str, key: str = "event_id", buckets: int = 1024, ord
 
 
 def _check_sink(spark: SparkSession, sink: str, touched: Sequence[int], batch: DataFrame) -> None:
-    paths = [p for p in (f"{sink}/bucket={b}" for b in touched) if _exists(spark, p)]
+    paths = _written(spark, sink, touched)
     have = {f.name: f.dataType for f in spark.read.option("basePath", sink).parquet(paths[0]).schema}
     missing = [f.name for f in batch.schema if have.get(f.name) != f.dataType]
     if missing:

@@ -81,6 +81,61 @@ def as_event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
+def stage_slices(df: DataFrame, path: str, order: str, length: dt.timedelta) -> list[str]:
+    """Write ``df`` once, ``length`` of event time to a folder, and name the folders in time order.
+
+    The input is scanned for its first event time and for the write, whatever the number of slices."""
+    lo = df.agg(F.min(order)).first()[0]
+    if lo is None:
+        return []
+    micros = F.expr(f"timestampdiff(MICROSECOND, {_literal(lo)}, `{order}`)")
+    which = F.floor(micros / F.lit(length // dt.timedelta(microseconds=1))).cast("long")
+    # behind a rebalance on the slice: few files a slice, a large slice split
+    df.withColumn("slice_no", which).hint("rebalance", "slice_no").write.mode("overwrite").partitionBy("slice_no").parquet(path)
+    _, fs, folder = _files(df.sparkSession, path)
+    names = [f.getPath().toString() for f in fs.listStatus(folder) if f.getPath().getName().startswith("slice_no=")]
+    return sorted(names, key=lambda n: int(n.rsplit("=", 1)[1]) if not n.endswith("__") else 1 << 62)
+
+
+def release_slices(spark: SparkSession, slices: list[str], path: str, query) -> None:
+    """Hand slices to a running ``query`` over ``path`` (read with ``recursiveFileLookup``) one after the other:
+    a slice's folder appears there as a whole, and the next one follows when it has been processed."""
+    jvm, fs, folder = _files(spark, path)
+    fs.mkdirs(folder)
+    for k, name in enumerate(slices):
+        fs.rename(jvm.org.apache.hadoop.fs.Path(name), jvm.org.apache.hadoop.fs.Path(f"{path}/s{k:09d}"))
+        query.processAllAvailable()
+
+
+def run_slices(df: DataFrame, base: str, order: str, length: dt.timedelta, start) -> int:
+    """Feed ``df`` slice by slice to the one query that ``start(stream)`` starts, and stop it; returns the number of slices.
+
+    A slice is one micro-batch, so no slice holds rows that a watermark of an earlier one could drop, if event
+    time is ``order``; state and watermark live in the query and its checkpoint."""
+    spark = df.sparkSession
+    slices = stage_slices(df, f"{base}/staged", order, length)
+    _, fs, folder = _files(spark, f"{base}/in")
+    fs.mkdirs(folder)
+    query = start(queue_ingest(spark, f"{base}/in", df.schema, options={"recursiveFileLookup": "true"}))
+    try:
+        release_slices(spark, slices, f"{base}/in", query)
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    return len(slices)
+
+
+def _literal(ts: dt.datetime) -> str:
+    return f"TIMESTAMP_NTZ '{ts:%Y-%m-%d %H:%M:%S.%f}'"
+
+
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def feed_in_time_order(df: DataFrame, path: str, order: str, length: dt.timedelta, run, reduce=None) -> int:
     """Drop ``df`` into the queue directory ``path`` in consecutive slices of
     ``length`` of event time, calling ``run()`` (one ``availableNow`` drain on the

@@ -62,18 +62,18 @@ def test_work_follows_the_damage(spark):
     """200,000 keys, 12 of them damaged, or one namespace of 500 lost: few nodes compared, few rows joined."""
     x = spark.range(200_000).select(F.col("id").alias("k"), F.concat(F.lit("ns"), F.floor(F.col("id") / 400)).alias("ns"), (F.col("id") * 2).alias("v"))
     y = x.withColumn("v", F.when(F.col("k") % 17_000 == 5, -1).otherwise(F.col("v")))
-    seen = []
-    assert damage.restore_damage(x, y, "k", seen=seen).count() == 12
+    seen, tree = [], {"fan": 16, "depth": 4}
+    assert damage.restore_damage(x, y, "k", seen=seen, **tree).count() == 12
     assert [s[0] for s in seen] == [0, 1, 2, 3, 4] and all(c <= 16 * 12 and d <= 12 for _, c, d in seen)
-    leaves, _ = damage.differing_leaves(damage.digest_tree(x, "k"), damage.digest_tree(y, "k"))
-    assert damage.damaged_rows(x, leaves, "k").count() <= 12 * 20
+    leaves, _ = damage.differing_leaves(damage.digest_tree(x, "k", **tree), damage.digest_tree(y, "k", **tree), **tree)
+    assert damage.damaged_rows(x, leaves, "k", **tree).count() <= 12 * 20
     lost = x.where("ns <> 'ns77'")
     seen, whole = [], []
-    assert damage.restore_damage(x, lost, "k", within="ns", seen=seen).count() == 400
-    damage.restore_damage(x, lost, "k", seen=whole)
+    assert damage.restore_damage(x, lost, "k", within="ns", seen=seen, **tree).count() == 400
+    damage.restore_damage(x, lost, "k", seen=whole, **tree)
     assert sum(c for _, c, _ in seen) < sum(c for _, c, _ in whole) / 3                 # damage that lies together is found together
-    leaves, _ = damage.differing_leaves(damage.digest_tree(x, "k", "ns"), damage.digest_tree(lost, "k", "ns"))
-    assert damage.damaged_rows(x, leaves, "k", "ns").count() <= 400 * 20
+    leaves, _ = damage.differing_leaves(damage.digest_tree(x, "k", "ns", **tree), damage.digest_tree(lost, "k", "ns", **tree), **tree)
+    assert damage.damaged_rows(x, leaves, "k", "ns", **tree).count() <= 400 * 20
 
 
 def test_a_key_with_a_third_of_all_rows(spark):
