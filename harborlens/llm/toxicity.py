@@ -11,7 +11,7 @@ all its overlapping windows and takes the largest window's score.
 Bounds (parameters): ``train_docs`` labelled rows of each class, ``train_windows``
 windows of all of them together, ``max_vocab`` words.  A sample with fewer windows is
 learnt from whole; else all its documents may give the same number at most, the
-largest that stays within the bound.  Training runs in one task, on that sample.  The
+largest that stays within the bound.  Training runs in one task, in a child process, on that sample.  The
 model is a few hundred kB however large the corpus, which is its broadcast bound.
 Scoring is one pass without a shuffle.
 
@@ -22,6 +22,7 @@ without both classes among the labels every score is 0.
 
 from __future__ import annotations
 
+import multiprocessing
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -340,13 +341,29 @@ def cut_windows(share: int):
     return run
 
 
+def in_child(work):
+    """``work()`` in a short-lived child process: Spark's worker keeps nothing of its memory."""
+    fork = multiprocessing.get_context("fork")
+    out, into = fork.Pipe(duplex=False)
+    child = fork.Process(target=lambda: into.send(work()))
+    child.start()
+    into.close()
+    try:
+        return out.recv()                                    # EOFError if the child dies: the task is run again
+    finally:
+        child.join()
+
+
 def train_in_task(windows: DataFrame, **options) -> Model | None:
     """A model of (doc_id, k, text, y) windows, a bounded number, trained in one task; None without both classes."""
     def run(batches):
         rows = sorted(tuple(r.values()) for b in batches for r in b.to_pylist())
         if len({r[3] for r in rows}) == 2:
-            m = train([r[2] for r in rows], [r[3] for r in rows], [r[0] for r in rows], **options)
-            parts = {"vocab": m.vocab, **m.p}
+            def work():
+                m = train([r[2] for r in rows], [r[3] for r in rows], [r[0] for r in rows], **options)
+                return {"vocab": m.vocab, **m.p}
+
+            parts = in_child(work)
             yield pa.RecordBatch.from_arrays([pa.array(list(parts)), pa.array([a.dtype.str for a in parts.values()]),
                                               pa.array([list(a.shape) for a in parts.values()], pa.list_(pa.int64())),
                                               pa.array([a.tobytes() for a in parts.values()], pa.binary())], names=["name", "kind", "shape", "data"])
