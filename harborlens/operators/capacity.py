@@ -23,6 +23,20 @@ def poll_after(ts: Column, step_s: int) -> Column:
     return F.window(ts, f"{int(step_s)} seconds")["end"]
 
 
+def poll_deltas(jobs: DataFrame, step_s: int = 10, by: str = "queue", arrived: str = "arrived_ts", done: str = "done_ts",
+                completions: DataFrame | None = None) -> DataFrame:
+    """(queue, poll_ts, arrived, done): messages that arrived and completed since the poll before; polls without either are not there."""
+    def change(ts, arr, dn):
+        return F.struct(F.col(ts).alias("ts"), F.lit(arr).alias("arr"), F.lit(dn).alias("dn"))
+
+    if completions is None:                                   # one pass over the messages
+        changes = jobs.select(by, F.inline(F.array(change(arrived, 1, 0), change(done, 0, 1))))
+    else:
+        changes = jobs.select(by, change(arrived, 1, 0).alias("c")).unionByName(completions.select(by, change(done, 0, 1).alias("c"))).select(by, "c.*")
+    deltas = changes.where(F.col("ts").isNotNull()).select(by, poll_after(F.col("ts"), step_s).alias("poll_ts"), "arr", "dn")
+    return deltas.groupBy(by, "poll_ts").agg(F.sum("arr").alias("arrived"), F.sum("dn").alias("done"))
+
+
 def backlog_series(jobs: DataFrame, step_s: int = 10, by: str = "queue", arrived: str = "arrived_ts",
                    done: str = "done_ts", completions: DataFrame | None = None) -> DataFrame:
     """B1: backlog seen at each poll = messages arrived before the poll minus
@@ -31,13 +45,11 @@ def backlog_series(jobs: DataFrame, step_s: int = 10, by: str = "queue", arrived
 
     ``jobs`` holds arrivals (and completions in ``done`` when ``completions``
     is not given); ``completions`` is a separate ``(queue, done)`` table."""
-    done_rows = jobs if completions is None else completions
-    deltas = (jobs.select(by, poll_after(F.col(arrived), step_s).alias("poll_ts"), F.lit(1).alias("arr"),
-                          F.lit(0).alias("dn"))
-              .unionByName(done_rows.where(F.col(done).isNotNull())
-                           .select(by, poll_after(F.col(done), step_s).alias("poll_ts"),
-                                   F.lit(0).alias("arr"), F.lit(1).alias("dn"))))
-    per_poll = deltas.groupBy(by, "poll_ts").agg(F.sum("arr").alias("arrived"), F.sum("dn").alias("done"))
+    return series_of(poll_deltas(jobs, step_s, by, arrived, done, completions), step_s, by)
+
+
+def series_of(per_poll: DataFrame, step_s: int = 10, by: str = "queue") -> DataFrame:
+    """B1 from ``poll_deltas`` rows, one for each (queue, poll) at most."""
     # The grid is made day by day and then poll by poll, so no array is longer than
     # the days between a queue's first and last poll or the polls of one day.
     tt = per_poll.schema["poll_ts"].dataType

@@ -1,10 +1,10 @@
 """Network: traffic matrix, allowlist check and CIDR rule matching.
 
-Scale notes.  N1 is one aggregation (partial, shuffle on the edge).  N2 is one full outer join (never ``NOT IN``).  N3 matches
-flows to CIDR rules without a range or nested-loop join: rules are grouped by
-(prefix length, network address) into a small stored lookup, and each flow
-probes it once per distinct prefix length, longest first.  While a length's rules
-are below Spark's broadcast threshold in bytes, flows stay in place.
+Scale notes.  N1 is one aggregation (partial, shuffle on the edge).  N2 is one full
+outer join (never ``NOT IN``).  N3 matches flows to CIDR rules without a range or
+nested-loop join and in one equi-join: the nested CIDRs are flattened into disjoint
+ranges grouped by address block, and each flow probes its block once.  While the
+flattened rules are below Spark's broadcast threshold in bytes, flows stay in place.
 """
 
 from __future__ import annotations
@@ -43,6 +43,9 @@ def allowlist_check(matrix: DataFrame, allow: DataFrame, keys: Sequence[str] = (
             .where(F.col("finding").isNotNull()))
 
 
+BLOCK_BITS = 16          # address block by which flows meet rules: a /16
+
+
 def _rule_lookup(rules: DataFrame) -> DataFrame:
     """(prefix, network) -> candidate rules sorted so the first match wins:
     a rule naming the port before an any-port rule, then by rule name."""
@@ -54,34 +57,50 @@ def _rule_lookup(rules: DataFrame) -> DataFrame:
     return r.groupBy("prefix", "network").agg(F.sort_array(F.collect_list(cand)).alias("cands"))
 
 
+def flattened_rules(rules: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """(block, segments): the nested CIDRs of ``rules`` as disjoint ranges of addresses, by address block.
+
+    Every CIDR's first address, the one after its last, and each block's first address
+    inside it begin a range; between two such starts the same CIDRs cover every
+    address.  A start finds them by an equi-join of its 33 possible networks.
+    ``segments`` are the block's ranges in order: the start, and the rules that cover
+    the range, longest prefix first.  There are at most 2 ** (32 - block_bits) blocks
+    and one row for each."""
+    size = F.expr("shiftleft(1L, 32 - prefix)")
+    lookup = materialised(_rule_lookup(rules).where(F.col("network").isNotNull()), "rules")
+    width = 1 << block_bits
+    spans = lookup.select("network", (F.col("network") + size).alias("after"))
+    inside = spans.select("network", F.explode(F.sequence(F.expr(f"network div {width}"), F.expr(f"(after - 1) div {width}"))).alias("block"))
+    starts = inside.select(F.greatest(F.col("network"), F.col("block") * width).alias("start"))
+    starts = starts.unionAll(spans.where(F.col("after") < F.lit(1 << 32)).select("after")).distinct()
+    networks = starts.select("start", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("prefix"))
+    networks = networks.withColumn("network", F.col("start") - F.pmod(F.col("start"), size))
+    cover = networks.join(lookup, ["prefix", "network"]).groupBy("start").agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("prefix")).alias("order"), "cands"))).alias("nested"))
+    ranges = starts.join(cover, "start", "left").select(
+        "start", F.flatten(F.transform("nested", lambda n: n["cands"])).alias("cands"))
+    segments = F.sort_array(F.collect_list(F.struct("start", "cands")))
+    return ranges.groupBy(F.expr(f"start div {width}").alias("block")).agg(segments.alias("segments"))
+
+
 def cidr_match(flows: DataFrame, rules: DataFrame, ip: str = "src_ip", port: str = "port",
-               protocol: str | None = None) -> DataFrame:
+               protocol: str | None = None, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Attach to each flow the rule whose CIDR (both bounds inclusive),
     port (NULL = any) and protocol (``-1`` = any) cover it; the longest prefix
     wins.  Adds ``rule``, ``cidr``; NULL when nothing matches.  ``protocol`` names
     the flows' protocol column; without one, only rules for any protocol match.
     A CIDR without ``/nn`` is one address; one that is no address matches nothing.
 
-    ``rules``: ``rule, cidr, port, protocol``.  The prefix lengths present in
-    the rule set (at most 33) are read once to shape the plan."""
-    # Grouped once and written: each prefix length below reads its part of the
-    # table, whose size Spark then knows (it broadcasts a part below its byte
-    # threshold and joins by shuffle above it).
-    lookup = materialised(_rule_lookup(rules).where(F.col("network").isNotNull()), "rules")
-    found = lookup.agg(F.collect_set("prefix")).first()[0]
-    prefixes = sorted(found, reverse=True)
-    proto = F.col(protocol) if protocol else F.lit(None).cast("string")
+    ``rules``: ``rule, cidr, port, protocol``.  Flows meet them in one equi-join on
+    the address block, whatever prefix lengths there are; the range is picked among
+    those of its block.  The flattened rules are stored, so Spark knows their size: it
+    broadcasts them below its byte threshold and joins by shuffle above it."""
+    blocks = materialised(flattened_rules(rules, block_bits), "rule-ranges").withColumnsRenamed({"block": "_block", "segments": "_segments"})
     out = flows.withColumn("_ip", ipv4_to_long(F.col(ip)))
-    picks = []
-    for i, p in enumerate(prefixes):
-        size = 1 << (32 - p)
-        lk = lookup.where(F.col("prefix") == p).select(F.col("network").alias(f"_n{i}"),
-                                                       F.col("cands").alias(f"_c{i}"))
-        net = F.col("_ip") - F.pmod(F.col("_ip"), F.lit(size))
-        out = out.join(lk, net == F.col(f"_n{i}"), "left")
-        hit = F.filter(F.col(f"_c{i}"), lambda c: (c["port"].isNull() | (c["port"] == F.col(port)))
-                       & ((c["protocol"] == "-1") | F.coalesce(c["protocol"] == proto, F.lit(False))))
-        picks.append(F.get(hit, 0))
-    best = F.coalesce(*picks) if picks else F.lit(None).cast("struct<rule:string,cidr:string>")
-    return out.withColumn("_best", best).select(*flows.columns, F.col("_best.rule").alias("rule"),
-                                                F.col("_best.cidr").alias("cidr"))
+    out = out.join(blocks, F.expr(f"_ip div {1 << block_bits}") == F.col("_block"), "left")
+    proto = F.col(protocol) if protocol else F.lit(None).cast("string")
+    before = F.filter("_segments", lambda s: s["start"] <= F.col("_ip"))
+    cands = F.get(before, F.size(before) - 1)["cands"]
+    hit = F.filter(cands, lambda c: (c["port"].isNull() | (c["port"] == F.col(port)))
+                   & ((c["protocol"] == "-1") | F.coalesce(c["protocol"] == proto, F.lit(False))))
+    return out.withColumn("_best", F.get(hit, 0)).select(*flows.columns, F.col("_best.rule").alias("rule"), F.col("_best.cidr").alias("cidr"))

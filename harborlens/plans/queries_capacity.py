@@ -28,7 +28,7 @@ _BACKLOG = f"""
   CAST(sum(arrived - done) OVER (PARTITION BY queue ORDER BY poll_ts
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS backlog FROM dense)"""
 
-_DEMAND = _BACKLOG + f"""
+DEMAND_SQL = _BACKLOG + f"""
 , recent AS (SELECT *, max(backlog) OVER (PARTITION BY queue ORDER BY CAST(epoch(poll_ts) AS BIGINT)
              RANGE BETWEEN {COOLDOWN_S - 1} PRECEDING AND CURRENT ROW) AS recent FROM backlog)
 , demand AS (SELECT queue, poll_ts, backlog,
@@ -50,13 +50,13 @@ def q_backlog_series(t):
     return _backlog(t)
 
 
-@register("replica_demand", with_bindings(_DEMAND + "\nSELECT * FROM demand", "jobs"))
+@register("replica_demand", with_bindings(DEMAND_SQL + "\nSELECT * FROM demand", "jobs"))
 def q_replica_demand(t):
     """B2: 5 messages per worker, 0..5 workers, 2 h cooldown."""
     return _demand(t)
 
 
-@register("scaling_stability", with_bindings(_DEMAND + """
+@register("scaling_stability", with_bindings(DEMAND_SQL + """
 , s1 AS (SELECT queue, poll_ts, replicas - lag(replicas) OVER (PARTITION BY queue ORDER BY poll_ts) AS delta
          FROM demand)
 , s2 AS (SELECT *, CASE WHEN delta <> 0 THEN sign(delta) END AS sgn FROM s1)

@@ -15,15 +15,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from harborlens.operators import capacity as cap
 from harborlens.operators import inventory as inv
 from harborlens.operators.policy import POLICY_MESSAGES
 from harborlens.plans import bindings as b
 from harborlens.plans.binding_sql import bucket_start_sql, with_bindings
 from harborlens.plans.catalog import register
+from harborlens.plans.queries_capacity import COOLDOWN_S, DEMAND_SQL, STEP_S
 from harborlens.session import scratch_path
 from harborlens.sources import inventory_json as ij
 from harborlens.sources import logs
-from harborlens.streaming import admission, first_delivery, history, queue, sli_stream
+from harborlens.streaming import admission, backlog_live, first_delivery, history, queue, sli_stream
 
 CLUSTER = "dev-cluster"
 TAIL_N = 20
@@ -191,3 +193,27 @@ def q_admission_split(t):
     said = F.array_join(F.transform("violations", lambda v: F.concat(v["policy"], F.lit(": "), v["message"])), "; ")
     den = t.spark.read.parquet(f"{base}/denied").select("namespace", "pod", F.lit(False).alias("admitted"), said.alias("violations"))
     return adm.unionByName(den)
+
+
+@register("backlog_live", with_bindings(DEMAND_SQL + """
+SELECT b.queue, b.poll_ts, b.arrived, b.done, b.backlog, d.replicas FROM backlog b JOIN demand d ON d.queue = b.queue AND d.poll_ts = b.poll_ts""", "jobs"))
+def q_backlog_live(t):
+    """B1 and B2 live: arrivals joined with completions up to a day later as both stream in; heartbeats close the last polls."""
+    base = _scratch(t, "backlog")
+    j = b.jobs(t)
+    end = j.agg(F.max(F.greatest("arrived_ts", "done_ts")).alias("last")).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.lit(backlog_live.HEARTBEAT).alias("queue"), F.timestamp_add("DAY", F.lit(3), F.col("last")).alias("ts"))
+    fed = (j.select("event_id", "queue", F.col("arrived_ts").alias("ts"), F.lit("arrival").alias("kind"))
+           .unionByName(j.select("event_id", "queue", F.col("done_ts").alias("ts"), F.lit("completion").alias("kind")))
+           .unionByName(end.withColumn("kind", F.lit("arrival"))).unionByName(end.withColumn("kind", F.lit("completion"))))
+
+    def start(s):
+        again = queue.queue_ingest(t.spark, f"{base}/in", fed.schema, options={"recursiveFileLookup": "true"})
+        arrivals = s.where("kind = 'arrival'").withColumnRenamed("ts", "arrived_ts")
+        completions = again.where("kind = 'completion'").withColumnRenamed("ts", "done_ts")
+        return backlog_live.follow_backlog(arrivals, completions, f"{base}/changes", f"{base}/ckpt", step_s=STEP_S, max_service="24h")
+
+    queue.run_slices(fed, base, "ts", SLICE, start)
+    series = backlog_live.closed_backlog(t.spark, f"{base}/changes", step_s=STEP_S).withColumn("poll_ts", F.col("poll_ts").cast("timestamp_ntz"))
+    demand = cap.replica_demand(series, per=5, lo=0, hi=5, cooldown_s=COOLDOWN_S)
+    return series.join(demand.select("queue", "poll_ts", "replicas"), ["queue", "poll_ts"])
