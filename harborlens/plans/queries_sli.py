@@ -4,11 +4,13 @@ the hourly series, SLO attainment of the daily p95, retention as of a date."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from harborlens.operators import sli
+from harborlens.operators import sketches, sli
 from harborlens.plans import bindings as b
 from harborlens.plans.binding_sql import bucket_start_sql, with_bindings
 from harborlens.plans.catalog import register
+from harborlens.session import scratch_path
 
 ALERT_THRESHOLD = 0.25
 ALERT_FOR_N = 2
@@ -67,6 +69,19 @@ def q_slo_attainment(t):
     return sli.slo_attainment(series, objective=P95_OBJECTIVE_MS, target=SLO_TARGET)
 
 
+@register("sli_rollup", with_bindings(f"""
+SELECT service, {bucket_start_sql('ts', 86400)} AS window_start, {bucket_start_sql('ts', 86400)} + INTERVAL '1 day' AS window_end,
+  count(*) AS requests, count(*) FILTER (WHERE status >= 500) AS errors,
+  round(CAST(count(*) FILTER (WHERE status >= 500) AS DOUBLE) / count(*), 6) AS error_ratio,
+  round(quantile_disc(latency_ms, 0.95), 6) AS p95_ms FROM requests GROUP BY 1, 2, 3""", "requests"))
+def q_sli_rollup(t):
+    """M1 and M2 per day from stored sketches of minutes, merged to hours and then to days (exact: a day here has fewer rows than a sketch)."""
+    path = scratch_path(t.spark, f"sketches-{uuid.uuid4().hex}")
+    sketches.latency_sketches(b.requests(t), "1 minute").write.parquet(path)
+    hours = sketches.rolled_up(t.spark.read.parquet(path), "1 hour")
+    return sketches.slis(sketches.rolled_up(hours, "1 day"), "1 day")
+
+
 @register("retain", with_bindings(f"""
 SELECT event_id, service, ts, latency_ms, status FROM requests
 WHERE ts >= TIMESTAMP '{RETAIN_AS_OF:%Y-%m-%d %H:%M:%S}' - INTERVAL '7 days'""", "requests"))
