@@ -185,20 +185,21 @@ def upsert_only_merge(desired: DataFrame, actual: DataFrame, key: str = "k", val
     """What an upsert-only sync does: ``create`` (wanted, absent), ``update``
     (ours, value differs), ``noop`` (ours, equal), ``not_owned`` (exists under
     another owner: untouched), ``retained`` (exists, not wanted: never deleted).
-    A record without an owner is not ours.  ``domain`` (a condition on the key)
-    restricts both sides to the managed domain first."""
+    A record without an owner is not ours; a NULL key is one key.  ``domain`` (a
+    condition on the key) restricts both sides to the managed domain first."""
     d = desired.select(key, F.col(value).alias("desired_v"), F.lit(True).alias("_wanted"))
     a = actual.select(key, F.col(value).alias("actual_v"), F.col(owner_col).alias("owner"), F.lit(True).alias("_exists"))
     if domain is not None:
         d, a = d.where(domain), a.where(domain)
-    j = d.join(a, key, "full_outer")
+    a = a.withColumnRenamed(key, "_key")
+    j = d.join(a, F.col(key).eqNullSafe(F.col("_key")), "full_outer").withColumn("_k", F.coalesce(key, "_key"))
     # presence is a flag of its own: values and owners may be NULL on either side
     action = (F.when(F.col("_exists").isNull(), "create")
               .when(F.col("_wanted").isNull(), "retained")
               .when(~F.col("owner").eqNullSafe(F.lit(owner)), "not_owned")
               .when(F.col("desired_v").eqNullSafe(F.col("actual_v")), "noop")
               .otherwise("update"))
-    return j.select(key, "desired_v", "actual_v", "owner", action.alias("action"))
+    return j.select(F.col("_k").alias(key), "desired_v", "actual_v", "owner", action.alias("action"))
 
 
 def first_match(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborlens.functions.scalars import cidr_low, cidr_prefix, ipv4_to_long
@@ -104,3 +104,46 @@ def cidr_match(flows: DataFrame, rules: DataFrame, ip: str = "src_ip", port: str
     hit = F.filter(cands, lambda c: (c["port"].isNull() | (c["port"] == F.col(port)))
                    & ((c["protocol"] == "-1") | F.coalesce(c["protocol"] == proto, F.lit(False))))
     return out.withColumn("_best", F.get(hit, 0)).select(*flows.columns, F.col("_best.rule").alias("rule"), F.col("_best.cidr").alias("cidr"))
+
+
+def _islands(df: DataFrame, by: Sequence[str], n: str) -> DataFrame:
+    """(by, lo, hi): runs of consecutive numbers ``n``, distinct within ``by``."""
+    w = Window.partitionBy(*by).orderBy(n)
+    run = df.withColumn("_run", F.col(n) - F.row_number().over(w))
+    return run.groupBy(*by, "_run").agg(F.min(n).alias("lo"), F.max(n).alias("hi")).drop("_run")
+
+
+def _aligned(runs: DataFrame, by: Sequence[str], bits: int) -> DataFrame:
+    """(by, start, k): the fewest aligned blocks of 2 ** k numbers below 2 ** bits that make up each run lo..hi.
+
+    A block belongs to it if the block of twice its size around it leaves the run; of
+    each size only a run's first and last aligned block can."""
+    size = F.expr("shiftleft(1L, k)")
+    each = runs.select(*by, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("k"))
+    first = F.ceil(F.col("lo") / size).cast("bigint") * size
+    last = F.floor((F.col("hi") + 1) / size).cast("bigint") * size - size
+    each = each.select("*", F.explode(F.array_distinct(F.array(first, last))).alias("start"))
+    inside = lambda start, n: (start >= F.col("lo")) & (start + n - 1 <= F.col("hi"))
+    parent = F.col("start") - F.pmod(F.col("start"), size * 2)
+    return each.where(inside(F.col("start"), size) & ((F.col("k") == bits) | ~inside(parent, size * 2))).select(*by, "start", "k")
+
+
+def smallest_allowlist(flows: DataFrame, ip: str = "src_ip", by: Sequence[str] = ("port",), block_bits: int = BLOCK_BITS) -> DataFrame:
+    """(by, cidr): the fewest CIDRs that hold exactly the addresses seen, for each group.
+
+    Sibling prefixes that are both full become their parent: within an address block
+    (distinct addresses, a window of at most 2 ** block_bits of them), and then among
+    a group's full blocks (at most 2 ** (32 - block_bits)).  So no window spans a
+    group's addresses, however many it has.  What is no address is left out."""
+    by = list(by)
+    width = 1 << block_bits
+    seen = flows.select(*by, ipv4_to_long(F.col(ip)).alias("_n")).where(F.col("_n").isNotNull()).distinct()
+    seen = seen.withColumn("_block", F.expr(f"_n div {width}"))
+    runs = materialised(_islands(seen, [*by, "_block"], "_n"), "address-runs")
+    full = F.col("hi") - F.col("lo") == width - 1
+    small = _aligned(runs.where(~full), by, block_bits)
+    whole = _aligned(_islands(runs.where(full).select(*by, "_block"), by, "_block"), by, 32 - block_bits)
+    whole = whole.select(*by, (F.col("start") * width).alias("start"), (F.col("k") + block_bits).alias("k"))
+    octets = [F.pmod(F.shiftright("start", s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)]
+    cidr = F.concat(F.concat_ws(".", *octets), F.lit("/"), (32 - F.col("k")).cast("string"))
+    return small.unionByName(whole).select(*by, cidr.alias("cidr"))

@@ -76,3 +76,16 @@ FROM f LEFT JOIN m ON m.fid = f.fid AND m.rn = 1""", "flows"))
 def q_cidr_match(t):
     """The VPC range and its four subnets, longest prefix wins."""
     return net.cidr_match(b.flows(t), rules_df(t.spark), protocol="protocol")
+
+
+@register("smallest_allowlist", with_bindings(f"""
+, a AS (SELECT DISTINCT port, protocol, {_IP.format(c="src_ip")} AS n FROM flows)
+, r AS (SELECT port, protocol, n, n - row_number() OVER (PARTITION BY port, protocol ORDER BY n) AS run FROM a)
+, runs AS (SELECT port, protocol, min(n) AS lo, max(n) AS hi FROM r GROUP BY port, protocol, run)
+, k AS (SELECT *, CAST(1 AS BIGINT) << k AS size FROM (SELECT *, unnest(range(0, 33)) AS k FROM runs))
+, c AS (SELECT DISTINCT port, protocol, lo, hi, k, size, unnest([(lo + size - 1) // size * size, (hi + 1) // size * size - size]) AS s FROM k)
+SELECT port, protocol, concat(s >> 24, '.', (s >> 16) % 256, '.', (s >> 8) % 256, '.', s % 256, '/', 32 - k) AS cidr FROM c
+WHERE s >= lo AND s + size - 1 <= hi AND (k = 32 OR s // (2 * size) * (2 * size) < lo OR s // (2 * size) * (2 * size) + 2 * size - 1 > hi)""", "flows"))
+def q_smallest_allowlist(t):
+    """The fewest source CIDRs that hold exactly the addresses seen per port and protocol."""
+    return net.smallest_allowlist(b.flows(t), by=("port", "protocol"))

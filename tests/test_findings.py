@@ -247,3 +247,10 @@ def test_nested_and_flat_pods_agree(spark):
     flat = pol.policy_violations(b.pod_heads(t), containers=b.container_rows(t))
     nested = pol.policy_violations(b.pods(t))
     assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0 and flat.count() > 0
+
+
+def test_a6_a_null_key_is_one_key(spark):
+    desired = spark.createDataFrame([(None, "x"), ("a", "1"), ("b", "2")], "k string, v string")
+    actual = spark.createDataFrame([(None, "y", "me"), ("b", "2", "me"), ("c", "3", "you")], "k string, v string, owner string")
+    got = {r.k: r.action for r in inv.upsert_only_merge(desired, actual).collect()}
+    assert got == {None: "update", "a": "create", "b": "noop", "c": "retained"}

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from harborlens.operators import network as net
 from tests.test_plans import explained
@@ -71,3 +72,37 @@ def test_one_join_whatever_the_prefixes(spark):
     assert [r.rule for r in net.cidr_match(flows, many).collect()] == ["r31"]
     none = net.cidr_match(flows, spark.createDataFrame([], RULES)).collect()
     assert [(r.rule, r.cidr) for r in none] == [(None, None)]
+
+
+def fewest(addresses):
+    """Bottom-up merge of full siblings, all 32 rounds."""
+    level, out = set(addresses), set()
+    for length in range(32, 0, -1):
+        up = {n >> 1 for n in level if n ^ 1 in level}
+        out |= {(n, length) for n in level if n ^ 1 not in level}
+        level = up
+    out |= {(n, 0) for n in level}
+    return {f"{address(n << 32 - length)}/{length}" for n, length in out}
+
+
+@pytest.mark.parametrize("seed,bits", [(1, 16), (2, 4), (3, 8)])
+def test_smallest_allowlist(spark, seed, bits):
+    g = random.Random(seed)
+    seen = {}
+    for port in (22, 443):
+        some = set()
+        for _ in range(12):
+            lo = (g.choice([0, 10 << 24, (1 << 32) - 300]) + g.getrandbits(9)) % (1 << 32)
+            some |= {n for n in range(lo, lo + g.choice([1, 2, 7, 16, 130])) if n < 1 << 32}
+        seen[port] = some
+    rows = [(address(n), p) for p, ns in seen.items() for n in ns] * 2 + [(None, 443), ("no address", 22)]
+    got = net.smallest_allowlist(spark.createDataFrame(rows, "src_ip string, port int").repartition(4), block_bits=bits).collect()
+    for port, ns in seen.items():
+        mine = [r.cidr for r in got if r.port == port]
+        assert sorted(mine) == sorted(fewest(ns))
+    assert net.smallest_allowlist(spark.createDataFrame([], "src_ip string, port int")).count() == 0
+
+
+def test_full_blocks_merge_beyond_the_block(spark):
+    rows = spark.range(3 << 16).select(F.concat_ws(".", F.lit("10"), *[F.pmod(F.shiftright(F.col("id") + (4 << 16), s), F.lit(256)).cast("string") for s in (16, 8, 0)]).alias("src_ip"), F.lit(1).alias("port"))
+    assert sorted(r.cidr for r in net.smallest_allowlist(rows).collect()) == ["10.4.0.0/15", "10.6.0.0/16"]
