@@ -34,8 +34,10 @@ from harborlens.llm.textkit import LOWER, mix64, stored, text_chunks, text_view,
 
 WINDOW = 64
 STRIDE = 48
+WINDOWS_AT_ONCE = 1024      # windows whose states are in memory together
 THRESHOLD = 0.3
 CHAR_BUCKETS = 1 << 15
+SCORE_BYTES = 1 << 20        # of text scored together
 CHAR_GRAMS = (3, 5)
 
 
@@ -84,9 +86,13 @@ def char_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     return out.ravel(), first * len(CHAR_GRAMS)
 
 
-def word_inputs(p: dict, ids: np.ndarray, gram: np.ndarray, first: np.ndarray):
-    """Inputs of the words: embedding, and the largest character n-gram embedding by dimension."""
-    chars = np.maximum.reduceat(p["C"][gram], first) if len(first) else np.zeros((0, p["C"].shape[1]), np.float32)
+def word_inputs(p: dict, ids: np.ndarray, gram: np.ndarray, first: np.ndarray, at_once: int = 20_000):
+    """Inputs of the words: embedding, and the largest character n-gram embedding by dimension; ``at_once`` words in memory."""
+    chars = np.empty((len(first), p["C"].shape[1]), np.float32)
+    for lo in range(0, len(first), at_once):
+        hi = min(lo + at_once, len(first))
+        begin, end = first[lo], first[hi] if hi < len(first) else len(gram)
+        chars[lo:hi] = np.maximum.reduceat(p["C"][gram[begin:end]], first[lo:hi] - begin)
     return np.concatenate([p["E"][ids], chars], axis=1)
 
 
@@ -156,8 +162,8 @@ def text_logits(m: Model, data: np.ndarray, off: np.ndarray, window: int = WINDO
     n = np.diff(row)
     of, begin = window_grid(n, window, stride)
     best = np.full(len(n), -np.inf, np.float32)
-    for lo in range(0, len(of), 4096):
-        o, b = of[lo:lo + 4096], begin[lo:lo + 4096]
+    for lo in range(0, len(of), WINDOWS_AT_ONCE):
+        o, b = of[lo:lo + WINDOWS_AT_ONCE], begin[lo:lo + WINDOWS_AT_ONCE]
         at = b[:, None] + np.arange(window)
         ids = inv[np.where(at < n[o][:, None], row[o][:, None] + at, len(inv) - 1)]
         np.maximum.at(best, o, window_logits(m, x, ids))
@@ -249,7 +255,7 @@ def train(texts: list[str], labels: list[int], docs: list[int] | None = None, ma
     for epoch in range(epochs):
         if epoch >= epochs // 3 and epoch > 1:
             x = word_inputs(m.p, known, gram, first)
-            logit = np.concatenate([window_logits(m, x, grid(np.arange(lo, min(lo + 2048, len(y))))) for lo in range(0, len(y), 2048)])
+            logit = np.concatenate([window_logits(m, x, grid(np.arange(lo, min(lo + WINDOWS_AT_ONCE, len(y))))) for lo in range(0, len(y), WINDOWS_AT_ONCE)])
             best = np.full(of.max() + 1, -np.inf)
             np.maximum.at(best, of, logit)
             good = (y == 0) | (logit > 0) | (logit >= best[of])
@@ -308,7 +314,7 @@ def document_logits(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         m = Model(**shared.value)
-        for b in text_chunks(batches):
+        for b in text_chunks(batches, max_bytes=SCORE_BYTES):
             data, off = utf8(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(text_logits(m, data, off).astype(np.float64))],
                                              names=["doc_id", "logit"])
@@ -433,7 +439,7 @@ def drop_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     def run(batches):
         m = Model(**shared.value)
-        for b in text_chunks(batches, text_col):
+        for b in text_chunks(batches, text_col, SCORE_BYTES):
             yield b.filter(pa.array(m.score(text_logits(m, *utf8(b.column(text_col))).astype(np.float64)) < THRESHOLD))
 
     return df.mapInArrow(run, df.schema)
