@@ -22,10 +22,11 @@ from harborlens.plans import bindings as b
 from harborlens.plans.binding_sql import bucket_start_sql, with_bindings
 from harborlens.plans.catalog import register
 from harborlens.plans.queries_capacity import COOLDOWN_S, DEMAND_SQL, STEP_S
+from harborlens.plans.queries_recovery import JOB_TIMEOUT_S
 from harborlens.session import scratch_path
 from harborlens.sources import inventory_json as ij
 from harborlens.sources import logs
-from harborlens.streaming import admission, backlog_live, first_delivery, history, queue, sli_stream
+from harborlens.streaming import admission, backlog_live, due, first_delivery, history, queue, sli_stream
 
 CLUSTER = "dev-cluster"
 TAIL_N = 20
@@ -217,3 +218,47 @@ def q_backlog_live(t):
     series = backlog_live.closed_backlog(t.spark, f"{base}/changes", step_s=STEP_S).withColumn("poll_ts", F.col("poll_ts").cast("timestamp_ntz"))
     demand = cap.replica_demand(series, per=5, lo=0, hi=5, cooldown_s=COOLDOWN_S)
     return series.join(demand.select("queue", "poll_ts", "replicas"), ["queue", "poll_ts"])
+
+
+def _beat(df, key: str, ts: str, **values):
+    """A row of a key of its own, long after all others: what a platform that has gone quiet sends, so that all timers are passed."""
+    cols = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in df.schema if f.name not in (ts,)]
+    return df.unionByName(df.agg(F.max(ts).alias(ts)).select(*cols, F.timestamp_add("DAY", F.lit(30), F.col(ts)).alias(ts)))
+
+
+@register("outcomes_due", with_bindings(f"""
+, g AS (SELECT job, min(ts) AS start_ts, min(ts) FILTER (WHERE phase IN ('Completed', 'Failed', 'PartiallyFailed')) AS end_ts,
+    arg_min(phase, ts) FILTER (WHERE phase IN ('Completed', 'Failed', 'PartiallyFailed')) AS end_phase FROM phases GROUP BY job)
+, o AS (SELECT *, coalesce(end_ts <= start_ts + INTERVAL '{JOB_TIMEOUT_S} seconds', FALSE) AS in_time FROM g)
+SELECT job, start_ts, CASE WHEN in_time THEN end_ts ELSE start_ts + INTERVAL '{JOB_TIMEOUT_S} seconds' END AS decided_ts,
+  CASE WHEN NOT in_time THEN 'timed_out' WHEN end_phase = 'Completed' THEN 'completed' ELSE 'failed' END AS outcome FROM o""", "phases"))
+def q_outcomes_due(t):
+    """R5 live: every job's verdict at the time it is due, from the stream of phases in slices of a year."""
+    base = _scratch(t, "outcomes")
+    p = b.phases(t).select("job", F.col("ts").cast("timestamp_ntz").alias("ts"), "phase")
+
+    def start(s):
+        out = due.outcomes_due(s, timeout_s=JOB_TIMEOUT_S).where("job <> -1")
+        return out.writeStream.option("checkpointLocation", f"{base}/ckpt").format("parquet").option("path", f"{base}/out").start()
+
+    queue.run_slices(_beat(p, "job", "ts", job=-1, phase="InProgress"), base, "ts", dt.timedelta(days=365), start)
+    out = t.spark.read.parquet(f"{base}/out")
+    return out.select("job", F.col("start_ts").cast("timestamp_ntz").alias("start_ts"), F.col("decided_ts").cast("timestamp_ntz").alias("decided_ts"), "outcome")
+
+
+@register("retries_due", with_bindings("""
+, f AS (SELECT event_id, attempt, outcome, delivered_ts, delivered_ts + INTERVAL '1' SECOND * CAST(30 * pow(2, attempt - 1) AS BIGINT) AS due_ts FROM attempts)
+SELECT event_id, attempt, CASE WHEN attempt < 3 THEN due_ts ELSE delivered_ts END AS due_ts, CASE WHEN attempt < 3 THEN 'retry' ELSE 'exhausted' END AS status
+FROM f WHERE outcome = 'failed' AND (attempt >= 3 OR NOT EXISTS (
+  SELECT 1 FROM attempts a WHERE a.event_id = f.event_id AND a.attempt > f.attempt AND a.delivered_ts <= f.due_ts))""", "attempts"))
+def q_retries_due(t):
+    """E7 live: retries when their backoff is over, and events whose attempts are used up."""
+    base = _scratch(t, "retries")
+    a = b.attempts(t)
+
+    def start(s):
+        out = due.retries_due(s).where("event_id <> -1")
+        return out.writeStream.option("checkpointLocation", f"{base}/ckpt").format("parquet").option("path", f"{base}/out").start()
+
+    queue.run_slices(_beat(a, "event_id", "delivered_ts", event_id=-1, attempt=1, outcome="ok"), base, "delivered_ts", SLICE, start)
+    return t.spark.read.parquet(f"{base}/out").select("event_id", "attempt", F.col("due_ts").cast("timestamp_ntz").alias("due_ts"), "status")
