@@ -47,7 +47,7 @@ def test_verdicts_when_they_are_due(spark, scratch):
     assert d.rows() == [(2, T0, T0 + 3 * M, "completed")]                                                         # watermark: 4 minutes
     d.batch([(3, T0 + 8 * M, "InProgress"), (4, T0 + 9 * M, "InProgress"), (-1, T0 + 12 * M, "InProgress")])      # watermark: 7 minutes
     assert d.rows() == [(2, T0, T0 + 3 * M, "completed")]
-    d.stop().batch([(1, T0 + 8 * M, "InProgress"), (-1, T0 + 16 * M, "InProgress")])                             # 11 minutes, after a restart
+    d.stop().batch([(1, T0 + 8 * M, "InProgress"), (-1, T0 + 15 * M, "InProgress")])                             # 10 minutes, after a restart
     assert d.rows() == [(1, T0, T0 + 10 * M, "timed_out"), (2, T0, T0 + 3 * M, "completed"), (3, T0 + 8 * M, T0 + 9 * M, "failed")]
     d.batch([(1, T0 + 15 * M, "Completed"), (5, T0 + 11 * M, "PartiallyFailed"), (-1, T0 + 40 * M, "InProgress")])  # too late for 1, in time for 5
     d.batch([(-1, T0 + 400 * M, "InProgress")]).stop()
