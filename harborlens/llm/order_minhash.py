@@ -115,8 +115,8 @@ def compare_with_edit(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents are range-partitioned and sorted by id (nulls first, then text), so
     each task streams over neighbours; only the last row of each partition needs
     the first of the next, and these two rows per partition meet in a second,
-    small step.  After the last document comes the first.  Memory: one document
-    and its neighbour."""
+    small step, by a join on the partition's number.  After the last document comes
+    the first.  Memory: one document and its neighbour."""
     docs = text_view(df, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def row(i, text, sig, nxt, nxt_sig):
@@ -127,7 +127,7 @@ def compare_with_edit(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 "near_edited": likeness(sig, edit), "near_next": likeness(sig, nxt_sig)}
 
     def run(batches):
-        held = None
+        held, last = None, None
         rows = []
         for batch in batches:
             part, ids, texts = batch.column("part"), batch.column("doc_id"), batch.column("text")
@@ -142,7 +142,7 @@ def compare_with_edit(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 if len(rows) >= 1000:
                     yield _batch(rows, schema)
                     rows = []
-            last = part[-1].as_py() if batch.num_rows else 0
+            last = part[-1].as_py() if batch.num_rows else last
         if held is not None:
             rows.append({"edge": 1, "part": last, "doc_id": held[0], "text": held[1]})
             yield _batch(rows, schema)
@@ -163,11 +163,14 @@ def compare_with_edit(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     done = stored(docs.withColumn("part", F.spark_partition_id())
                   .mapInArrow(run, "edge int, part int, text string, " + _FIELDS), "order-minhash")
     out = [x.split()[0] for x in _FIELDS.split(", ")]
-    # Two rows for each non-empty partition: its first and its last document.
+    # Two rows for each non-empty partition: its first and its last document.  Only partition
+    # numbers are put in order; the texts meet by a join on the number.
     edges = done.where("edge < 2").select("part", "edge", "doc_id", "text")
-    first = F.first("text").over(W.orderBy("part", "edge").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    after = F.lead("text").over(W.orderBy("part", "edge"))
-    last = (edges.withColumn("next_text", F.coalesce(after, first)).where("edge = 1")
+    parts = edges.where("edge = 0").select("part")
+    every = W.orderBy("part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    parts = parts.select("part", F.coalesce(F.lead("part").over(W.orderBy("part")), F.first("part").over(every)).alias("next"))
+    following = edges.where("edge = 0").select(F.col("part").alias("next"), F.col("text").alias("next_text"))
+    last = (edges.where("edge = 1").join(parts, "part").join(following, "next")
             .select("doc_id", "text", "next_text").mapInArrow(join_edges, _FIELDS))
     return done.where("edge = 2").select(*out).unionByName(last)
 
