@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborlens.llm.textkit import grams, text_chunks, text_view, utf8, words
+from harborlens.llm.textkit import fresh, grams, text_chunks, text_view, utf8, words
 
 SEED_WORDS = 4
 THRESHOLD = 0.6
@@ -236,6 +236,7 @@ def _aligned(docs: DataFrame, block: Block, threshold: float) -> DataFrame:
 
 
 def clean_documents(df: DataFrame, pairs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``df`` whose id is in no contaminated pair (null-safe)."""
-    bad = pairs.select(F.col("doc_id").alias("_bad_id")).distinct()
-    return df.join(bad, df[id_col].cast("long").eqNullSafe(F.col("_bad_id")), "left_anti")
+    """Rows of ``df`` whose id is in no contaminated pair (null-safe), with df's columns, whatever their names."""
+    (name,) = fresh(df, "_bad_id")
+    bad = pairs.select(F.col("doc_id").alias(name)).distinct()
+    return df.join(bad, df[id_col].cast("long").eqNullSafe(F.col(name)), "left_anti")

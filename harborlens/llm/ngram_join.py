@@ -54,7 +54,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from harborlens.llm.linked import components, joined
-from harborlens.llm.textkit import CHUNK_BYTES, SLOT_KEYS, mix64, shingle_sets, stored, text_chunks, text_view, utf8
+from harborlens.llm.textkit import CHUNK_BYTES, SLOT_KEYS, fresh, mix64, shingle_sets, stored, text_chunks, text_view, utf8
 
 PERCENT = 75
 FREQUENT_SHARE = 0.00005
@@ -574,7 +574,8 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     doc_id is a document's key; of rows that share one, one stays.  Documents
     without words stay."""
     classes = similarity_classes(df, id_col, text_col, **options)
-    lost = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_lost")).distinct()
-    kept = df.join(lost, F.col(id_col).cast("long").eqNullSafe(F.col("_lost")), "left_anti")
+    (name,) = fresh(df, "_lost")
+    lost = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    kept = df.join(lost, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_anti")
     repeated = classes.groupBy("doc_id").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates([id_col]) if repeated else kept

@@ -20,6 +20,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harborlens.llm.textkit import fresh
+
 SLOTS = 8191
 SHARDS = 64
 
@@ -63,13 +65,18 @@ def shard_names(n: int) -> list[str]:
 
 def assign_shards(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", names: list[str] | None = None,
                   slots: int = SLOTS, slot_out: str = "slot", shard_out: str = "shard") -> DataFrame:
-    """``df`` with its slot and shard; no shuffle, no Python in the plan."""
+    """``df`` with its slot and shard; no shuffle, no Python in the plan.
+
+    Columns named like ``slot_out`` and ``shard_out`` are replaced, all others kept as
+    they are.  A row without a key goes by its text, one without both by the empty
+    text; an empty table gives no row."""
     names = shard_names(SHARDS) if names is None else names
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (slot_out, shard_out)]
     placed = df.select(*kept, slot_of(F.col(key_col), F.col(text_col), slots).alias(slot_out))
-    table = F.broadcast(table_frame(df.sparkSession, names, slots))
-    return (placed.join(table, placed[slot_out] == table["_table_slot"])
-            .drop("_table_slot").withColumnRenamed("_owner", shard_out))
+    at, owner = fresh(placed, "_table_slot", "_owner")
+    table = F.broadcast(table_frame(df.sparkSession, names, slots).toDF(at, owner))
+    out = placed.join(table, F.col(slot_out) == F.col(at))
+    return out.select(*[F.col(f"`{c}`") for c in placed.columns], F.col(owner).alias(shard_out))
 
 
 def write_shards(df: DataFrame, path: str, **options) -> None:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from harborlens.llm.textkit import SPACE, stored, text_chunks, utf8
+from harborlens.llm.textkit import SPACE, fresh, stored, text_chunks, utf8
 
 WEIGHTS = (1, 2, 3)
 MAX_RATE = 3
@@ -90,16 +90,18 @@ def unit_draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def _with_copies(df: DataFrame, targets: DataFrame, source: Column, doc_id: Column, seed: str) -> DataFrame:
-    """``df`` with _size, _target, _rate and _copies of each row's source.
+def _with_copies(df: DataFrame, targets: DataFrame, source: Column, doc_id: Column, seed: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with size, target, rate and copies of each row's source, in columns of the names returned.
 
     Targets are a row per source, read from a stored table: Spark knows its size
     and broadcasts it where it is small, or else joins by shuffle and splits a
     source that holds many rows."""
-    rate = F.when(F.col("_size") > 0, F.col("_target") / F.col("_size")).otherwise(F.lit(0.0))
-    extra = (unit_draw(doc_id, seed) < F.col("_rate") - F.floor("_rate")).cast("long")
-    per = targets.select(F.col("source").alias("_source"), F.col("source_size").alias("_size"), F.col("target").alias("_target"))
-    return df.join(per, source.eqNullSafe(F.col("_source"))).withColumn("_rate", rate).withColumn("_copies", F.floor("_rate") + extra)
+    size, target, rate, copies, name = fresh(df, "_size", "_target", "_rate", "_copies", "_source")
+    of = F.when(F.col(size) > 0, F.col(target) / F.col(size)).otherwise(F.lit(0.0))
+    extra = (unit_draw(doc_id, seed) < F.col(rate) - F.floor(rate)).cast("long")
+    per = targets.select(F.col("source").alias(name), F.col("source_size").alias(size), F.col("target").alias(target))
+    out = df.join(per, source.eqNullSafe(F.col(name))).withColumn(rate, of).withColumn(copies, F.floor(rate) + extra)
+    return out, [size, target, rate, copies]
 
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -110,15 +112,19 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     combined map-side."""
     docs = stored(word_counts(df, id_col, text_col, source_col), "mix-sizes")
     targets = source_targets(docs, weights, max_rate)
-    return (_with_copies(docs, targets, F.col("source"), F.col("doc_id"), seed)
-            .select("doc_id", "source", "size", F.col("_size").alias("source_size"), F.col("_target").alias("target"),
-                    F.col("_rate").alias("rate"), F.col("_copies").alias("copies"), (F.col("size") * F.col("_copies")).alias("taken")))
+    out, (total, target, rate, copies) = _with_copies(docs, targets, F.col("source"), F.col("doc_id"), seed)
+    return out.select("doc_id", "source", "size", F.col(total).alias("source_size"), F.col(target).alias("target"),
+                      F.col(rate).alias("rate"), F.col(copies).alias("copies"), (F.col("size") * F.col(copies)).alias("taken"))
 
 
 def repeat_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                      weights=WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED) -> DataFrame:
-    """The mix itself: each row of ``df`` as often as it is taken, with df's columns alone."""
+    """The mix itself: each row of ``df`` as often as it is taken, with df's columns alone, whatever their names.
+
+    Null ids and sources are kept as such, null and empty texts have size 0, repeated
+    rows draw alike, and an empty table gives no row."""
     targets = source_targets(word_counts(df, id_col, text_col, source_col), weights, max_rate)
-    taken = _with_copies(df, targets, F.col(source_col).cast("string"), F.col(id_col).cast("long"), seed)
-    return (taken.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    taken, (*_, copies) = _with_copies(df, targets, F.col(source_col).cast("string"), F.col(id_col).cast("long"), seed)
+    (copy,) = fresh(taken, "_copy")
+    return (taken.where(F.col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
             .select(*[F.col(f"`{c}`") for c in df.columns]))

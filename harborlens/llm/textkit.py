@@ -25,6 +25,17 @@ def text_view(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (Spark does not tell case apart)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Cut the lineage: write to a table in the shared checkpoint folder and read it back."""
     spark = df.sparkSession

@@ -534,3 +534,18 @@ def test_extra_columns_are_kept_where_rows_are(spark, edge):
     for out in (ngram_join.drop_near_duplicates(more), source_mix.repeat_documents(more),
                 decontaminate.clean_documents(more, decontaminate.decontaminate(more, bench))):
         assert out.columns == more.columns and out.count() > 0
+
+
+def test_callers_columns_keep_their_values(spark, edge):
+    """Columns named like an operator's own come back as they were."""
+    names = ["_rate", "_copies", "_Copy", "_size", "_target", "_source", "_owner", "_TABLE_SLOT", "_lost", "_bad_id", "c", "s"]
+    few = edge.where("doc_id < 40 or doc_id is null")
+    more = few.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in names})
+    bench = spark.createDataFrame([(1, "nothing of the kind")], "item_id long, text string")
+    for run in (source_mix.repeat_documents, shard_table.assign_shards, ngram_join.drop_near_duplicates,
+                lambda df: decontaminate.clean_documents(df, decontaminate.decontaminate(df, bench))):
+        out, plain = run(more), run(few)
+        assert out.columns == [*more.columns, *[c for c in plain.columns if c not in few.columns]]
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}{'none' if r.doc_id is None else r.doc_id}" for r in rows for c in names)
+        assert sorted(str([r[c] for c in plain.columns]) for r in rows) == sorted(str(list(r)) for r in plain.collect())
