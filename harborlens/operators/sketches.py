@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborlens.functions.scalars import ratio
@@ -89,13 +89,17 @@ def duplicate_totals(sketches: DataFrame, by: str | Sequence[str], lg: int = LG)
     return out.withColumn("dup_ratio", ratio("duplicates", "deliveries"))
 
 
-def overlap_with_previous(sketches: DataFrame, order: str, by: Sequence[str] = ()) -> DataFrame:
-    """Events a period shares with the one before it: order, previous, distinct_events, shared.
+def overlap_with_previous(sketches: DataFrame, period: str, previous: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Events a period shares with the one before it: period, previous, distinct_events, shared.
 
-    One row a period is ordered, and not its deliveries."""
-    w = Window.partitionBy(*by).orderBy(order)
-    rows = sketches.withColumn("previous", F.lag(order).over(w)).withColumn("_events", F.lag("events").over(w))
-    return rows.select(*by, order, "previous", _count("events").alias("distinct_events"),
+    ``previous`` gives the period before from a row's own; it is NULL in the result, and
+    ``shared`` 0, where that has no deliveries.  An equi-join of one row a period."""
+    other = sketches.select(*[F.col(c).alias(f"_{c}") for c in by], F.col(period).alias("_before"), F.col("events").alias("_events"))
+    on = previous == F.col("_before")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    rows = sketches.join(other, on, "left")
+    return rows.select(*by, period, F.col("_before").alias("previous"), _count("events").alias("distinct_events"),
                        F.coalesce(_count(F.theta_intersection("events", "_events")), F.lit(0).cast("bigint")).alias("shared"))
 
 
