@@ -54,7 +54,7 @@ class _Outcome(_Due):
         self.timeout, self.keep, self.ok, self.failed = timeout, keep, ok, failed
 
     def handleInputRows(self, key, rows, timerValues):
-        start, finish, phase, due, decided = self.state.get() if self.state.exists() else (None, None, None, None, False)
+        start, finish, phase, due, decided = self.state.get() or (None, None, None, None, False)
         if decided:
             return iter([])
         for r in rows:
@@ -91,7 +91,7 @@ class _Retry(_Due):
         return at + self.base * 2 ** (attempt - 1) if attempt < self.most else at
 
     def handleInputRows(self, key, rows, timerValues):
-        seen, forget = self.state.get() if self.state.exists() else ([], None)
+        seen, forget = self.state.get() or ([], None)
         seen = {a: (at, failed) for a, at, failed in seen}
         for r in rows:
             a, at = r["_attempt"], r["_micros"]

@@ -48,8 +48,9 @@ class _First(StatefulProcessor):
         if key[1] is not None:                                # no key or no time: given out as they are
             return (Row(**{c: r[c] for c in names}) for r in rows)
         best = min(rows, key=self.rank)
-        if self.held.exists():
-            old = dict(zip(names, self.held.get()))
+        held = self.held.get()
+        if held is not None:
+            old = dict(zip(names, held))
             if self.rank(old) <= self.rank(best):
                 return iter([])
             if old["_micros"] != best["_micros"]:
