@@ -1,8 +1,8 @@
 """Operators for preparing large text corpora for model training.
 
-Ten stand-alone operators (chat formatting, token files, line, shingle and
+Thirteen stand-alone operators (chat formatting, token files, line, shingle and
 substring deduplication, mixing, sharding, decontamination, toxicity,
-fingerprints).  Each takes DataFrames and column names and returns a DataFrame;
+fingerprints, token counts, embedding whitening, phrases).  Each takes DataFrames and column names and returns a DataFrame;
 ``llm.queries`` binds them to the driver tables.  Nothing else in the library
 imports this package.
 
