@@ -54,7 +54,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from harborlens.llm.linked import components, joined
-from harborlens.llm.textkit import CHUNK_BYTES, SLOT_KEYS, fresh, mix64, shingle_sets, stored, text_chunks, text_view, utf8
+from harborlens.llm.textkit import CHUNK_BYTES, SLOT_KEYS, fresh, give_back, mix64, shingle_sets, stored, text_chunks, text_view, utf8
 
 PERCENT = 75
 FREQUENT_SHARE = 0.00005
@@ -216,6 +216,7 @@ def _streamed(batches, names):
     for b in batches:
         if b.num_rows:
             yield [b.column(c).to_numpy(zero_copy_only=False) for c in names]
+    give_back()
 
 
 def chain_lists(rows: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ whichever is larger: kernels never see more than that at once.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,17 @@ def text_chunks(batches, text_col: str = "text", max_bytes: int = CHUNK_BYTES):
             hi = min(max(hi, lo + 1), batch.num_rows)
             yield batch.slice(lo, hi - lo)
             lo = hi
+        give_back()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps a worker process between tasks, and with it all it holds."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):                         # a C library without it
+        pass
 
 
 def utf8(arr) -> tuple[np.ndarray, np.ndarray]:

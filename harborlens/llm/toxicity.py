@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborlens.llm.textkit import LOWER, mix64, stored, text_chunks, text_view, utf8, words
+from harborlens.llm.textkit import LOWER, give_back, mix64, stored, text_chunks, text_view, utf8, words
 
 WINDOW = 64
 STRIDE = 48
@@ -370,6 +370,7 @@ def train_in_task(windows: DataFrame, **options) -> Model | None:
                 return {"vocab": m.vocab, **m.p}
 
             parts = in_child(work)
+            give_back()
             yield pa.RecordBatch.from_arrays([pa.array(list(parts)), pa.array([a.dtype.str for a in parts.values()]),
                                               pa.array([list(a.shape) for a in parts.values()], pa.list_(pa.int64())),
                                               pa.array([a.tobytes() for a in parts.values()], pa.binary())], names=["name", "kind", "shape", "data"])
