@@ -258,7 +258,8 @@ def q_retries_due(t):
 
     def start(s):
         out = due.retries_due(s).where("event_id <> -1")
-        return out.writeStream.option("checkpointLocation", f"{base}/ckpt").format("parquet").option("path", f"{base}/out").start()
+        with queue.state_partitions(t.spark):
+            return out.writeStream.option("checkpointLocation", f"{base}/ckpt").format("parquet").option("path", f"{base}/out").start()
 
     queue.run_slices(_beat(a, "event_id", "delivered_ts", event_id=-1, attempt=1, outcome="ok"), base, "delivered_ts", SLICE, start)
     return t.spark.read.parquet(f"{base}/out").select("event_id", "attempt", F.col("due_ts").cast("timestamp_ntz").alias("due_ts"), "status")

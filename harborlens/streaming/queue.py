@@ -11,6 +11,7 @@ Kafka is the same operator with ``format("kafka")`` and its options.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +82,22 @@ def as_event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Streams started inside keep state in as many partitions as there are cores (or ``n``), if
+    ``spark.sql.shuffle.partitions`` is not less anyway.
+
+    Every micro-batch opens and commits each state partition, whatever it holds: partitions beyond
+    the cores add that cost to every batch.  The number stays with the checkpoint."""
+    name = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(old), n or max(1, spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def stage_slices(df: DataFrame, path: str, order: str, length: dt.timedelta) -> list[str]:
     """Write ``df`` once, ``length`` of event time to a folder, and name the folders in time order.
 

@@ -87,3 +87,31 @@ def test_retries_when_they_are_due(spark, scratch):
     d.batch([(-1, 1, T0 + 300 * M, "ok")]).stop()
     assert d.rows() == sorted([*first, (3, 2, T0 + 59 * S + 2 * M, "retry"), (4, 2, T0 + 5 * M, "retry"), (5, 3, T0 + 2 * M, "exhausted"),
                                (1, 2, T0 + 8 * M, "retry"), (1, 3, T0 + 18 * M, "exhausted")])
+
+
+def _state_rows(d):
+    ops = [op for p in d.q.recentProgress for op in p["stateOperators"]]
+    return {op["numShufflePartitions"] for op in ops}, max(op["numRowsTotal"] for op in ops)
+
+
+def test_state_is_kept_by_bucket(spark, scratch):
+    """300 jobs and 300 events cost a few state rows, in no more partitions than asked for, and none is lost."""
+    jobs = [(j, T0 + j * S, "InProgress") for j in range(300)] + [(j, T0 + (j + 60) * S, "Completed") for j in range(0, 300, 2)]
+    tries = [(e, a, T0 + (e + 70 * a) * S, "failed") for e in range(300) for a in (1, 2, 3)][:-300]
+    with queue.state_partitions(spark, 3):
+        one = Drill(spark, f"{scratch}/jobs", JOBS, lambda s: due.outcomes_due(s, buckets=5)).batch(jobs)
+        two = Drill(spark, f"{scratch}/tries", TRIES, lambda s: due.retries_due(s, max_attempts=2, buckets=5)).batch(tries)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    for d in (one, two):
+        partitions, rows = _state_rows(d)
+        assert partitions == {3} and 0 < rows <= 5
+    one.batch([(-1, T0 + 2000 * M, "InProgress")])
+    two.batch([(-1, 1, T0 + 2000 * M, "ok")])
+    one.stop()
+    two.stop()
+    assert one.rows() == sorted((j, T0 + j * S, T0 + (j + 600 if j % 2 else j + 60) * S, "timed_out" if j % 2 else "completed") for j in range(300))
+    last = {}
+    for e, a, ts, _ in tries:
+        last.setdefault(e, {})[a] = ts
+    want = [(e, a, ts if a >= 2 else ts + 30 * S, "exhausted" if a >= 2 else "retry") for e, seen in last.items() for a, ts in seen.items()]
+    assert two.rows() == sorted(want)
