@@ -87,3 +87,17 @@ def test_slices_are_staged_once_and_released_in_order(spark, scratch):
     assert queue.run_slices(df, f"{scratch}/run", "ts", 30 * M, start) == 4
     assert [x for x in seen if x[2]] == [(0, 29, 30), (30, 59, 30), (60, 89, 30), (90, 99, 10)]
     assert queue.run_slices(df.limit(0), f"{scratch}/none", "ts", 30 * M, start) == 0
+
+
+def test_state_is_kept_by_bucket(spark, scratch):
+    """400 keys cost a few state rows; keys of any type stay apart; rows without a key are all given out."""
+    rows = [(k, a, T0 + (k % 7 + a) * M, f"{k}-{a}") for k in range(400) for a in (2, 1)] + [(None, a, T0, "no key") for a in range(20)]
+    d = Drill(spark, scratch)
+    s = queue.queue_ingest(spark, f"{scratch}/in", spark.createDataFrame([], SCHEMA).schema, options={"recursiveFileLookup": "true"})
+    out = first_delivery.first_deliveries(s.withColumn("event_id", F.col("event_id").cast("string")), "event_id", "delivered_ts", ("attempt",), "15m", "30 minutes", buckets=5)
+    d.q = out.writeStream.option("checkpointLocation", f"{scratch}/ck").format("parquet").option("path", f"{scratch}/out").start()
+    d.batch(rows)
+    assert 0 < max(op["numRowsTotal"] for p in d.q.recentProgress for op in p["stateOperators"]) <= 5
+    d.batch([(10 ** 6, 1, T0 + 2000 * M, "beat")])
+    d.q.stop()
+    assert d.rows() == sorted([(str(k), 1, f"{k}-1") for k in range(400)] + [(None, a, "no key") for a in range(20)], key=repr)
