@@ -25,13 +25,21 @@ either (the prefix), and their first two among one more (the extended prefix).
 Equal sets are collapsed first.  An index key's documents are sorted by size and
 chained: neighbours that share enough keys are verified on the texts, and give
 components; long lists are chained again in other orders (at most ``turns`` times)
-while that joins components.  Then only documents that share a key but lie in
+while that joins components, each document with the one of the ``WINDOW`` before it
+that seems nearest.  Then only documents that share a key but lie in
 different components are paired, counted and verified, all of them: lists that lie in
 one component are dropped, and lists of more than ``split`` rows are cut into blocks
 that meet in pairs, so no list is one task's.  A pair that could link is therefore
 either verified or already in one component: components are exact, and a group of
 copies costs a chain and not a clique.
 
+* Documents in long lists carry SIGN_BITS bits, each the parity of the number of tokens
+  that fall on it.  A bit differs only where an odd number of tokens in one set alone
+  falls, so two sets differ in at least as many tokens as bits; a pair with more
+  differing bits than linking sets have differing tokens is ruled out where the
+  list lies and gives no row.  Sets of some 1,700 tokens or more are hardly ever
+  ruled out this way, and all their pairs are counted and verified as without it.
+
 Frequent tokens are found by counting every token of every document, combined
 over ``survey_bytes`` of text where the text lies; tokens seen once there are not
 sent.  The set of frequent tokens is at most (mean shingles a
@@ -65,6 +73,8 @@ LIST_UP_TO = 12
 TURNS = 4
 EARLY = 8
 SPLIT = 512
+SIGN_BITS = 1024
+WINDOW = 32
 _LONG = pa.int64()
 
 
@@ -176,6 +186,22 @@ def may_link(n, i, m, j):
     return (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (1 + np.minimum(n - 1 - i, m - 1 - j) >= common)
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """Parity of the number of tokens on each of SIGN_BITS places, as bits."""
+    return np.packbits(np.bincount((tokens % np.uint64(SIGN_BITS)).astype(np.int64), minlength=SIGN_BITS).astype(np.uint8) & 1).tobytes()
+
+
+def bits_over(sign: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Differing bits of the signatures of rows x and y, less the most tokens that linking sets of n and m differ in.
+
+    Above 0 the sets cannot link.  Rows without a signature have all bits 0."""
+    most = n + m - 2 * -(-PERCENT * (n + m) // (100 + PERCENT))
+    differ = np.zeros(len(x), np.int64)
+    for w in range(sign.shape[1]):
+        differ += np.bitwise_count(sign[x, w] ^ sign[y, w])
+    return differ - most
+
+
 def _pack(n, i):
     return n.astype(np.int64) << 32 | i
 
@@ -215,10 +241,18 @@ def key_rows(docs: DataFrame, frequent: np.ndarray, ratio: np.ndarray, combine_r
 def _streamed(batches, names):
     for b in batches:
         if b.num_rows:
-            yield [b.column(c).to_numpy(zero_copy_only=False) for c in names]
+            yield [_signs(b.column(c)) if c == "sign" else b.column(c).to_numpy(zero_copy_only=False) for c in names]
     give_back()
 
 
+def _signs(column) -> np.ndarray:
+    """A row of SIGN_BITS bits as 64-bit words for each value; zeros for null or empty ones."""
+    data, off = utf8(column)
+    out = np.zeros((len(column), SIGN_BITS // 64), np.uint64)
+    out[off[1:] > off[:-1]] = data.reshape(-1, SIGN_BITS // 8).view(np.uint64)
+    return out
+
+
 def chain_lists(rows: DataFrame) -> DataFrame:
     """kind 0: (key, n, s) of keys with two sets or more; kind 1: neighbour pairs (key, s) = (s, s) in a key's
     list, in n the number of lists and in x their sizes.
@@ -252,26 +286,41 @@ def chain_lists(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "n", "s").mapInArrow(run, "kind int, key long, n long, s long, x long")
 
 
-def chain_again(lists: DataFrame, turn: int) -> DataFrame:
-    """(a, b): neighbours of different components in the lists, in another order each turn.
+def chain_again(lists: DataFrame, signs: DataFrame, turn: int) -> DataFrame:
+    """(a, b): for each row of the lists, the one of the WINDOW before it whose set seems nearest to its own, of those
+    in other components that may link; the lists are in another order each turn.
 
-    Rows arrive sorted by key and a hash of their set's name and the turn."""
+    Rows arrive sorted by key and a hash of their set's name and the turn; WINDOW rows are held between batches."""
     def run(batches):
         held = None
-        for key, n, s, c in _streamed(batches, ("key", "n", "s", "c")):
+        for key, n, s, c, sign in _streamed(batches, ("key", "n", "s", "c", "sign")):
+            new = 0
             if held is not None:
-                key, n, s, c = (np.concatenate(x) for x in zip(held, (key, n, s, c)))
-            i = np.flatnonzero((key[1:] == key[:-1]) & (c[1:] != c[:-1]))
-            small = n[i] <= n[i + 1]
-            x, y = np.where(small, i, i + 1), np.where(small, i + 1, i)
-            ok = may_link(*_unpack(n[x]), *_unpack(n[y]))
-            a, b, size, times, _ = _counted(s[x[ok]], s[y[ok]], n[x[ok]] >> 32, n[y[ok]] >> 32)
-            yield _batch(a=pa.array(a, _LONG), b=pa.array(b, _LONG), x=pa.array(size, _LONG), k=pa.array(times, _LONG))
-            held = key[-1:], n[-1:], s[-1:], c[-1:]
-
-    rows = (lists.withColumn("mixed", F.min("c").over(W.partitionBy("key")) != F.max("c").over(W.partitionBy("key"))).where("mixed")
-            .withColumn("order", F.xxhash64("s", F.lit(turn))).sortWithinPartitions("key", "order"))
-    pairs = rows.select("key", "n", "s", "c").mapInArrow(run, "a long, b long, x long, k long")
+                new = len(held[0])
+                key, n, s, c, sign = (np.concatenate(x) for x in zip(held, (key, n, s, c, sign)))
+            size, place = _unpack(n)
+            near, over = np.full(len(key), -1), np.ones(len(key), np.int64)
+            for back in range(1, WINDOW + 1):
+                i = np.arange(max(new, back), len(key))
+                i = i[key[i] == key[i - back]]
+                if not len(i):                       # no longer list reaches into these rows
+                    break
+                i = i[c[i] != c[i - back]]
+                small = n[i] <= n[i - back]
+                x, y = np.where(small, i, i - back), np.where(small, i - back, i)
+                ok = may_link(size[x], place[x], size[y], place[y])
+                i, x, y = i[ok], x[ok], y[ok]
+                bits = bits_over(sign, x, y, size[x], size[y])
+                ok = (bits <= 0) & (bits < over[i])
+                near[i[ok]], over[i[ok]] = i[ok] - back, bits[ok]
+            i = np.flatnonzero(near >= 0)
+            a, b, x, times, _ = _counted(s[i], s[near[i]], size[i], size[near[i]])
+            yield _batch(a=pa.array(a, _LONG), b=pa.array(b, _LONG), x=pa.array(x, _LONG), k=pa.array(times, _LONG))
+            held = key[-WINDOW:], n[-WINDOW:], s[-WINDOW:], c[-WINDOW:], sign[-WINDOW:]
+
+    rows = (lists.join(mixed_keys(lists), "key", "left_semi").join(signs, "s", "left").withColumn("order", F.xxhash64("s", F.lit(turn)))
+            .repartition("key").sortWithinPartitions("key", "order"))
+    pairs = rows.select("key", "n", "s", "c", "sign").mapInArrow(run, "a long, b long, x long, k long")
     return pairs.groupBy("a", "b").agg(F.sum("k").alias("k"), F.max("x").alias("x")).where(_enough("k", 0.1)).select("a", "b")
 
 
@@ -362,7 +411,7 @@ def crossing_pairs(lists: DataFrame, combine_up_to: int = COMBINE_UP_TO, split:
     the key may be its first common token: the smaller set must then have it among
     its first seventh, which few sets have unless they are mostly such tokens, and the
     first EARLY such keys of the two sets (``e0``, ...) must show no earlier common
-    one, whose own list has the pair.  The
+    one, whose own list has the pair, and their signatures must not rule out a link.  The
     count a pair needs is lowered by ``m``, the number of a set's keys with long
     lists, the smaller of the two sets' numbers; counts are summed where the lists
     lie first.  A small set may have one common frequent token that no key of its own
@@ -370,11 +419,11 @@ def crossing_pairs(lists: DataFrame, combine_up_to: int = COMBINE_UP_TO, split:
     count."""
     def run(batches):
         window = None
-        for key, n, s, c, many, more, g, role, *early in _streamed(batches, ("key", "n", "s", "c", "long", "m", "g", "role", *names)):
+        for key, n, s, c, many, more, g, role, sign, *early in _streamed(batches, ("key", "n", "s", "c", "long", "m", "g", "role", "sign", *names)):
             new, head = 0, np.stack(early, axis=1)
             if window is not None:
                 new = len(window[0])
-                key, n, s, c, many, more, g, role, head = (np.concatenate(x) for x in zip(window, (key, n, s, c, many, more, g, role, head)))
+                key, n, s, c, many, more, g, role, sign, head = (np.concatenate(x) for x in zip(window, (key, n, s, c, many, more, g, role, sign, head)))
             n, place = _unpack(n)
             # first row of the same block pair that is large enough, for each new row
             block = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (g[1:] != g[:-1])]))
@@ -400,6 +449,8 @@ def crossing_pairs(lists: DataFrame, combine_up_to: int = COMBINE_UP_TO, split:
                 left, right, first = left[take], right[take], first[take]
                 take = ~(many[right].astype(bool) & _met_before(key[left], head[left], head[right]))
                 left, right, first = left[take], right[take], first[take]
+                take = bits_over(sign, left, right, n[left], n[right]) <= 0
+                left, right, first = left[take], right[take], first[take]
                 flag = first.astype(np.int64) | (key[left] & 1) << 1
                 less = np.minimum(more[left], more[right])
                 a, b, size, times, flag = _counted(s[left], s[right], n[left], n[right], flag | less << 2, ~many[left].astype(bool))
@@ -407,9 +458,11 @@ def crossing_pairs(lists: DataFrame, combine_up_to: int = COMBINE_UP_TO, split:
                     yield _batch(a=pa.array(a, _LONG), b=pa.array(b, _LONG), x=pa.array(size, _LONG), k=pa.array(times, _LONG), flag=pa.array(flag, _LONG))
                 at = to
             keep = (block == block[-1]) & (100 * n >= PERCENT * n[-1]) & early
-            window = key[keep], _pack(n[keep], place[keep]), s[keep], c[keep], many[keep], more[keep], g[keep], role[keep], head[keep]
+            window = key[keep], _pack(n[keep], place[keep]), s[keep], c[keep], many[keep], more[keep], g[keep], role[keep], sign[keep], head[keep]
 
     names = [f"e{j}" for j in range(EARLY)]
+    if "sign" not in lists.columns:   # then none rules anything out
+        lists = lists.withColumn("sign", F.lit(None).cast("binary"))
     placed = blocked(lists, split).repartition("key", "g").sortWithinPartitions("key", "g", "n", "s")
     seen = placed.mapInArrow(run, "a long, b long, x long, k long, flag long")
     seen = seen.groupBy("a", "b").agg(F.max("x").alias("x"), F.sum("k").alias("k"), F.bit_or("flag").alias("flag"))
@@ -525,10 +578,11 @@ def similarity_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = components(stored(links(tried, texts), "ngram-links"))
     sized = with_lengths(lists, list_up_to)
     hard = stored(sized.where("long").select("key", "n", "s"), "ngram-long-lists")
+    signs = stored(signatures(texts.join(hard.select("s").distinct(), "s", "left_semi")), "ngram-signatures")
     for turn in range(turns):
         # Long lists are chained again in other orders, until that joins no more components.
         labelled = hard.join(classes, "s", "left").select("key", "n", "s", F.coalesce("c", "s").alias("c"))
-        pairs = stored(chain_again(labelled, turn).join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+        pairs = stored(chain_again(labelled, signs, turn).join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
         found = stored(links(pairs, texts), "ngram-links")
         if found.limit(1).count() == 0:
             break
@@ -538,13 +592,23 @@ def similarity_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     mixed = stored(mixed_keys(lists.join(classes, "s", "left").select("key", F.coalesce("c", "s").alias("c"))), "ngram-mixed-keys")
     # Keys with long lists of each set: a pair's count leaves them out.
     labelled = (sized.join(mixed, "key", "left_semi").join(classes, "s", "left").join(first_keys(hard), "s", "left")
-                .select("key", "n", "s", F.coalesce("c", "s").alias("c"), F.col("long").cast("int").alias("long"), F.coalesce("m", F.lit(0)).alias("m"),
+                .join(signs, "s", "left").select("key", "n", "s", F.coalesce("c", "s").alias("c"), F.col("long").cast("int").alias("long"), F.coalesce("m", F.lit(0)).alias("m"), F.when(F.col("long"), F.col("sign")).alias("sign"),
                         *[F.when(F.col("long"), F.col(f"e{j}")).otherwise(F.lit(0)).alias(f"e{j}") for j in range(EARLY)]))
     rest = crossing_pairs(stored(labelled, "ngram-mixed-lists"), combine_up_to, split).join(tried, ["a", "b"], "left_anti")
     found = stored(links(rest, texts), "ngram-links")
     return _by_document(sets, joined(classes, found))
 
 
+def signatures(texts: DataFrame) -> DataFrame:
+    """(s, sign) of the sets of compressed texts."""
+    def run(batches):
+        for b in batches:
+            for lo, hi, sets in _unpacked(b, "text"):
+                yield _batch(s=b.column("s").slice(lo, hi - lo), sign=pa.array([signature(x) for x in sets], pa.binary()))
+
+    return texts.select("s", "text").mapInArrow(run, "s long, sign binary")
+
+
 def _own_text(texts: DataFrame, seed: int) -> DataFrame:
     """(s, text): of the rows that share a doc_id, one whose text is the set's."""
     def run(batches):

@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -225,6 +226,51 @@ def test_ngram_classes_with_small_blocks(spark, edge):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == classes(edge_rows())
 
 
+def test_ngram_signatures_rule_out_no_link():
+    g = np.random.default_rng(5)
+    ruled_out = 0
+    for _ in range(400):
+        n, m, both = g.integers(1, 1500), g.integers(1, 1500), g.random() ** 0.2
+        common = int(min(n, m) * both)
+        tokens = np.unique(g.integers(0, 2 ** 64, n + m - common, dtype=np.uint64))
+        g.shuffle(tokens)
+        sets = tokens[:n], np.concatenate([tokens[:common], tokens[n:]])
+        signs = pa.array([ngram_join.signature(x) for x in sets] + [None, b""], pa.binary())
+        words = ngram_join._signs(signs.slice(1)), ngram_join._signs(signs)
+        assert (words[0] == words[1][1:]).all() and not words[1][2:].any()
+        over = ngram_join.bits_over(words[1], np.array([0]), np.array([1]), np.array([n]), np.array([m]))[0]
+        if 100 * common >= 75 * (n + m - common):
+            assert over <= 0
+        ruled_out += over > 0
+    assert ruled_out > 150
+
+
+def test_ngram_near_copies_give_no_pair_of_all(spark, monkeypatch):
+    """Pairs left after the chains, and those among them that reach the texts, do not grow with the square of a group."""
+    g = random.Random(13)
+    vocab = [f"w{k}" for k in range(5000)]
+    say = lambda k: [g.choice(vocab) for _ in range(k)]
+    base, rows = say(150), []
+    for i in range(300):
+        words = list(base)
+        for at in g.sample(range(150), g.choice([2, 3, 3, 4, 4, 5])):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words), "en", "s", None))
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    pairs, plain = [], ngram_join.crossing_pairs
+
+    def counted(*args, **more):
+        out = plain(*args, **more).cache()
+        pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "crossing_pairs", counted)
+    got = ngram_join.similarity_classes(df)
+    want = classes(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+    assert len({c for _, c in want.values()}) > 10 and len(pairs) == 1 and pairs[0] < 2 * len(rows)
+
+
 def test_ngram_empty(empty):
     assert ngram_join.similarity_classes(empty).count() == 0
     assert ngram_join.drop_near_duplicates(empty).count() == 0
